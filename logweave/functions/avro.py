@@ -1,0 +1,122 @@
+"""Avro bodies of flat records (text, whole numbers, booleans, instants) as expressions.
+
+Spark's own ``from_avro``/``to_avro`` need the avro package on the class path
+and are the choice where it is present; these cover the record shape of the
+notice log without it.  A body with bytes left over is an error.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from logweave.functions.text import col
+
+# Field names, kinds and order of the notice record.
+NOTICE_FIELDS = (
+    ("event_id", "string"),
+    ("source", "string"),
+    ("message", "string"),
+    ("created_at", "timestamp-millis"),
+)
+KINDS = {"string": "string", "long": "bigint", "boolean": "boolean", "timestamp-millis": "timestamp"}
+
+
+def _byte(body: Column, at: Column) -> Column:
+    return F.conv(F.hex(F.substring(body, at, F.lit(1))), 16, 10).cast("bigint")
+
+
+def _read_number(body: Column, at: Column) -> Column:
+    """struct(number, size) of the variable-length number at 1-based ``at``; null if cut off."""
+    start = F.struct(
+        F.lit(0).cast("bigint").alias("bits"), F.lit(0).alias("size"), F.lit(False).alias("done")
+    )
+
+    def step(acc: Column, i: Column) -> Column:
+        b = _byte(body, at + i)
+        more = F.struct(
+            acc["bits"]
+            .bitwiseOR(F.call_function("shiftleft", b.bitwiseAND(127), i * 7))
+            .alias("bits"),
+            (i + 1).alias("size"),
+            (b < 128).alias("done"),
+        )
+        return F.when(acc["done"], acc).otherwise(more)
+
+    def finish(acc: Column) -> Column:
+        # Zigzag: even values are non-negative, odd ones negative.
+        number = F.shiftrightunsigned(acc["bits"], 1).bitwiseXOR(-acc["bits"].bitwiseAND(1))
+        return F.when(acc["done"], F.struct(number.alias("number"), acc["size"].alias("size")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(9)), start, step, finish)
+
+
+def decode_flat(body: Column | str, fields: Sequence[tuple[str, str]] = NOTICE_FIELDS) -> Column:
+    """Struct of the fields, null when the body does not hold exactly these fields."""
+    body = col(body)
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
+
+    def step(acc: Column, kind: Column) -> Column:
+        def with_number(read: Column) -> Column:
+            body_at = acc["at"] + read["size"]
+            length = F.when(kind == "string", read["number"].cast("int")).otherwise(F.lit(0))
+            text = F.substring(body, body_at, length).cast("string")
+            item = F.when(kind == "string", text).otherwise(read["number"].cast("string"))
+            fits = (length >= 0) & (body_at + length - 1 <= F.octet_length(body))
+            after = F.struct(
+                (body_at + length).alias("at"), F.array_append(acc["texts"], item).alias("texts")
+            )
+            return F.when(fits, after)
+
+        # One-element transform: evaluates the number once and names it.
+        read = F.transform(F.array(_read_number(body, acc["at"])), with_number)
+        return F.get(read, F.lit(0))
+
+    kinds = F.array(*[F.lit(kind) for _, kind in fields])
+    done = F.aggregate(kinds, start, step)
+
+    def value(i: int, kind: str) -> Column:
+        text = F.get(done["texts"], F.lit(i))
+        if kind == "timestamp-millis":
+            return F.timestamp_millis(text.cast("bigint"))
+        if kind == "boolean":
+            return text == "-1"
+        return text.cast(KINDS[kind])
+
+    whole = done["at"] == F.octet_length(body) + 1
+    built = F.struct(*[value(i, kind).alias(name) for i, (name, kind) in enumerate(fields)])
+    return F.when(whole, built)
+
+
+def _number_bytes(value: Column) -> Column:
+    """Variable-length zigzag bytes of a whole number."""
+    bits = F.shiftleft(value, 1).bitwiseXOR(F.shiftright(value, 63))
+
+    def group(i: Column) -> Column:
+        rest = F.call_function("shiftrightunsigned", bits, i * 7)
+        last = F.call_function("shiftrightunsigned", rest, F.lit(7)) == 0
+        low = rest.bitwiseAND(127)
+        byte = F.when(last, low).otherwise(low + 128)
+        return F.when((i == 0) | (rest != 0), F.lpad(F.hex(byte), 2, "0")).otherwise(F.lit(""))
+
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9)), group), ""))
+
+
+def encode_flat(record: Column | str, fields: Sequence[tuple[str, str]] = NOTICE_FIELDS) -> Column:
+    """Body of a struct whose fields match; null when a field is null."""
+    record = col(record)
+    parts = []
+    for name, kind in fields:
+        v = record[name]
+        if kind == "string":
+            raw = v.cast("string").cast("binary")
+            parts.append(F.concat(_number_bytes(F.octet_length(raw).cast("bigint")), raw))
+        elif kind == "timestamp-millis":
+            parts.append(_number_bytes(F.unix_millis(v)))
+        elif kind == "boolean":
+            parts.append(F.when(v, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))))
+        else:
+            parts.append(_number_bytes(v.cast("bigint")))
+    return F.concat(*parts)
