@@ -320,7 +320,7 @@ FROM (
 LEFT JOIN nation ON n_nationkey = schema_id AND n_nationkey < 6"""
     sql["q_avro"] = _with(EV) + """SELECT printf('event-%03d', event_id - 500) AS event_id,
   printf('event-%03d', event_id - 500) AS decoded_id, 'events' AS source,
-  'text é ' || (event_id - 500) AS message, epoch_ms(ts) AS created_ms FROM ev"""
+  'text é ' || (event_id - 500) AS message, epoch_us(ts) // 1000 AS created_ms FROM ev"""
 
     sql["q_metric_names"] = _with(EV) + f"""SELECT event_id,
   CASE k % 6 WHEN 0 THEN 'kafka_server_' || event_type || '_' || {_noun('k')} || 'in_total'
@@ -373,5 +373,5 @@ GROUP BY 1, 2, 3"""
   CAST(100 + (n % 9) * 25.5 AS DOUBLE) AS amount
 FROM (SELECT o_orderkey + 1 AS n, o_orderdate FROM orders)"""
     sql["q_gen_events"] = """SELECT printf('event-%03d', event_id + 1) AS event_id, 'events' AS source,
-  'message #' || (event_id + 1) AS message, epoch_ms(ts) AS created_ms FROM events"""
+  'message #' || (event_id + 1) AS message, epoch_us(ts) // 1000 AS created_ms FROM events"""
     return sql

@@ -552,10 +552,9 @@ def _counters(spark, sf):
         F.floor(F.col("event_id") / 1000).alias("era"),
         F.round(F.col("value") * 100).cast("bigint").alias("cents"),
     )
-    keys = ["event_type", "era"]
-    split = pieces.cut(rows, keys, "event_id")
-    total = pieces.running_total(split, keys, ["event_id"], F.col("cents"), "counter")
-    return pieces.uncut(total).withColumn("counter", F.col("counter").cast("double"))
+    split = pieces.cut(rows, ["event_type", "era"], "event_id")
+    total = split.running_total(["event_id"], "cents", "counter").rows()
+    return total.withColumn("counter", F.col("counter").cast("double"))
 
 
 @query

@@ -120,8 +120,21 @@ CONNECT_RULES = (
 )
 
 
-def _whole(rule: Rule) -> str:
-    return f"^.*(?:{rule.pattern}).*$"
+_MARK, _GAP = "\u001e", "\u001f"
+
+
+def _pattern(rule: Rule) -> str:
+    """The rule on a whole line that no earlier rule has rewritten."""
+    return f"^(?!{_MARK}).*(?:{rule.pattern}).*$"
+
+
+def _rewritten(rule: Rule) -> str:
+    """All parts of the outcome as one replacement text."""
+    fixed = "" if rule.value is None else repr(rule.value)
+    parts = [rule.name, rule.kind, rule.help, fixed, repr(rule.factor)]
+    for name, value in rule.labels.items():
+        parts += [name, value]
+    return _MARK + _GAP.join(parts)
 
 
 def _safe(text: Column, allowed: str) -> Column:
@@ -136,42 +149,37 @@ def rename(
     value: str = "value",
     lower_labels: bool = False,
 ) -> DataFrame:
-    """Add metric, labels, kind, help and the numeric metric_value."""
-    line = F.concat_ws(": ", F.col(attribute), F.col(value))
+    """Add metric, labels, kind, help and the numeric metric_value.
 
-    def filled(rule: Rule, template: str) -> Column:
-        if "$" not in template:
-            return F.lit(template)
-        return F.regexp_replace(line, F.lit(_whole(rule)), F.lit(template))
-
-    def label_name(rule: Rule, template: str) -> Column:
-        safe = _safe(filled(rule, template), "a-zA-Z0-9")
+    One literal pattern per rule rewrites a line it matches into all parts of
+    the outcome; a rewritten line starts with a mark that later rules pass over.
+    """
+    line = F.concat_ws(": ", F.col(attribute), F.col(value))
+    for rule in rules:
+        line = F.regexp_replace(line, F.lit(_pattern(rule)), F.lit(_rewritten(rule)))
+    parts = F.split(F.col("__line"), _GAP, -1)
+    rest = F.slice(parts, 6, F.greatest(F.size(parts) - 5, F.lit(0)))
+    pairs = F.sequence(F.lit(0), F.size(rest).cast("int") - 2, F.lit(2))
+    even = F.when(F.size(rest) > 0, pairs).otherwise(F.array().cast("array<int>"))
+
+    def label_name(i: Column) -> Column:
+        safe = _safe(F.get(rest, i), "a-zA-Z0-9")
         return F.lower(safe) if lower_labels else safe
 
-    def outcome(rule: Rule) -> Column:
-        if rule.labels:
-            labels = F.map_from_arrays(
-                F.array(*[label_name(rule, n) for n in rule.labels]),
-                F.array(*[filled(rule, t) for t in rule.labels.values()]),
-            )
-        else:
-            labels = F.map_from_arrays(
-                F.array().cast("array<string>"), F.array().cast("array<string>")
-            )
-        number = F.col(value).try_cast("double") * F.lit(rule.factor)
-        return F.struct(
-            F.lower(_safe(filled(rule, rule.name), "a-zA-Z0-9:")).alias("metric"),
-            labels.alias("labels"),
-            F.lit(rule.kind).alias("kind"),
-            filled(rule, rule.help).alias("help"),
-            (F.lit(rule.value) if rule.value is not None else number).alias("metric_value"),
-        )
-
-    chosen = F.when(line.rlike(_whole(rules[0])), outcome(rules[0]))
-    for rule in rules[1:]:
-        chosen = chosen.when(line.rlike(_whole(rule)), outcome(rule))
+    own = F.nullif(parts[3], F.lit("")).try_cast("double")
+    number = F.col(value).try_cast("double") * parts[4].try_cast("double")
+    named = df.withColumn("__line", line).filter(F.startswith("__line", F.lit(_MARK)))
     return (
-        df.withColumn("__m", chosen)
-        .filter(F.col("__m.metric_value").isNotNull())
-        .select(*df.columns, "__m.*")
+        named.withColumn("__line", F.substr("__line", F.lit(2)))
+        .select(
+            *df.columns,
+            F.lower(_safe(parts[0], "a-zA-Z0-9:")).alias("metric"),
+            F.map_from_arrays(
+                F.transform(even, label_name), F.transform(even, lambda i: F.get(rest, i + 1))
+            ).alias("labels"),
+            parts[1].alias("kind"),
+            parts[2].alias("help"),
+            F.coalesce(own, number).alias("metric_value"),
+        )
+        .filter(F.col("metric_value").isNotNull())
     )

@@ -67,8 +67,8 @@ def status_changes(
     """Rows whose status differs from the one before (``was``, null at first)."""
     placed = alerts.withColumn("__pos", epoch_micros(ts))
     split = pieces.cut(placed, keys, "__pos", rows_per_piece)
-    seen = pieces.last_known(split, keys, ["__pos"], F.col("status"), "was", strictly_before=True)
-    return pieces.uncut(seen.filter(~F.col("status").eqNullSafe(F.col("was")))).drop("__pos")
+    seen = split.last_known(["__pos"], "status", "was", strictly_before=True)
+    return seen.filter(~F.col("status").eqNullSafe(F.col("was"))).rows().drop("__pos")
 
 
 def repeats(

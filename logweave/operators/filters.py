@@ -201,4 +201,5 @@ def chat(
     """
     valid = messages.filter(deliverable())
     kept = block_filter_as_of(valid, events, key, position, sequence, rows_per_piece)
+    kept = sizing.settled(kept, "unblocked")
     return mask_as_of(kept, updates, key, position, sequence, rows_per_piece=rows_per_piece)

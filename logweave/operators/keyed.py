@@ -71,12 +71,10 @@ def retain_bytes(
 ) -> DataFrame:
     """Newest records of each partition whose sizes together stay within ``limit``."""
     size = F.octet_length("value") if size is None else size
-    keys = ["topic", "partition"]
-    split = pieces.cut(log, keys, "offset", rows_per_piece)
-    total = pieces.running_total(
-        split, keys, ["offset"], size.cast("bigint"), "__bytes", newest_first=True
-    )
-    return pieces.uncut(total.filter(F.col("__bytes") <= limit)).drop("__bytes")
+    sized = log.withColumn("__size", size.cast("bigint"))
+    split = pieces.cut(sized, ["topic", "partition"], "offset", rows_per_piece)
+    total = split.running_total(["offset"], "__size", "__bytes", newest_first=True)
+    return total.filter(F.col("__bytes") <= limit).rows().drop("__size", "__bytes")
 
 
 # --- merges into a table -----------------------------------------------------

@@ -112,8 +112,9 @@ def batch_gate(
     Offsets may have gaps, so records are counted, not divided by offset.
     ``full`` is false for a short last batch.
     """
-    split = pieces.cut(log, keys, "offset", rows_per_piece)
-    counted = pieces.running_total(split, keys, ["offset"], F.lit(1).cast("bigint"), "__n")
+    ones = log.withColumn("__one", F.lit(1).cast("bigint"))
+    split = pieces.cut(ones, keys, "offset", rows_per_piece)
+    counted = split.running_total(["offset"], "__one", "__n").rows()
     batch = F.floor((F.col("__n") - 1) / size).cast("bigint")
     return (
         counted.withColumn("batch", batch)

@@ -38,13 +38,15 @@ def counter_rate(
     """
     placed = samples.withColumn("__pos", epoch_micros(ts))
     split = pieces.cut(placed, keys, "__pos", rows_per_piece)
-    before = pieces.last_known(split, keys, ["__pos"], F.col(value), "__prev", strictly_before=True)
     now, prev = F.col(value), F.col("__prev")
     increase = F.when(prev.isNull(), F.lit(0.0)).when(now < prev, now).otherwise(now - prev)
-    grown = before.withColumn("__inc", increase)
-    total = pieces.trailing_sum(grown, keys, "__pos", seconds * MICROS, "__inc", "__sum")
+    total = (
+        split.last_known(["__pos"], value, "__prev", strictly_before=True)
+        .with_column("__inc", increase)
+        .trailing_sum(seconds * MICROS, "__inc", "__sum")
+    )
     return (
-        pieces.uncut(total)
+        total.rows()
         .withColumn("rate", F.col("__sum") / seconds)
         .drop("__pos", "__prev", "__inc", "__sum")
     )
@@ -91,16 +93,17 @@ def held(
         "__on", F.coalesce(condition, F.lit(False))
     )
     split = pieces.cut(placed, keys, "__pos", rows_per_piece)
-    before = pieces.last_known(
-        split, keys, ["__pos"], F.col("__on"), "__was", strictly_before=True
-    )
     begins = F.col("__on") & ~F.coalesce("__was", F.lit(False))
-    start = F.when(begins, F.col("__pos"))
-    runs = pieces.last_known(before, keys, ["__pos"], start, "since_us")
+    runs = (
+        split.last_known(["__pos"], "__on", "__was", strictly_before=True)
+        .with_column("__start", F.when(begins, F.col("__pos")))
+        .last_known(["__pos"], "__start", "since_us")
+    )
     return (
-        pieces.uncut(runs.filter("__on"))
+        runs.filter("__on")
+        .rows()
         .withColumn("firing", F.col("__pos") - F.col("since_us") >= seconds * MICROS)
-        .drop("__pos", "__on", "__was")
+        .drop("__pos", "__on", "__was", "__start")
     )
 
 

@@ -91,14 +91,15 @@ def query_matches(products: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """
     needles = queries.select(F.lower("query").alias("needle")).filter("needle <> ''").distinct()
     lengths = needles.agg(F.collect_set(F.char_length("needle"))).scalar()
-    hay = F.lower("product_name")
+    hay = F.col("hay")
     starts = F.transform(
-        F.filter(lengths, lambda n: n <= F.char_length(hay)),
+        F.filter("lengths", lambda n: n <= F.char_length(hay)),
         lambda n: F.transform(
             F.sequence(F.lit(1), F.char_length(hay) - n + 1), lambda at: hay.substr(at, n)
         ),
     )
-    emitted = products.select(
+    measured = products.withColumns({"hay": F.lower("product_name"), "lengths": lengths})
+    emitted = measured.select(
         F.explode(F.array_distinct(F.flatten(starts))).alias("part"),
         "available",
         "product_id",
@@ -118,15 +119,17 @@ def recommend(users: DataFrame, products: DataFrame, k: int = 3) -> DataFrame:
     """
     popular = top_by_stock(products, k)
     matches = query_matches(products, users, k)
-    joined = users.withColumn("__needle", F.lower("query")).join(
-        matches, F.col("__needle") == F.col("needle"), "left"
+    joined = (
+        users.withColumn("__needle", F.lower("query"))
+        .join(matches, F.col("__needle") == F.col("needle"), "left")
+        .withColumn("popular", popular)
     )
     taken = F.transform("items", lambda i: i["product_id"])
     # An empty query is contained in every name: the best by stock all match.
     fill = F.when(
         F.col("__needle") == "",
-        F.transform(popular, lambda i: i.withField("query_match", F.lit(1))),
-    ).otherwise(popular)
+        F.transform("popular", lambda i: i.withField("query_match", F.lit(1))),
+    ).otherwise(F.col("popular"))
     others = F.filter(fill, lambda i: ~F.array_contains(taken, i["product_id"]))
     merged = F.when(F.col("items").isNull(), fill).otherwise(F.concat("items", others))
     return joined.select(

@@ -1,171 +1,173 @@
 """Ordered per-key work that survives a hot key.
 
-A window over ``partitionBy(key)`` puts a whole key in one task.  Here a key
-with many rows is cut along its order column into pieces, each piece is its
-own window partition, and what earlier pieces contribute (last value, row
-count, running total) arrives as one small carry row per piece.  Keys that are
-not hot form a single piece and cost nothing beyond the plain window.
-
-Only keys above ``1 / MAX_HOT_KEYS`` of all rows can be hot, so there are fewer
-than ``MAX_HOT_KEYS`` of them whatever the size of the data: that proven bound
-is what allows the broadcast below.
+A window over ``partitionBy(key)`` puts a whole key in one task.  :func:`cut`
+first counts rows per key (keys and position only, combined before the
+shuffle).  Where no key is large the plain window is used.  A large key is cut
+along its order column into pieces, each its own window partition, and what
+earlier pieces contribute (last value, running total) arrives as one small
+carry row per piece.
+
+Only the ``MAX_HOT_KEYS`` largest keys are cut.  Any other key is smaller than
+each of them and so holds less than one part in ``MAX_HOT_KEYS`` of all rows;
+and the list of cut keys is small whatever the size of the data, which is what
+allows its broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.window import WindowSpec
 
 MAX_HOT_KEYS = 10_000
 ROWS_PER_PIECE = 2_000_000
 
 PIECE = "__piece"
-HOT = "__hot"
 LOW = "__low"
 WIDTH = "__width"
-_SCRATCH = (PIECE, HOT, LOW, WIDTH)
-
-
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
 def _join_left(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null-safe left join on equal column names, keeping the left columns once."""
-    renamed = right.select(
-        *[F.col(c).alias(f"__r_{c}") for c in columns],
-        *[F.col(c) for c in right.columns if c not in columns],
-    )
-    condition = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in columns]
-    )
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in columns})
+    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in columns]
+    condition = reduce(lambda a, b: a & b, same)
     return left.join(renamed, condition, "left").drop(*[f"__r_{c}" for c in columns])
 
 
+@dataclass(frozen=True)
+class Pieces:
+    """Rows with their piece; operations return the same rows with one more column."""
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    position: str
+    hot: bool
+
+    def rows(self) -> DataFrame:
+        return self.df.drop(PIECE, LOW, WIDTH)
+
+    def with_column(self, name: str, value: Column) -> Pieces:
+        return replace(self, df=self.df.withColumn(name, value))
+
+    def filter(self, condition: Column | str) -> Pieces:
+        return replace(self, df=self.df.filter(condition))
+
+    def _window(self, piece: str = PIECE) -> WindowSpec:
+        return Window.partitionBy(*self.keys, piece) if self.hot else Window.partitionBy(*self.keys)
+
+    def _with_carry(
+        self, here: DataFrame, summary: Column, fold, combine, out: str, descending: bool = False
+    ) -> DataFrame:
+        """``combine(own, carry)``, the carry folding the summaries of the pieces before."""
+        if not self.hot:
+            return here.withColumn(out, F.col("__here")).drop("__here")
+        order = F.col(PIECE).desc() if descending else F.col(PIECE)
+        before = Window.partitionBy(*self.keys).orderBy(order)
+        before = before.rowsBetween(Window.unboundedPreceding, -1)
+        carry = (
+            self.df.filter(F.col(LOW).isNotNull())
+            .groupBy(*self.keys, PIECE)
+            .agg(summary.alias("__summary"))
+            .select(*self.keys, PIECE, fold(F.col("__summary")).over(before).alias("__carry"))
+        )
+        return (
+            _join_left(here, carry, [*self.keys, PIECE])
+            .withColumn(out, combine(F.col("__here"), F.col("__carry")))
+            .drop("__here", "__carry")
+        )
+
+    def last_known(
+        self, order: Sequence[str], value: str, out: str, strictly_before: bool = False
+    ) -> Pieces:
+        """Last non-null ``value`` at or before each row."""
+        rows = self._window().orderBy(*order)
+        rows = rows.rowsBetween(Window.unboundedPreceding, -1 if strictly_before else 0)
+        here = self.df.withColumn("__here", F.last(value, ignorenulls=True).over(rows))
+        at = F.when(F.col(value).isNotNull(), F.struct(*order))
+        joined = self._with_carry(
+            here,
+            F.max_by(value, at),
+            lambda s: F.last(s, ignorenulls=True),
+            F.coalesce,
+            out,
+        )
+        return replace(self, df=joined)
+
+    def running_total(
+        self, order: Sequence[str], amount: str, out: str, newest_first: bool = False
+    ) -> Pieces:
+        """Sum of ``amount`` from one end of the order up to and with each row."""
+        columns = [F.col(c).desc() if newest_first else F.col(c) for c in order]
+        rows = self._window().orderBy(*columns)
+        rows = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        here = self.df.withColumn("__here", F.sum(amount).over(rows))
+        joined = self._with_carry(
+            here,
+            F.sum(amount),
+            F.sum,
+            lambda own, carry: own + F.coalesce(carry, F.lit(0)),
+            out,
+            newest_first,
+        )
+        return replace(self, df=joined)
+
+    def trailing_sum(self, span: int, amount: str, out: str) -> Pieces:
+        """Sum over rows whose position lies in ``[position - span, position]``.
+
+        A row near the end of a piece is lent to the pieces its span reaches
+        into; lent copies take part in sums and are then dropped.
+        """
+        at = self.position
+        if not self.hot:
+            rows = self._window().orderBy(at).rangeBetween(-span, 0)
+            return replace(self, df=self.df.withColumn(out, F.sum(amount).over(rows)))
+        reach = F.expr(f"({at} + {span} - {LOW}) div {WIDTH}")
+        lent = self.df.withColumn(
+            "__to", F.explode(F.sequence(F.col(PIECE), F.coalesce(reach, F.col(PIECE))))
+        ).withColumn("__own", F.col("__to") == F.col(PIECE))
+        rows = self._window("__to").orderBy(at).rangeBetween(-span, 0)
+        summed = lent.withColumn(out, F.sum(amount).over(rows))
+        return replace(self, df=summed.filter("__own").drop("__to", "__own"))
+
+
 def cut(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    rows_per_piece: int | None = None,
-) -> DataFrame:
-    """Add the piece number; ``position`` is a bigint column the order starts with.
+    df: DataFrame, keys: Sequence[str], position: str, rows_per_piece: int | None = None
+) -> Pieces:
+    """Rows ready for ordered work per key; ``position`` is a bigint the order starts with.
 
-    Rows of equal position always share a piece.  The input is read once more,
-    keys and position only, to count rows per key.
+    Runs the counting job.  Rows of equal position always share a piece.
     """
     rows_per_piece = rows_per_piece or ROWS_PER_PIECE
     counted = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(position).alias(LOW),
-        F.max(position).alias("__high"),
+        F.min(position).cast("bigint").alias(LOW),
+        F.max(position).cast("bigint").alias("__high"),
     )
-    share = counted.agg((F.sum("n") / F.lit(MAX_HOT_KEYS)).alias("s")).scalar()
-    hot = counted.filter(
-        (F.col("n") > F.lit(rows_per_piece)) & (F.col("n") > share)
-    ).select(
-        *keys,
-        LOW,
-        F.expr(
-            f"greatest(1L, (__high - {LOW}) div ceil(n / {float(rows_per_piece)}) + 1L)"
-        ).alias(WIDTH),
+    wanted = F.ceil(F.col("n") / F.lit(rows_per_piece))
+    width = F.expr(f"(__high - {LOW}) div wanted + 1")
+    largest = (
+        counted.filter(F.col("n") > F.lit(rows_per_piece))
+        .orderBy(F.col("n").desc())
+        .limit(MAX_HOT_KEYS)
+        .withColumn("wanted", wanted)
+        .select(*keys, LOW, width.alias(WIDTH))
     )
+    found = largest.collect()
+    if not found:
+        return Pieces(df, tuple(keys), position, False)
+    schema = StructType(largest.schema.fields)
+    hot = df.sparkSession.createDataFrame([tuple(r) for r in found], schema)
     piece = F.expr(f"({position} - {LOW}) div {WIDTH}")
-    return (
-        _join_left(df, F.broadcast(hot), keys)
-        .withColumn(HOT, F.col(LOW).isNotNull())
-        .withColumn(PIECE, F.coalesce(piece, F.lit(0).cast("bigint")))
-    )
-
-
-def uncut(df: DataFrame) -> DataFrame:
-    return df.drop(*_SCRATCH)
-
-
-def _carried(df: DataFrame, keys: Sequence[str], summary: Column, fold, descending=False) -> DataFrame:
-    """One row per hot piece holding ``fold`` over the summaries of the pieces before it."""
-    order = F.col(PIECE).desc() if descending else F.col(PIECE)
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        df.filter(HOT)
-        .groupBy(*keys, PIECE)
-        .agg(summary.alias("__summary"))
-        .select(*keys, PIECE, fold(F.col("__summary")).over(before).alias("__carry"))
-    )
-
-
-def last_known(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: Column,
-    out: str,
-    strictly_before: bool = False,
-) -> DataFrame:
-    """Last non-null ``value`` at or before each row (``df`` comes from :func:`cut`)."""
-    df = df.withColumn("__v", value)
-    rows = Window.partitionBy(*keys, PIECE).orderBy(*order)
-    rows = rows.rowsBetween(Window.unboundedPreceding, -1 if strictly_before else 0)
-    head = F.expr(
-        f"max_by(__v, struct({', '.join(order)})) FILTER (WHERE __v IS NOT NULL)"
-    )
-    carry = _carried(df, keys, head, lambda s: F.last(s, ignorenulls=True))
-    here = df.withColumn("__here", F.last("__v", ignorenulls=True).over(rows))
-    return (
-        _join_left(here, carry, [*keys, PIECE])
-        .withColumn(out, F.coalesce("__here", "__carry"))
-        .drop("__v", "__here", "__carry")
-    )
-
-
-def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    amount: Column,
-    out: str,
-    newest_first: bool = False,
-) -> DataFrame:
-    """Sum of ``amount`` from one end of the order up to and with each row."""
-    df = df.withColumn("__v", amount)
-    columns = [F.col(c).desc() if newest_first else F.col(c) for c in order]
-    rows = Window.partitionBy(*keys, PIECE).orderBy(*columns)
-    rows = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = _carried(df, keys, F.sum("__v"), F.sum, descending=newest_first)
-    here = df.withColumn("__here", F.sum("__v").over(rows))
-    return (
-        _join_left(here, carry, [*keys, PIECE])
-        .withColumn(out, F.col("__here") + F.coalesce("__carry", F.lit(0)))
-        .drop("__v", "__here", "__carry")
-    )
-
-
-def trailing_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    span: int,
-    amount: str,
-    out: str,
-) -> DataFrame:
-    """Sum over rows whose position lies in ``[position - span, position]``.
-
-    A row near the end of a hot piece is lent to the pieces its span reaches
-    into; lent copies take part in sums and are then dropped.
-    """
-    reach = F.when(
-        F.col(HOT), F.expr(f"({position} + {span} - {LOW}) div {WIDTH}")
-    ).otherwise(F.col(PIECE))
-    lent = (
-        df.withColumn("__to", F.explode(F.sequence(F.col(PIECE), reach)))
-        .withColumn("__own", F.col("__to") == F.col(PIECE))
-    )
-    rows = Window.partitionBy(*keys, "__to").orderBy(position).rangeBetween(-span, 0)
-    return (
-        lent.withColumn(out, F.sum(amount).over(rows)).filter("__own").drop("__to", "__own")
+    split = _join_left(df, F.broadcast(hot), keys).withColumn(
+        PIECE, F.coalesce(piece, F.lit(0).cast("bigint"))
     )
+    return Pieces(split, tuple(keys), position, True)
 
 
 def as_of(
@@ -181,20 +183,15 @@ def as_of(
 
     Both sides carry ``keys``, a bigint ``position`` (event time in
     microseconds, say) and a tie-breaking ``sequence``; at equal position
-    control comes before data.  ``state`` is a non-null struct or value of the
-    control side; data rows without any earlier control get null.
+    control comes before data.  ``state`` is never null on the control side;
+    data rows without any earlier control get null.
+
+    One shuffle of the two sides together, no join between them.
     """
-    tagged = (
-        data.withColumn("__kind", F.lit(1))
-        .unionByName(
-            control.select(*keys, position, sequence, state).withColumn("__kind", F.lit(0)),
-            allowMissingColumns=True,
-        )
-    )
-    split = cut(tagged, keys, position, rows_per_piece)
-    known = last_known(split, keys, [position, "__kind", sequence], F.col(state), "__state")
-    return (
-        uncut(known.filter(F.col("__kind") == 1))
-        .drop("__kind", state)
-        .withColumnRenamed("__state", state)
+    events = control.select(*keys, position, sequence, state, F.lit(0).alias("__kind"))
+    tagged = data.withColumn("__kind", F.lit(1)).unionByName(events, allowMissingColumns=True)
+    known = cut(tagged, keys, position, rows_per_piece).last_known(
+        [position, "__kind", sequence], state, "__state"
     )
+    seen = known.filter(F.col("__kind") == 1).rows()
+    return seen.drop("__kind", state).withColumnRenamed("__state", state)

@@ -1,9 +1,11 @@
-"""Size checks made before anything is treated as small."""
+"""Size checks made before anything is treated as small, and settled results."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from logweave.session import scratch_dir
+
 
 def at_most(df: DataFrame, rows: int) -> list | None:
     """The rows of ``df`` if there are at most ``rows`` of them, else None.
@@ -13,3 +15,14 @@ def at_most(df: DataFrame, rows: int) -> list | None:
     """
     found = df.limit(rows + 1).collect()
     return found if len(found) <= rows else None
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table in the shared scratch folder, its lineage cut.
+
+    For results that are dear and read several times: they are computed once,
+    and a lost executor costs a re-read, not a re-run.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -68,11 +68,12 @@ def placed(
 ) -> DataFrame:
     """Records (topic, key, value, position) with partition by key and dense offsets."""
     by_key = F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int")
-    spread = records.withColumn("partition", by_key if partition is None else partition)
-    keys = ["topic", "partition"]
-    split = pieces.cut(spread, keys, position, rows_per_piece)
-    counted = pieces.running_total(split, keys, [position], F.lit(1).cast("bigint"), "__n")
-    return pieces.uncut(counted.withColumn("offset", F.col("__n") - 1)).drop("__n")
+    spread = records.withColumn(
+        "partition", by_key if partition is None else partition
+    ).withColumn("__one", F.lit(1).cast("bigint"))
+    split = pieces.cut(spread, ["topic", "partition"], position, rows_per_piece)
+    counted = split.running_total([position], "__one", "__n").rows()
+    return counted.withColumn("offset", F.col("__n") - 1).drop("__one", "__n")
 
 
 def write_log(log: DataFrame, path: str) -> None:
