@@ -8,6 +8,9 @@ empty values for missing fields.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -170,6 +173,23 @@ def encode(*columns: Column | str, omit_empty: tuple[str, ...] = ()) -> Column:
     return F.to_json(F.struct(*parts))
 
 
+@F.pandas_udf(StringType())
+def _indented(values: pd.Series) -> pd.Series:
+    """Spark's indentation needs a declared type; any JSON needs this one step in Python."""
+
+    def indent(text: str | None) -> str | None:
+        if text is None:
+            return None
+        return json.dumps(json.loads(text), indent=2, sort_keys=True, ensure_ascii=False)
+
+    return values.map(indent)
+
+
 def pretty(value: Column | str) -> Column:
     """Any JSON text indented, null when it is not JSON."""
-    return F.to_json(F.try_parse_json(col(value)), {"pretty": "true"})
+    return _indented(F.to_json(F.try_parse_json(col(value))))
+
+
+def pretty_record(record: Column | str) -> Column:
+    """A typed record as indented JSON, without leaving the JVM."""
+    return F.to_json(col(record), {"pretty": "true"})

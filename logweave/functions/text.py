@@ -82,54 +82,78 @@ def remove_items(values: Column | str, removals: Column | str) -> Column:
 
 # --- masking -----------------------------------------------------------------
 
-_IN = "[0-9A-Za-z_]"
-# A change between an ASCII word character and anything else.
-ASCII_EDGE = rf"(?:(?<={_IN})(?!{_IN})|(?<!{_IN})(?={_IN}))"
-# The same change, with letters and digits of every script as word characters.
-UNICODE_EDGE = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"
-EDGES = {"ascii": ASCII_EDGE, "unicode": UNICODE_EDGE}
-
-# Non-ASCII letters that equal an ASCII letter when case is ignored.
+# Word characters, as the body of a character class.
+CLASSES = {"ascii": "0-9A-Za-z_", "unicode": r"\p{L}\p{N}_"}
+
+# Non-ASCII letters that equal an ASCII letter when case is ignored, and that letter.
 FOLD_FROM, FOLD_TO = "\u017f\u212a", "sk"
+_VARIANTS = {"s": "[s\u017f]", "\u017f": "[s\u017f]", "k": "[k\u212a]", "\u212a": "[k\u212a]"}
 
 
 def folded(text: Column | str) -> Column:
     return F.translate(F.lower(col(text)), FOLD_FROM, FOLD_TO)
 
 
-def _literal_pattern(word: str, edge: str) -> str:
-    quoted = "\\Q" + word.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    return f"(?iu){edge}{quoted}{edge}"
+def _edge(inside: str) -> str:
+    """A change between a word character and anything else (the text's ends count as else)."""
+    return f"(?:(?<=[{inside}])(?![{inside}])|(?<![{inside}])(?=[{inside}]))"
+
+
+def _letter(c: str) -> str:
+    """One letter of a lower-case word, to be matched whatever the case."""
+    if c in _VARIANTS:
+        return _VARIANTS[c]
+    if not c.isascii():
+        return f"(?u:{c})"
+    return c if c.isalnum() else f"\\x{ord(c):02x}"
+
+
+def _word_pattern(word: str, boundary: str) -> str:
+    """A whole word, case ignored.
+
+    An ASCII word whose ends have no variants starts with its letters, so the
+    look-arounds run only where the letters were found.
+    """
+    inside = CLASSES[boundary]
+    letters = "".join(map(_letter, word))
+    ends = word[0] + word[-1]
+    if word.isascii() and not set(ends) & set(_VARIANTS) and ends.replace("_", "a").isalnum():
+        return f"{letters}(?![{inside}])(?<![{inside}].{{{len(word)}}})"
+    return f"{_edge(inside)}{letters}{_edge(inside)}"
 
 
 def mask_with(text: Column | str, words: Sequence[str], boundary: str = "ascii") -> Column:
     """Mask known words, one after the other in the order given.
 
-    Each pattern is a literal, so it is compiled once per task.  The regex of an
-    all-ASCII word runs only on texts that contain the word at all.
+    Every pattern is a literal, compiled once per task; a text without any of
+    the words is passed over by a single search.
     """
-    result = col(text)
-    for word in words:
-        stars = F.lit("*" * len(word))
-        masked = F.regexp_replace(result, F.lit(_literal_pattern(word, EDGES[boundary])), stars)
-        if word.isascii():
-            result = F.when(F.contains(folded(result), F.lit(word.lower())), masked).otherwise(result)
-        else:
-            result = masked
-    return result
+    cleaned = [w for w in (w.strip(WHITE_SPACE).lower() for w in words) if w]
+    if not cleaned:
+        return col(text)
+    patterns = [_word_pattern(w, boundary) for w in cleaned]
+    masked = col(text)
+    for word, pattern in zip(cleaned, patterns):
+        masked = F.regexp_replace(masked, F.lit(f"(?is){pattern}"), F.lit("*" * len(word)))
+    present = F.rlike(col(text), F.lit("(?is)" + "|".join(patterns)))
+    return F.when(present, masked).otherwise(col(text))
 
 
 def mask_each(text: Column | str, words: Column | str, boundary: str = "ascii") -> Column:
     """Mask the words of an array column, one after the other in array order."""
-    edge = F.lit(EDGES[boundary])
+    edge = F.lit(_edge(CLASSES[boundary]))
 
-    def step(acc: Column, word: Column) -> Column:
-        quoted = F.concat(
-            F.lit("\\Q"),
-            F.replace(word, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
-            F.lit("\\E"),
+    def letters(word: Column) -> Column:
+        quoted = F.replace(word, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+        wide = F.regexp_replace(
+            quoted, "([^\\x00-\\x7f\u017f\u212a]+)", "\\\\E(?u:\\\\Q$1\\\\E)\\\\Q"
         )
-        pattern = F.concat(F.lit("(?iu)"), edge, quoted, edge)
+        s = F.regexp_replace(wide, "[s\u017f]", "\\\\E[s\u017f]\\\\Q")
+        k = F.regexp_replace(s, "[k\u212a]", "\\\\E[k\u212a]\\\\Q")
+        return F.concat(F.lit("\\Q"), k, F.lit("\\E"))
+
+    def step(acc: Column, word: Column) -> Column:
+        pattern = F.concat(F.lit("(?is)"), edge, letters(word), edge)
         masked = F.regexp_replace(acc, pattern, F.repeat(F.lit("*"), F.char_length(word)))
         return F.when(word == "", acc).otherwise(masked)
 
@@ -138,15 +162,32 @@ def mask_each(text: Column | str, words: Column | str, boundary: str = "ascii")
 
 
 def runs(text: Column | str) -> Column:
-    """Distinct maximal runs of ASCII word characters and of everything between them.
+    """Distinct runs of word characters and of everything between them, in lower case.
 
-    Case is folded.  A masked match always starts and ends at the edge of a run,
-    so each run inside a word that matches is a whole run of the text.
+    A masked match starts and ends at an edge, so each run inside a word that
+    matches is a whole run of the text.  The variant letters are no ASCII word
+    characters but match some: there an edge may also lie inside a run, so the
+    rare runs that hold one give every stretch between their possible edges.
     """
-    t = folded(text)
-    inside = F.regexp_extract_all(t, F.lit(r"([0-9a-z_]+)"), F.lit(1))
-    between = F.regexp_extract_all(t, F.lit(r"([^0-9a-z_]+)"), F.lit(1))
-    return F.array_distinct(F.concat(inside, between))
+    t = col(text)
+    between = F.regexp_extract_all(t, F.lit(f"([^0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
+    inside = F.regexp_extract_all(t, F.lit(f"([0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
+
+    def stretches(run: Column) -> Column:
+        parts = F.regexp_extract_all(run, F.lit(f"([{FOLD_FROM}]+|[^{FOLD_FROM}]+)"), F.lit(1))
+        count = F.size(parts).cast("int")
+        return F.flatten(
+            F.transform(
+                F.sequence(F.lit(1), count),
+                lambda i: F.transform(
+                    F.sequence(i, count), lambda j: F.array_join(F.slice(parts, i, j - i + 1), "")
+                ),
+            )
+        )
+
+    rare = F.rlike(t, F.lit(f"[{FOLD_FROM}]"))
+    whole = F.when(rare, F.flatten(F.transform(inside, stretches))).otherwise(inside)
+    return F.array_distinct(F.transform(F.concat(whole, between), folded))
 
 
 def probe(word: Column | str) -> Column:

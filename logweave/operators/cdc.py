@@ -31,9 +31,9 @@ def captured(log: DataFrame, tables: Sequence[str] = CAPTURED) -> DataFrame:
 
 def event_view(log: DataFrame, value: str = "value") -> DataFrame:
     """Any record for reading: JSON indented, anything else raw with the flag off."""
-    text = pretty(value)
+    is_json = F.try_parse_json(value).isNotNull()
     return log.withColumns(
-        {"is_json": text.isNotNull(), "shown": F.coalesce(text, F.col(value))}
+        {"is_json": is_json, "shown": F.coalesce(pretty(value), F.col(value))}
     )
 
 

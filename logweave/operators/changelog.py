@@ -25,6 +25,9 @@ ITEMS_PER_PAGE = 100_000
 
 
 def _position(order: Sequence[str]) -> Column:
+    """One order column stays bare: flags picked by a number are hash-aggregated."""
+    if len(order) == 1:
+        return F.col(order[0])
     return F.struct(*[F.col(c) for c in order])
 
 

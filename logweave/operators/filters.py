@@ -17,7 +17,7 @@ from logweave.operators.validate import deliverable
 from logweave.plans import pieces, sizing
 
 # Up to this many words are masked by a fixed chain of patterns without a shuffle.
-CHAIN_WORDS = 48
+CHAIN_WORDS = 32
 
 
 def deny_filter(

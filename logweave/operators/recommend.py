@@ -2,8 +2,9 @@
 
 The ranking of a user depends on the query alone, so it is computed once per
 distinct query and joined to the users.  Matching "query is a substring of the
-name" is an equi-join: names emit their substrings of just the lengths that
-occur among the queries, cut to the top k per substring before the shuffle.
+name" is an equi-join: names, each cut to its top k products, emit their
+substrings of just the lengths that occur among the queries, and these are cut
+to the top k per substring before the shuffle.
 No (user, product) or (query, product) product is ever formed.
 """
 
@@ -98,7 +99,8 @@ def query_matches(products: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             F.sequence(F.lit(1), F.char_length(hay) - n + 1), lambda at: hay.substr(at, n)
         ),
     )
-    measured = products.withColumns({"hay": F.lower("product_name"), "lengths": lengths})
+    named = products.withColumn("hay", F.lower("product_name"))
+    measured = keyed.top_k(named, ["hay"], _best(), k).drop("rank").withColumn("lengths", lengths)
     emitted = measured.select(
         F.explode(F.array_distinct(F.flatten(starts))).alias("part"),
         "available",
