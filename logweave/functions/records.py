@@ -155,11 +155,10 @@ def apply_policy(df: DataFrame, on_error: str, value: str = "value", out: str =
         return df
     if on_error == "quarantine":
         return good, df.filter(F.col("reject_reason").isNotNull()).drop(out)
-    stop = F.raise_error(
-        F.concat(F.col("reject_reason"), F.lit(": "), F.substring(col(value).cast("string"), 1, 200))
-    )
-    checked = F.when(F.col("reject_reason").isNotNull(), stop.cast(df.schema[out].dataType))
-    return df.withColumn(out, checked.otherwise(F.col(out))).drop("reject_reason")
+    text = F.substring(col(value).cast("string"), 1, 200)
+    stop = F.raise_error(F.concat(F.col("reject_reason"), F.lit(": "), F.coalesce(text, F.lit(""))))
+    sound = F.when(F.col("reject_reason").isNull(), F.lit(True)).otherwise(stop.cast("boolean"))
+    return df.filter(sound).drop("reject_reason")
 
 
 def encode(*columns: Column | str, omit_empty: tuple[str, ...] = ()) -> Column:
