@@ -226,6 +226,7 @@ LEFT JOIN (SELECT key, list(word) AS words FROM active GROUP BY key) l ON h.key
   SELECT list_sort(list(DISTINCT w)) AS words FROM (
     SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{8,}}')) AS w FROM benchmark))
 SELECT doc_id, {_masked('(SELECT words FROM vocabulary)')} AS text FROM documents"""
+    sql["q_mask_listed"] = sql["q_mask_lookup"]
     sql["q_mask_join"] = _with(EV, MESSAGES, UPDATES) + f"""SELECT message_id, recipient_id,
   {_masked("coalesce((SELECT list_sort(list(word)) FROM active WHERE key = 'global'), [])")} AS text
 FROM messages"""
@@ -247,7 +248,8 @@ FROM kept m LEFT JOIN lists l ON m.message_id = l.message_id"""
     sql["q_upsert_products"] = """WITH arrived AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey
       ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1)
-SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name,
+SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  CASE WHEN l_partkey IS NULL THEN p_name ELSE 'part ' || l_partkey END AS name,
   CAST(CAST(coalesce(l_extendedprice, p_retailprice) AS DECIMAL(14, 2)) AS DOUBLE) AS price,
   coalesce(CAST(l_quantity AS INT), p_size) AS available,
   CASE WHEN l_partkey IS NULL THEN 0 ELSE 1 END AS reserved,

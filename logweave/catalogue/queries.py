@@ -255,13 +255,24 @@ def q_mask_turns(spark, sf):
     return turns.select("conv_id", "turn", text.mask_with("text", src.MASKED).alias("text"))
 
 
+def _long_words(spark, sf):
+    found = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{8,})"), F.lit(1))
+    return src.table(spark, sf, "benchmark").select(F.explode(found).alias("word")).distinct()
+
+
+@query
+def q_mask_listed(spark, sf):
+    """A word list looked up within each row: the long words of ``benchmark``."""
+    docs = src.table(spark, sf, "documents").select("doc_id", "text")
+    return filters.mask_snapshot(docs, _long_words(spark, sf), id_col="doc_id", chain_words=0)
+
+
 @query
 def q_mask_lookup(spark, sf):
-    """A word list too long for a chain of patterns: the long words of ``benchmark``."""
-    found = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{8,})"), F.lit(1))
-    words = src.table(spark, sf, "benchmark").select(F.explode(found).alias("word")).distinct()
+    """The same list treated as too long for a row: joined to the texts by run."""
     docs = src.table(spark, sf, "documents").select("doc_id", "text")
-    return filters.mask_snapshot(docs, words, id_col="doc_id")
+    words = _long_words(spark, sf)
+    return filters.mask_snapshot(docs, words, id_col="doc_id", chain_words=0, listed_words=0)
 
 
 @query
@@ -289,26 +300,25 @@ def q_chat(spark, sf):
 
 @query
 def q_upsert_products(spark, sf):
+    """Line items arriving as product records: the last arrival of each part replaces it."""
     target = keyed.product_rows(src.products(spark, sf))
+    part = F.col("l_partkey").cast("string")
     lines = src.table(spark, sf, "lineitem").select(
-        "*", F.col("l_partkey").cast("string").alias("product_id")
-    )
-    arrivals = lines.join(
-        src.products(spark, sf).select(
-            *[c for c in schemas.PRODUCT.names if c not in {"price", "stock", "updated_at"}]
-        ),
-        "product_id",
-    ).select(
-        "*",
+        part.alias("product_id"),
+        F.concat(F.lit("part "), part).alias("name"),
+        *[F.lit("").alias(c) for c in ("description", "category", "brand")],
         F.struct(F.col("l_extendedprice").alias("amount"), F.lit("RUB").alias("currency")).alias("price"),
         F.struct(
             F.col("l_quantity").cast("int").alias("available"), F.lit(1).alias("reserved")
         ).alias("stock"),
+        F.concat(F.lit("sku-"), part).alias("sku"),
+        F.lit("").alias("store_id"),
         F.col("l_shipdate").cast("timestamp").alias("updated_at"),
+        "l_orderkey",
+        "l_linenumber",
     )
-    order = ["l_orderkey", "l_linenumber", "l_extendedprice"]
-    rows = keyed.product_rows(arrivals.select(*schemas.PRODUCT.names, *order), *order)
-    stored = keyed.upsert(target, rows, ["product_id"], order)
+    order = ["l_orderkey", "l_linenumber", "price.amount"]
+    stored = keyed.upsert(target, lines, ["product_id"], order, keyed.product_rows)
     return stored.select(
         "product_id",
         "name",

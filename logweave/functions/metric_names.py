@@ -6,6 +6,7 @@ The first rule that matches decides; a record no rule matches is left out.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -120,12 +121,17 @@ CONNECT_RULES = (
 )
 
 
-_MARK, _GAP = "\u001e", "\u001f"
+_GAP = "\u001f"
 
 
-def _pattern(rule: Rule) -> str:
-    """The rule on a whole line that no earlier rule has rewritten."""
-    return f"^(?!{_MARK}).*(?:{rule.pattern}).*$"
+def _whole(rule: Rule) -> str:
+    return f"^.*(?:{rule.pattern}).*$"
+
+
+def _literals(rule: Rule) -> list[str]:
+    """Texts every match of the rule contains; cheap to look for."""
+    variable = r"\([^)]*\)[*+?]?|\[[^\]]*\][*+?]?|\\\w[*+?]?|\."
+    return [piece for piece in re.split(variable, rule.pattern) if piece]
 
 
 def _rewritten(rule: Rule) -> str:
@@ -134,7 +140,7 @@ def _rewritten(rule: Rule) -> str:
     parts = [rule.name, rule.kind, rule.help, fixed, repr(rule.factor)]
     for name, value in rule.labels.items():
         parts += [name, value]
-    return _MARK + _GAP.join(parts)
+    return _GAP.join(parts)
 
 
 def _safe(text: Column, allowed: str) -> Column:
@@ -151,28 +157,31 @@ def rename(
 ) -> DataFrame:
     """Add metric, labels, kind, help and the numeric metric_value.
 
-    One literal pattern per rule rewrites a line it matches into all parts of
-    the outcome; a rewritten line starts with a mark that later rules pass over.
+    The pattern of a rule, slow on lines that almost match, runs only on lines
+    with all its literal texts; it rewrites a line into all parts of the outcome.
     """
-    line = F.concat_ws(": ", F.col(attribute), F.col(value))
+    line = F.col("__line")
+    chosen = None
     for rule in rules:
-        line = F.regexp_replace(line, F.lit(_pattern(rule)), F.lit(_rewritten(rule)))
-    parts = F.split(F.col("__line"), _GAP, -1)
-    rest = F.slice(parts, 6, F.greatest(F.size(parts) - 5, F.lit(0)))
-    pairs = F.sequence(F.lit(0), F.size(rest).cast("int") - 2, F.lit(2))
-    even = F.when(F.size(rest) > 0, pairs).otherwise(F.array().cast("array<int>"))
-
-    def label_name(i: Column) -> Column:
-        safe = _safe(F.get(rest, i), "a-zA-Z0-9")
-        return F.lower(safe) if lower_labels else safe
-
-    own = F.nullif(parts[3], F.lit("")).try_cast("double")
-    number = F.col(value).try_cast("double") * parts[4].try_cast("double")
-    named = df.withColumn("__line", line).filter(F.startswith("__line", F.lit(_MARK)))
-    return (
-        named.withColumn("__line", F.substr("__line", F.lit(2)))
-        .select(
-            *df.columns,
+        applies = F.rlike(line, F.lit(_whole(rule)))
+        for piece in reversed(_literals(rule)):
+            applies = F.contains(line, F.lit(piece)) & applies
+        text = F.regexp_replace(line, F.lit(_whole(rule)), F.lit(_rewritten(rule)))
+        chosen = F.when(applies, text) if chosen is None else chosen.when(applies, text)
+    lines = df.withColumn("__line", F.concat_ws(": ", F.col(attribute), F.col(value)))
+
+    def outcome(parts: Column) -> Column:
+        rest = F.slice(parts, 6, F.greatest(F.size(parts) - 5, F.lit(0)))
+        pairs = F.sequence(F.lit(0), F.size(rest).cast("int") - 2, F.lit(2))
+        even = F.when(F.size(rest) > 0, pairs).otherwise(F.array().cast("array<int>"))
+
+        def label_name(i: Column) -> Column:
+            safe = _safe(F.get(rest, i), "a-zA-Z0-9")
+            return F.lower(safe) if lower_labels else safe
+
+        own = F.nullif(parts[3], F.lit("")).try_cast("double")
+        number = F.col(value).try_cast("double") * parts[4].try_cast("double")
+        return F.struct(
             F.lower(_safe(parts[0], "a-zA-Z0-9:")).alias("metric"),
             F.map_from_arrays(
                 F.transform(even, label_name), F.transform(even, lambda i: F.get(rest, i + 1))
@@ -181,5 +190,8 @@ def rename(
             parts[2].alias("help"),
             F.coalesce(own, number).alias("metric_value"),
         )
-        .filter(F.col("metric_value").isNotNull())
-    )
+
+    # A one-element list: the line is rewritten and split once, and unnamed lines vanish.
+    named = F.transform(F.array(F.split(chosen, _GAP, -1)), outcome)
+    kept = F.filter(named, lambda m: m["metric_value"].isNotNull())
+    return lines.select(*df.columns, F.inline(kept))

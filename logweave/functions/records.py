@@ -1,9 +1,8 @@
 """Typed JSON records: strict decoding with rejects, and encoding.
 
-``from_json`` alone is lenient: it turns a number into text, reads a number as
-a timestamp and nulls a bad field.  Text and instants are therefore read as
-variants in the same pass, their types checked, and the record rebuilt with
-empty values for missing fields.
+``from_json`` alone is lenient: it turns a number or object into text and reads
+numbers as timestamps.  Here instants are parsed from their text, text fields
+are checked to hold text, and missing fields get empty values.
 """
 
 from __future__ import annotations
@@ -37,77 +36,130 @@ _OPTIONS = {
 }
 
 
-def _probe_type(kind: DataType) -> DataType:
-    if isinstance(kind, (StringType, TimestampType)):
-        return VariantType()
+def _with_leaves(kind: DataType, text: DataType, instant: DataType) -> DataType:
+    """The type with other types for its text and instant leaves."""
+    if isinstance(kind, StringType):
+        return text
+    if isinstance(kind, TimestampType):
+        return instant
     if isinstance(kind, ArrayType):
-        return ArrayType(_probe_type(kind.elementType))
+        return ArrayType(_with_leaves(kind.elementType, text, instant))
     if isinstance(kind, MapType):
-        return MapType(StringType(), _probe_type(kind.valueType))
+        return MapType(StringType(), _with_leaves(kind.valueType, text, instant))
     if isinstance(kind, StructType):
-        return StructType([StructField(f.name, _probe_type(f.dataType)) for f in kind.fields])
+        return StructType(
+            [StructField(f.name, _with_leaves(f.dataType, text, instant)) for f in kind.fields]
+        )
     return kind
 
 
-def _checked(kind: DataType) -> bool:
-    """Does any part of the type need a check beyond what the parser does?"""
+def _has(kind: DataType, *leaves: type) -> bool:
     if isinstance(kind, ArrayType):
-        return _checked(kind.elementType)
+        return _has(kind.elementType, *leaves)
     if isinstance(kind, MapType):
-        return _checked(kind.valueType)
+        return _has(kind.valueType, *leaves)
     if isinstance(kind, StructType):
-        return any(_checked(f.dataType) for f in kind.fields)
-    return isinstance(kind, (StringType, TimestampType))
+        return any(_has(f.dataType, *leaves) for f in kind.fields)
+    return isinstance(kind, leaves)
 
 
-def _wrong(value: Column, kind: DataType) -> Column:
-    """True when a part of the parsed value has another JSON type than declared."""
+def _any(value: Column, kind: DataType, leaf: type, test) -> Column:
+    """True when ``test`` holds for some leaf of the given type."""
     no = F.lit(False)
-    if isinstance(kind, (StringType, TimestampType)):
-        found = F.schema_of_variant(value)
-        wrong = ~found.isin("STRING", "VOID")
-        if isinstance(kind, TimestampType):
-            text = F.variant_get(value, "$", "string")
-            wrong = wrong | (text.isNotNull() & parse_instant(text).isNull())
-        return F.coalesce(wrong, no)
-    if not _checked(kind):
+    if not _has(kind, leaf):
         return no
     if isinstance(kind, ArrayType):
-        return F.coalesce(F.exists(value, lambda v: _wrong(v, kind.elementType)), no)
+        return F.coalesce(F.exists(value, lambda v: _any(v, kind.elementType, leaf, test)), no)
     if isinstance(kind, MapType):
         values = F.map_values(value)
-        return F.coalesce(F.exists(values, lambda v: _wrong(v, kind.valueType)), no)
-    result = no
-    for field in kind.fields:
-        if _checked(field.dataType):
-            result = result | _wrong(value[field.name], field.dataType)
-    return result
+        return F.coalesce(F.exists(values, lambda v: _any(v, kind.valueType, leaf, test)), no)
+    if isinstance(kind, StructType):
+        result = no
+        for field in kind.fields:
+            if _has(field.dataType, leaf):
+                result = result | _any(value[field.name], field.dataType, leaf, test)
+        return result
+    return F.coalesce(test(value), no)
+
+
+_TEXT = r'(?:"(?:[^"\\]++|\\.)*+"|null)'
+
+
+def _tail(kind: DataType) -> str | None:
+    """What may follow the name of a text field or of a list or map of texts."""
+    if isinstance(kind, StringType):
+        return '["n]'
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, StringType):
+        return rf"(?:null|\[\s*+(?:{_TEXT}\s*+(?:,\s*+{_TEXT}\s*+)*+)?+\])"
+    if isinstance(kind, MapType) and isinstance(kind.valueType, StringType):
+        pair = rf"{_TEXT}\s*+:\s*+{_TEXT}\s*+"
+        return rf"(?:null|\{{\s*+(?:{pair}(?:,\s*+{pair})*+)?+\}})"
+    return None
+
+
+def _suspicion(schema: StructType) -> str:
+    """A pattern found in every record that has another JSON type in a text field.
+
+    It looks at field names followed by something else than text, wherever they
+    stand; names spelled with escapes are for the caller to suspect.
+    """
+    tails: dict[str, set[str]] = {}
+
+    def visit(kind: DataType) -> None:
+        if isinstance(kind, StructType):
+            for field in kind.fields:
+                tail = _tail(field.dataType)
+                if tail:
+                    tails.setdefault(tail, set()).add(field.name)
+                else:
+                    visit(field.dataType)
+        elif isinstance(kind, ArrayType):
+            visit(kind.elementType)
+        elif isinstance(kind, MapType):
+            visit(kind.valueType)
 
+    visit(schema)
+    fields = "|".join(
+        rf'(?:{"|".join(sorted(names))})"\s*+:\s*+(?!{tail})' for tail, names in sorted(tails.items())
+    )
+    return rf'"(?:{fields})'
 
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+
+def _text_of_another_type(text: Column, schema: StructType) -> Column:
+    """Is some text field of the record a number, a flag, a list or an object?
+
+    Parses text leaves as variants, which keep their JSON type.
+    """
+    shape = _with_leaves(schema, VariantType(), VariantType())
+
+    def other(leaf: Column) -> Column:
+        return ~F.schema_of_variant(leaf).isin("STRING", "VOID")
+
+    parsed = F.array(F.from_json(text, shape, _OPTIONS))
+    found = F.transform(
+        parsed,
+        lambda p: _any(p, schema, StringType, other) | _any(p, schema, TimestampType, other),
+    )
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(False))
 
 
 def _built(value: Column, kind: DataType, fill: bool) -> Column:
     """The declared value out of the parsed one; ``fill`` replaces missing scalars."""
-    if isinstance(kind, StringType):
-        text = _text(value)
-        return F.coalesce(text, F.lit("")) if fill else text
     if isinstance(kind, TimestampType):
-        return parse_instant(_text(value))
-    if isinstance(kind, ArrayType):
-        if not _checked(kind):
+        return parse_instant(value)
+    if isinstance(kind, (ArrayType, MapType)):
+        inner = kind.elementType if isinstance(kind, ArrayType) else kind.valueType
+        if not (_has(inner, TimestampType) or (fill and isinstance(inner, StructType))):
             return value
-        return F.transform(value, lambda v: _built(v, kind.elementType, fill))
-    if isinstance(kind, MapType):
-        if not _checked(kind):
-            return value
-        return F.transform_values(value, lambda _, v: _built(v, kind.valueType, fill))
+        if isinstance(kind, ArrayType):
+            return F.transform(value, lambda v: _built(v, inner, fill))
+        return F.transform_values(value, lambda _, v: _built(v, inner, fill))
     if isinstance(kind, StructType):
         return F.struct(
             *[_built(value[f.name], f.dataType, fill).alias(f.name) for f in kind.fields]
         )
-    return F.coalesce(value, F.lit(0).cast(kind)) if fill else value
+    zero = F.lit("") if isinstance(kind, StringType) else F.lit(0).cast(kind)
+    return F.coalesce(value, zero) if fill else value
 
 
 def decode(
@@ -118,24 +170,35 @@ def decode(
     fill: bool = True,
     strict: bool = True,
 ) -> DataFrame:
-    """Add ``out`` (struct, null when bad) and ``reject_reason`` (null when good)."""
-    shape = _probe_type(schema) if strict else schema
+    """Add ``out`` (struct, null when bad) and ``reject_reason`` (null when good).
+
+    One lenient parse serves sound records.  ``strict`` adds a search for text
+    fields that hold something else, and only what it finds is parsed again.
+    """
+    text = col(value).cast("string")
+    shape = _with_leaves(schema, StringType(), StringType())
     shape = StructType([*shape.fields, StructField(BAD, StringType())])
-    parsed = df.withColumn("__parsed", F.from_json(col(value).cast("string"), shape, _OPTIONS))
+    parsed = df.withColumn("__parsed", F.from_json(text, shape, _OPTIONS))
     p = F.col("__parsed")
-    reason = F.when(col(value).isNull(), F.lit("no value")).when(
-        p.isNull() | p[BAD].isNotNull(), F.lit("not a JSON record of the declared types")
-    )
+
+    def unreadable(instant: Column) -> Column:
+        return instant.isNotNull() & parse_instant(instant).isNull()
+
+    wrong = _any(p, schema, TimestampType, unreadable)
     if strict:
-        reason = reason.when(
-            _wrong(p, schema), F.lit("field of another JSON type than declared")
+        escaped = F.contains(text, F.lit("\\u00"))
+        suspicious = escaped | F.rlike(text, F.lit(_suspicion(schema)))
+        wrong = F.when(suspicious & _text_of_another_type(text, schema), F.lit(True)).otherwise(wrong)
+    reason = (
+        F.when(col(value).isNull(), F.lit("no value"))
+        .when(
+            p.isNull() | p[BAD].isNotNull(), F.lit("not a JSON record of the declared types")
         )
-        built = _built(p, schema, fill)
-    else:
-        built = F.struct(*[p[f.name].alias(f.name) for f in schema.fields])
+        .when(wrong, F.lit("field of another JSON type than declared"))
+    )
     return (
         parsed.withColumn("reject_reason", reason)
-        .withColumn(out, F.when(F.col("reject_reason").isNull(), built))
+        .withColumn(out, F.when(F.col("reject_reason").isNull(), _built(p, schema, fill)))
         .drop("__parsed")
     )
 

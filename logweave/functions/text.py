@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -141,7 +142,8 @@ def mask_with(text: Column | str, words: Sequence[str], boundary: str = "ascii")
 
 def mask_each(text: Column | str, words: Column | str, boundary: str = "ascii") -> Column:
     """Mask the words of an array column, one after the other in array order."""
-    edge = F.lit(_edge(CLASSES[boundary]))
+    inside = CLASSES[boundary]
+    edge = F.lit(_edge(inside))
 
     def letters(word: Column) -> Column:
         quoted = F.replace(word, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
@@ -153,16 +155,21 @@ def mask_each(text: Column | str, words: Column | str, boundary: str = "ascii")
         return F.concat(F.lit("\\Q"), k, F.lit("\\E"))
 
     def step(acc: Column, word: Column) -> Column:
-        pattern = F.concat(F.lit("(?is)"), edge, letters(word), edge)
-        masked = F.regexp_replace(acc, pattern, F.repeat(F.lit("*"), F.char_length(word)))
+        simple = F.rlike(word, F.lit("^[0-9a-jl-rt-z_]([\\x00-\\x7f]*[0-9a-jl-rt-z_])?$"))
+        behind = F.concat(F.lit(f"(?![{inside}])(?<![{inside}].{{"), F.char_length(word), F.lit("})"))
+        found = letters(word)
+        pattern = F.when(simple, F.concat(found, behind)).otherwise(F.concat(edge, found, edge))
+        masked = F.regexp_replace(
+            acc, F.concat(F.lit("(?is)"), pattern), F.repeat(F.lit("*"), F.char_length(word))
+        )
         return F.when(word == "", acc).otherwise(masked)
 
     cleaned = F.transform(_empty_if_null(words), normal_word)
     return F.aggregate(cleaned, col(text), step)
 
 
-def runs(text: Column | str) -> Column:
-    """Distinct runs of word characters and of everything between them, in lower case.
+def runs(text: Column | str, between: bool = True) -> Column:
+    """Distinct runs of word characters, in lower case, and of everything ``between`` them.
 
     A masked match starts and ends at an edge, so each run inside a word that
     matches is a whole run of the text.  The variant letters are no ASCII word
@@ -170,8 +177,8 @@ def runs(text: Column | str) -> Column:
     rare runs that hold one give every stretch between their possible edges.
     """
     t = col(text)
-    between = F.regexp_extract_all(t, F.lit(f"([^0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
-    inside = F.regexp_extract_all(t, F.lit(f"([0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
+    # Letters whose lower case is or holds an ASCII letter; their texts are taken apart first.
+    odd = [F.contains(t, F.lit(c)) for c in FOLD_FROM + "\u0130"]
 
     def stretches(run: Column) -> Column:
         parts = F.regexp_extract_all(run, F.lit(f"([{FOLD_FROM}]+|[^{FOLD_FROM}]+)"), F.lit(1))
@@ -185,9 +192,14 @@ def runs(text: Column | str) -> Column:
             )
         )
 
-    rare = F.rlike(t, F.lit(f"[{FOLD_FROM}]"))
-    whole = F.when(rare, F.flatten(F.transform(inside, stretches))).otherwise(inside)
-    return F.array_distinct(F.transform(F.concat(whole, between), folded))
+    pieces = F.regexp_extract_all(t, F.lit(f"([0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
+    apart = F.transform(F.flatten(F.transform(pieces, stretches)), folded)
+    plain = F.split(F.lower(t), "[^0-9a-z_]+", -1)
+    inside = F.when(odd[0] | odd[1] | odd[2], apart).otherwise(plain)
+    if not between:
+        return F.array_distinct(inside)
+    gaps = F.regexp_extract_all(t, F.lit(f"([^0-9A-Za-z_{FOLD_FROM}]+)"), F.lit(1))
+    return F.array_distinct(F.concat(inside, F.transform(gaps, folded)))
 
 
 def probe(word: Column | str) -> Column:
@@ -198,3 +210,40 @@ def probe(word: Column | str) -> Column:
         F.transform(inside, lambda r: F.struct(F.length(r).alias("n"), r.alias("r")))
     )["r"]
     return F.coalesce(longest, w)
+
+
+def is_run(probed: Column | str) -> Column:
+    """Is this probe a run of word characters?"""
+    return F.rlike(col(probed), F.lit("^[0-9a-z_]+$"))
+
+
+def mask_listed(text: Column | str, words: Sequence[tuple[str, str]], boundary: str = "ascii") -> Column:
+    """Mask a list of (word, probe), of which a text meets only those it may contain.
+
+    One hashed intersection of the text's runs with the probes, then the fold
+    over the few words found; all within the row.
+    """
+    if not words:
+        return col(text)
+    ordered = sorted(words, key=lambda w: w[0].encode())
+    word_runs = re.compile("[0-9a-z_]+")
+    late = [w for w, p in ordered if not word_runs.fullmatch(p) and "*" in w]
+    between = any(not word_runs.fullmatch(p) for _, p in ordered)
+    probes = F.array(*[F.lit(p) for p in dict.fromkeys(p for _, p in ordered)])
+    met = F.array_intersect(runs(text, between), probes)
+    pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(p).alias("p")) for w, p in ordered])
+    everywhere = F.array(*map(F.lit, late)).cast("array<string>")
+
+    def mask_met(found: Column) -> Column:
+        if all(w == p for w, p in ordered):
+            candidates = F.array_sort(found)
+        else:
+            chosen = F.filter(
+                pairs,
+                lambda s: F.array_contains(found, s["p"]) | F.array_contains(everywhere, s["w"]),
+            )
+            candidates = F.transform(chosen, lambda s: s["w"])
+        masked = mask_each(text, candidates, boundary)
+        return F.when((F.size(found) == 0) & F.lit(not late), col(text)).otherwise(masked)
+
+    return F.get(F.transform(F.array(met), mask_met), F.lit(0))

@@ -11,13 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.functions.text import mask_each, mask_with, probe, runs
+from logweave.functions.text import is_run, mask_each, mask_listed, mask_with, normal_word, probe, runs
 from logweave.operators import changelog as cl
 from logweave.operators.validate import deliverable
 from logweave.plans import pieces, sizing
 
-# Up to this many words are masked by a fixed chain of patterns without a shuffle.
-CHAIN_WORDS = 32
+# Up to this many words are masked by a fixed chain of patterns, and up to this many
+# by a lookup within the row; both without a shuffle.
+CHAIN_WORDS = 8
+LISTED_WORDS = 1000
 
 
 def deny_filter(
@@ -87,14 +89,16 @@ def word_candidates(messages: DataFrame, words: DataFrame, id_col: str, text: st
     word without any run of word characters that contains a star can match a
     text only after another mask, so those words meet every message.
     """
-    inner = words.select("word").distinct().withColumn("run", probe("word"))
-    late = (~F.col("run").rlike("^[0-9a-z_]+$")) & F.contains(F.col("word"), F.lit("*"))
-    every = F.lit("*every*")
-    keyed = inner.withColumn("run", F.when(late, every).otherwise(F.col("run")))
-    some_late = F.coalesce(keyed.agg(F.bool_or(F.col("run") == every)).scalar(), F.lit(False))
-    found = F.when(some_late, F.array_append(runs(text), every)).otherwise(runs(text))
+    probed = words.select("word").distinct().withColumn("run", probe("word"))
+    late = ~is_run("run") & F.contains(F.col("word"), F.lit("*"))
+    kinds = probed.agg(F.bool_or(late).alias("late"), F.bool_or(~is_run("run")).alias("gaps")).first()
+    found = runs(text, between=bool(kinds["gaps"]))
+    if kinds["late"]:
+        every = F.lit("*every*")
+        probed = probed.withColumn("run", F.when(late, every).otherwise(F.col("run")))
+        found = F.array_append(found, every)
     held = messages.select(id_col, F.explode(found).alias("run"))
-    return held.join(keyed, "run").select(id_col, "word")
+    return held.join(probed, "run").select(id_col, "word")
 
 
 def _apply_candidates(
@@ -120,20 +124,24 @@ def mask_snapshot(
     text: str = "text",
     boundary: str = "ascii",
     chain_words: int = CHAIN_WORDS,
+    listed_words: int = LISTED_WORDS,
 ) -> DataFrame:
-    """Mask with a relation of words (column ``word``).
+    """Mask with a relation of words (column ``word``), its length looked at first.
 
-    A short list, and its length is looked at, becomes a chain of literal
-    patterns: no shuffle, no broadcast.  A longer one is joined to the texts by
-    run, so a text only ever meets the few words it may contain.
+    A short list becomes a chain of literal patterns and a longer one a lookup
+    within the row: no shuffle.  A list above ``listed_words`` is joined to the
+    texts by run.  In the last two a text meets only the words it may contain.
     """
-    few = sizing.at_most(words.select("word").distinct(), chain_words)
-    if few is not None:
-        ordered = sorted((r["word"] for r in few), key=lambda w: w.encode())
+    probed = words.select(normal_word("word").alias("word")).filter("word <> ''").distinct()
+    few = sizing.at_most(probed.withColumn("run", probe("word")), max(chain_words, listed_words))
+    if few is not None and len(few) <= chain_words:
+        ordered = sorted((r["word"] for r in few), key=str.encode)
         return messages.withColumn(text, mask_with(text, ordered, boundary))
     if boundary != "ascii":
         raise ValueError("lists above chain_words words are masked with ascii boundaries only")
-    pairs = word_candidates(messages, words, id_col, text)
+    if few is not None and len(few) <= listed_words:
+        return messages.withColumn(text, mask_listed(text, [(r["word"], r["run"]) for r in few]))
+    pairs = word_candidates(messages, probed, id_col, text)
     return _apply_candidates(messages, pairs, id_col, text, boundary)
 
 

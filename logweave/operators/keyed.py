@@ -6,7 +6,7 @@ before the shuffle and a key never needs to sit in one task whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,14 +81,20 @@ def retain_bytes(
 
 
 def upsert(
-    target: DataFrame, arrivals: DataFrame, keys: Sequence[str], arrival: Sequence[str]
+    target: DataFrame,
+    arrivals: DataFrame,
+    keys: Sequence[str],
+    arrival: Sequence[str],
+    shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Whole-row replace by key: the last arrival wins, whatever its own dates say.
 
     ``arrival`` orders the incoming rows (partition and offset, say).  Rows of
     ``target`` without an arrival stay, also those a newer run no longer has.
+    ``shape`` turns records into table rows, after all but the last are gone.
     """
-    newest = latest(arrivals, keys, arrival).select(*target.columns)
+    newest = latest(arrivals, keys, arrival)
+    newest = (newest if shape is None else shape(newest)).select(*target.columns)
     kept = target.join(newest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(newest)
 

@@ -88,10 +88,12 @@ def test_mask_by_lookup_equals_fold(spark):
     )
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     vocabulary = spark.createDataFrame([(w,) for w in words], "word string")
-    masked = filters.mask_snapshot(rows, vocabulary, "id", "text", chain_words=0)
+    masked = filters.mask_snapshot(rows, vocabulary, "id", "text", chain_words=0, listed_words=0)
+    listed = filters.mask_snapshot(rows, vocabulary, "id", "text", chain_words=0)
     chained = filters.mask_snapshot(rows, vocabulary, "id", "text", chain_words=100)
     wanted = {i: plain_mask(t, words) for i, t in enumerate(texts)}
     assert {r["id"]: r["text"] for r in masked.collect()} == wanted
+    assert {r["id"]: r["text"] for r in listed.collect()} == wanted
     assert {r["id"]: r["text"] for r in chained.collect()} == wanted
 
 
