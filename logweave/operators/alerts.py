@@ -12,6 +12,7 @@ from logweave.functions import records
 from logweave.functions.text import col
 from logweave.functions.times import epoch_micros
 from logweave.plans import pieces
+from logweave.plans.sizing import small_side
 
 # Largest payload, grouping columns, least time between repeats.
 MAX_PAYLOAD_BYTES = 1 << 20
@@ -81,6 +82,7 @@ def repeats(
     starts = alerts.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(
         F.min(ts).alias("first_ts")
     )
+    starts = small_side(starts)
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
     condition = same[0]
     for other in same[1:]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.records import pretty
 from logweave.operators.keyed import latest
+from logweave.plans.sizing import small_side
 
 # The captured tables, and operation codes create, update, delete, snapshot read.
 CAPTURED = ("public.users", "public.orders")
@@ -61,7 +62,7 @@ def broken_references(
     child: DataFrame, parent: DataFrame, column: str, parent_key: str
 ) -> DataFrame:
     """Child rows whose non-null reference has no parent."""
-    keys = parent.select(F.col(parent_key).alias("__ref")).distinct()
+    keys = small_side(parent.select(F.col(parent_key).alias("__ref")).distinct())
     return child.filter(F.col(column).isNotNull()).join(
         keys, F.col(column) == F.col("__ref"), "left_anti"
     )

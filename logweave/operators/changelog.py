@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.text import is_blank, normal_word, or_default, trimmed
 from logweave.functions.times import nano_text
+from logweave.plans.sizing import small_side
 
 # Action names and the key of the shared word list.
 ADD, REMOVE = "add", "remove"
@@ -175,7 +176,7 @@ def active_words(updates: DataFrame, key: str = "key", order: Sequence[str] = ("
         .agg(F.max_by("on", _position(order)).alias("on"), F.max(_position(order)).alias("o"))
         .filter("on")
     )
-    since = last_replace(updates, key, order)
+    since = small_side(last_replace(updates, key, order))
     return (
         last.join(since, key, "left")
         .filter(F.col("since").isNull() | (F.col("o") >= F.col("since")))

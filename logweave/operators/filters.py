@@ -26,7 +26,8 @@ def deny_filter(
     products: DataFrame, commands: DataFrame, key: str = "key", order: Sequence[str] = ("offset",)
 ) -> DataFrame:
     """Products whose key is not denied after all commands."""
-    return products.join(cl.denied_keys(commands, key, order), key, "left_anti")
+    denied = sizing.small_side(cl.denied_keys(commands, key, order))
+    return products.join(denied, key, "left_anti")
 
 
 def deny_filter_as_of(
@@ -55,7 +56,7 @@ def block_filter(
     pairs = cl.block_pairs(events, key, order).select(
         F.col("user").alias("recipient_id"), F.col("blocked").alias("sender_id")
     )
-    return messages.join(pairs, ["recipient_id", "sender_id"], "left_anti")
+    return messages.join(sizing.small_side(pairs), ["recipient_id", "sender_id"], "left_anti")
 
 
 def block_filter_as_of(
@@ -98,7 +99,7 @@ def word_candidates(messages: DataFrame, words: DataFrame, id_col: str, text: st
         probed = probed.withColumn("run", F.when(late, every).otherwise(F.col("run")))
         found = F.array_append(found, every)
     held = messages.select(id_col, F.explode(found).alias("run"))
-    return held.join(probed, "run").select(id_col, "word")
+    return held.join(sizing.small_side(probed), "run").select(id_col, "word")
 
 
 def _apply_candidates(
@@ -185,7 +186,10 @@ def mask_as_of(
     changes = cl.word_changes(shared, key, (position, sequence)).select(
         "word", position, sequence, F.struct("on", when.alias("at")).alias("change")
     )
-    pairs = word_candidates(messages, changes, id_col, text).join(eras.drop(key), id_col)
+    # Settled: ids and words only, and the texts are not taken apart again to count them.
+    pairs = sizing.settled(
+        word_candidates(messages, changes, id_col, text).join(eras.drop(key), id_col), "pairs"
+    )
     seen = pieces.as_of(pairs, changes, ["word"], position, sequence, "change", rows_per_piece)
     active = seen.filter(
         F.col("change.on")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.plans import pieces
+from logweave.plans.sizing import small_side
 
 
 def _order(columns: Sequence[str]) -> Column:
@@ -55,6 +56,7 @@ def compact(
 def retain_recent(log: DataFrame, hours: float = 24.0, ts: str = "timestamp") -> DataFrame:
     """Drop records older than ``hours`` before the newest of their topic."""
     newest = log.groupBy(F.col("topic").alias("__topic")).agg(F.max(ts).alias("__newest"))
+    newest = small_side(newest)
     age = F.unix_micros("__newest") - F.unix_micros(F.col(ts))
     return (
         log.join(newest, F.col("topic") == F.col("__topic"))

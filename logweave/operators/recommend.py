@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.times import second_text
 from logweave.operators import keyed
+from logweave.plans.sizing import settled, small_side
 
 # The two reason texts of a recommendation, the request type of a search.
 MATCH_REASON = "Товар соответствует последнему поисковому запросу"
@@ -91,6 +92,7 @@ def query_matches(products: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Queries that match nothing have no row.
     """
     needles = queries.select(F.lower("query").alias("needle")).filter("needle <> ''").distinct()
+    needles = small_side(needles)
     lengths = needles.agg(F.collect_set(F.char_length("needle"))).scalar()
     hay = F.col("hay")
     starts = F.transform(
@@ -119,8 +121,9 @@ def recommend(users: DataFrame, products: DataFrame, k: int = 3) -> DataFrame:
     With m < k matches the k best by stock hold at least k - m others, so the two
     short lists together always contain the answer.
     """
+    users = settled(users, "users")
     popular = top_by_stock(products, k)
-    matches = query_matches(products, users, k)
+    matches = small_side(settled(query_matches(products, users, k), "matches"))
     joined = (
         users.withColumn("__needle", F.lower("query"))
         .join(matches, F.col("__needle") == F.col("needle"), "left")
