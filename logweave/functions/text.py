@@ -217,33 +217,39 @@ def is_run(probed: Column | str) -> Column:
     return F.rlike(col(probed), F.lit("^[0-9a-z_]+$"))
 
 
-def mask_listed(text: Column | str, words: Sequence[tuple[str, str]], boundary: str = "ascii") -> Column:
-    """Mask a list of (word, probe), of which a text meets only those it may contain.
+def listed_candidates(text: Column | str, words: Sequence[tuple[str, str]]) -> Column:
+    """The words of a (word, probe) list that a text may contain, sorted.
 
-    One hashed intersection of the text's runs with the probes, then the fold
-    over the few words found; all within the row.
+    One hashed intersection of the text's runs with the probes, within the row.
+    A word without any run of word characters that contains a star can match a
+    text only after another mask; such words are always candidates.
     """
-    if not words:
-        return col(text)
     ordered = sorted(words, key=lambda w: w[0].encode())
     word_runs = re.compile("[0-9a-z_]+")
     late = [w for w, p in ordered if not word_runs.fullmatch(p) and "*" in w]
     between = any(not word_runs.fullmatch(p) for _, p in ordered)
     probes = F.array(*[F.lit(p) for p in dict.fromkeys(p for _, p in ordered)])
     met = F.array_intersect(runs(text, between), probes)
+    if all(w == p for w, p in ordered) and not late:
+        return F.array_sort(met)
     pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(p).alias("p")) for w, p in ordered])
-    everywhere = F.array(*map(F.lit, late)).cast("array<string>")
-
-    def mask_met(found: Column) -> Column:
-        if all(w == p for w, p in ordered):
-            candidates = F.array_sort(found)
-        else:
-            chosen = F.filter(
-                pairs,
-                lambda s: F.array_contains(found, s["p"]) | F.array_contains(everywhere, s["w"]),
-            )
-            candidates = F.transform(chosen, lambda s: s["w"])
-        masked = mask_each(text, candidates, boundary)
-        return F.when((F.size(found) == 0) & F.lit(not late), col(text)).otherwise(masked)
+    always = F.array(*map(F.lit, late)).cast("array<string>")
+
+    def chosen(found: Column) -> Column:
+        kept = F.filter(
+            pairs, lambda s: F.array_contains(found, s["p"]) | F.array_contains(always, s["w"])
+        )
+        return F.transform(kept, lambda s: s["w"])
+
+    return F.get(F.transform(F.array(met), chosen), F.lit(0))
+
+
+def mask_listed(text: Column | str, words: Sequence[tuple[str, str]]) -> Column:
+    """Mask a (word, probe) list, of which a text meets only the words it may contain."""
+    if not words:
+        return col(text)
+
+    def masked(found: Column) -> Column:
+        return F.when(F.size(found) == 0, col(text)).otherwise(mask_each(text, found))
 
-    return F.get(F.transform(F.array(met), mask_met), F.lit(0))
+    return F.get(F.transform(F.array(listed_candidates(text, words)), masked), F.lit(0))

@@ -11,7 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.functions.text import is_run, mask_each, mask_listed, mask_with, normal_word, probe, runs
+from logweave.functions.text import (
+    is_run,
+    listed_candidates,
+    mask_each,
+    mask_listed,
+    mask_with,
+    normal_word,
+    probe,
+    runs,
+)
 from logweave.operators import changelog as cl
 from logweave.operators.validate import deliverable
 from logweave.plans import pieces, sizing
@@ -83,14 +92,30 @@ def block_filter_as_of(
 # --- masking -----------------------------------------------------------------
 
 
-def word_candidates(messages: DataFrame, words: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, word) for every message that holds the probe run of a word.
+def _vocabulary(words: DataFrame) -> DataFrame:
+    """Distinct normalised words with the run texts are looked up by."""
+    normal = words.select(normal_word("word").alias("word")).filter("word <> ''").distinct()
+    return normal.withColumn("run", probe("word"))
 
-    An equi-join on runs; only ids and runs are shuffled, never whole texts.  A
-    word without any run of word characters that contains a star can match a
-    text only after another mask, so those words meet every message.
+
+def word_candidates(
+    messages: DataFrame,
+    words: DataFrame,
+    keep: Sequence[str],
+    text: str,
+    listed_words: int = LISTED_WORDS,
+) -> DataFrame:
+    """(``keep``..., word) for every message that holds the probe run of a word.
+
+    A list of at most ``listed_words`` is looked up within the row.  A longer
+    one is an equi-join on runs that moves ids and runs, never whole texts.
     """
-    probed = words.select("word").distinct().withColumn("run", probe("word"))
+    probed = _vocabulary(words)
+    few = sizing.at_most(probed, listed_words)
+    if few is not None:
+        found = listed_candidates(text, [(r["word"], r["run"]) for r in few])
+        return messages.select(*keep, F.explode(found).alias("word"))
+    # Words that can match only after another mask meet every message.
     late = ~is_run("run") & F.contains(F.col("word"), F.lit("*"))
     kinds = probed.agg(F.bool_or(late).alias("late"), F.bool_or(~is_run("run")).alias("gaps")).first()
     found = runs(text, between=bool(kinds["gaps"]))
@@ -98,8 +123,8 @@ def word_candidates(messages: DataFrame, words: DataFrame, id_col: str, text: st
         every = F.lit("*every*")
         probed = probed.withColumn("run", F.when(late, every).otherwise(F.col("run")))
         found = F.array_append(found, every)
-    held = messages.select(id_col, F.explode(found).alias("run"))
-    return held.join(sizing.small_side(probed), "run").select(id_col, "word")
+    held = messages.select(*keep, F.explode(found).alias("run"))
+    return held.join(sizing.small_side(probed), "run").select(*keep, "word")
 
 
 def _apply_candidates(
@@ -133,8 +158,8 @@ def mask_snapshot(
     within the row: no shuffle.  A list above ``listed_words`` is joined to the
     texts by run.  In the last two a text meets only the words it may contain.
     """
-    probed = words.select(normal_word("word").alias("word")).filter("word <> ''").distinct()
-    few = sizing.at_most(probed.withColumn("run", probe("word")), max(chain_words, listed_words))
+    most = max(chain_words, listed_words)
+    few = sizing.at_most(_vocabulary(words), most) if most else None
     if few is not None and len(few) <= chain_words:
         ordered = sorted((r["word"] for r in few), key=str.encode)
         return messages.withColumn(text, mask_with(text, ordered, boundary))
@@ -142,7 +167,7 @@ def mask_snapshot(
         raise ValueError("lists above chain_words words are masked with ascii boundaries only")
     if few is not None and len(few) <= listed_words:
         return messages.withColumn(text, mask_listed(text, [(r["word"], r["run"]) for r in few]))
-    pairs = word_candidates(messages, probed, id_col, text)
+    pairs = word_candidates(messages, words, [id_col], text, listed_words)
     return _apply_candidates(messages, pairs, id_col, text, boundary)
 
 
@@ -173,24 +198,26 @@ def mask_as_of(
     """Mask each message with the shared words in force at its time.
 
     A word is in force when its last change is an addition no older than the
-    last replace.  Both are as-of lookups; the word one starts from the (id,
-    word) pairs a text may contain, so no list is rebuilt per update.
+    last replace.  Both are as-of lookups of the (id, word) pairs a text may
+    contain, so no list is rebuilt per update and texts without any listed word
+    take no part.
     """
     shared = updates.filter(F.col(key) == cl.SHARED_KEY)
     when = F.struct(F.col(position), F.col(sequence))
     resets = shared.filter(F.col("action") == cl.REPLACE).select(
         key, position, sequence, when.alias("since")
     )
-    stamped = messages.select(id_col, position, sequence).withColumn(key, F.lit(cl.SHARED_KEY))
-    eras = pieces.as_of(stamped, resets, [key], position, sequence, "since", rows_per_piece)
     changes = cl.word_changes(shared, key, (position, sequence)).select(
         "word", position, sequence, F.struct("on", when.alias("at")).alias("change")
     )
-    # Settled: ids and words only, and the texts are not taken apart again to count them.
+    # Settled: ids and words only, and texts are taken apart once.
     pairs = sizing.settled(
-        word_candidates(messages, changes, id_col, text).join(eras.drop(key), id_col), "pairs"
+        word_candidates(messages, changes, [id_col, position, sequence], text), "pairs"
+    ).withColumn(key, F.lit(cl.SHARED_KEY))
+    eras = pieces.as_of(pairs, resets, [key], position, sequence, "since", rows_per_piece)
+    seen = pieces.as_of(
+        eras.drop(key), changes, ["word"], position, sequence, "change", rows_per_piece
     )
-    seen = pieces.as_of(pairs, changes, ["word"], position, sequence, "change", rows_per_piece)
     active = seen.filter(
         F.col("change.on")
         & (F.col("since").isNull() | (F.col("change.at") >= F.col("since")))
