@@ -58,8 +58,8 @@ class Pieces:
     def filter(self, condition: Column | str) -> Pieces:
         return replace(self, df=self.df.filter(condition))
 
-    def _window(self, piece: str = PIECE) -> WindowSpec:
-        return Window.partitionBy(*self.keys, piece) if self.hot else Window.partitionBy(*self.keys)
+    def _window(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys, PIECE) if self.hot else Window.partitionBy(*self.keys)
 
     def _with_carry(
         self, here: DataFrame, summary: Column, fold, combine, out: str, descending: bool = False
@@ -120,20 +120,23 @@ class Pieces:
     def trailing_sum(self, span: int, amount: str, out: str) -> Pieces:
         """Sum over rows whose position lies in ``[position - span, position]``.
 
-        A row near the end of a piece is lent to the pieces its span reaches
-        into; lent copies take part in sums and are then dropped.
+        Each row adds its amount at its position and takes it back when it leaves
+        the span: a running total, linear however many rows a span holds.
         """
-        at = self.position
-        if not self.hot:
-            rows = self._window().orderBy(at).rangeBetween(-span, 0)
-            return replace(self, df=self.df.withColumn(out, F.sum(amount).over(rows)))
-        reach = F.expr(f"({at} + {span} - {LOW}) div {WIDTH}")
-        lent = self.df.withColumn(
-            "__to", F.explode(F.sequence(F.col(PIECE), F.coalesce(reach, F.col(PIECE))))
-        ).withColumn("__own", F.col("__to") == F.col(PIECE))
-        rows = self._window("__to").orderBy(at).rangeBetween(-span, 0)
-        summed = lent.withColumn(out, F.sum(amount).over(rows))
-        return replace(self, df=summed.filter("__own").drop("__to", "__own"))
+        at, by = F.col(self.position), F.col(amount)
+        enters = F.struct(at.alias("at"), by.alias("by"), F.lit(True).alias("own"))
+        leaves = F.struct((at + span + 1).alias("at"), (-by).alias("by"), F.lit(False).alias("own"))
+        both = self.df.select("*", F.inline(F.array(enters, leaves)).alias("__at", "__by", "__own"))
+        if self.hot:
+            piece = F.expr(f"(__at - {LOW}) div {WIDTH}")
+            both = both.withColumn(PIECE, F.coalesce(piece, F.lit(0).cast("bigint")))
+        rows = self._window().orderBy("__at")
+        rows = rows.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        here = both.withColumn("__here", F.sum("__by").over(rows))
+        summed = replace(self, df=both)._with_carry(
+            here, F.sum("__by"), F.sum, lambda own, carry: own + F.coalesce(carry, F.lit(0)), out
+        )
+        return replace(self, df=summed.filter("__own").drop("__at", "__by", "__own"))
 
 
 def cut(
