@@ -129,17 +129,34 @@ def block_lists(
         F.max(_position(order)).alias("o"),
     )
     heads = last.groupBy("user").agg(
-        F.max_by("t", "o").alias("updated_at"),
-        F.greatest(F.lit(1), F.ceil(F.count_if("on") / page_items)).cast("int").alias("pages"),
+        F.max_by("t", "o").alias("updated_at"), F.count_if("on").alias("items")
     )
-    active = last.filter("on").select(F.col("user").alias("u"), "blocked")
-    page = F.pmod(F.xxhash64("blocked"), F.col("pages")).cast("int")
-    return (
-        heads.join(active, F.col("user") == F.col("u"), "left")
-        .withColumn("page", F.when(F.col("pages") == 1, F.lit(0)).otherwise(F.coalesce(page, F.lit(0))))
-        .groupBy("user", "updated_at", "page", "pages")
-        .agg(F.array_sort(F.collect_list("blocked")).alias("blocked_user_ids"))
+    active = last.filter("on").select("user", F.col("blocked").alias("item"))
+    return _paged(heads, active, "user", page_items, "blocked_user_ids")
+
+
+def _paged(heads: DataFrame, items: DataFrame, key: str, page_items: int, out: str) -> DataFrame:
+    """Sorted lists of ``items`` (key, item) by key, on as many pages as they need.
+
+    ``heads`` has the key, ``updated_at`` and the number of ``items``.  The many
+    rows are the left side of an inner join, whose skewed partitions Spark can
+    split, and a page, not a key, is what one task collects.
+    """
+    pages = F.greatest(F.lit(1), F.ceil(F.col("items") / page_items)).cast("int")
+    sized = heads.withColumn("pages", pages)
+    page = F.when(F.col("pages") == 1, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("item"), F.col("pages")).cast("int")
     )
+    columns = [key, "updated_at", "page", "pages"]
+    full = (
+        items.join(sized, key)
+        .withColumn("page", page)
+        .groupBy(*columns)
+        .agg(F.array_sort(F.collect_list("item")).alias(out))
+    )
+    empty = sized.filter("items = 0").withColumn("page", F.lit(0))
+    none = F.array().cast("array<string>").alias(out)
+    return full.unionByName(empty.select(*columns, none))
 
 
 # --- word lists --------------------------------------------------------------
@@ -192,21 +209,12 @@ def word_lists(
     page_items: int = ITEMS_PER_PAGE,
 ) -> DataFrame:
     """Per key: sorted words and time of the last known update, paged like block lists."""
-    active = active_words(updates, key, order)
-    heads = (
+    active = active_words(updates, key, order).withColumnRenamed("word", "item")
+    times = (
         updates.filter(F.col("action").isin(REPLACE, ADD, REMOVE))
         .groupBy(key)
         .agg(F.max_by(time, _position(order)).alias("updated_at"))
     )
-    counts = active.groupBy(key).agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / page_items)).cast("int").alias("pages")
-    )
-    page = F.when(F.col("pages") > 1, F.pmod(F.xxhash64("word"), F.col("pages")).cast("int"))
-    return (
-        heads.join(counts, key, "left")
-        .withColumn("pages", F.coalesce("pages", F.lit(1)))
-        .join(active, key, "left")
-        .withColumn("page", F.coalesce(page, F.lit(0)))
-        .groupBy(key, "updated_at", "page", "pages")
-        .agg(F.array_sort(F.collect_list("word")).alias("words"))
-    )
+    counts = active.groupBy(key).agg(F.count(F.lit(1)).alias("items"))
+    heads = times.join(counts, key, "left").withColumn("items", F.coalesce("items", F.lit(0)))
+    return _paged(small_side(heads), active, key, page_items, "words")
