@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from logweave.functions.times import epoch_micros
+from logweave.session import ROCKSDB
 
 CONTROL, DATA = 0, 1
 _ITEMS = StructType([StructField("items", ArrayType(StringType()))])
@@ -90,8 +91,10 @@ def as_of_stream(
     ``rows`` has the keys, ``ts`` (timestamp), ``seq`` (bigint), ``kind``
     (CONTROL or DATA), ``action`` and ``arguments`` of control rows, and the
     columns of data rows.  Rows later than the watermark are dropped by Spark
-    and counted in the query progress.
+    and counted in the query progress.  Keyed state of this kind needs the
+    RocksDB provider, which is set on the session here.
     """
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     salt = F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int")
     own = F.when(F.col("kind") == DATA, F.array(salt)).otherwise(
         F.sequence(F.lit(0), F.lit(salts - 1))
