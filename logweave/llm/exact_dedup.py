@@ -21,9 +21,11 @@ from logweave.session import ROCKSDB, scratch_dir
 # Copies compared with one replica of their representative's text.
 COPIES_PER_REPLICA = 256
 
+# Many small stores: none may reserve space on disk ahead of its rows.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
