@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, mixing
+from logweave.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from logweave.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op4_toxicity(spark, sf):
+    found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_near_dedup(spark, sf):
+    found = near_dedup.dedup(table(spark, sf, "documents"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
 @query
 def op9_exact_dedup(spark, sf):
     found = exact_dedup.dedup(table(spark, sf, "documents"))
