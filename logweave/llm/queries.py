@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, mixing, near_dedup, packing, toxicity
+from logweave.llm import exact_dedup, fingerprint, mixing, near_dedup, packing, toxicity
 from logweave.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_fingerprint(spark, sf):
+    return fingerprint.edited(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op4_toxicity(spark, sf):
     found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -22,10 +22,10 @@ from logweave.plans.sizing import settled, small_side
 # Training reads at most about this many labelled rows, chosen by a hash of their
 # id; a feature must occur in MIN_ROWS of them, so there are fewer features than
 # their words and the model is bounded by the sample, not by the corpus.
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 12_000
 MIN_ROWS = 4
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 2.0, 1.0
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 FOLDS, HELD_OUT = 5, 0
 
 _U = np.uint64
