@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact_dedup, fingerprint, mixing, near_dedup, packing, toxicity
+from logweave.llm import (
+    exact_dedup,
+    fingerprint,
+    html_text,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 from logweave.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,12 +52,28 @@ def op1_fingerprint(spark, sf):
     return fingerprint.edited(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_secrets(spark, sf):
+    return secrets.find(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_html_text(spark, sf):
+    return html_text.extract(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+
+
 @query
 def op4_toxicity(spark, sf):
     found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op5_quality(spark, sf):
+    found = quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
@@ -59,6 +86,13 @@ def op7_near_dedup(spark, sf):
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op8_suffix_dedup(spark, sf):
+    found = suffix_dedup.dedup(table(spark, sf, "documents"))
+    kept = F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", kept)
+
+
 @query
 def op9_exact_dedup(spark, sf):
     found = exact_dedup.dedup(table(spark, sf, "documents"))
