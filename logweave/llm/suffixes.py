@@ -122,7 +122,10 @@ def suffix_array(symbols: np.ndarray, size: int, depth: int) -> np.ndarray:
 
 
 def permuted_prefixes(symbols: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Per position the common prefix with the suffix sorted before it; none may exceed ``most`` much.
+    """Per position the common prefix with the suffix sorted before it.
+
+    Symbol 0 ends strings of at most ``most`` symbols; a prefix that goes on beyond
+    such an end may be told too short.
 
     Where both suffixes are preceded by the same symbol the value is one less than at
     the position before, so only the others are compared, eight symbols at a time.
@@ -133,6 +136,7 @@ def permuted_prefixes(symbols: np.ndarray, order: np.ndarray, most: int) -> np.n
     before[order[1:]] = order[:-1]
     whole = np.arange(n)
     reducible = (whole > 0) & (before > 0)
+    reducible[1:] &= symbols[:-1] != 0
     at = np.flatnonzero(reducible)
     reducible[at] = (symbols[at - 1] == symbols[before[at] - 1]) & (before[at - 1] == before[at] - 1)
     head = np.flatnonzero(~reducible)
