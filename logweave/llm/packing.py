@@ -13,10 +13,10 @@ rows are shuffled, and a task holds one batch at a time, whatever the input.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,12 +29,8 @@ PIECE = 256
 WINDOWS = 128
 END = (1).to_bytes(4, "little")
 
-# A worker keeps the ids of this many text parts between tasks.
-CACHED_PARTS = 400_000
-PARTS_AT_ONCE = 4096
-# A space before a character that is no white space always starts a new token part,
-# so a text can be encoded part by part.
-_PART = re.compile(r" (?=\S)")
+# Fixed value: where the byte-level vocabulary's texts are split before merging.
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SCHEMA = pa.schema(
     [
         ("row", pa.int64()),
@@ -46,35 +42,55 @@ _SCHEMA = pa.schema(
         ("offset", pa.int64()),
     ]
 )
-_encoders: dict[str, tuple] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> tuple:
-    """The tokenizer of a file and its cache, both kept while the worker lives."""
-    if path not in _encoders:
-        from tokenizers import Tokenizer
+def byte_characters() -> dict[str, int]:
+    """Which character stands for which byte in a byte-level vocabulary.
+
+    Printable Latin-1 characters are themselves; the other bytes, in order, are the
+    characters from 256 on.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
-        _encoders[path] = (Tokenizer.from_file(path), {})
-    return _encoders[path]
 
+class Encoder:
+    """Ids of texts under a byte-level tokenizer file whose merges are ranked by id.
 
-def token_bytes(text: str, path: str) -> bytes:
-    """The ids of a text and the closing id as little-endian unsigned 32-bit numbers."""
-    tokenizer, cache = encoder(path)
-    parts = _PART.split(text)
-    parts[1:] = [" " + part for part in parts[1:]]
-    out = []
-    for first in range(0, len(parts), PARTS_AT_ONCE):
-        some = parts[first : first + PARTS_AT_ONCE]
-        missing = list({part for part in some if part not in cache})
-        if missing:
-            if len(cache) + len(missing) > CACHED_PARTS:
-                cache.clear()
-                missing = list(set(some))
-            for part, found in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                cache[part] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-        out.extend(map(cache.__getitem__, some))
-    return b"".join(out) + END
+    Texts that hold a special token's string go to the tokenizer itself, the others
+    to a merger of the same vocabulary, which is several times as fast.
+    """
+
+    def __init__(self, path: str) -> None:
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        stands_for = byte_characters()
+        ranks = {
+            bytes(stands_for[c] for c in token): k
+            for token, k in self.whole.get_vocab(with_added_tokens=False).items()
+            if token not in self.special
+        }
+        self.merger = tiktoken.Encoding("merger", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the closing id, as little-endian unsigned 32-bit numbers."""
+        if any(token in text for token in self.special):
+            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        else:
+            ids = self.merger.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4")
+        return ids.tobytes() + END
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer file, kept while the worker lives."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def differencing(sizes: list[int], windows: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -132,9 +148,10 @@ def _pack(path: str, window: int, piece: int, windows: int):
             out.clear()
             return pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
+        coder = encoder(path)
         for batch in batches:
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = token_bytes(text or "", path)
+                ids = coder.encode(text)
                 n = len(ids) // 4
                 start = 0
                 while start < n:
