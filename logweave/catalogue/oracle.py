@@ -79,17 +79,27 @@ ALERTS = """alerts AS (
          event_type AS alertname, CAST(user_id % 3 AS VARCHAR) AS cluster,
          CAST(user_id AS VARCHAR) AS instance, pos, k
   FROM ev)"""
-RATES = """grown AS (
-  SELECT event_type, event_id, pos, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (
-    PARTITION BY event_type, event_id // 1000 ORDER BY event_id) AS DOUBLE) AS counter
+
+
+def _rates(keys: str, seconds: int, jump: str = "NULL") -> str:
+    return f"""grown AS (
+  SELECT event_type, event_id, pos, 'c' || (user_id % 4) AS cluster,
+    CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 1009 = 0 AND {jump} IS NOT NULL THEN {jump} ELSE CAST(sum(
+      CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY event_type, event_id // 1000 ORDER BY event_id) AS DOUBLE)
+    END AS counter
   FROM ev),
 steps AS (
-  SELECT *, lag(counter) OVER (PARTITION BY event_type ORDER BY pos) AS prev FROM grown),
+  SELECT *, last_value(counter IGNORE NULLS) OVER (
+    PARTITION BY {keys} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM grown),
 rates AS (
-  SELECT event_type, event_id, pos, sum(CASE WHEN prev IS NULL THEN 0.0 WHEN counter < prev THEN counter
-      ELSE counter - prev END) OVER (
-    PARTITION BY event_type ORDER BY pos RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) / 3600 AS rate
+  SELECT event_type, cluster, event_id, pos, sum(CASE WHEN prev IS NULL OR counter IS NULL THEN 0.0
+      WHEN counter < prev THEN counter ELSE counter - prev END) OVER (
+    PARTITION BY {keys} ORDER BY pos RANGE BETWEEN {seconds}000000 PRECEDING AND CURRENT ROW) / {seconds} AS rate
   FROM steps)"""
+
+
+RATES = _rates("event_type", 3600)
+JUMPS = _rates("event_type", 3600, "1e17")
 PUNCTUATED = "lambda acc, w: regexp_replace(acc, '(?i)\\b' || w || '\\b', repeat('*', length(w)), 'g')"
 
 
@@ -264,7 +274,8 @@ FROM part LEFT JOIN arrived ON l_partkey = p_partkey"""
     sql["q_insert_ignore"] = _with(EV) + merge.format(order="event_type, event_id")
     sql["q_stream_upsert"] = _with(EV) + """SELECT user_id, k AS product_id, 'view' AS reason, max(event_id) AS seq
 FROM ev WHERE event_type = 'view' GROUP BY user_id, k"""
-    sql["q_stream_requests"] = _with(EV) + "SELECT DISTINCT user_id || ':' || k AS request_id FROM ev"
+    sql["q_stream_requests"] = _with(EV) + """SELECT user_id || ':' || k AS request_id, min(event_id) AS seq
+FROM ev GROUP BY 1"""
     sql["q_compact"] = _with(EV, LOG) + """SELECT topic, key, arg_max(value, "offset") AS value,
   max("offset") AS "offset", arg_max(event_id, "offset") AS event_id FROM log GROUP BY topic, key"""
     sql["q_retention"] = _with(EV, LOG) + """SELECT topic, partition, "offset", event_id FROM (
@@ -336,11 +347,13 @@ LEFT JOIN nation ON n_nationkey = schema_id AND n_nationkey < 6"""
     WHEN 4 THEN 'clientId=' || event_type || ',version=4.1.2' ELSE '' END AS labels,
   CASE k % 6 WHEN 4 THEN 1.0 ELSE round(value, 4) END AS metric_value
 FROM ev WHERE k % 6 <> 5"""
-    sql["q_metric_rate"] = _with(EV, RATES) + (
+    sql["q_metric_rate"] = _with(EV, JUMPS) + (
         "SELECT event_type, event_id, round(rate, 4) AS rate FROM rates"
     )
     sql["q_metric_sum"] = _with(EV, RATES) + """SELECT CAST(floor(pos / 3600000000) AS BIGINT) AS hour,
   round(sum(rate), 4) AS rate FROM rates GROUP BY 1"""
+    sql["q_metric_cluster"] = _with(EV, _rates("event_type, cluster", 86400)) + """SELECT cluster, round(sum(rate), 4) AS rate
+FROM (SELECT event_type, cluster, arg_max(rate, (pos, event_id)) AS rate FROM rates GROUP BY 1, 2) GROUP BY cluster"""
     sql["q_metric_latest"] = _with(EV) + """SELECT event_type AS metric, CAST(user_id % 10 AS VARCHAR) AS user,
   CAST(k % 3 AS VARCHAR) AS cluster, arg_max(value, pos) AS value, max(pos) AS at_us
 FROM ev GROUP BY 1, 2, 3"""

@@ -469,7 +469,7 @@ def q_fk_check(spark, sf):
 def q_frame_schema(spark, sf):
     n = F.col("event_id")
     whole = frames.build_frame(F.col("k") % 7, F.col("props").cast("binary"))
-    value = F.when(n % 11 == 0, F.concat(F.unhex(F.lit("01")), F.substring(whole, 2, 100)))
+    value = F.when(n % 11 == 0, F.concat(F.unhex(F.lit("01")), F.substr(whole, F.lit(2))))
     value = value.when(n % 13 == 0, F.substring(whole, 1, 3)).otherwise(whole)
     rows = src.events(spark, sf).select("event_id", value.alias("value"))
     known = src.table(spark, sf, "nation").filter(F.col("n_nationkey") < 6).select(
@@ -553,23 +553,30 @@ def q_metric_names(spark, sf):
     )
 
 
-def _counters(spark, sf):
-    """A counter per event type that starts anew every thousand events."""
+def _counters(spark, sf, jumps=False):
+    """A counter per event type that starts anew every thousand events.
+
+    Some samples are NaN, and on demand some jump to a number beside which all others vanish.
+    """
+    n = F.col("event_id")
     rows = src.events(spark, sf).select(
         "event_type",
         "event_id",
+        "user_id",
         "ts",
-        F.floor(F.col("event_id") / 1000).alias("era"),
+        F.floor(n / 1000).alias("era"),
         F.round(F.col("value") * 100).cast("bigint").alias("cents"),
     )
     split = pieces.cut(rows, ["event_type", "era"], "event_id")
     total = split.running_total(["event_id"], "cents", "counter").rows()
-    return total.withColumn("counter", F.col("counter").cast("double"))
+    shown = F.when(n % 97 == 0, F.lit(float("nan"))).when((n % 1009 == 0) & F.lit(jumps), F.lit(1e17))
+    return total.withColumn("counter", shown.otherwise(F.col("counter").cast("double")))
 
 
 @query
 def q_metric_rate(spark, sf):
-    rates = metrics.counter_rate(_counters(spark, sf), ["event_type"], "ts", "counter", 3600)
+    counters = _counters(spark, sf, jumps=True)
+    rates = metrics.counter_rate(counters, ["event_type"], "ts", "counter", 3600)
     return rates.select("event_type", "event_id", F.round("rate", 4).alias("rate"))
 
 
@@ -581,6 +588,15 @@ def q_metric_sum(spark, sf):
     return summed.select("hour", F.round("rate", 4).alias("rate"))
 
 
+@query
+def q_metric_cluster(spark, sf):
+    """The newest rate of every series, summed per cluster."""
+    labelled = _counters(spark, sf).withColumn("cluster", F.concat(F.lit("c"), F.col("user_id") % 4))
+    rates = metrics.counter_rate(labelled, ["event_type", "cluster"], "ts", "counter", 86400)
+    newest = rates.groupBy("event_type", "cluster").agg(F.max_by("rate", F.struct("ts", "event_id")).alias("rate"))
+    return metrics.sum_by(newest, ["cluster"], "rate", "rate").select("cluster", F.round("rate", 4).alias("rate"))
+
+
 @query
 def q_metric_latest(spark, sf):
     samples = src.events(spark, sf).select(
@@ -682,8 +698,7 @@ def q_gen_events(spark, sf):
 
 
 def _stream_log(spark, sf, home):
-    """The mixed log of the product filter, and one closing record that lets the
-    watermark pass all others."""
+    """The mixed log of the product filter."""
     rows = src.events(spark, sf)
     kind = F.col("event_type")
     product = F.to_json(F.struct(F.col("k").cast("string").alias("product_id"), kind.alias("name")))
@@ -705,28 +720,18 @@ def _stream_log(spark, sf, home):
         F.when(is_view, product).otherwise(command).alias("value"),
         F.col("ts").alias("timestamp"),
     )
-    last = log.agg(F.max("timestamp").alias("t"), F.max("offset").alias("o"))
-    closing = last.select(
-        F.lit("products.raw").alias("topic"),
-        F.lit(0).alias("partition"),
-        (F.col("o") + 1).alias("offset"),
-        F.lit("").alias("key"),
-        F.lit("{}").alias("value"),
-        (F.col("t") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
-    )
     path = f"{home}/log"
     log.write.parquet(path)
-    closing.write.mode("append").parquet(path)
     return path
 
 
 @query
 def q_stream_deny(spark, sf):
-    """The denylist filter as a stream; the same rows as the as-of batch form."""
+    """The denylist filter as a stream that decides every record at once; no row is held back."""
     home = scratch_dir(spark, "stream-deny")
     path = _stream_log(spark, sf, home)
     log = spark.readStream.schema(schemas.LOG).parquet(path)
-    accepted = jobs.filter_products(log, salts=2)
+    accepted = jobs.filter_products(log, delay=None, salts=2)
     sinks.run(accepted, f"{home}/checkpoint", f"{home}/out").awaitTermination()
     return spark.read.schema(accepted.schema).parquet(f"{home}/out").select(
         F.col("seq").alias("event_id"), F.col("key").cast("int").alias("key")
@@ -753,28 +758,32 @@ def q_stream_upsert(spark, sf):
     """Arrivals streamed into per-batch deltas, merged when read."""
     home = scratch_dir(spark, "stream-upsert")
     rows = _by_user_and_k(spark, sf, "view")
-    rows.repartition(4, "seq").write.parquet(f"{home}/in")
-    stream = (
-        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{home}/in")
-    )
+    # Four batches, one file each, in the order of arrival.
+    last = max(1, rows.agg(F.max("seq")).first()[0] or 1)
+    for part in range(4):
+        some = rows.filter(F.floor(F.col("seq") * 4 / F.lit(last + 1)) == part)
+        some.coalesce(1).write.mode("append").parquet(f"{home}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
     keys = ["user_id", "product_id"]
     run = sinks.run(
         stream, f"{home}/checkpoint", writer=sinks.upsert_writer(f"{home}/table", keys, SEQ)
     )
     run.awaitTermination()
-    # Files of one batch order hold any arrivals here, so the arrival number alone decides.
-    return keyed.latest(spark.read.parquet(f"{home}/table").drop("batch"), keys, SEQ)
+    return sinks.read_table(spark, f"{home}/table", rows.schema, keys, SEQ)
 
 
 @query
 def q_stream_requests(spark, sf):
-    """Insert-or-ignore on a stream: one row per request id."""
+    """Insert-or-ignore on a stream: the first arrival of every request id, however late the next."""
     home = scratch_dir(spark, "stream-requests")
     rows = src.events(spark, sf).select(
-        F.concat_ws(":", "user_id", "k").alias("request_id"), F.col("ts").alias("requested_at")
-    )
-    rows.write.parquet(f"{home}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
-    unique = sinks.first_requests(stream, delay="60 days").select("request_id")
-    sinks.run(unique, f"{home}/checkpoint", f"{home}/out").awaitTermination()
-    return spark.read.schema(unique.schema).parquet(f"{home}/out")
+        F.concat_ws(":", "user_id", "k").alias("request_id"), F.col("event_id").alias("seq")
+    )
+    last = max(1, rows.agg(F.max("seq")).first()[0] or 1)
+    for part in range(3):
+        some = rows.filter(F.floor(F.col("seq") * 3 / F.lit(last + 1)) == part)
+        some.coalesce(1).write.mode("append").parquet(f"{home}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    writer = sinks.insert_ignore_writer(f"{home}/table", ["request_id"], SEQ)
+    sinks.run(stream, f"{home}/checkpoint", writer=writer).awaitTermination()
+    return sinks.read_first(spark, f"{home}/table", rows.schema, ["request_id"], SEQ)

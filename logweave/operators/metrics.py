@@ -34,21 +34,27 @@ def counter_rate(
     """Per-second increase over the trailing ``seconds`` at each sample.
 
     A value below its predecessor is a counter reset and counts as the increase.
-    Window edges are not extrapolated.
+    A null, NaN or infinite sample is no sample: it adds nothing and precedes
+    nothing, but its row still gets the rate of its window.  Rates are sums of the
+    increases inside the window and so never negative.  Window edges are not
+    extrapolated.
     """
-    placed = samples.withColumn("__pos", epoch_micros(ts))
+    number = F.col(value).cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
+    placed = samples.withColumns({"__pos": epoch_micros(ts), "__now": finite})
     split = pieces.cut(placed, keys, "__pos", rows_per_piece)
-    now, prev = F.col(value), F.col("__prev")
-    increase = F.when(prev.isNull(), F.lit(0.0)).when(now < prev, now).otherwise(now - prev)
+    now, prev = F.col("__now"), F.col("__prev")
+    gain = F.when(now < prev, F.greatest(now, F.lit(0.0))).otherwise(now - prev)
+    increase = F.coalesce(gain, F.lit(0.0))
     total = (
-        split.last_known(["__pos"], value, "__prev", strictly_before=True)
+        split.last_known(["__pos"], "__now", "__prev", strictly_before=True)
         .with_column("__inc", increase)
         .trailing_sum(seconds * MICROS, "__inc", "__sum")
     )
     return (
         total.rows()
         .withColumn("rate", F.col("__sum") / seconds)
-        .drop("__pos", "__prev", "__inc", "__sum")
+        .drop("__pos", "__now", "__prev", "__inc", "__sum")
     )
 
 

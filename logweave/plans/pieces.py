@@ -1,16 +1,16 @@
 """Ordered per-key work that survives a hot key.
 
 A window over ``partitionBy(key)`` puts a whole key in one task.  :func:`cut`
-first counts rows per key (keys and position only, combined before the
-shuffle).  Where no key is large the plain window is used.  A large key is cut
-along its order column into pieces, each its own window partition, and what
-earlier pieces contribute (last value, running total) arrives as one small
-carry row per piece.
-
-Only the ``MAX_HOT_KEYS`` largest keys are cut.  Any other key is smaller than
-each of them and so holds less than one part in ``MAX_HOT_KEYS`` of all rows;
-and the list of cut keys is small whatever the size of the data, which is what
-allows its broadcast.
+first counts rows per key (combined before the shuffle).  Where no key is large
+the plain window is used.  Every large key is cut along its position at quantiles
+of its own rows, so one far position or one busy hour does not fill a piece; each
+piece is its own window partition, and what earlier pieces contribute (last value,
+running total) arrives as one small carry row per piece.  The rows themselves are
+shuffled once, by key and piece.
+
+There are fewer pieces than ``rows / rows_per_piece`` and keys, and cut points and
+carries are broadcast while that number is at most ``BROADCAST_PIECES``; beyond it
+they are joined.  A single key is cut into ``MOST_PIECES`` at most.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 from pyspark.sql.window import WindowSpec
 
-MAX_HOT_KEYS = 10_000
+from logweave.plans.sizing import settled
+
 ROWS_PER_PIECE = 2_000_000
+MOST_PIECES = 10_000
+BROADCAST_PIECES = 200_000
 
 PIECE = "__piece"
-LOW = "__low"
-WIDTH = "__width"
+CUTS = "__cuts"
+NOT_CUT = -1
 
 
 def _join_left(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -48,9 +50,27 @@ class Pieces:
     keys: tuple[str, ...]
     position: str
     hot: bool
+    cuts: DataFrame | None = None
+    most: int = 0
+    small: bool = True
 
     def rows(self) -> DataFrame:
-        return self.df.drop(PIECE, LOW, WIDTH)
+        return self.df.drop(PIECE)
+
+    def _few(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
+
+    def _with_piece(self, df: DataFrame, position: Column, name: str) -> DataFrame:
+        """``name``: the number of the key's cut points below ``position``, by binary search."""
+        steps = [1 << k for k in range(self.most.bit_length(), -1, -1)]
+        cuts = F.col(CUTS)
+        found = F.aggregate(
+            F.array(*map(F.lit, steps)),
+            F.lit(0),
+            lambda at, step: F.when(F.get(cuts, at + step - 1) < position, at + step).otherwise(at),
+        )
+        joined = _join_left(df, self._few(self.cuts), self.keys)
+        return joined.withColumn(name, F.when(cuts.isNull(), F.lit(NOT_CUT)).otherwise(found)).drop(CUTS)
 
     def with_column(self, name: str, value: Column) -> Pieces:
         return replace(self, df=self.df.withColumn(name, value))
@@ -71,13 +91,13 @@ class Pieces:
         before = Window.partitionBy(*self.keys).orderBy(order)
         before = before.rowsBetween(Window.unboundedPreceding, -1)
         carry = (
-            self.df.filter(F.col(LOW).isNotNull())
+            self.df.filter(F.col(PIECE) != NOT_CUT)
             .groupBy(*self.keys, PIECE)
             .agg(summary.alias("__summary"))
             .select(*self.keys, PIECE, fold(F.col("__summary")).over(before).alias("__carry"))
         )
         return (
-            _join_left(here, carry, [*self.keys, PIECE])
+            _join_left(here, self._few(carry), [*self.keys, PIECE])
             .withColumn(out, combine(F.col("__here"), F.col("__carry")))
             .drop("__here", "__carry")
         )
@@ -118,25 +138,19 @@ class Pieces:
         return replace(self, df=joined)
 
     def trailing_sum(self, span: int, amount: str, out: str) -> Pieces:
-        """Sum over rows whose position lies in ``[position - span, position]``.
+        """Sum over rows whose position lies in ``[position - span, position]``, of those rows alone.
 
-        Each row adds its amount at its position and takes it back when it leaves
-        the span: a running total, linear however many rows a span holds.
+        Where keys are cut, a row also goes to the later pieces that its span reaches.
         """
-        at, by = F.col(self.position), F.col(amount)
-        enters = F.struct(at.alias("at"), by.alias("by"), F.lit(True).alias("own"))
-        leaves = F.struct((at + span + 1).alias("at"), (-by).alias("by"), F.lit(False).alias("own"))
-        both = self.df.select("*", F.inline(F.array(enters, leaves)).alias("__at", "__by", "__own"))
-        if self.hot:
-            piece = F.expr(f"(__at - {LOW}) div {WIDTH}")
-            both = both.withColumn(PIECE, F.coalesce(piece, F.lit(0).cast("bigint")))
-        rows = self._window().orderBy("__at")
-        rows = rows.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        here = both.withColumn("__here", F.sum("__by").over(rows))
-        summed = replace(self, df=both)._with_carry(
-            here, F.sum("__by"), F.sum, lambda own, carry: own + F.coalesce(carry, F.lit(0)), out
-        )
-        return replace(self, df=summed.filter("__own").drop("__at", "__by", "__own"))
+        if not self.hot:
+            rows = self._window().orderBy(self.position).rangeBetween(-span, Window.currentRow)
+            return self.with_column(out, F.sum(amount).over(rows))
+        reach = self._with_piece(self.df, F.col(self.position) + span, "__last")
+        last = F.greatest("__last", PIECE)
+        sent = reach.withColumn("__to", F.explode(F.sequence(F.col(PIECE), last))).drop("__last")
+        rows = Window.partitionBy(*self.keys, "__to").orderBy(self.position).rangeBetween(-span, Window.currentRow)
+        summed = sent.withColumn(out, F.sum(amount).over(rows))
+        return replace(self, df=summed.filter(F.col("__to") == F.col(PIECE)).drop("__to"))
 
 
 def cut(
@@ -144,33 +158,30 @@ def cut(
 ) -> Pieces:
     """Rows ready for ordered work per key; ``position`` is a bigint the order starts with.
 
-    Runs the counting job.  Rows of equal position always share a piece.
+    Runs the counting job, and where keys are large a second one for their
+    quantiles.  Rows of equal position always share a piece; rows without a
+    position are in the first.
     """
     rows_per_piece = rows_per_piece or ROWS_PER_PIECE
-    counted = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(position).cast("bigint").alias(LOW),
-        F.max(position).cast("bigint").alias("__high"),
-    )
-    wanted = F.ceil(F.col("n") / F.lit(rows_per_piece))
-    width = F.expr(f"(__high - {LOW}) div wanted + 1")
-    largest = (
-        counted.filter(F.col("n") > F.lit(rows_per_piece))
-        .orderBy(F.col("n").desc())
-        .limit(MAX_HOT_KEYS)
-        .withColumn("wanted", wanted)
-        .select(*keys, LOW, width.alias(WIDTH))
-    )
-    found = largest.collect()
-    if not found:
+    wanted = F.least(F.ceil(F.col("n") / F.lit(rows_per_piece)), F.lit(MOST_PIECES))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = counted.filter(F.col("n") > F.lit(rows_per_piece)).select(*keys, wanted.cast("int").alias("__wanted"))
+    large = settled(large, "large-keys")
+    found = large.agg(F.max("__wanted").alias("most"), F.sum("__wanted").alias("all")).first()
+    if found["most"] is None:
         return Pieces(df, tuple(keys), position, False)
-    schema = StructType(largest.schema.fields)
-    hot = df.sparkSession.createDataFrame([tuple(r) for r in found], schema)
-    piece = F.expr(f"({position} - {LOW}) div {WIDTH}")
-    split = _join_left(df, F.broadcast(hot), keys).withColumn(
-        PIECE, F.coalesce(piece, F.lit(0).cast("bigint"))
-    )
-    return Pieces(split, tuple(keys), position, True)
+    most, small = found["most"], found["all"] <= BROADCAST_PIECES
+    marked = _join_left(df.select(*keys, position), F.broadcast(large) if small else large, keys)
+    shares = F.array(*(F.lit(k / most) for k in range(1, most)))
+    every = F.percentile_approx(F.col(position).cast("bigint"), shares, F.lit(max(10_000, 20 * most)))
+    points = marked.filter("__wanted IS NOT NULL").groupBy(*keys).agg(every.alias("__all"), F.max("__wanted").alias("w"))
+
+    def chosen(point: Column, k: Column) -> Column:
+        return F.floor((k + 1) * F.col("w") / most) > F.floor(k * F.col("w") / most)
+
+    points = points.select(*keys, F.array_distinct(F.filter("__all", chosen)).alias(CUTS))
+    split = Pieces(df, tuple(keys), position, True, settled(points, "cut-points"), most, small)
+    return replace(split, df=split._with_piece(df, F.col(position), PIECE))
 
 
 def as_of(

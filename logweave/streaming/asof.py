@@ -33,6 +33,36 @@ def changed(items: set[str], action: str, arguments: Sequence[str]) -> set[str]:
     return items | given if action == "add" else items - given
 
 
+class DecideAtOnce(StatefulProcessor):
+    """Emits data rows with the set of their key as far as it is known; nothing is held back.
+
+    The rows of a batch are replayed in event-time order; a control row that
+    arrives in a later batch than a data row after it comes too late for that row.
+    """
+
+    def __init__(self, given: StructType, emitted: Sequence[str]):
+        self._schema = given
+        self._emitted = list(emitted)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._current = handle.getValueState("current", _ITEMS)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        items = set(self._current.get()[0]) if self._current.exists() else set()
+        before, out = set(items), []
+        for row in sorted(rows, key=lambda r: (r["pos"], r["kind"], r["seq"])):
+            if row["kind"] == CONTROL:
+                items = changed(items, row["action"], row["arguments"] or [])
+            else:
+                out.append(Row(**{n: row[n] for n in self._emitted}, items=sorted(items, key=str.encode)))
+        if items != before:
+            self._current.update((sorted(items),))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
 class HoldUntilWatermark(StatefulProcessor):
     """Holds rows of a key until the watermark passes them; emits data rows with the set."""
 
@@ -83,36 +113,38 @@ def as_of_stream(
     rows: DataFrame,
     keys: Sequence[str],
     ts: str = "timestamp",
-    delay: str = "10 seconds",
+    delay: str | None = "10 seconds",
     salts: int = 1,
 ) -> DataFrame:
     """Data rows of a mixed stream with ``items``, the set of their key at their time.
 
     ``rows`` has the keys, ``ts`` (timestamp), ``seq`` (bigint), ``kind``
     (CONTROL or DATA), ``action`` and ``arguments`` of control rows, and the
-    columns of data rows.  Rows later than the watermark are dropped by Spark
-    and counted in the query progress.  Keyed state of this kind needs the
-    RocksDB provider, which is set on the session here.
+    columns of data rows.  With a ``delay`` rows wait for the watermark, those of the
+    last ``delay`` of a finished input stay in the state until later rows come, and
+    rows later than the watermark are dropped by Spark and counted in the query
+    progress.  With None every row is decided in the batch that brings it: none is
+    held back or lost.  Keyed state of this kind needs the RocksDB provider, which
+    is set on the session here.
     """
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     salt = F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int")
     own = F.when(F.col("kind") == DATA, F.array(salt)).otherwise(
         F.sequence(F.lit(0), F.lit(salts - 1))
     )
-    placed = (
-        rows.withColumn("pos", epoch_micros(ts))
-        .withWatermark(ts, delay)
-        .withColumn("salt", F.explode(own))
-    )
+    placed = rows.withColumn("pos", epoch_micros(ts)).withColumn("salt", F.explode(own))
+    if delay is not None:
+        placed = placed.withWatermark(ts, delay)
     held = StructType([f for f in placed.schema.fields if f.name != "salt"])
     hidden = {"kind", "action", "arguments", "pos"}
     kept = [f for f in held.fields if f.name not in hidden]
     output = StructType([*kept, *_ITEMS.fields])
+    processor = DecideAtOnce if delay is None else HoldUntilWatermark
     return placed.groupBy(*keys, "salt").transformWithState(
-        statefulProcessor=HoldUntilWatermark(held, [f.name for f in kept]),
+        statefulProcessor=processor(held, [f.name for f in kept]),
         outputStructType=output,
         outputMode="Append",
-        timeMode="EventTime",
+        timeMode="None" if delay is None else "EventTime",
     )
 
 

@@ -15,8 +15,19 @@ from logweave.streaming import asof
 
 
 def _decoded(log: DataFrame, topic: str, schema, on_error: str) -> DataFrame:
+    """Records of a topic that the policy lets through; a job never takes an undecoded one for data.
+
+    With ``quarantine`` or ``raw`` the rejected rows are :func:`rejected`'s, a stream of its own.
+    """
     rows = log.filter(F.col("topic") == topic).select("key", "timestamp", "offset", "value")
-    return records.apply_policy(records.decode(rows, schema), on_error)
+    decoded = records.decode(rows, schema)
+    return records.apply_policy(decoded, on_error if on_error == "fail" else "skip")
+
+
+def rejected(log: DataFrame, topic: str, schema) -> DataFrame:
+    """Rows of a topic that do not decode, with their text and ``reject_reason``."""
+    rows = log.filter(F.col("topic") == topic).select("topic", "key", "timestamp", "offset", "value")
+    return records.apply_policy(records.decode(rows, schema), "quarantine")[1]
 
 
 def _control(rows: DataFrame, action: Column, arguments: Column, *keys: Column) -> DataFrame:
@@ -40,7 +51,7 @@ def filter_products(
     log: DataFrame,
     products: str = "products.raw",
     commands: str = "blacklist.commands",
-    delay: str = "10 seconds",
+    delay: str | None = "10 seconds",
     salts: int = 1,
     on_error: str = "skip",
 ) -> DataFrame:
@@ -58,7 +69,7 @@ def unblocked_messages(
     log: DataFrame,
     messages: str = "messages",
     events: str = "blocked_users",
-    delay: str = "10 seconds",
+    delay: str | None = "10 seconds",
     salts: int = 1,
     on_error: str = "skip",
 ) -> DataFrame:
@@ -89,7 +100,7 @@ def masked_messages(
     kept: DataFrame,
     log: DataFrame,
     updates: str = "banned_words",
-    delay: str = "10 seconds",
+    delay: str | None = "10 seconds",
     salts: int = 8,
     on_error: str = "skip",
 ) -> DataFrame:

@@ -79,7 +79,11 @@ def fold(
 
 
 def gate_writer(good: str, quarantine: str, report: str, is_bad: Column, size: int = 10) -> Writer:
-    """Good records, bad records and the batch report of one micro-batch."""
+    """Good records, bad records and the batch report of one micro-batch.
+
+    A record whose verdict is null is bad.
+    """
+    is_bad = F.coalesce(is_bad, F.lit(True))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -94,6 +98,23 @@ def gate_writer(good: str, quarantine: str, report: str, is_bad: Column, size: i
     return write
 
 
+def insert_ignore_writer(path: str, keys: Sequence[str], arrival: Sequence[str]) -> Writer:
+    """Per batch the first arrival of each key; :func:`read_first` ignores it if a batch before had the key."""
+    return folder_writer(path, change=lambda batch: keyed.first(batch, keys, arrival))
+
+
+def read_first(
+    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str]
+) -> DataFrame:
+    """The table behind :func:`insert_ignore_writer`: oldest batch, then first arrival, per key."""
+    stored = StructType([*schema.fields, StructField("batch", LongType())])
+    rows = spark.read.schema(stored).parquet(path)
+    return keyed.first(rows, keys, ["batch", *arrival]).drop("batch")
+
+
 def first_requests(stream: DataFrame, key: str = "request_id", ts: str = "requested_at", delay: str = "1 hour") -> DataFrame:
-    """Insert-or-ignore on a stream: repeats within the delay are left out."""
+    """Repeats within the delay are left out, with bounded state; a key seen again later passes again.
+
+    :func:`insert_ignore_writer` never inserts a key twice.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

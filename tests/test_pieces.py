@@ -58,6 +58,55 @@ def test_last_known_and_totals(spark, seed, limit):
             assert (row["upto"], row["before"], row["total"], row["rest"], row["recent"]) == wanted
 
 
+def test_one_far_position_does_not_fill_a_piece(spark):
+    rows = [("k", i) for i in range(2000)] + [("k", 10**15), (None, 5), ("few", 3)]
+    split = pieces.cut(spark.createDataFrame(rows, "key string, pos bigint"), ["key"], "pos", 100)
+    sizes = split.df.filter("key = 'k'").groupBy(pieces.PIECE).count().collect()
+    assert max(r["count"] for r in sizes) <= 200 and len(sizes) >= 15
+
+
+def nodes(plan):
+    yield plan
+    children = plan.children()
+    for k in range(children.size()):
+        yield from nodes(children.apply(k))
+
+
+def test_rows_of_cut_keys_are_shuffled_once(spark):
+    df = spark.range(1000).selectExpr("id % 2 AS key", "id AS pos", "id AS v", "concat('x', id) AS other")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = pieces.cut(df, ["key"], "pos", 100).last_known(["pos"], "v", "last").running_total(["pos"], "v", "sum")
+        found = list(nodes(out.rows()._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    # Only an exchange that still carries the wide column moves the rows themselves.
+    assert sum(n.nodeName() == "Exchange" and "other" in n.output().toString() for n in found) == 1
+    assert out.rows().filter("last <> pos OR sum <> (pos DIV 2) * (pos DIV 2 + 1) + (pos % 2) * (pos DIV 2 + 1)").count() == 0
+
+
+@pytest.mark.parametrize("limit", [2, None])
+def test_rates_survive_jumps_and_values_that_are_no_numbers(spark, limit):
+    nan, inf = float("nan"), float("inf")
+    cases = {
+        "jump": ([0.0, 1e17, 1e17, 0.0, 1.0, 2.0, 3.0], [0, 1, 2, 100, 101, 102, 103]),
+        "nan": ([1.0, nan, 2.0, inf, 3.0, None], [0, 1, 2, 3, 4, 5]),
+        "plain": ([0.1, 0.4, 1.0, 1.0], [0, 1, 2, 200]),
+    }
+    wanted = {
+        "jump": [0.0, 1e17, 1e17, 0.0, 1.0, 2.0, 3.0],
+        "nan": [0.0, 0.0, 1.0, 1.0, 2.0, 2.0],
+        "plain": [0.0, 0.4 - 0.1, 0.4 - 0.1 + (1.0 - 0.4), 0.0],
+    }
+    rows = [(k, t, v) for k, (values, times) in cases.items() for v, t in zip(values, times)]
+    df = spark.createDataFrame(rows, "s string, t bigint, v double").withColumn("ts", F.timestamp_seconds("t"))
+    found = metrics.counter_rate(df, ["s"], "ts", "v", 60, rows_per_piece=limit).collect()
+    for key, sums in wanted.items():
+        own = [r["rate"] * 60 for r in sorted((r for r in found if r["s"] == key), key=lambda r: r["t"])]
+        assert own == pytest.approx(sums) and min(own) >= 0
+
+
 @pytest.mark.parametrize("seed,limit", [(1, 5), (2, 40), (3, None)])
 def test_as_of(spark, seed, limit):
     rng = random.Random(seed)

@@ -10,11 +10,11 @@ from logweave.operators import filters, keyed, recommend, search
 from logweave.sources import lake
 
 PRODUCTS = [
-    ("12345", "Умные часы XYZ", 150),
-    ("12346", "Беспроводные наушники Sound Pro", 80),
-    ("22345", "Кофемашина Barista Home", 32),
-    ("32345", "Настольная игра Космос", 110),
-    ("99999", "Запрещённый лазер высокой мощности", 10),
+    ("p1", "Синяя лампа Вега", 150),
+    ("p2", "Дорожный чемодан", 80),
+    ("p3", "Чайник Омега", 32),
+    ("p4", "Складной стол", 110),
+    ("p5", "Старый сундук", 10),
 ]
 
 
@@ -27,13 +27,13 @@ def shop(spark, tmp_path):
             "name": name,
             "price": {"amount": 1.5, "currency": "RUB"},
             "stock": {"available": available, "reserved": 0},
-            "updated_at": "2023-10-10T15:30:00Z",
-            "store_id": "store_001",
+            "updated_at": "2031-04-05T06:07:08Z",
+            "store_id": "west",
         }
         for pid, name, available in PRODUCTS
     ]
     (tmp_path / "products.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines))
-    (tmp_path / "deny.json").write_text('[{"product_id": "99999", "reason": "no"}]')
+    (tmp_path / "deny.json").write_text('[{"product_id": "p5", "reason": "no"}]')
     return tmp_path
 
 
@@ -44,14 +44,14 @@ def test_products_to_recommendations(spark, shop):
     )
     kept = filters.deny_filter(products, commands).select("record.*")
     assert kept.count() == 4
-    found = search.search_products(keyed.product_rows(kept), " ЧАСЫ ")
-    assert [r["product_id"] for r in found.collect()] == ["12345"]
+    found = search.search_products(keyed.product_rows(kept), " ЛАМПА ")
+    assert [r["product_id"] for r in found.collect()] == ["p1"]
     events = [
-        ("clock", "r1", "search", "игра", "2026-01-01 00:00:00"),
-        ("clock", "r2", "search", "часы", "2026-01-01 00:00:00.5"),
+        ("light", "r1", "search", "стол", "2026-01-01 00:00:00"),
+        ("light", "r2", "search", "лампа", "2026-01-01 00:00:00.5"),
         ("none", "r3", "recommendations", None, "2026-01-01 00:00:00"),
-        ("coffee", "r4", "search", "Кофемашина", "2026-01-01 00:00:00"),
-        (None, "r5", "search", "часы", "2026-01-01 00:00:00"),
+        ("tea", "r4", "search", "Чайник", "2026-01-01 00:00:00"),
+        (None, "r5", "search", "лампа", "2026-01-01 00:00:00"),
     ]
     log = spark.createDataFrame(
         events, "user_id string, request_id string, request_type string, query string, at string"
@@ -63,9 +63,9 @@ def test_products_to_recommendations(spark, shop):
         lists.setdefault(r["user_id"], []).append((r["product_id"], r["reason"]))
     match, stock = recommend.MATCH_REASON, recommend.STOCK_REASON
     assert lists == {
-        "clock": [("12345", match), ("32345", stock), ("12346", stock)],
-        "none": [("12345", stock), ("32345", stock), ("12346", stock)],
-        "coffee": [("22345", match), ("12345", stock), ("32345", stock)],
+        "light": [("p1", match), ("p4", stock), ("p2", stock)],
+        "none": [("p1", stock), ("p4", stock), ("p2", stock)],
+        "tea": [("p3", match), ("p1", stock), ("p4", stock)],
     }
     assert len({r["generated_at"] for r in out.collect()}) == 1
 

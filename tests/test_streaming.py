@@ -62,6 +62,53 @@ def test_deny_stream_equals_as_of_and_survives_restart(spark, tmp_path, salts):
     assert sorted(found) == sorted(r["seq"] for r in batch.collect())
 
 
+def test_nothing_is_held_back_or_lost_without_a_delay(spark, tmp_path):
+    path, out, ckpt = (str(tmp_path / n) for n in ("log", "out", "ckpt"))
+    log = spark.readStream.schema(schemas.LOG).option("maxFilesPerTrigger", 1)
+
+    def product(n, key, t):
+        return ("products.raw", 0, n, key, json.dumps({"product_id": key, "name": f"p{n}"}), 1_700_000_000.0 + t)
+
+    def command(n, key, action, t):
+        return ("blacklist.commands", 0, n, key, json.dumps({"action": action, "product_id": key}), 1_700_000_000.0 + t)
+
+    def run():
+        accepted = jobs.filter_products(log.parquet(path), delay=None, on_error="quarantine")
+        sinks.run(accepted, ckpt, out).awaitTermination()
+        return sorted(r["seq"] for r in spark.read.schema(accepted.schema).parquet(out).collect())
+
+    write(spark, [product(0, "a", 10), product(1, "b", 11), command(2, "a", "add", 12), product(3, "a", 13)], path)
+    assert run() == [0, 1]
+    # Far in the past, and the last row of the input: both decided by what is known now.
+    write(spark, [product(4, "b", -90000), product(5, "a", 14), ("products.raw", 0, 6, "b", "no json", 1.7e9)], path)
+    assert run() == [0, 1, 4]
+    bad = jobs.rejected(spark.read.schema(schemas.LOG).parquet(path), "products.raw", schemas.PRODUCT).collect()
+    assert [(r["offset"], r["value"]) for r in bad] == [(6, "no json")]
+
+
+def test_requests_are_never_inserted_twice(spark, tmp_path):
+    src, path = str(tmp_path / "in"), str(tmp_path / "table")
+    schema = "request_id string, body string, offset bigint"
+    for rows in ([("a", "1", 0), ("a", "2", 1)], [("b", "1", 2), ("a", "3", 3)], [("a", "4", 4)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        writer = sinks.insert_ignore_writer(path, ["request_id"], ["offset"])
+        sinks.run(stream, str(tmp_path / "c"), writer=writer).awaitTermination()
+    found = sinks.read_first(spark, path, spark.createDataFrame([], schema).schema, ["request_id"], ["offset"])
+    assert sorted(map(tuple, found.collect())) == [("a", "1", 0), ("b", "1", 2)]
+
+
+def test_gate_quarantines_null_verdicts(spark, tmp_path):
+    good, bad, report = (str(tmp_path / n) for n in ("good", "bad", "report"))
+    rows = spark.createDataFrame(
+        [("t", 0, 0, True), ("t", 0, 1, None), ("t", 0, 2, False)], "topic string, partition int, offset bigint, bad boolean"
+    )
+    sinks.gate_writer(good, bad, report, F.col("bad"))(rows, 0)
+    assert [r["offset"] for r in spark.read.parquet(good).collect()] == [2]
+    assert sorted(r["offset"] for r in spark.read.parquet(bad).collect()) == [0, 1]
+    assert [(r["rows"], r["commit"]) for r in spark.read.parquet(report).collect()] == [(3, False)]
+
+
 def test_chat_stream(spark, tmp_path):
     from test_changelog import CHAT, DELIVERED
 
