@@ -8,8 +8,10 @@ shards of bounded size by anchor.  A shard's strings are joined and their suffix
 sorted by induced sorting; permuted common prefixes cut the order into classes of
 equal windows, and every window but its class's earliest is removed.
 
-Runs that repeat within a document are told by that document alone.  An anchor in
-more than ``HOT`` documents is dealt out twice: first by anchor and a salt of the
+Copies are collapsed before: of documents with equal texts only the earliest takes
+part, runs that repeat within a document are told by that document, and equal
+strings of a shard are sorted once, for the earliest of them.  An anchor in more
+than ``HOT`` documents is dealt out twice: first by anchor and a salt of the
 document, then what is still earliest there window by window, by the window's own
 bytes, so that no shard grows with the anchor.
 """
@@ -30,7 +32,7 @@ from logweave.plans.sizing import settled, small_side
 
 MATCH = 100
 ANCHOR = 32
-HOT = 20_000
+HOT = 30_000
 SHARD_BYTES = 4_000_000
 PIECE = 1 << 22
 
@@ -141,149 +143,192 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = np.isin(keys.view(np.int64), asked[k].values.to_numpy(zero_copy_only=False))
             raw = data[at[k] : at[k + 1]].tobytes()
             seen: set[bytes] = set()
+            again: tuple[list[int], list[int]] = ([], [])
             doc, mark = int(docs[k]), int(marks[k])
             own = keys[wanted].view(np.int64).tolist()
             for key, start, count in zip(own, starts[wanted].tolist(), counts[wanted].tolist(), strict=True):
                 string = raw[start : start + count + MATCH - 1]
                 if string in seen:
-                    out.put(_RANGE, key, doc, mark, start, start + len(string), None)
+                    again[0].append(start)
+                    again[1].append(start + len(string))
                 else:
                     seen.add(string)
                     out.put(_STRING, key, doc, mark, start, start + len(string), string)
-                if out.size > PIECE:
-                    yield out.batch()
+            for start, stop in merged(*again):
+                out.put(_RANGE, 0, doc, mark, start, stop, None)
+            if out.size > PIECE:
+                yield out.batch()
     if out.columns[0]:
         yield out.batch()
 
 
-def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
+def _batch(kind: int, key: np.ndarray, doc: np.ndarray, mark: np.ndarray, start: np.ndarray, stop: np.ndarray, strings=None):
+    kinds = pa.array(np.full(len(key), kind, np.int32))
+    numbers = [pa.array(c.astype(np.int64)) for c in (key, doc, mark, start, stop)]
+    held = pa.nulls(len(key), pa.binary()) if strings is None else pa.array(strings, pa.binary())
+    return pa.RecordBatch.from_arrays([kinds, *numbers, held], _NAMES)
+
+
+def _flagged(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and one past the last of each run of true flags."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+    return edges[::2], edges[1::2]
 
 
-def solve(rows: list[tuple[int, int, int, int, bytes]], out: _Out, survivors: bool) -> None:
-    """Put the ranges that a shard's ``rows`` (key, doc, mark, start, bytes) lose.
+def solve(table: pa.Table, survivors: bool) -> Iterator[pa.RecordBatch]:
+    """The ranges that a shard's strings lose; with ``survivors`` also the strings left.
 
-    With ``survivors`` the windows that are earliest here are put as strings too.
+    Windows of one string all differ, as their anchor is at another place in each,
+    so a string that alone has its anchor is not sorted.
     """
-    strings: dict[bytes, int] = {}
-    bearers: list[list[int]] = []
-    for k, row in enumerate(rows):
-        number = strings.setdefault(row[4], len(strings))
-        if number == len(bearers):
-            bearers.append([])
-        bearers[number].append(k)
-    order_key = [(r[1], r[2], r[3]) for r in rows]
-    chosen = [min(own, key=order_key.__getitem__) for own in bearers]
-    docs = {d: k for k, d in enumerate(sorted({(rows[k][1], rows[k][2]) for k in chosen}))}
+    key, doc, mark, start, stop = (table.column(c).to_numpy() for c in ("key", "doc", "mark", "start", "stop"))
+    coded = table.column("bytes").combine_chunks().dictionary_encode()
+    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    by_age = np.lexsort((start, mark, doc, codes))
+    heads = np.ones(len(codes), bool)
+    heads[1:] = codes[by_age][1:] != codes[by_age][:-1]
+    chosen = by_age[heads]  # the earliest bearer of each distinct string, by code
+    first = chosen[codes]
+    whole = (doc != doc[first]) | (mark != mark[first]) | (start != start[first])
+    yield _batch(_RANGE, *(c[whole] for c in (key, doc, mark, start, stop)))
+
+    _, own, held = np.unique(key[chosen], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(held[own] > 1)
+    if survivors:
+        lone = chosen[np.flatnonzero(held[own] == 1)]
+        if len(lone):
+            strings = [coded.dictionary[int(codes[k])].as_py() for k in lone]
+            yield _batch(_STRING, *(c[lone] for c in (key, doc, mark, start, stop)), strings)
+    if not len(several):
+        return
+    strings = coded.dictionary.take(pa.array(several)).to_pylist()
+    rows = chosen[several]
+    _, ages = np.unique(np.stack([doc[rows], mark[rows]], 1), axis=0, return_inverse=True)
+    ages = ages.reshape(-1)
     joined = b"\xff".join(strings) + b"\xff"
     raw = np.frombuffer(joined, np.uint8)
     symbols = np.where(raw == 0xFF, 0, raw.astype(np.int16) + 1).astype(np.int16)
-    sizes = np.array([len(s) for s in strings], np.int64)
+    sizes = np.array([len(string) for string in strings], np.int64)
     firsts = np.concatenate([[0], np.cumsum(sizes[:-1] + 1)])
-    counts = sizes - MATCH + 1
     order = suffix_array(symbols, 257, MATCH)
     common = permuted_prefixes(symbols, order, int(sizes.max()))
     # Only windows, in the order of their suffixes; a class ends where less than a window is shared.
     owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    inside = np.arange(len(symbols)) - firsts[owner] < counts[owner]
+    inside = np.arange(len(symbols)) - firsts[owner] <= sizes[owner] - MATCH
     classes = np.cumsum(common[order] < MATCH)
     windows = inside[order]
     places, classes = order[windows], classes[windows]
-    own = owner[places]
-    doc_of = np.array([docs[rows[k][1], rows[k][2]] for k in chosen], np.int64)[own]
-    start_of = np.array([rows[k][3] for k in chosen], np.int64)[own] + places - firsts[own]
-    by_age = np.lexsort((start_of, doc_of, classes))
-    fresh = np.ones(len(by_age), bool)
-    fresh[1:] = classes[by_age][1:] != classes[by_age][:-1]
-    heads = by_age[fresh][np.cumsum(fresh) - 1]
-    later = (doc_of[by_age] != doc_of[heads]) | (start_of[by_age] != start_of[heads])
+    age, at = ages[owner[places]], start[rows][owner[places]] + places - firsts[owner[places]]
+    by_class = np.lexsort((at, age, classes))
+    fresh = np.ones(len(by_class), bool)
+    fresh[1:] = classes[by_class][1:] != classes[by_class][:-1]
+    earliest = by_class[fresh][np.cumsum(fresh) - 1]
     removed = np.zeros(len(symbols), bool)
-    removed[places[by_age]] = later
-    for number, (string, all_bearers) in enumerate(zip(strings, bearers, strict=True)):
-        flags = removed[firsts[number] : firsts[number] + counts[number]]
-        lost, left = _spans(flags), _spans(~flags)
-        first = order_key[chosen[number]]
-        for k in all_bearers:
-            key, doc, mark, start, _ = rows[k]
-            if order_key[k] != first:
-                out.put(_RANGE, key, doc, mark, start, start + len(string), None)
-                continue
-            for a, b in lost:
-                out.put(_RANGE, key, doc, mark, start + a, start + b + MATCH - 1, None)
-            if survivors:
-                for a, b in left:
-                    part = string[a : b + MATCH - 1]
-                    out.put(_STRING, key, doc, mark, start + a, start + a + len(part), part)
-
-
-def _shards(survivors: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, now, rows = _Out(), None, []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("shard", "kind", *_NAMES[1:])]
-            for shard, kind, key, doc, mark, start, stop, string in zip(*columns, strict=True):
-                if kind == _RANGE:
-                    out.put(kind, key, doc, mark, start, stop, None)
-                    continue
-                if shard != now:
-                    if rows:
-                        solve(rows, out, survivors)
-                    now, rows = shard, []
-                rows.append((key, doc, mark, start, string))
-            if out.size > PIECE:
-                yield out.batch()
-        if rows:
-            solve(rows, out, survivors)
-        if out.columns[0]:
-            yield out.batch()
+    removed[places[by_class]] = (age[by_class] != age[earliest]) | (at[by_class] != at[earliest])
+
+    def told(flags: np.ndarray, kind: int) -> pa.RecordBatch:
+        a, b = _flagged(flags)
+        row = rows[owner[a]]
+        shift = start[row] - firsts[owner[a]]
+        parts = None
+        if kind == _STRING:
+            parts = [joined[i : j + MATCH - 1] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+        return _batch(kind, key[row], doc[row], mark[row], a + shift, b + MATCH - 1 + shift, parts)
+
+    yield told(removed, _RANGE)
+    if survivors:
+        yield told(inside & ~removed, _STRING)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Solve shards whose rows come one after the other; ranges pass."""
+    now, parts = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts)
+        if now < 0:
+            for part in parts:
+                yield part.select(_NAMES)
+        else:
+            yield from solve(table, bool(table.column("salted")[0].as_py()))
 
-    return run
+    for batch in batches:
+        shard = batch.column("shard").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if parts and shard[a] != now:
+                yield from close()
+                parts = []
+            now = shard[a]
+            parts.append(batch.slice(a, b - a))
+    if parts:
+        yield from close()
 
 
-def _sharded(strings: DataFrame, survivors: bool = False) -> DataFrame:
-    dealt = strings.repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(_shards(survivors), _ROW)
+def _sharded(strings: DataFrame) -> DataFrame:
+    dealt = strings.select("shard", "salted", *_NAMES).repartition("shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(_shards, _ROW)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc`` orders documents (a null id is replaced by a hash of the text, above all ids)."""
+    """Rows with what orders them and whether an earlier document has the same text.
+
+    ``doc`` is the id; for a null id a hash of the text stands in, above all usual ids.
+    ``mark``, a hash of the text, tells apart rows that share an id; it is 0
+    throughout where none do.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("mark", F.xxhash64("text"))
     stand_in = F.col("mark").bitwiseOR(F.lit(0x7000000000000000)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return rows.withColumn("doc", F.coalesce(F.col("id").cast("long"), stand_in))
+    rows = rows.withColumn("doc", F.coalesce(F.col("id").cast("long"), stand_in))
+    if rows.groupBy("doc").count().filter("count > 1").isEmpty():
+        rows = rows.withColumn("mark", F.lit(0).cast("long"))
+    rows = rows.withColumn("digest", F.unhex(F.md5("text")))
+    bearers = rows.filter(F.octet_length("text") >= MATCH).groupBy("digest")
+    firsts = bearers.agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    firsts = small_side(settled(firsts, "suffix-copies"), rows=2_000_000, size=96 << 20)
+    copy = F.coalesce(F.col("doc") != F.col("first"), F.lit(False))
+    return rows.join(firsts, "digest", "left").withColumn("copy", copy).drop("digest", "first")
 
 
 def ranges(rows: DataFrame, hot: int = HOT) -> DataFrame:
-    """Byte ranges that documents lose: ``doc``, ``mark``, ``start``, ``stop``; they may overlap."""
-    spark = rows.sparkSession
-    small_batches(spark, 500)
+    """Byte ranges that documents lose: ``doc``, ``mark``, ``start``, ``stop``; they may overlap.
+
+    ``rows`` is of documents that are no copies.
+    """
+    small_batches(rows.sparkSession, 500)
     anchors = rows.filter(F.octet_length("text") >= MATCH).select("doc", "text")
     anchors = anchors.mapInArrow(_anchors, "key long, doc long, twice boolean")
-    held = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice"))
-    held = held.filter("n > 1 OR twice")
-    asked = anchors.join(held.withColumnRenamed("twice", "any_twice"), "key").filter("n > 1 OR twice")
+    held = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("any_twice"))
+    asked = anchors.join(held.filter("n > 1 OR any_twice"), "key").filter("n > 1 OR twice")
     asked = settled(asked.select("key", "doc", "n"), "suffix-asked")
     lists = asked.groupBy("doc").agg(F.collect_list("key").alias("keys"))
     total = asked.agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("most")).first()
-    shards = max(1, -(-total.rows * 2 * MATCH // SHARD_BYTES))
+    shards = max(1, -(-total.rows * 3 * MATCH // (2 * SHARD_BYTES)))
     involved = small_side(settled(lists.select("doc"), "suffix-involved"), rows=2_000_000)
     texts = rows.select("doc", "mark", "text").join(involved, "doc", "left_semi").join(lists, "doc")
     strings = texts.mapInArrow(_strings, _ROW)
-    by_anchor = F.pmod(F.xxhash64("key"), F.lit(shards))
+    shard, salted = F.pmod(F.xxhash64("key"), F.lit(shards)), F.lit(False)
+    if (total.most or 0) > hot:
+        hot_keys = asked.filter(F.col("n") > hot).select("key", "n").distinct()
+        strings = strings.join(small_side(settled(hot_keys, "suffix-hot")), "key", "left")
+        salts = F.ceil(F.col("n") / F.lit(hot)).cast("int")
+        salt = F.xxhash64("key", F.pmod(F.xxhash64("doc"), salts)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+        salted = F.col("n").isNotNull() & (F.col("kind") == _STRING)
+        shard = F.when(salted, salt).otherwise(shard)
+    passing = F.lit(-1) - F.pmod(F.xxhash64("doc"), F.lit(shards))
+    shard = F.when(F.col("kind") == _RANGE, passing).otherwise(shard)
+    found = settled(_sharded(strings.withColumn("shard", shard).withColumn("salted", salted)), "suffix-found")
+    done = found.filter(F.col("kind") == _RANGE).select("doc", "mark", "start", "stop")
     if (total.most or 0) <= hot:
-        found = _sharded(strings.withColumn("shard", by_anchor))
-        return found.select("doc", "mark", "start", "stop")
-    # Some anchors are in very many documents: deal those by a salt first, then by window.
-    hot_keys = small_side(settled(asked.filter(F.col("n") > hot).select("key", "n").distinct(), "suffix-hot"))
-    salted = F.xxhash64("key", F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / F.lit(hot)).cast("int")))
-    dealt = strings.join(hot_keys, "key", "left")
-    cold = dealt.filter("n IS NULL").drop("n").withColumn("shard", by_anchor)
-    first = _sharded(dealt.filter("n IS NOT NULL").withColumn("shard", salted).drop("n"), survivors=True)
-    first = settled(first, "suffix-first")
-    count = F.octet_length("bytes") - MATCH
-    single = first.filter(F.col("kind") == _STRING).withColumn("step", F.explode(F.sequence(F.lit(0), count)))
-    single = single.select(
+        return done
+    # What is still earliest within its salt, window by window.
+    left = found.filter(F.col("kind") == _STRING)
+    left = left.withColumn("step", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - MATCH)))
+    left = left.select(
         "kind",
         "key",
         "doc",
@@ -292,11 +337,10 @@ def ranges(rows: DataFrame, hot: int = HOT) -> DataFrame:
         (F.col("start") + F.col("step") + MATCH).alias("stop"),
         F.expr(f"substring(bytes, step + 1, {MATCH})").alias("bytes"),
     )
-    windows = max(1, -(-total.rows * MATCH * MATCH // SHARD_BYTES))
-    second = _sharded(single.withColumn("shard", F.pmod(F.xxhash64("bytes"), F.lit(windows))))
-    parts = [_sharded(cold), first.filter(F.col("kind") == _RANGE), second]
-    named = [part.select("doc", "mark", "start", "stop") for part in parts]
-    return named[0].union(named[1]).union(named[2])
+    windows = max(1, -(-left.count() * MATCH // SHARD_BYTES))
+    own = F.pmod(F.xxhash64("bytes"), F.lit(windows))
+    last = _sharded(left.withColumn("shard", own).withColumn("salted", F.lit(False)))
+    return done.union(last.select("doc", "mark", "start", "stop"))
 
 
 def merged(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:
@@ -321,8 +365,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept, sizes, lost, spans = [], [], [], []
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for text, starts, stops in zip(texts, *(batch.column(c).to_pylist() for c in ("starts", "stops")), strict=True):
-            starts, stops = starts or [], stops or []
+        columns = [batch.column(c).to_pylist() for c in ("copy", "starts", "stops")]
+        for text, copy, starts, stops in zip(texts, *columns, strict=True):
+            starts, stops = ([0], [len(text)]) if copy else (starts or [], stops or [])
             left = b"".join(text[a:b] for a, b in zip([0, *stops], [*starts, len(text)], strict=True))
             kept.append(left)
             sizes.append(len(text))
@@ -342,10 +387,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     nothing to itself.  What is kept need not be valid UTF-8.
     """
     rows = _identified(docs, id_col, text_col)
-    found = settled(ranges(rows, hot), "suffix-ranges")
+    found = ranges(rows.filter("NOT copy"), hot)
     lists = found.groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     schema = "doc long, mark long, starts array<long>, stops array<long>"
     cuts = small_side(settled(lists.mapInArrow(_merge, schema), "suffix-cuts"), rows=2_000_000, size=96 << 20)
     kind = dict(rows.dtypes)["id"]
-    joined = rows.join(cuts, ["doc", "mark"], "left").select("id", "text", "starts", "stops")
+    joined = rows.join(cuts, ["doc", "mark"], "left").select("id", "text", "copy", "starts", "stops")
     return joined.mapInArrow(_cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
