@@ -168,7 +168,24 @@ def mask_each(text: Column | str, words: Column | str, boundary: str = "ascii")
     return F.aggregate(cleaned, col(text), step)
 
 
-def runs(text: Column | str, between: bool = True) -> Column:
+def _unicode_folded(text: Column | str) -> Column:
+    """Equal for texts that are equal but for case, letter by letter, in any script."""
+    # Without the step between, the optimizer takes lower(upper(x)) for lower(x).
+    upper = F.translate(F.upper(F.translate(col(text), "\u0130", "i")), FOLD_FROM, FOLD_TO)
+    return F.translate(F.lower(upper), "\u03c2" + FOLD_FROM, "\u03c3" + FOLD_TO)
+
+
+def _unicode_runs(text: Column | str, between: bool) -> Column:
+    """As :func:`runs`, with letters and digits of all scripts as word characters."""
+    inside = CLASSES["unicode"]
+    t = _unicode_folded(text)
+    found = F.split(t, f"[^{inside}]+", -1)
+    if between:
+        found = F.concat(found, F.regexp_extract_all(t, F.lit(f"([^{inside}]+)"), F.lit(1)))
+    return F.array_distinct(found)
+
+
+def runs(text: Column | str, between: bool = True, boundary: str = "ascii") -> Column:
     """Distinct runs of word characters, in lower case, and of everything ``between`` them.
 
     A masked match starts and ends at an edge, so each run inside a word that
@@ -176,6 +193,8 @@ def runs(text: Column | str, between: bool = True) -> Column:
     characters but match some: there an edge may also lie inside a run, so the
     rare runs that hold one give every stretch between their possible edges.
     """
+    if boundary == "unicode":
+        return _unicode_runs(text, between)
     t = col(text)
     # Letters whose lower case is or holds an ASCII letter; their texts are taken apart first.
     odd = [F.contains(t, F.lit(c)) for c in FOLD_FROM + "\u0130"]
@@ -202,22 +221,24 @@ def runs(text: Column | str, between: bool = True) -> Column:
     return F.array_distinct(F.concat(inside, F.transform(gaps, folded)))
 
 
-def probe(word: Column | str) -> Column:
+def probe(word: Column | str, boundary: str = "ascii") -> Column:
     """The run of a word that texts are looked up by: its longest inner run."""
-    w = folded(word)
-    inside = F.regexp_extract_all(w, F.lit(r"([0-9a-z_]+)"), F.lit(1))
+    w = _unicode_folded(word) if boundary == "unicode" else folded(word)
+    letters = CLASSES["unicode"] if boundary == "unicode" else "0-9a-z_"
+    inside = F.regexp_extract_all(w, F.lit(f"([{letters}]+)"), F.lit(1))
     longest = F.array_max(
         F.transform(inside, lambda r: F.struct(F.length(r).alias("n"), r.alias("r")))
     )["r"]
     return F.coalesce(longest, w)
 
 
-def is_run(probed: Column | str) -> Column:
+def is_run(probed: Column | str, boundary: str = "ascii") -> Column:
     """Is this probe a run of word characters?"""
-    return F.rlike(col(probed), F.lit("^[0-9a-z_]+$"))
+    letters = CLASSES["unicode"] if boundary == "unicode" else "0-9a-z_"
+    return F.rlike(col(probed), F.lit(f"^[{letters}]+$"))
 
 
-def listed_candidates(text: Column | str, words: Sequence[tuple[str, str]]) -> Column:
+def listed_candidates(text: Column | str, words: Sequence[tuple[str, str]], boundary: str = "ascii") -> Column:
     """The words of a (word, probe) list that a text may contain, sorted.
 
     One hashed intersection of the text's runs with the probes, within the row.
@@ -225,11 +246,11 @@ def listed_candidates(text: Column | str, words: Sequence[tuple[str, str]]) -> C
     text only after another mask; such words are always candidates.
     """
     ordered = sorted(words, key=lambda w: w[0].encode())
-    word_runs = re.compile("[0-9a-z_]+")
+    word_runs = re.compile(r"\w+" if boundary == "unicode" else "[0-9a-z_]+")
     late = [w for w, p in ordered if not word_runs.fullmatch(p) and "*" in w]
     between = any(not word_runs.fullmatch(p) for _, p in ordered)
     probes = F.array(*[F.lit(p) for p in dict.fromkeys(p for _, p in ordered)])
-    met = F.array_intersect(runs(text, between), probes)
+    met = F.array_intersect(runs(text, between, boundary), probes)
     if all(w == p for w, p in ordered) and not late:
         return F.array_sort(met)
     pairs = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(p).alias("p")) for w, p in ordered])
@@ -244,12 +265,12 @@ def listed_candidates(text: Column | str, words: Sequence[tuple[str, str]]) -> C
     return F.get(F.transform(F.array(met), chosen), F.lit(0))
 
 
-def mask_listed(text: Column | str, words: Sequence[tuple[str, str]]) -> Column:
+def mask_listed(text: Column | str, words: Sequence[tuple[str, str]], boundary: str = "ascii") -> Column:
     """Mask a (word, probe) list, of which a text meets only the words it may contain."""
     if not words:
         return col(text)
 
     def masked(found: Column) -> Column:
-        return F.when(F.size(found) == 0, col(text)).otherwise(mask_each(text, found))
+        return F.when(F.size(found) == 0, col(text)).otherwise(mask_each(text, found, boundary))
 
-    return F.get(F.transform(F.array(listed_candidates(text, words)), masked), F.lit(0))
+    return F.get(F.transform(F.array(listed_candidates(text, words, boundary)), masked), F.lit(0))

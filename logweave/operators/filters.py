@@ -92,10 +92,10 @@ def block_filter_as_of(
 # --- masking -----------------------------------------------------------------
 
 
-def _vocabulary(words: DataFrame) -> DataFrame:
+def _vocabulary(words: DataFrame, boundary: str = "ascii") -> DataFrame:
     """Distinct normalised words with the run texts are looked up by."""
     normal = words.select(normal_word("word").alias("word")).filter("word <> ''").distinct()
-    return normal.withColumn("run", probe("word"))
+    return normal.withColumn("run", probe("word", boundary))
 
 
 def word_candidates(
@@ -104,21 +104,22 @@ def word_candidates(
     keep: Sequence[str],
     text: str,
     listed_words: int = LISTED_WORDS,
+    boundary: str = "ascii",
 ) -> DataFrame:
     """(``keep``..., word) for every message that holds the probe run of a word.
 
     A list of at most ``listed_words`` is looked up within the row.  A longer
     one is an equi-join on runs that moves ids and runs, never whole texts.
     """
-    probed = _vocabulary(words)
+    probed = _vocabulary(words, boundary)
     few = sizing.at_most(probed, listed_words)
     if few is not None:
-        found = listed_candidates(text, [(r["word"], r["run"]) for r in few])
+        found = listed_candidates(text, [(r["word"], r["run"]) for r in few], boundary)
         return messages.select(*keep, F.explode(found).alias("word"))
     # Words that can match only after another mask meet every message.
-    late = ~is_run("run") & F.contains(F.col("word"), F.lit("*"))
-    kinds = probed.agg(F.bool_or(late).alias("late"), F.bool_or(~is_run("run")).alias("gaps")).first()
-    found = runs(text, between=bool(kinds["gaps"]))
+    late = ~is_run("run", boundary) & F.contains(F.col("word"), F.lit("*"))
+    kinds = probed.agg(F.bool_or(late).alias("late"), F.bool_or(~is_run("run", boundary)).alias("gaps")).first()
+    found = runs(text, bool(kinds["gaps"]), boundary)
     if kinds["late"]:
         every = F.lit("*every*")
         probed = probed.withColumn("run", F.when(late, every).otherwise(F.col("run")))
@@ -159,15 +160,13 @@ def mask_snapshot(
     texts by run.  In the last two a text meets only the words it may contain.
     """
     most = max(chain_words, listed_words)
-    few = sizing.at_most(_vocabulary(words), most) if most else None
+    few = sizing.at_most(_vocabulary(words, boundary), most) if most else None
     if few is not None and len(few) <= chain_words:
         ordered = sorted((r["word"] for r in few), key=str.encode)
         return messages.withColumn(text, mask_with(text, ordered, boundary))
-    if boundary != "ascii":
-        raise ValueError("lists above chain_words words are masked with ascii boundaries only")
     if few is not None and len(few) <= listed_words:
-        return messages.withColumn(text, mask_listed(text, [(r["word"], r["run"]) for r in few]))
-    pairs = word_candidates(messages, words, [id_col], text, listed_words)
+        return messages.withColumn(text, mask_listed(text, [(r["word"], r["run"]) for r in few], boundary))
+    pairs = word_candidates(messages, words, [id_col], text, listed_words, boundary)
     return _apply_candidates(messages, pairs, id_col, text, boundary)
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -129,3 +130,20 @@ def test_ids(one):
     assert one(order_keys("a", "b"), a="u", b="p") == "u:p"
     first = one(stable_request_id("a", "b"), a="u", b="p")
     assert len(first) == 32 and first == one(stable_request_id("a", "b"), a="u", b="p")
+
+
+@pytest.mark.parametrize("count", [8, 9, 60])
+def test_unicode_edges_give_one_result_for_any_length_of_list(spark, count):
+    rng = random.Random(count)
+    letters = "aséßσςİıKжЖ日_1"
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 3))).lower() for _ in range(count)}
+    words |= {"é", "$$", "x é"}
+    tokens = [*words, *(w.upper() for w in words), "é1", "$$", "***", "Σ", "x"]
+    texts = [(i, "".join(rng.choice(tokens) + rng.choice([" ", "$$", "", "'"]) for _ in range(6))) for i in range(80)]
+    messages = spark.createDataFrame(texts, "message_id int, text string")
+    listed = spark.createDataFrame([(w,) for w in words], "word string")
+    cleaned = sorted({w.strip().lower() for w in words} - {""}, key=str.encode)
+    wanted = dict(messages.select("message_id", text.mask_with("text", cleaned, "unicode")).collect())
+    for chain, most in ((0, 1000), (0, 0)):
+        found = filters.mask_snapshot(messages, listed, boundary="unicode", chain_words=chain, listed_words=most)
+        assert {r["message_id"]: r["text"] for r in found.collect()} == wanted
