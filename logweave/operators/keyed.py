@@ -95,19 +95,40 @@ def upsert(
     ``target`` without an arrival stay, also those a newer run no longer has.
     ``shape`` turns records into table rows, after all but the last are gone.
     """
-    newest = latest(arrivals, keys, arrival)
+    both = _stored_and_arrived(target, arrivals, keys, arrival, F.max_by)
+    newest = both.filter("__new IS NOT NULL").select(*keys, "__new.*")
     newest = (newest if shape is None else shape(newest)).select(*target.columns)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
+    kept = both.filter("__new IS NULL").select(*keys, "__old.*").select(*target.columns)
     return kept.unionByName(newest)
 
 
+def _stored_and_arrived(
+    target: DataFrame, arrivals: DataFrame, keys: Sequence[str], arrival: Sequence[str], pick
+) -> DataFrame:
+    """Per key its stored row and the picked arrival, either of which may be null.
+
+    Both sides go through one shuffle, combined before it; a null key is a key.
+    """
+
+    def rest(df: DataFrame) -> Column:
+        return F.struct(*[c for c in df.columns if c not in keys])
+
+    old = target.select(*keys, rest(target).alias("__old"))
+    new = arrivals.select(*keys, rest(arrivals).alias("__new"), _order(arrival).alias("__at"))
+    both = old.unionByName(new, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(
+        F.any_value("__old", True).alias("__old"), pick("__new", F.col("__at")).alias("__new")
+    )
+
+
 def insert_ignore(
     target: DataFrame, arrivals: DataFrame, keys: Sequence[str], arrival: Sequence[str]
 ) -> DataFrame:
     """Insert rows whose key is new; of several arrivals the first wins."""
-    fresh = first(arrivals, keys, arrival).select(*target.columns)
-    added = fresh.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(added)
+    both = _stored_and_arrived(target, arrivals, keys, arrival, F.min_by)
+    kept = both.filter("__old IS NOT NULL").select(*keys, "__old.*").select(*target.columns)
+    added = both.filter("__old IS NULL").select(*keys, "__new.*").select(*target.columns)
+    return kept.unionByName(added)
 
 
 def product_rows(products: DataFrame, *keep: str) -> DataFrame:

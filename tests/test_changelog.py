@@ -184,6 +184,9 @@ def test_upsert_and_insert_ignore(spark):
     )
     merged = {tuple(r) for r in keyed.upsert(target, arrivals, ["id"], ["offset"]).collect()}
     assert merged == {("a", "early-date", 1), ("b", "old", 9), ("c", "newer", 2)}
+    null_key = spark.createDataFrame([(None, "old", 1)], "id string, v string, updated int")
+    replaced = keyed.upsert(null_key, arrivals.withColumn("id", F.lit(None).cast("string")), ["id"], ["offset"])
+    assert [tuple(r) for r in replaced.collect()] == [(None, "newer", 2)]
     ignored = {tuple(r) for r in keyed.insert_ignore(target, arrivals, ["id"], ["offset"]).collect()}
     assert ignored == {("a", "old", 9), ("b", "old", 9), ("c", "new", 3)}
 
