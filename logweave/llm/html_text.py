@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.words import small_batches
+from logweave.operators.keyed import top_k
 from logweave.plans.sizing import settled, small_side
 
-# Votes of a host below this share of its best path are dropped.
-LEAST_SHARE = 0.02
+# Paths that a host may hand to its pages, best voted first; a page that has none of
+# them is read by its own best container.
+HOST_PATHS = 16
 # What a container passes of a block's score to the containers around it.
 PASSED_ON = 0.4
 
@@ -231,19 +233,17 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     small_batches(pages.sparkSession)
     votes = pages.select(*_hosted(pages, url_col, html_col)).mapInArrow(_vote, "host string, path string, score double")
     votes = settled(votes.groupBy("host", "path").agg(F.sum("score").alias("score")), "page-votes")
-    most = votes.groupBy("host").agg(F.max("score").alias("most"))
-    strong = votes.join(most, "host").filter(F.col("score") >= LEAST_SHARE * F.col("most"))
-    listed = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("turn"), "path")))
-    return strong.groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
+    ranked = top_k(votes, ["host"], [F.col("score").desc(), F.col("path")], HOST_PATHS)
+    listed = F.sort_array(F.collect_list(F.struct("rank", "path")))
+    return ranked.groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id``, ``url``, ``text`` and ``n_chars`` of every page's article.
 
     Null and empty html give an empty text; a page without containers gives all its
-    blocks; an unreadable url counts as no host.  At most ``1 / LEAST_SHARE`` paths
-    within that share of the best can take part per vote, so the list of a host is
-    short.  Rows that repeat are read each for itself.
+    blocks; an unreadable url counts as no host.  Rows that repeat are read each for
+    itself.
     """
     small_batches(pages.sparkSession, 500)
     winners = small_side(settled(host_paths(pages, url_col, html_col), "page-paths"))
