@@ -162,7 +162,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs = in_files(docs, "exact-docs")
-    dropped = groups(docs, id_col, text_col).filter("NOT kept").select(F.struct(FILE, AT).alias("_row"))
+    dropped = groups(docs, id_col, text_col).filter("NOT kept").select(F.struct(FILE, AT).alias("__row_locator"))
     dropped = small_side(settled(dropped, "exact-dropped"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))
-    return rows.join(dropped, "_row", "left_anti").drop("_row")
+    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
+    return rows.join(dropped, "__row_locator", "left_anti").drop("__row_locator")

@@ -112,6 +112,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mix itself: every row of ``docs`` with all its columns, as often as it is drawn."""
     docs = in_files(docs, "mix-docs")
     drawn = mixed(docs, id_col, text_col, source_col).filter("copies > 0")
-    drawn = drawn.select(F.struct(FILE, AT).alias("_row"), F.expr("sequence(1L, copies)").alias("_copy"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))
-    return rows.join(drawn, "_row").withColumn("_copy", F.explode("_copy")).drop("_row", "_copy")
+    drawn = drawn.select(F.struct(FILE, AT).alias("__row_locator"), F.expr("sequence(1L, copies)").alias("__copy_number"))
+    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
+    return rows.join(drawn, "__row_locator").withColumn("__copy_number", F.explode("__copy_number")).drop("__row_locator", "__copy_number")

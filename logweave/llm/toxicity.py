@@ -221,7 +221,7 @@ def clean_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of ``docs`` that the model does not reject, with all their columns."""
     docs = in_files(docs, "toxic-docs")
     found = scored(docs, train(docs, labels, id_col, text_col), id_col, text_col)
-    rejected = found.filter("predicted = 1").select(F.struct(FILE, AT).alias("_row"))
+    rejected = found.filter("predicted = 1").select(F.struct(FILE, AT).alias("__row_locator"))
     rejected = small_side(settled(rejected, "toxic-rejected"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))
-    return rows.join(rejected, "_row", "left_anti").drop("_row")
+    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
+    return rows.join(rejected, "__row_locator", "left_anti").drop("__row_locator")

@@ -15,6 +15,8 @@ DOCUMENT = T.StructType(
         T.StructField("digest", T.StringType()),
         T.StructField("rank", T.StringType()),
         T.StructField("score", T.StringType()),
+        T.StructField("_row", T.StringType()),
+        T.StructField("_copy", T.StringType()),
     ]
 )
 PROSE = (
@@ -25,7 +27,7 @@ PROSE = (
 
 def documents(spark, rows):
     """Rows of (doc_id, text, source) as a table of documents with further columns."""
-    full = [(i, text, "en", source, len(text or ""), "x", "k", "s", "d", "r", None) for i, text, source in rows]
+    full = [(i, text, "en", source, len(text or ""), "x", "k", "s", "d", "r", None, "o", "c") for i, text, source in rows]
     return spark.createDataFrame(full, DOCUMENT)
 
 
