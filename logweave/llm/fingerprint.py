@@ -142,19 +142,29 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "key",
         "next",
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fingerprint"),
-        fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        F.unhex(F.sha2("edited", 256)).alias("sha"),
+        F.unhex(fingerprint(F.col("text"))).alias("own"),
+        F.unhex(fingerprint(F.col("edited"))).alias("other"),
     )
+    # Bytes until the end: half of what hexadecimal takes on the way.
     marked = settled(marked, "ring-marked")
-    others = marked.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
-    found = marked.join(others, "next").select(
-        "key",
+    found = marked.join(marked.select(F.col("key").alias("next"), F.col("own").alias("after")), "next").drop("next")
+    if rows.count() > marked.count():  # rows that repeat get their document's values
+        found = rows.select("key").join(found, "key")
+
+    def told(name: str) -> Column:
+        return F.lower(F.hex(name))
+
+    found = found.select(
+        F.col("key.id").alias("id"),
         "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        told("sha").alias("edited_sha256"),
+        told("own").alias("fingerprint"),
+        told("other").alias("edited_fingerprint"),
+        told("after").alias("next_fingerprint"),
     )
-    return rows.select("key").join(found, "key").select(F.col("key.id").alias("id"), *found.columns[1:])
+    near = {
+        "near_edited": likeness(F.col("fingerprint"), F.col("edited_fingerprint")),
+        "near_next": likeness(F.col("fingerprint"), F.col("next_fingerprint")),
+    }
+    return found.withColumns(near).drop("next_fingerprint")
