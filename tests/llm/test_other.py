@@ -261,6 +261,20 @@ def test_packing_is_a_round_trip(spark, make, awkward, nothing):
     assert packing.pack(nothing, path).collect() == []
 
 
+def test_packing_takes_very_long_runs_of_white_space(make):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file()
+    text = f"before{' ' * 1_200_000}after"
+    ids = np.array([*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 1], "<u4")
+    found = packing.pack(make([(1, text, "s"), (2, "short", "s")]), path).collect()
+    assert {r.id for r in found} == {1, 2}
+    pieces = sorted((r for r in found if r.id == 1), key=lambda r: r.start)
+    assert sum(r.length for r in pieces) == len(ids)
+    for r in pieces:
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
 def test_mixing_meets_its_targets(make, awkward, nothing):
     rng = np.random.default_rng(10)
     rows = [(i, "w " * int(rng.integers(0, 90)), "abcde"[int(rng.integers(0, 5))]) for i in range(900)]
