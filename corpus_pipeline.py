@@ -16,6 +16,9 @@ from logweave.llm.queries import tokenizer_file
 from logweave.plans.sizing import settled
 from logweave.session import pin
 
+# Near copies of the corpus; the query op7 has its own threshold.
+NEAR_PER_CENT = 80
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean_rows(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
@@ -26,7 +29,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.kept_rows(docs)
+    return near_dedup.kept_rows(docs, per_cent=NEAR_PER_CENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

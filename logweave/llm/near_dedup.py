@@ -7,7 +7,7 @@ wrong value: for each value the chunk is looked up without it.  By the pigeonhol
 principle two signatures that differ in at most ``2 * CHUNKS - 1`` values agree on
 some chunk up to one value, so all such pairs meet under some key, and so do most
 pairs beyond.  At a similarity of 0.85 a chunk fits with probability 0.776, all ten
-fail with 3 in 10 million.
+fail with 3 in 10 million; at 0.8 with probability 0.655, all ten fail with 2 in 100,000.
 
 Keys do not emit pairs.  All that meet under a key are compared with the key's
 least class, its leader; a leader's group holds everybody it met.  Inside a group a
@@ -113,17 +113,17 @@ def leader_pairs(classes: DataFrame) -> DataFrame:
     return keys.join(met.select("key", "leader"), "key").filter("node <> leader").select("leader", "node").distinct()
 
 
-def linked(inter: np.ndarray, n: np.ndarray, m: np.ndarray | int) -> np.ndarray:
-    return 100 * inter >= PER_CENT * (n + m - inter)
+def linked(inter: np.ndarray, n: np.ndarray, m: np.ndarray | int, per_cent: int = PER_CENT) -> np.ndarray:
+    return 100 * inter >= per_cent * (n + m - inter)
 
 
-def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def forest(sets: list[np.ndarray], per_cent: int = PER_CENT) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets``, the first of which is the leader."""
     count = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     apart = [np.setxor1d(s, sets[0], assume_unique=True) for s in sets]
     far = np.array([len(d) for d in apart], np.int64)
-    near = linked((sizes + sizes[0] - far) // 2, sizes, int(sizes[0]))
+    near = linked((sizes + sizes[0] - far) // 2, sizes, int(sizes[0]), per_cent)
     root = np.arange(count)
     edges = []
     for i in np.flatnonzero(near[1:]) + 1:
@@ -144,7 +144,7 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         where = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         common = np.bincount(holders[where], minlength=count)
         differ = far + far[y] - 2 * common
-        found = linked((sizes + sizes[y] - differ) // 2, sizes, int(sizes[y]))
+        found = linked((sizes + sizes[y] - differ) // 2, sizes, int(sizes[y]), per_cent)
         found[y] = False
         for x in np.flatnonzero(found & (root != root[y])).tolist():
             if root[x] != root[y]:
@@ -153,37 +153,42 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return edges
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of groups whose rows come one after the other."""
-
-    def solve(group: list) -> list[tuple[int, int]]:
-        group.sort(key=lambda g: g[0] != g[1])
-        nodes = [g[1] for g in group]
-        return [(nodes[a], nodes[b]) for a, b in forest([g[2] for g in group])]
-
-    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        a, b = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    now, group = None, []
-    for batch in batches:
-        data, at = utf8(batch.column("text"))
-        tasks = list(zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")), strict=True))
-        nodes = batch.column("node").to_pylist()
-        for first, last in byte_groups(at):
-            sets, bounds = shingle_sets(data[at[first] : at[last]], at[first : last + 1] - at[first], SHINGLE)
-            for k in range(first, last):
-                if tasks[k] != now:
-                    if len(group) > 1 and (found := solve(group)):
-                        yield out(found)
-                    now, group = tasks[k], []
-                own = sets[bounds[k - first] : bounds[k - first + 1]]
-                group.append((tasks[k][0], nodes[k], own.copy()))
-    if len(group) > 1 and (found := solve(group)):
-        yield out(found)
-
-
-def links(docs: DataFrame, text_col: str, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _links(per_cent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spanning forests of groups whose rows come one after the other."""
+
+        def solve(group: list) -> list[tuple[int, int]]:
+            group.sort(key=lambda g: g[0] != g[1])
+            nodes = [g[1] for g in group]
+            return [(nodes[a], nodes[b]) for a, b in forest([g[2] for g in group], per_cent)]
+
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        now, group = None, []
+        for batch in batches:
+            data, at = utf8(batch.column("text"))
+            tasks = list(zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")), strict=True))
+            nodes = batch.column("node").to_pylist()
+            for first, last in byte_groups(at):
+                sets, bounds = shingle_sets(data[at[first] : at[last]], at[first : last + 1] - at[first], SHINGLE)
+                for k in range(first, last):
+                    if tasks[k] != now:
+                        if len(group) > 1 and (found := solve(group)):
+                            yield out(found)
+                        now, group = tasks[k], []
+                    own = sets[bounds[k - first] : bounds[k - first + 1]]
+                    group.append((tasks[k][0], nodes[k], own.copy()))
+        if len(group) > 1 and (found := solve(group)):
+            yield out(found)
+
+    return run
+
+
+def links(
+    docs: DataFrame, text_col: str, classes: DataFrame, pairs: DataFrame, per_cent: int = PER_CENT
+) -> DataFrame:
     """A spanning forest of the links among classes that met: ``a``, ``b``."""
     involved = pairs.select("node").union(pairs.select("leader")).distinct().join(classes, "node")
     involved = small_side(settled(involved.select("node", "text_key", "n_shingles"), "near-involved"))
@@ -219,12 +224,16 @@ def links(docs: DataFrame, text_col: str, classes: DataFrame, pairs: DataFrame)
     dealt = spread.withColumn("task", F.explode(F.when(F.col("block") < 0, whole).otherwise(own)))
     dealt = dealt.select("leader", F.col("task.i").alias("i"), F.col("task.j").alias("j"), "node", "text")
     sorted_groups = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
-    return sorted_groups.mapInArrow(_links, "a long, b long")
+    return sorted_groups.mapInArrow(_links(per_cent), "a long, b long")
 
 
-def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def grouped(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = PER_CENT
+) -> DataFrame:
     """Every row of ``docs`` (a table from :func:`rows.in_files`) with its component.
 
+    Two rows are linked if their sets are similar by ``per_cent`` or more; the keys
+    are made for 80 and above.
     Columns: ``id``, ``n_shingles``, ``component_id`` (least id reachable through
     links, its own included), ``kept`` (one row per component: a bearer of that
     id, the first by locator) and the row's locator.  Null and empty texts and
@@ -237,7 +246,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     classes = rows.filter("n_shingles > 0").groupBy("digest").agg(best)
     classes = settled(classes.select("digest", "best.*", F.monotonically_increasing_id().alias("node")), "near-classes")
     pairs = settled(leader_pairs(classes), "near-pairs")
-    found = components(settled(links(docs, text_col, classes, pairs), "near-links"), "a", "b")
+    found = components(settled(links(docs, text_col, classes, pairs, per_cent), "near-links"), "a", "b")
     roots = classes.select("digest", "node").join(small_side(found), "node", "left")
     roots = roots.select("digest", F.coalesce("root", "node").alias("root"))
     narrow = rows.select("id", "n_shingles", "digest", FILE, AT)
@@ -262,10 +271,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return grouped(in_files(docs, "near-docs"), id_col, text_col).drop(FILE, AT)
 
 
-def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = PER_CENT
+) -> DataFrame:
     """One row of ``docs`` per component, with all its columns."""
     docs = in_files(docs, "near-docs")
-    dropped = grouped(docs, id_col, text_col).filter("NOT kept").select(F.struct(FILE, AT).alias("__row_locator"))
+    dropped = grouped(docs, id_col, text_col, per_cent).filter("NOT kept")
+    dropped = dropped.select(F.struct(FILE, AT).alias("__row_locator"))
     dropped = small_side(settled(dropped, "near-dropped"))
     rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
     return rows.join(dropped, "__row_locator", "left_anti").drop("__row_locator")

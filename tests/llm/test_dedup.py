@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from logweave.llm import exact_dedup, near_dedup, suffix_dedup, suffixes
 from logweave.llm.components import components
 from logweave.llm.rows import in_files, ranked
@@ -125,6 +126,35 @@ def test_near_awkward_rows(awkward):
     assert near_dedup.kept_rows(awkward).count() == sum(r.kept for r in found)
 
 
+def test_pipeline_stages_equal_brute_force(spark, make):
+    rng = random.Random(11)
+    texts = []
+    for family in range(12):
+        base = [f"{family}x{k}" for k in range(100)]
+        texts.append(" ".join(base))
+        texts.append(" ".join(w if k not in (30, 60) else f"new{family}" for k, w in enumerate(base)))
+        texts.append(" ".join(base[: 90 - family]))
+    texts += [texts[0], texts[4], "", None, "short text"]
+    rng.shuffle(texts)
+    sets = [shingles(t) for t in texts]
+
+    def likeness(a, b):
+        return len(a & b) / len(a | b) if a | b else 0.0
+
+    assert sum(0.8 <= likeness(a, b) < 0.85 for k, a in enumerate(sets) for b in sets[:k]) >= 12
+    exact = corpus_pipeline.without_copies(spark, make([(i, t, "s") for i, t in enumerate(texts)]), "")
+    left = sorted(r.doc_id for r in exact.collect())
+    assert left == sorted(max(ids) for ids in by_text([(i, t, None) for i, t in enumerate(texts)]).values())
+    root = {i: i for i in left}
+    for a in left:
+        for b in left:
+            if b < a and likeness(sets[a], sets[b]) >= 0.8:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+    kept = corpus_pipeline.without_near_copies(spark, exact, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
+
+
 def test_signatures_within_the_radius_always_share_a_key(spark):
     rng = np.random.default_rng(3)
     radius = 2 * near_dedup.CHUNKS - 1
