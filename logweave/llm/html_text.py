@@ -3,8 +3,10 @@
 A container's path is the tags and classes from the root down, without digits and
 ids, so that pages of one template share it.  Each page votes for the path of its
 best container with that container's score; votes are summed per host and path in
-Spark.  Then every page is read again, and the text is taken from the containers on
-the path its host ranks first among those that the page has.
+Spark.  Each page's own paths are joined with all votes of its host, however many,
+and the best voted one is its winner.  Then every page is read again, and the text is
+taken from the containers on the winning path.  Only winners that are not the path the
+page voted for itself are sent along, by the page's locator.
 """
 
 from __future__ import annotations
@@ -18,13 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweave.llm.rows import AT, FILE, in_files, located
 from logweave.llm.words import small_batches
-from logweave.operators.keyed import top_k
 from logweave.plans.sizing import settled, small_side
 
-# Paths that a host may hand to its pages, best voted first; a page that has none of
-# them is read by its own best container.
-HOST_PATHS = 16
 # What a container passes of a block's score to the containers around it.
 PASSED_ON = 0.4
 
@@ -198,23 +197,33 @@ def text_of(page: Page, paths: list[str]) -> str:
     return " ".join(page.blocks if own is None else page.blocks[own.first : own.last])
 
 
+def own_path(page: Page) -> tuple[str | None, float]:
+    """The path a page votes for, with its vote; no path where nothing scores."""
+    found = best(page)
+    return (found.path, found.score) if found is not None and found.score > 0 else (None, 0.0)
+
+
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, scores = [], [], []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            found = best(parse(html))
-            if found is not None and found.score > 0:
-                hosts.append(host)
-                paths.append(found.path)
-                scores.append(found.score)
-        columns = [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "path", "score"])
+        own, scores, paths = [], [], []
+        for html in batch.column("html").to_pylist():
+            page = parse(html)
+            path, score = own_path(page)
+            own.append(path)
+            scores.append(score)
+            paths.append(sorted({c.path for c in page.containers if c.last > c.first}))
+        kept = [batch.column(name) for name in (FILE, AT, "host")]
+        columns = [*kept, pa.array(own, pa.string()), pa.array(scores, pa.float64()), pa.array(paths, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, [FILE, AT, "host", "own", "score", "paths"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        htmls, paths = batch.column("html").to_pylist(), batch.column("paths").to_pylist()
-        texts = [text_of(parse(html), ranked or []) for html, ranked in zip(htmls, paths, strict=True)]
+        texts = []
+        for html, winner in zip(batch.column("html").to_pylist(), batch.column("winner").to_pylist(), strict=True):
+            page = parse(html)
+            path = own_path(page)[0] if winner is None else winner
+            texts.append(text_of(page, [] if path is None else [path]))
         columns = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text"])
 
@@ -224,18 +233,22 @@ def _hosted(pages: DataFrame, url_col: str, html_col: str):
     return host.alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per ``host`` its voted ``paths``, best first.
+def winners(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """The best voted path of each page (of a table from :func:`rows.in_files`) that is not its own vote.
 
-    Sums per host and path are combined before the shuffle, so a host with a third
-    of all pages sends one row per path and task.  Pages without a host vote together.
+    Columns: the page's locator and ``winner``.  Sums per host and path are combined
+    before the shuffle, so a host with a third of all pages sends one row per path and
+    task.  Pages without a host vote together.
     """
-    small_batches(pages.sparkSession)
-    votes = pages.select(*_hosted(pages, url_col, html_col)).mapInArrow(_vote, "host string, path string, score double")
-    votes = settled(votes.groupBy("host", "path").agg(F.sum("score").alias("score")), "page-votes")
-    ranked = top_k(votes, ["host"], [F.col("score").desc(), F.col("path")], HOST_PATHS)
-    listed = F.sort_array(F.collect_list(F.struct("rank", "path")))
-    return ranked.groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
+    rows = located(pages, *_hosted(pages, url_col, html_col))
+    schema = f"{FILE} string, {AT} long, host string, own string, score double, paths array<string>"
+    read = settled(rows.mapInArrow(_vote, schema), "page-paths")
+    votes = read.filter("own IS NOT NULL").groupBy("host", F.col("own").alias("path")).agg(F.sum("score").alias("votes"))
+    votes = small_side(settled(votes, "page-votes"))
+    had = read.select(FILE, AT, "own", "host", F.explode("paths").alias("path")).join(votes, ["host", "path"])
+    first = F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("winner")
+    chosen = had.groupBy(FILE, AT).agg(first, F.any_value("own").alias("own"))
+    return chosen.filter("NOT winner <=> own").select(FILE, AT, "winner")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -246,10 +259,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     itself.
     """
     small_batches(pages.sparkSession, 500)
-    winners = small_side(settled(host_paths(pages, url_col, html_col), "page-paths"))
-    host, html = _hosted(pages, url_col, html_col)
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host, html)
+    pages = in_files(pages, "pages")
+    other = small_side(settled(winners(pages, url_col, html_col), "page-winners"))
+    _, html = _hosted(pages, url_col, html_col)
+    rows = located(pages, F.col(id_col).alias("id"), F.col(url_col).alias("url"), html)
     kinds = dict(rows.dtypes)
-    read = rows.join(winners, "host", "left").select("id", "url", "html", "paths")
+    read = rows.join(other, [FILE, AT], "left").select("id", "url", "html", "winner")
     found = read.mapInArrow(_extract, f"id {kinds['id']}, url {kinds['url']}, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -142,6 +142,19 @@ def test_hosts_vote(spark, nothing):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_hosts_with_many_templates_vote_on_all_of_them(spark):
+    template = "<html><body><main class='%s'><p>%s</p></main><div class='box'><p>%s</p></div></body></html>"
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(40)]
+    rows = []
+    for k, name in enumerate(names):
+        # The later a template, the fewer votes it has; its last page has a box that outscores the article.
+        rows += [(len(rows) + j, "http://big.example", template % (name, "main words " * (90 - k), "box")) for j in range(3)]
+        rows += [(1000 + k, "http://big.example", template % (name, f"short {name}", "very long box text " * 2))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.id: r.text for r in html_text.extract(pages).collect()}
+    assert [found[1000 + k] for k in range(40)] == [f"short {name}" for name in names]
+
+
 def labelled(spark):
     rng = np.random.default_rng(6)
     vocabulary = [f"v{k}" for k in range(400)]
