@@ -1,8 +1,9 @@
 """HTML extraction: containers are scored per page, hosts vote on paths, winners extract.
 
 A container's path is the tags and classes from the root down, without digits and
-ids, so that pages of one template share it.  Each page votes for the path of its
-best container with that container's score; votes are summed per host and path in
+ids, so that pages of one template share it.  A page's best container is widened to the
+article or other container around it as long as what that adds is mostly unlinked text.
+Each page votes for the path so found with the best container's score; votes are summed per host and path in
 Spark.  Each page's own paths are joined with all votes of its host, however many,
 and the best voted one is its winner.  Then every page is read again, and the text is
 taken from the containers on the winning path.  Only winners that are not the path the
@@ -53,6 +54,8 @@ ENDED_BY = {
     "th": frozenset({"td", "th", "tr"}),
     "option": frozenset({"option"}),
 }
+# An article is not widened beyond these.
+WHOLE = frozenset({"article", "main"})
 _KEPT = frozenset({"html", "body", "article", "main"})
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)", re.DOTALL
@@ -68,6 +71,8 @@ class Container:
     last: int = -1
     score: float = 0.0
     depth: int = 0
+    tag: str = ""
+    around: Container | None = None
 
 
 @dataclass
@@ -75,6 +80,8 @@ class Page:
     """Blocks of text in page order, and the containers with the blocks they span."""
 
     blocks: list[str] = field(default_factory=list)
+    # Of each block, how many characters are links.
+    linked: list[int] = field(default_factory=list)
     containers: list[Container] = field(default_factory=list)
 
 
@@ -104,6 +111,7 @@ def parse(html: str) -> Page:
             block = " ".join("".join(text).split())
             if block:
                 page.blocks.append(block)
+                page.linked.append(linked)
                 worth = max(0.0, len(block) - 2.0 * linked) * (1.0 if len(block) >= 25 else 0.3)
                 for _, _, _, container in reversed(stack):
                     if container is not None:
@@ -171,7 +179,8 @@ def parse(html: str) -> Page:
         path = f"{parent[1]}>{'.'.join([tag, *names])}" if tag in BLOCKS else parent[1]
         container = None
         if tag in CONTAINERS and not out:
-            container = Container(path, len(page.blocks), depth=len(stack))
+            around = next((c for _, _, _, c in reversed(stack) if c is not None), None)
+            container = Container(path, len(page.blocks), depth=len(stack), tag=tag, around=around)
             page.containers.append(container)
         if tag == "a":
             links += 1
@@ -186,6 +195,24 @@ def best(page: Page) -> Container | None:
     return max(page.containers, key=lambda c: (c.score, -c.depth, -c.first), default=None)
 
 
+def widened(page: Page, found: Container) -> Container:
+    """``found``, or what is around it while the blocks that this adds are mostly unlinked text.
+
+    An article is whole, and the body is no article.  An article or main element that
+    adds nothing counts as well, so that pages of a template vote for the same path.
+    """
+    around = found.around
+    while around is not None and around.tag != "body" and found.tag not in WHOLE:
+        added = [*range(around.first, found.first), *range(found.last, around.last)]
+        size, linked = sum(len(page.blocks[k]) for k in added), sum(page.linked[k] for k in added)
+        if 2 * linked > size:
+            break
+        if added or around.tag in WHOLE:
+            found = around
+        around = around.around
+    return found
+
+
 def text_of(page: Page, paths: list[str]) -> str:
     """The blocks under the first of ``paths`` that has text here, else under the page's best container."""
     for path in paths:
@@ -194,13 +221,14 @@ def text_of(page: Page, paths: list[str]) -> str:
             chosen = sorted({k for first, last in spans for k in range(first, last)})
             return " ".join(page.blocks[k] for k in chosen)
     own = best(page)
+    own = own and widened(page, own)
     return " ".join(page.blocks if own is None else page.blocks[own.first : own.last])
 
 
 def own_path(page: Page) -> tuple[str | None, float]:
     """The path a page votes for, with its vote; no path where nothing scores."""
     found = best(page)
-    return (found.path, found.score) if found is not None and found.score > 0 else (None, 0.0)
+    return (widened(page, found).path, found.score) if found is not None and found.score > 0 else (None, 0.0)
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

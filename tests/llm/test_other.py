@@ -142,6 +142,25 @@ def test_hosts_vote(spark, nothing):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_articles_of_several_containers_are_whole():
+    def text(html):
+        page = html_text.parse(html)
+        path, _ = html_text.own_path(page)
+        assert html_text.text_of(page, []) == html_text.text_of(page, [path])
+        return html_text.text_of(page, [path])
+
+    one, two = ("first part " * 28).strip(), ("second part " * 26).strip()
+    around = "<html><body><div class='links'><a href='/'>%s</a></div>%s<div class='box'>box text</div></body></html>"
+    parts = f"<div class='intro'><p>{one}</p></div><div class='story'><p>{two}</p></div>"
+    headed = f"<h1>A title</h1><p>A lead.</p><div class='body'><p>{one}</p><p>{two}</p></div>"
+    for tag in ("article", "main", "div class='entry'"):
+        close = tag.split()[0]
+        assert text(around % ("menu", f"<{tag}>{parts}</{close}>")) == f"{one} {two}"
+        assert text(around % ("menu", f"<{tag}>{headed}</{close}>")) == f"A title A lead. {one} {two}"
+    listed = "".join(f"<div><a href='/{k}'>another article {k}</a></div>" for k in range(9))
+    assert text(around % ("menu", f"<section>{listed}<div class='body'><p>{one}</p></div></section>")) == one
+
+
 def test_hosts_with_many_templates_vote_on_all_of_them(spark):
     template = "<html><body><main class='%s'><p>%s</p></main><div class='box'><p>%s</p></div></body></html>"
     names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(40)]
