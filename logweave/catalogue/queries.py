@@ -697,7 +697,24 @@ def q_gen_events(spark, sf):
 # --- streams ------------------------------------------------------------------
 
 
-def _stream_log(spark, sf, home):
+def _in_turn(rows, position, parts, path, stream):
+    """Rows written by ranges of a bigint ``position``, each range streamed before the next is written.
+
+    A range is one micro-batch, in as many files as its tasks write.
+    """
+    shares = F.array(*(F.lit(k / parts) for k in range(1, parts)))
+    found = rows.agg(F.percentile_approx(position, shares, F.lit(10_000))).first()[0] or []
+    ends = sorted(set(found))
+    # Rows without a position are in the first range.
+    at = F.lit(0)
+    for end in ends:
+        at = at + F.when(position > F.lit(end), 1).otherwise(0)
+    for part in range(len(ends) + 1):
+        rows.filter(at == part).write.mode("append").parquet(path)
+        stream().awaitTermination()
+
+
+def _stream_log(spark, sf):
     """The mixed log of the product filter."""
     rows = src.events(spark, sf)
     kind = F.col("event_type")
@@ -712,7 +729,7 @@ def _stream_log(spark, sf, home):
         )
     )
     is_view = kind == "view"
-    log = rows.select(
+    return rows.select(
         F.when(is_view, F.lit("products.raw")).otherwise(F.lit("blacklist.commands")).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
@@ -720,20 +737,21 @@ def _stream_log(spark, sf, home):
         F.when(is_view, product).otherwise(command).alias("value"),
         F.col("ts").alias("timestamp"),
     )
-    path = f"{home}/log"
-    log.write.parquet(path)
-    return path
 
 
 @query
 def q_stream_deny(spark, sf):
     """The denylist filter as a stream that decides every record at once; no row is held back."""
     home = scratch_dir(spark, "stream-deny")
-    path = _stream_log(spark, sf, home)
-    log = spark.readStream.schema(schemas.LOG).parquet(path)
-    accepted = jobs.filter_products(log, delay=None, salts=2)
-    sinks.run(accepted, f"{home}/checkpoint", f"{home}/out").awaitTermination()
-    return spark.read.schema(accepted.schema).parquet(f"{home}/out").select(
+    writer = jobs.filter_products_writer(f"{home}/out", f"{home}/state")
+
+    def stream():
+        log = spark.readStream.schema(schemas.LOG).parquet(f"{home}/log")
+        return sinks.run(log, f"{home}/checkpoint", writer=writer)
+
+    _in_turn(_stream_log(spark, sf), epoch_micros("timestamp"), 4, f"{home}/log", stream)
+    kept = "key string, value string, timestamp timestamp, seq long"
+    return spark.read.schema(kept).parquet(f"{home}/out").select(
         F.col("seq").alias("event_id"), F.col("key").cast("int").alias("key")
     )
 

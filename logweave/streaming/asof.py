@@ -38,6 +38,8 @@ class DecideAtOnce(StatefulProcessor):
 
     The rows of a batch are replayed in event-time order; a control row that
     arrives in a later batch than a data row after it comes too late for that row.
+    The rows that a batch has of one key and salt are sorted in memory; for batches
+    without a bound, :func:`logweave.streaming.jobs.filter_products_writer` cuts them.
     """
 
     def __init__(self, given: StructType, emitted: Sequence[str]):

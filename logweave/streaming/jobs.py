@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from logweave import schemas
 from logweave.functions import records
+from logweave.functions.times import epoch_micros
 from logweave.functions.text import is_blank, mask_each, normal_word, trimmed
 from logweave.operators import changelog as cl
 from logweave.operators import logs
 from logweave.operators.validate import deliverable
-from logweave.streaming import asof
+from logweave.plans import pieces
+from logweave.streaming import asof, sinks
+
+# Before every position and sequence: where the state of earlier batches stands.
+FIRST = -(1 << 63)
 
 
 def _decoded(log: DataFrame, topic: str, schema, on_error: str) -> DataFrame:
@@ -41,6 +46,10 @@ def _control(rows: DataFrame, action: Column, arguments: Column, *keys: Column)
     )
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("pos", F.coalesce(epoch_micros("timestamp"), F.lit(FIRST)))
+
+
 def _data(rows: DataFrame, *columns: Column | str) -> DataFrame:
     return rows.select(
         *columns, "timestamp", F.col("offset").alias("seq"), F.lit(asof.DATA).alias("kind")
@@ -65,6 +74,40 @@ def filter_products(
     return asof.without_items(seen)
 
 
+def filter_products_writer(
+    path: str,
+    state: str,
+    products: str = "products.raw",
+    commands: str = "blacklist.commands",
+    on_error: str = "skip",
+    rows_per_piece: int | None = None,
+) -> sinks.Writer:
+    """:func:`filter_products` without a delay, for micro-batches of any size.
+
+    A batch is resolved by :func:`pieces.as_of`, which cuts a hot key along time, so no
+    task holds a key's rows.  What batches before it left denied comes first; what a
+    batch changes is a delta below ``state``, so a replay overwrites its own.
+    """
+    stored = "key string, denied boolean, batch long"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        orders = _decoded(batch, commands, schemas.DENY_COMMAND, on_error)
+        known = _placed(orders.filter(F.col("record.action").isin(cl.ADD, cl.REMOVE)))
+        denied = (F.col("record.action") == cl.ADD).alias("denied")
+        control = known.select("key", "pos", F.col("offset").alias("seq"), denied)
+        changed = control.groupBy("key").agg(F.max_by("denied", F.struct("pos", "seq")).alias("denied"))
+        changed.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        before = batch.sparkSession.read.schema(stored).parquet(state).filter(F.col("batch") < batch_id)
+        before = before.groupBy("key").agg(F.max_by("denied", "batch").alias("denied")).filter("denied")
+        before = before.select("key", F.lit(FIRST).alias("pos"), F.lit(FIRST).alias("seq"), "denied")
+        data = _data(_placed(_decoded(batch, products, schemas.PRODUCT, on_error)), "key", "value", "pos").drop("kind")
+        seen = pieces.as_of(data, before.unionByName(control), ["key"], "pos", "seq", "denied", rows_per_piece)
+        kept = seen.filter(~F.coalesce("denied", F.lit(False))).select("key", "value", "timestamp", "seq")
+        kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
 def unblocked_messages(
     log: DataFrame,
     messages: str = "messages",

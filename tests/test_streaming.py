@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweave import schemas
+from logweave.catalogue import queries
 from logweave.operators import filters, keyed
 from logweave.sources import generate
 from logweave.streaming import asof, jobs, sinks
@@ -86,6 +87,40 @@ def test_nothing_is_held_back_or_lost_without_a_delay(spark, tmp_path):
     assert [(r["offset"], r["value"]) for r in bad] == [(6, "no json")]
 
 
+def test_hot_keys_of_a_micro_batch_are_cut(spark, tmp_path, monkeypatch):
+    """The query holds no key's rows in one processor, and batches in turn equal the log as a whole."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        key = rng.choice("hhhha")
+        t = 1_700_000_000.0 + i // 3
+        action = rng.choice(["add", "remove", "pause"])
+        value = {"product_id": key, "name": "p"} if i % 2 else {"action": action, "product_id": key}
+        rows.append(("products.raw" if i % 2 else "blacklist.commands", 0, i, key, json.dumps(value), t))
+    path, out, ckpt, state = (str(tmp_path / n) for n in ("log", "out", "ckpt", "state"))
+    writer = jobs.filter_products_writer(out, state, rows_per_piece=7)
+    for first in (0, 60):
+        write(spark, rows[first : first + 60], path)
+        log = spark.readStream.schema(schemas.LOG).parquet(path)
+        sinks.run(log, ckpt, writer=writer).awaitTermination()
+    wanted, denied = [], set()
+    for topic, _, i, key, value, _ in sorted(rows, key=lambda r: (r[5], r[0] == "products.raw", r[2])):
+        if topic == "products.raw":
+            wanted += [] if key in denied else [i]
+        else:
+            denied = asof.changed(denied, json.loads(value)["action"], [key]) if "pause" not in value else denied
+    assert sorted(r["seq"] for r in spark.read.parquet(out).collect()) == sorted(wanted)
+    # A replayed batch sees what came before it, not what it wrote itself.
+    writer(spark.read.schema(schemas.LOG).parquet(path).filter("offset >= 60"), 1)
+    assert sorted(r["seq"] for r in spark.read.parquet(out).collect()) == sorted(wanted)
+
+    def held(*_):
+        raise AssertionError("rows of a key are sorted in one processor")
+
+    monkeypatch.setattr(asof, "DecideAtOnce", held)
+    assert queries.all_queries()["q_stream_deny"](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_requests_are_never_inserted_twice(spark, tmp_path):
     src, path = str(tmp_path / "in"), str(tmp_path / "table")
     schema = "request_id string, body string, offset bigint"
