@@ -776,17 +776,14 @@ def q_stream_upsert(spark, sf):
     """Arrivals streamed into per-batch deltas, merged when read."""
     home = scratch_dir(spark, "stream-upsert")
     rows = _by_user_and_k(spark, sf, "view")
-    # Four batches, one file each, in the order of arrival.
-    last = max(1, rows.agg(F.max("seq")).first()[0] or 1)
-    for part in range(4):
-        some = rows.filter(F.floor(F.col("seq") * 4 / F.lit(last + 1)) == part)
-        some.coalesce(1).write.mode("append").parquet(f"{home}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
     keys = ["user_id", "product_id"]
-    run = sinks.run(
-        stream, f"{home}/checkpoint", writer=sinks.upsert_writer(f"{home}/table", keys, SEQ)
-    )
-    run.awaitTermination()
+
+    def stream():
+        arrivals = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
+        return sinks.run(arrivals, f"{home}/checkpoint", writer=sinks.upsert_writer(f"{home}/table", keys, SEQ))
+
+    # Four batches in the order of arrival.
+    _in_turn(rows, F.col("seq"), 4, f"{home}/in", stream)
     return sinks.read_table(spark, f"{home}/table", rows.schema, keys, SEQ)
 
 
@@ -797,11 +794,11 @@ def q_stream_requests(spark, sf):
     rows = src.events(spark, sf).select(
         F.concat_ws(":", "user_id", "k").alias("request_id"), F.col("event_id").alias("seq")
     )
-    last = max(1, rows.agg(F.max("seq")).first()[0] or 1)
-    for part in range(3):
-        some = rows.filter(F.floor(F.col("seq") * 3 / F.lit(last + 1)) == part)
-        some.coalesce(1).write.mode("append").parquet(f"{home}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
     writer = sinks.insert_ignore_writer(f"{home}/table", ["request_id"], SEQ)
-    sinks.run(stream, f"{home}/checkpoint", writer=writer).awaitTermination()
+
+    def stream():
+        arrivals = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
+        return sinks.run(arrivals, f"{home}/checkpoint", writer=writer)
+
+    _in_turn(rows, F.col("seq"), 3, f"{home}/in", stream)
     return sinks.read_first(spark, f"{home}/table", rows.schema, ["request_id"], SEQ)

@@ -121,6 +121,22 @@ def test_hot_keys_of_a_micro_batch_are_cut(spark, tmp_path, monkeypatch):
     assert queries.all_queries()["q_stream_deny"](spark, "/root/testdata/sf0.001").count() > 0
 
 
+def test_ranges_are_batches_that_many_tasks_write(spark, tmp_path):
+    src, ckpt, seen = str(tmp_path / "in"), str(tmp_path / "c"), []
+    rows = spark.range(400).select(F.col("id").alias("seq")).repartition(5)
+
+    def write(batch, batch_id):
+        found = batch.agg(F.min("seq"), F.max("seq"), F.count("seq")).first()
+        seen.append((*found, len(list((tmp_path / "in").glob("part-*")))))
+
+    queries._in_turn(
+        rows, F.col("seq"), 4, src, lambda: sinks.run(spark.readStream.schema(rows.schema).parquet(src), ckpt, writer=write)
+    )
+    assert len(seen) == 4 and sum(n for _, _, n, _ in seen) == 400
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+    assert all(b[3] - a[3] > 1 for a, b in zip([(0, 0, 0, 0), *seen], seen))
+
+
 def test_requests_are_never_inserted_twice(spark, tmp_path):
     src, path = str(tmp_path / "in"), str(tmp_path / "table")
     schema = "request_id string, body string, offset bigint"
