@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and windows of high Shannon entropy per character class.
 
-Candidates of a class are the maximal runs of its characters that mix letters and
-digits.  A window slides over a candidate; its entropy follows from the counts of
+Candidates of a class are the maximal runs of its characters that mix letters with
+digits or small letters with capitals, cut where a word of the allow-list stands.  A
+window slides over a candidate; its entropy follows from the counts of
 its characters, of which a step changes two.  Windows at or above the class's
 threshold are merged into spans, and spans that an allow-list knows are dropped.
 """
@@ -45,9 +46,10 @@ CLASSES = (
     CharClass("entropy_hex", _DIGITS + "abcdefABCDEF", 16, 3.0),
     CharClass("entropy_base64", _DIGITS + _LOWER + _LOWER.upper() + "+/_=-", 20, 3.7),
 )
+# Words of what is no secret; windows that overlap one do not count.
+WORDS = re.compile(r"example|sample|dummy|placeholder|changeme|xxxx|0123456789", re.IGNORECASE)
 # What looks random but is no secret, matched against a whole span.
 ALLOW = (
-    r"(?i).*(example|sample|dummy|placeholder|changeme|xxxx|0123456789).*",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"[0-9+/_=-]+",
 )
@@ -64,6 +66,7 @@ def _mask(chars: str) -> np.ndarray:
 _HEX = _mask(_DIGITS + "abcdef")
 _DIGIT = _mask(_DIGITS)
 _LETTER = _mask(_LOWER + _LOWER.upper())
+_SMALL = _mask(_LOWER)
 _TABLES = {c.kind: _mask(c.chars) for c in CLASSES}
 
 
@@ -106,6 +109,15 @@ def high_windows(text: str, window: int, bits: float) -> list[tuple[int, int]]:
     return found
 
 
+def between_words(text: str) -> list[tuple[int, int]]:
+    """The parts of a run that hold no word of the allow-list."""
+    parts, first = [], 0
+    for word in WORDS.finditer(text):
+        parts.append((first, word.start()))
+        first = word.end()
+    return [*parts, (first, len(text))]
+
+
 def _chars(raw: np.ndarray, places: list[int]) -> list[int]:
     """Code points before each byte offset of a text; offsets ascend."""
     out, seen, last = [], 0, 0
@@ -131,16 +143,20 @@ def scan(data: np.ndarray, at: np.ndarray, allow: Sequence[re.Pattern]) -> list[
     put("hex", *runs(_HEX[data], at, LEAST_HEX))
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data], dtype=np.int64)])
     letters = np.concatenate([[0], np.cumsum(_LETTER[data], dtype=np.int64)])
+    small = np.concatenate([[0], np.cumsum(_SMALL[data], dtype=np.int64)])
     blob = data.tobytes()
     for c in CLASSES:
         starts, ends = runs(_TABLES[c.kind][data], at, c.window)
-        both = (digits[ends] > digits[starts]) & (letters[ends] > letters[starts])
+        n_letters, n_small = letters[ends] - letters[starts], small[ends] - small[starts]
+        mixed_case = (n_small > 0) & (n_small < n_letters)
+        both = ((digits[ends] > digits[starts]) & (n_letters > 0)) | mixed_case
         found = []
         for s, e in zip(starts[both].tolist(), ends[both].tolist(), strict=True):
             text = blob[s:e].decode("ascii")
-            for a, b in high_windows(text, c.window, c.bits):
-                if not any(rule.fullmatch(text, a, b) for rule in allow):
-                    found.append((s + a, s + b))
+            for first, last in between_words(text):
+                for a, b in high_windows(text[first:last], c.window, c.bits):
+                    if not any(rule.fullmatch(text, first + a, first + b) for rule in allow):
+                        found.append((s + first + a, s + first + b))
         if found:
             put(c.kind, *map(np.array, zip(*found, strict=True)))
 

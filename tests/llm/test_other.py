@@ -106,6 +106,18 @@ def test_secrets_equal_plain_patterns(make):
     assert "entropy_base64" in found[4].spans and "entropy_hex" not in found[4].spans
 
 
+def test_allowed_words_spare_only_what_overlaps_them():
+    key = "Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg8Qz"
+    for text in (f"sample/{key}", f"example_{key}", f"{key}-dummy", f"{key}=EXAMPLE={key}"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        (spans,) = secrets.scan(data, np.array([0, len(data)]), [])
+        assert len(spans) == text.count(key)
+        assert all(key in text[a:b] and not secrets.WORDS.search(text[a:b]) for _, a, b in spans)
+    for text, wanted in (("kXqWzRbTnYpLmVcJhGfD", 1), ("thequickbrownfoxjumps", 0), ("example" * 6, 0)):
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert len(secrets.scan(data, np.array([0, len(data)]), [])[0]) == wanted
+
+
 def test_secrets_of_awkward_and_empty_tables(awkward, nothing):
     assert secrets.find(nothing).collect() == []
     found = {r.id: r for r in secrets.find(awkward).collect()}
