@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import (
+    centroids,
     exact_dedup,
     fingerprint,
     html_text,
+    line_dedup,
     mixing,
     near_dedup,
     packing,
@@ -18,6 +20,7 @@ from logweave.llm import (
     secrets,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 from logweave.session import pin
 
@@ -110,3 +113,20 @@ def op10_mixing(spark, sf):
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@query
+def op11_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_line_dedup(spark, sf):
+    found = line_dedup.dedup(table(spark, sf, "documents"))
+    kept = F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", kept)
+
+
+@query
+def op13_centroids(spark, sf):
+    return centroids.cluster(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
