@@ -162,6 +162,29 @@ FROM (
       CASE WHEN u.query IS NOT NULL AND contains(lower(p_name), lower(u.query)) THEN 1 ELSE 0 END AS m
     FROM users u CROSS JOIN part)) WHERE rank <= 3"""
     )
+    sql["q_recommendations"] = (
+        _with(
+            EV,
+            CLIENT,
+            """asked AS (
+  SELECT user_id, requested_at, request_id, request_type, substr(query, 1, CAST(1 + request_id % 5 AS INT)) AS query
+  FROM client)""",
+            SEARCHES.replace("FROM client", "FROM asked"),
+            USERS.replace("FROM client", "FROM asked"),
+            """items AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name || ' v3' AS product_name,
+    (p_partkey * 7 + 33) % 40 AS available FROM part)""",
+        )
+        + f"""SELECT CAST(user_id AS VARCHAR) AS user_id, product_id, product_name,
+  CASE WHEN m = 1 THEN '{MATCH_REASON}' ELSE '{STOCK_REASON}' END AS reason,
+  epoch_us(TIMESTAMP '2024-05-06 07:08:09') AS generated_us
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY m DESC, available DESC, product_id) AS rank
+  FROM (
+    SELECT u.user_id, i.*,
+      CASE WHEN u.query IS NOT NULL AND contains(lower(product_name), lower(u.query)) THEN 1 ELSE 0 END AS m
+    FROM users u CROSS JOIN items i)) WHERE rank <= 3"""
+    )
     sql["q_latest_product"] = """SELECT product_id, updated_us, l_orderkey, l_linenumber, value FROM (
   SELECT l_partkey AS product_id, epoch_us(l_shipdate) AS updated_us, l_orderkey, l_linenumber,
     l_extendedprice AS value, row_number() OVER (PARTITION BY l_partkey

@@ -49,10 +49,48 @@ def all_queries() -> dict[str, Query]:
 def q_recs_pruned(spark, sf):
     users = recommend.users_with_query(src.client_events(spark, sf))
     ranked = recommend.recommend(users, src.catalog(spark, sf))
-    labelled = F.when(F.col("query_match") == 1, F.lit(recommend.MATCH_REASON)).otherwise(
-        F.lit(recommend.STOCK_REASON)
+    return recommend.with_labels(ranked, "rank").drop("generated_at")
+
+
+@query
+def q_recommendations(spark, sf):
+    """The whole job on files: versions of products and searches as JSON Lines, results as a JSON folder."""
+    home = scratch_dir(spark, "recommendations")
+    versions = _product_versions(spark, sf)
+    lake.write_json(versions.filter("version < 2").drop("version"), f"{home}/products/day=1")
+    lake.write_json(versions.filter("version = 2").drop("version"), f"{home}/products/day=2")
+    searches = src.client_events(spark, sf).select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.format_string("%09d", "request_id").alias("request_id"),
+        "request_type",
+        F.col("query").substr(F.lit(1), F.lit(1) + F.col("request_id").cast("int") % 5).alias("query"),
+        nano_text("requested_at").alias("requested_at"),
+    )
+    lake.write_json(searches, f"{home}/events")
+    products = lake.read_json_lines(spark, f"{home}/products/day=*/part-*", schemas.PRODUCT)
+    events = lake.read_json_lines(spark, f"{home}/events", schemas.CLIENT_EVENT)
+    found = recommend.recommendations(products, events, now=F.lit("2024-05-06 07:08:09.5").cast("timestamp"))
+    lake.write_json(found, f"{home}/out")
+    return lake.read_results(spark, f"{home}/out", schemas.RECOMMENDATION).select(
+        "user_id", "product_id", "product_name", "reason", epoch_micros("generated_at").alias("generated_us")
+    )
+
+
+def _product_versions(spark, sf):
+    """Three versions of every part, the newest in no fixed place; names and stocks differ between them."""
+    n = F.col("product_id").cast("bigint")
+    each = src.products(spark, sf).withColumn("version", F.explode(F.array(*map(F.lit, range(3)))))
+    day = (n + F.col("version")) % 3 + 1
+    stamp = F.timestamp_seconds(F.unix_seconds("updated_at") + day * 86_400)
+    stock = F.struct(((n * 7 + day * 11) % 40).cast("int").alias("available"), F.lit(0).alias("reserved"))
+    return each.withColumns(
+        {
+            "updated_at": nano_text(stamp),
+            "created_at": nano_text("created_at"),
+            "stock": stock,
+            "name": F.concat("name", F.lit(" v"), day),
+        }
     )
-    return ranked.select("user_id", "rank", "product_id", "product_name", labelled.alias("reason"))
 
 
 @query

@@ -1,15 +1,18 @@
 """Top products per user: those matching the latest search first, then by stock.
 
 The ranking of a user depends on the query alone, so it is computed once per
-distinct query and joined to the users.  Matching "query is a substring of the
-name" is an equi-join: names, each cut to its top k products, emit their
-substrings of just the lengths that occur among the queries, and these are cut
-to the top k per substring before the shuffle.
-No (user, product) or (query, product) product is ever formed.
+distinct query and joined to the users.  "The query is inside the name" goes by
+an inverted index: distinct names, each with its top k products, under their
+character trigrams.  A query is looked up by the one of its trigrams that the
+fewest names have, and the names found are verified; queries of one or two
+characters have grams of their own length.  Names emit as many rows as they have
+characters, and no (user, product) or (query, product) product is ever formed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,9 @@ MATCH_REASON = "Товар соответствует последнему по
 STOCK_REASON = "Популярный товар с высоким доступным остатком"
 SEARCH = "search"
 
+# Characters of a gram in the index of names.
+GRAM = 3
+
 
 def latest_products(products: DataFrame) -> DataFrame:
     """Newest version per product (ties by content, so that runs repeat)."""
@@ -86,32 +92,59 @@ def top_by_stock(products: DataFrame, k: int) -> Column:
     return best.agg(F.collect_list(_item(0))).scalar()
 
 
+def grams(text: Column, size: int) -> Column:
+    """The distinct runs of ``size`` characters of a text, none if it is shorter."""
+
+    def runs(chars: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(chars) - size)
+        return F.array_distinct(
+            F.transform(starts, lambda at: F.concat(*(F.get(chars, at + k) for k in range(size))))
+        )
+
+    # One split for all runs, as a substring of a text is found by counting from its start.
+    found = F.element_at(F.transform(F.array(F.split(text, "")), runs), 1)
+    return F.when(F.char_length(text) >= size, found).otherwise(F.array().cast("array<string>"))
+
+
+def needle_grams(needles: DataFrame) -> DataFrame:
+    """(needle, gram): what a query may be looked up by; a short one by itself alone."""
+    parts = F.when(F.char_length("needle") < GRAM, F.array("needle")).otherwise(grams(F.col("needle"), GRAM))
+    return needles.select("needle", F.explode(parts).alias("gram"))
+
+
+def gram_index(names: DataFrame, wanted: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(gram, hay, items): the names (hay, items) under those of their grams that are ``wanted``."""
+    parts = F.flatten(F.array(*(grams(F.col("hay"), size) for size in sizes)))
+    return names.select(F.explode(parts).alias("gram"), "hay", "items").join(wanted, "gram", "left_semi")
+
+
+def rarest_grams(by_gram: DataFrame, index: DataFrame) -> DataFrame:
+    """(needle, gram): of every query the gram that the fewest names have; none if one is in no name."""
+    counts = small_side(index.groupBy("gram").agg(F.count(F.lit(1)).alias("names")))
+    judged = by_gram.join(counts, "gram", "left").groupBy("needle")
+    least = F.min_by("gram", F.struct("names", "gram")).alias("gram")
+    return judged.agg(least, F.bool_and(F.col("names").isNotNull()).alias("found")).filter("found").drop("found")
+
+
 def query_matches(products: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(needle, items): for each lower-cased query its k best matching products.
 
     Queries that match nothing have no row.
     """
     needles = queries.select(F.lower("query").alias("needle")).filter("needle <> ''").distinct()
-    needles = small_side(needles)
-    lengths = needles.agg(F.collect_set(F.char_length("needle"))).scalar()
-    hay = F.col("hay")
-    starts = F.transform(
-        F.filter("lengths", lambda n: n <= F.char_length(hay)),
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.char_length(hay) - n + 1), lambda at: hay.substr(at, n)
-        ),
-    )
+    by_gram = settled(needle_grams(needles), "needle-grams")
+    found = by_gram.agg(F.collect_set(F.least(F.char_length("needle"), F.lit(GRAM))).alias("sizes")).first()
+    sizes = sorted(found["sizes"]) or [GRAM]
     named = products.withColumn("hay", F.lower("product_name"))
-    measured = keyed.top_k(named, ["hay"], _best(), k).drop("rank").withColumn("lengths", lengths)
-    emitted = measured.select(
-        F.explode(F.array_distinct(F.flatten(starts))).alias("part"),
-        "available",
-        "product_id",
-        "product_name",
-    )
-    wanted = emitted.join(needles, F.col("part") == F.col("needle"), "left_semi")
-    best = keyed.top_k(wanted, ["part"], _best(), k)
-    return best.groupBy(F.col("part").alias("needle")).agg(F.collect_list(_item(1)).alias("items"))
+    measured = keyed.top_k(named, ["hay"], _best(), k).drop("rank")
+    names = measured.groupBy("hay").agg(F.collect_list(_item(1)).alias("items"))
+    wanted = small_side(by_gram.select("gram").distinct())
+    index = settled(gram_index(names, wanted, sizes), "gram-index")
+    lookups = small_side(rarest_grams(by_gram, index))
+    verified = index.join(lookups, "gram").filter(F.contains("hay", "needle"))
+    each = verified.select("needle", F.explode("items").alias("item")).select("needle", "item.*")
+    best = keyed.top_k(each, ["needle"], _best(), k)
+    return best.groupBy("needle").agg(F.collect_list(_item(1)).alias("items"))
 
 
 def recommend(users: DataFrame, products: DataFrame, k: int = 3) -> DataFrame:
@@ -148,7 +181,7 @@ def recommend(users: DataFrame, products: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def with_labels(ranked: DataFrame, now: Column | None = None) -> DataFrame:
+def with_labels(ranked: DataFrame, *keep: str, now: Column | None = None) -> DataFrame:
     """Recommendation records: reason text and one time stamp for the whole run."""
     reason = F.when(F.col("query_match") == 1, F.lit(MATCH_REASON)).otherwise(F.lit(STOCK_REASON))
     return ranked.select(
@@ -157,12 +190,13 @@ def with_labels(ranked: DataFrame, now: Column | None = None) -> DataFrame:
         "product_name",
         reason.alias("reason"),
         second_text(F.current_timestamp() if now is None else now).alias("generated_at"),
+        *keep,
     )
 
 
-def recommendations(products: DataFrame, events: DataFrame, k: int = 3) -> DataFrame:
+def recommendations(products: DataFrame, events: DataFrame, k: int = 3, now: Column | None = None) -> DataFrame:
     """From product and client-event records to recommendation records."""
     items = latest_products(products).select(
         "product_id", F.col("name").alias("product_name"), F.col("stock.available").alias("available")
     )
-    return with_labels(recommend(users_with_query(events), items, k))
+    return with_labels(recommend(users_with_query(events), items, k), now=now)

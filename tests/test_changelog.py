@@ -107,20 +107,28 @@ def test_word_fold(spark, seed):
     assert {r["word"] for r in filters.shared_words(df).collect()} == state.get("global", (set(),))[0]
 
 
-CHAT = """# lines without a key are comments
-
-global\t{"words":["gravel","moss"],"action":"replace","updated_at":"2031-02-03T08:00:00Z"}
-yusuf\t{"user_id":"yusuf","blocked_user_id":"wren","action":"block","updated_at":"2031-02-03T08:10:00Z"}
-yusuf\t{"message_id":"n1","sender_id":"wren","recipient_id":"yusuf","text":"a bag of gravel for the yard","created_at":"2031-02-03T08:20:00Z"}
-yusuf\t{"message_id":"n2","sender_id":"ines","recipient_id":"yusuf","text":"moss grows over gravel, slowly","created_at":"2031-02-03T08:30:00Z"}
-ines\t{"message_id":"n3","sender_id":"wren","recipient_id":"ines","text":"supper at seven?","created_at":"2031-02-03T08:40:00Z"}
-yusuf\t{"user_id":"yusuf","blocked_user_id":"wren","action":"unblock","updated_at":"2031-02-03T08:50:00Z"}
-yusuf\t{"message_id":"n4","sender_id":"wren","recipient_id":"yusuf","text":"the gravel arrived today","created_at":"2031-02-03T09:00:00Z"}
+CHAT = """# one evening; the second column is a record
+
+global\t{"words":["nettle"],"action":"add","updated_at":"2019-11-30T21:00:00Z"}
+odo\t{"message_id":"a","sender_id":"pia","recipient_id":"odo","text":"Nettle soup again","created_at":"2019-11-30T21:05:00Z"}
+pia\t{"message_id":"b","sender_id":"odo","recipient_id":"pia","text":"fern salad, no nettle","created_at":"2019-11-30T21:06:00Z"}
+global\t{"words":["fern"],"action":"add","updated_at":"2019-11-30T21:10:00Z"}
+pia\t{"message_id":"c","sender_id":"rex","recipient_id":"pia","text":"fern; nettle; FERN","created_at":"2019-11-30T21:12:00Z"}
+pia\t{"user_id":"pia","blocked_user_id":"rex","action":"block","updated_at":"2019-11-30T21:15:00Z"}
+pia\t{"message_id":"d","sender_id":"rex","recipient_id":"pia","text":"why so quiet","created_at":"2019-11-30T21:16:00Z"}
+# rex may still be written to
+rex\t{"message_id":"e","sender_id":"pia","recipient_id":"rex","text":"nothing personal","created_at":"2019-11-30T21:17:00Z"}
+global\t{"words":["nettle"],"action":"remove","updated_at":"2019-11-30T21:20:00Z"}
+odo\t{"message_id":"f","sender_id":"rex","recipient_id":"odo","text":"nettle or fern","created_at":"2019-11-30T21:21:00Z"}
+odo\t{"user_id":"odo","blocked_user_id":"pia","action":"block","updated_at":"2019-11-30T21:25:00Z"}
+odo\t{"message_id":"g","sender_id":"pia","recipient_id":"odo","text":"good night","created_at":"2019-11-30T21:26:00Z"}
 """
 DELIVERED = {
-    "n2": "**** grows over ******, slowly",
-    "n3": "supper at seven?",
-    "n4": "the ****** arrived today",
+    "a": "****** soup again",
+    "b": "fern salad, no ******",
+    "c": "****; ******; ****",
+    "e": "nothing personal",
+    "f": "nettle or ****",
 }
 
 
@@ -142,14 +150,15 @@ def chat_tables(rows):
 def test_chat_fixture(spark, tmp_path, limit):
     (tmp_path / "chat.txt").write_text(CHAT)
     rows = lake.read_keyed_text(spark, str(tmp_path / "chat.txt"))
-    assert rows.count() == 7
+    assert rows.count() == 12
     messages, events, updates = chat_tables(rows)
     found = filters.chat(messages, events, updates, rows_per_piece=limit)
     assert {r["message_id"]: r["text"] for r in found.collect()} == DELIVERED
-    # Against the final state the sender is free again and all four messages pass.
-    assert filters.block_filter(messages, events, order=("seq",)).count() == 4
+    # Against the final state, blocks that came after a message stop it too, and only the last word list masks.
+    kept = filters.block_filter(messages, events, order=("seq",)).collect()
+    assert sorted(r["message_id"] for r in kept) == ["b", "e", "f"]
     masked = {r["message_id"]: r["text"] for r in filters.censor(messages, updates, order=("seq",)).collect()}
-    assert masked["n1"] == "a bag of ****** for the yard"
+    assert masked["a"] == "Nettle soup again" and masked["c"] == "****; nettle; ****"
 
 
 @pytest.mark.parametrize("seed,limit", [(1, None), (2, 7)])

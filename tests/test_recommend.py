@@ -10,17 +10,19 @@ from logweave.operators import filters, keyed, recommend, search
 from logweave.sources import lake
 
 PRODUCTS = [
-    ("p1", "Синяя лампа Вега", 150),
-    ("p2", "Дорожный чемодан", 80),
-    ("p3", "Чайник Омега", 32),
-    ("p4", "Складной стол", 110),
-    ("p5", "Старый сундук", 10),
+    ("k-11", "Copper kettle", 7),
+    ("k-12", "Tin kettle, small", 19),
+    ("m-3", "Wool mittens", 19),
+    ("m-4", "Mitten dryer", 2),
+    ("r-1", "Rope ladder", 41),
+    ("r-2", "Rope", 0),
+    ("z-9", "Recalled ladder", 88),
 ]
 
 
 @pytest.fixture
 def shop(spark, tmp_path):
-    """Five products on disk as JSON Lines, one of them denied."""
+    """Products on disk as JSON Lines, one of them denied."""
     lines = [
         {
             "product_id": pid,
@@ -33,7 +35,7 @@ def shop(spark, tmp_path):
         for pid, name, available in PRODUCTS
     ]
     (tmp_path / "products.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines))
-    (tmp_path / "deny.json").write_text('[{"product_id": "p5", "reason": "no"}]')
+    (tmp_path / "deny.json").write_text('[{"product_id": "z-9", "reason": "recall"}]')
     return tmp_path
 
 
@@ -43,15 +45,17 @@ def test_products_to_recommendations(spark, shop):
         {"key": F.col("product_id"), "offset": F.lit(0)}
     )
     kept = filters.deny_filter(products, commands).select("record.*")
-    assert kept.count() == 4
-    found = search.search_products(keyed.product_rows(kept), " ЛАМПА ")
-    assert [r["product_id"] for r in found.collect()] == ["p1"]
+    assert kept.count() == 6
+    found = search.search_products(keyed.product_rows(kept), " KETTLE ")
+    assert [r["product_id"] for r in found.collect()] == ["k-11", "k-12"]
     events = [
-        ("light", "r1", "search", "стол", "2026-01-01 00:00:00"),
-        ("light", "r2", "search", "лампа", "2026-01-01 00:00:00.5"),
-        ("none", "r3", "recommendations", None, "2026-01-01 00:00:00"),
-        ("tea", "r4", "search", "Чайник", "2026-01-01 00:00:00"),
-        (None, "r5", "search", "лампа", "2026-01-01 00:00:00"),
+        ("ana", "q1", "search", "Rope", "2026-02-01 10:00:00"),
+        ("ana", "q2", "search", "mitten", "2026-02-01 10:00:00.25"),
+        ("bo", "q3", "recommendations", None, "2026-02-01 11:00:00"),
+        ("cy", "q4", "search", "ROPE", "2026-02-02 09:00:00"),
+        ("cy", "q5", "recommendations", "kettle", "2026-02-02 09:30:00"),
+        ("di", "q6", "search", "violin", "2026-02-03 00:00:00"),
+        (None, "q7", "search", "kettle", "2026-02-03 00:00:00"),
     ]
     log = spark.createDataFrame(
         events, "user_id string, request_id string, request_type string, query string, at string"
@@ -62,10 +66,12 @@ def test_products_to_recommendations(spark, shop):
     for r in out.collect():
         lists.setdefault(r["user_id"], []).append((r["product_id"], r["reason"]))
     match, stock = recommend.MATCH_REASON, recommend.STOCK_REASON
+    popular = [("r-1", stock), ("k-12", stock), ("m-3", stock)]
     assert lists == {
-        "light": [("p1", match), ("p4", stock), ("p2", stock)],
-        "none": [("p1", stock), ("p4", stock), ("p2", stock)],
-        "tea": [("p3", match), ("p1", stock), ("p4", stock)],
+        "ana": [("m-3", match), ("m-4", match), ("r-1", stock)],
+        "bo": popular,
+        "cy": [("r-1", match), ("r-2", match), ("k-12", stock)],
+        "di": popular,
     }
     assert len({r["generated_at"] for r in out.collect()}) == 1
 
@@ -109,3 +115,38 @@ def test_user_recommendations(spark):
     assert [r["product_id"] for r in search.user_recommendations(df, "u").collect()] == ["b", "a"]
     with pytest.raises(ValueError):
         search.search_products(df, "  ")
+
+
+def _matched_plainly(names, needles, k):
+    best = sorted(names, key=lambda r: (-r[2], r[0]))
+    return {n: [r[0] for r in best if n in r[1].lower()][:k] for n in needles if any(n in r[1].lower() for r in names)}
+
+
+def test_the_gram_index_finds_what_a_search_of_all_names_finds(spark):
+    random.seed(5)
+    letters = "abcÄß"
+    names = [(f"p{i:03}", "".join(random.choices(letters, k=random.randint(0, 12))), random.randint(0, 9)) for i in range(300)]
+    needles = {"".join(random.choices(letters.lower(), k=random.randint(1, 5))) for _ in range(80)} | {"abcabcabcabca", "zz", "z"}
+    products = spark.createDataFrame(names, "product_id string, product_name string, available int")
+    queries = spark.createDataFrame([(n.upper() if n == "abc" else n,) for n in needles] + [(None,), ("",)], "query string")
+    found = recommend.query_matches(products, queries, 4).collect()
+    got = {r["needle"]: [i["product_id"] for i in sorted(r["items"], key=lambda i: (-i["available"], i["product_id"]))] for r in found}
+    assert got == _matched_plainly(names, needles, 4)
+
+
+def test_names_emit_as_many_rows_as_they_have_characters(spark):
+    for size in (100, 1000, 4000):
+        name = "".join(chr(0x4E00 + i) for i in range(size))
+        names = spark.createDataFrame([(name, [1])], "hay string, items array<int>")
+        wanted = names.select(F.explode(recommend.grams(F.col("hay"), 3)).alias("gram"))
+        assert recommend.gram_index(names, wanted, [1, 2, 3]).count() == size - 2
+        assert recommend.gram_index(names, wanted.limit(5), [3]).count() == 5
+
+
+def test_a_query_is_looked_up_by_its_rarest_gram(spark):
+    names = spark.createDataFrame([(f"common {i}", [i]) for i in range(50)] + [("common xyz", [99])], "hay string, items array<int>")
+    needles = spark.createDataFrame([("common xyz",), ("ommon",), ("q",), ("comet",)], "needle string")
+    by_gram = recommend.needle_grams(needles)
+    index = recommend.gram_index(names, by_gram.select("gram").distinct(), [1, 3])
+    got = {r["needle"]: r["gram"] for r in recommend.rarest_grams(by_gram, index).collect()}
+    assert got["common xyz"] in {" xy", "xyz", "n x"} and got["ommon"] in {"omm", "mmo", "mon"} and len(got) == 2
