@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.llm.fingerprint import let
-from logweave.plans.sizing import settled, small_side
+from logweave.plans.sizing import settled
 
 SPACES = " \t\n\x0b\x0c\r"
 SHORTEST = 20
@@ -145,7 +145,7 @@ def _judged(rows: DataFrame, shortest: int, documents: int, runs: int) -> DataFr
 
 
 def _with_bitmaps(rows: DataFrame, found: DataFrame) -> DataFrame:
-    found = small_side(found.select(F.col("id").alias("of"), F.col("mark").alias("of_mark"), "n_dropped", "keep"))
+    found = found.select(F.col("id").alias("of"), F.col("mark").alias("of_mark"), "n_dropped", "keep")
     on = F.col("id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))
     joined = rows.join(found, on, "left")
     return joined.withColumn("n_dropped", F.coalesce("n_dropped", F.lit(0)).cast("long")).drop("of", "of_mark")
@@ -185,8 +185,8 @@ def dedup(
 ) -> DataFrame:
     """As :func:`keep_bitmaps`, with ``kept``, the lines that stay joined by a line feed.
 
-    A text is moved to its bitmap only where the bitmaps are too many to be sent
-    to all tasks.  A document all of whose lines go has the empty text.
+    Texts are moved once, to their bitmaps.  A document all of whose lines go has
+    the empty text.
     """
     rows = _rows(docs, id_col, text_col)
     counted = rows.withColumn("n_lines", F.size(F.split("text", "\n")).cast("long"))
