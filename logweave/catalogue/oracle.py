@@ -68,6 +68,10 @@ LOG = """log AS (
          props AS value, ts, event_id, k,
          row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY event_id) - 1 AS "offset"
   FROM ev)"""
+GAPS = """gaps AS (
+  SELECT event_id, partition, "offset", CASE WHEN topic <> 'error' THEN topic END AS topic,
+         CASE WHEN event_id % 19 <> 0 THEN ts END AS ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value
+  FROM log)"""
 NAMED = """named AS (
   SELECT * REPLACE (CASE topic WHEN 'view' THEN 'products.filtered' WHEN 'click' THEN 'client.events'
                     ELSE topic END AS topic) FROM log),
@@ -81,16 +85,16 @@ ALERTS = """alerts AS (
   FROM ev)"""
 
 
-def _rates(keys: str, seconds: int, jump: str = "NULL") -> str:
+def _rates(keys: str, seconds: int, jump: str = "NULL", at: str = "pos") -> str:
     return f"""grown AS (
-  SELECT event_type, event_id, pos, 'c' || (user_id % 4) AS cluster,
+  SELECT event_type, event_id, {at} AS pos, 'c' || (user_id % 4) AS cluster,
     CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 1009 = 0 AND {jump} IS NOT NULL THEN {jump} ELSE CAST(sum(
       CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY event_type, event_id // 1000 ORDER BY event_id) AS DOUBLE)
     END AS counter
   FROM ev),
 steps AS (
   SELECT *, last_value(counter IGNORE NULLS) OVER (
-    PARTITION BY {keys} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM grown),
+    PARTITION BY {keys} ORDER BY pos, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM grown),
 rates AS (
   SELECT event_type, cluster, event_id, pos, sum(CASE WHEN prev IS NULL OR counter IS NULL THEN 0.0
       WHEN counter < prev THEN counter ELSE counter - prev END) OVER (
@@ -99,7 +103,7 @@ rates AS (
 
 
 RATES = _rates("event_type", 3600)
-JUMPS = _rates("event_type", 3600, "1e17")
+JUMPS = _rates("event_type", 3600, "1e17", "pos // 1800000000 * 1800000000")
 PUNCTUATED = "lambda acc, w: regexp_replace(acc, '(?i)\\b' || w || '\\b', repeat('*', length(w)), 'g')"
 
 
@@ -220,6 +224,20 @@ FROM ({_MUTATED})"""
   list_contains({base}, {_noun('k + 2')}) AS held
 FROM ev"""
 
+    files = """placed AS (
+  SELECT m.*, CAST(n % 3 AS INT) AS part, row_number() OVER (PARTITION BY n % 3 ORDER BY n) AS line FROM mutated m),
+told AS (
+  SELECT part, line, CASE WHEN verdict LIKE '%declared%' THEN NULL WHEN n % 17 = 0 THEN ' ' ELSE id END AS product_id,
+    verdict FROM placed WHERE verdict <> 'blank')"""
+    every = _MUTATED[: _MUTATED.index(" WHERE NOT")]
+    mutated = f"""mutated AS (
+  SELECT n, id, CASE WHEN n % 31 = 0 AND n % 23 <> 0 AND n % 29 <> 0 THEN 'blank' ELSE verdict END AS verdict
+  FROM ({every}))"""
+    sql["q_product_file"] = f"WITH {mutated}, {files} SELECT * FROM told"
+    sql["q_product_stop"] = f"""WITH {mutated}, {files},
+ends AS (SELECT part, min(line) AS last FROM told WHERE verdict <> 'ok' GROUP BY part)
+SELECT t.part, t.line, CASE WHEN verdict = 'ok' THEN product_id END AS product_id, verdict
+FROM told t LEFT JOIN ends e ON t.part = e.part WHERE last IS NULL OR line <= last"""
     sql["q_deny_state"] = _with(EV, DENY) + """SELECT product_id, reason, pos AS blocked_at FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS n FROM deny
   WHERE action IN ('add', 'remove')) WHERE n = 1 AND action = 'add'"""
@@ -237,6 +255,26 @@ ASOF LEFT JOIN (SELECT * FROM deny WHERE action IN ('add', 'remove')) c
 WHERE coalesce(c.action, 'remove') <> 'add'"""
     sql["q_stream_deny"] = sql["q_deny_asof"]
 
+    # Which turn a row comes in, which turn it is judged in, and the commands judged before it.
+    sql["q_stream_late"] = "WITH " + EV + """, placed AS (
+  SELECT event_id, k || '-' || (event_id % 3) AS key, pos, event_type = 'view' AS is_product,
+    CASE event_type WHEN 'signup' THEN true WHEN 'error' THEN false END AS deny,
+    (event_id * 4) // (max(event_id) OVER () + 1) AS own FROM ev),
+turned AS (
+  SELECT *, own + CASE WHEN event_id % 13 = 0 AND own < 3 THEN 1 ELSE 0 END AS turn,
+    (pos // 1000000 + 1) * 1000 AS bucket_end FROM placed),
+marks AS (
+  SELECT turn, max(max(pos)) OVER (ORDER BY turn) // 1000 - 3600000 AS mark FROM turned GROUP BY turn
+  UNION ALL SELECT 4, 9000000000000000),
+judged AS (
+  SELECT t.*, coalesce(bucket_end <= m.mark, false) AS late, (SELECT min(turn) FROM marks f WHERE f.mark >= bucket_end) AS fires
+  FROM turned t LEFT JOIN marks m ON m.turn = t.turn - 1),
+ordered AS (
+  SELECT *, CASE WHEN late THEN 2 * turn ELSE 2 * fires + 1 END AS step FROM judged WHERE is_product OR deny IS NOT NULL)
+SELECT event_id, key, late, denied FROM (
+  SELECT *, coalesce(arg_max(deny, pos) FILTER (WHERE deny IS NOT NULL) OVER (
+    PARTITION BY key ORDER BY step, pos ROWS UNBOUNDED PRECEDING), false) AS denied FROM ordered)
+WHERE is_product"""
     sql["q_block_state"] = _with(EV, BLOCK) + """SELECT usr AS user, CAST(max(seq) AS VARCHAR) AS updated_at,
   coalesce(array_to_string(list_sort(list(blocked) FILTER (WHERE is_on)), ','), '') AS blocked
 FROM (SELECT usr, blocked, arg_max(is_on, seq) AS is_on, max(seq) AS seq FROM block GROUP BY usr, blocked)
@@ -278,6 +316,7 @@ SELECT m.message_id, m.recipient_id, m.sender_id, {_masked('coalesce(l.words, []
 FROM kept m LEFT JOIN lists l ON m.message_id = l.message_id"""
     )
 
+    sql["q_stream_chat"] = sql["q_chat"]
     sql["q_upsert_products"] = """WITH arrived AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey
       ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1)
@@ -297,17 +336,50 @@ FROM part LEFT JOIN arrived ON l_partkey = p_partkey"""
     sql["q_insert_ignore"] = _with(EV) + merge.format(order="event_type, event_id")
     sql["q_stream_upsert"] = _with(EV) + """SELECT user_id, k AS product_id, 'view' AS reason, max(event_id) AS seq
 FROM ev WHERE event_type = 'view' GROUP BY user_id, k"""
+    sql["q_stream_fold"] = "WITH " + EV + """, arrived AS (SELECT user_id, k AS product_id, event_id AS seq FROM ev
+  WHERE event_type = 'view'),
+early AS (
+  SELECT user_id, product_id, arg_max(seq, (seq % 2, seq)) AS seen FROM arrived
+  WHERE seq <= (SELECT max(seq) // 2 FROM arrived) GROUP BY ALL)
+SELECT a.user_id, a.product_id, 'view' AS reason,
+  arg_max(seq, (seq > (SELECT max(seq) // 2 FROM arrived), seq % 2, seq)) AS seq, any_value(seen) AS seen
+FROM arrived a LEFT JOIN early e ON a.user_id = e.user_id AND a.product_id = e.product_id GROUP BY 1, 2"""
     sql["q_stream_requests"] = _with(EV) + """SELECT user_id || ':' || k AS request_id, min(event_id) AS seq
 FROM ev GROUP BY 1"""
     sql["q_compact"] = _with(EV, LOG) + """SELECT topic, key, arg_max(value, "offset") AS value,
   max("offset") AS "offset", arg_max(event_id, "offset") AS event_id FROM log GROUP BY topic, key"""
-    sql["q_retention"] = _with(EV, LOG) + """SELECT topic, partition, "offset", event_id FROM (
-  SELECT *, max(epoch_us(ts)) OVER (PARTITION BY topic) AS newest FROM log)
-WHERE newest - epoch_us(ts) <= 86400000000"""
-    sql["q_retain_bytes"] = _with(EV, LOG) + """SELECT topic, partition, "offset", event_id FROM (
-  SELECT *, sum(strlen(value)) OVER (PARTITION BY topic, partition ORDER BY "offset" DESC) AS size FROM log)
+    sql["q_retention"] = _with(EV, LOG, GAPS) + """SELECT topic, partition, "offset", event_id FROM (
+  SELECT *, max(epoch_us(ts)) OVER (PARTITION BY topic) AS newest FROM gaps)
+WHERE ts IS NULL OR newest - epoch_us(ts) <= 86400000000"""
+    sql["q_retain_bytes"] = _with(EV, LOG, GAPS) + """SELECT topic, partition, "offset", event_id FROM (
+  SELECT *, sum(coalesce(strlen(value), 0)) OVER (PARTITION BY topic, partition ORDER BY "offset" DESC) AS size FROM gaps)
 WHERE size <= 1000"""
 
+    sql["q_archive_ready"] = _with(EV, LOG, NAMED) + """SELECT d.dataset, d.dataset <> 'nothing' AS ready, rows,
+  (SELECT count(*) FROM named WHERE topic IN ('products.filtered', 'client.events')) AS lines
+FROM (VALUES ('client-events'), ('products'), ('unknown'), ('nothing')) d(dataset)
+LEFT JOIN (SELECT CASE topic WHEN 'products.filtered' THEN 'products' WHEN 'client.events' THEN 'client-events'
+    ELSE 'unknown' END AS dataset, count(*) AS rows FROM named GROUP BY 1) n ON d.dataset = n.dataset"""
+    sql["q_table_rows"] = """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  CASE WHEN p_partkey % 5 = 0 THEN 'currency is too long' WHEN p_partkey % 7 = 0 THEN 'amount is out of range'
+    ELSE 'stored' END AS verdict FROM part"""
+    sql["q_request_ids"] = _with(EV, CLIENT) + """SELECT request_id, substr(sha256(
+  '{"user_id":' || user_id || ',"request_type":"' || request_type || '"}'), 1, 32) AS stable_id FROM client"""
+    sql["q_connectors"] = _with(EV) + """SELECT 'c' || c AS connector, coalesce(sum(value), 0.0) AS running
+FROM range(3) t(c) LEFT JOIN (
+  SELECT k % 3 AS c, user_id % 20 AS task, arg_max((event_id % 2)::DOUBLE, pos) AS value FROM ev
+  WHERE k % 2 = 0 GROUP BY 1, 2) USING (c) GROUP BY c"""
+    sql["q_deny_reason"] = _with(EV, DENY) + """SELECT seq, action,
+  CASE WHEN action = 'add' THEN CASE WHEN seq % 3 = 2 THEN reason ELSE 'blocked by operator' END END AS reason,
+  CASE WHEN seq % 4 <> 0 THEN 't' || seq ELSE strftime(make_timestamp(pos), '%Y-%m-%dT%H:%M:%S')
+    || CASE WHEN pos % 1000000 = 0 THEN '' ELSE '.' || rtrim(printf('%06d', pos % 1000000), '0') END || 'Z' END AS updated_at
+FROM deny"""
+    sql["q_deny_file"] = _with(EV, DENY) + """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  CAST(p_partkey % 100 AS VARCHAR) AS key FROM part WHERE p_partkey % 100 NOT IN (
+  SELECT product_id FROM (SELECT product_id, arg_max(action, seq) AS action FROM deny GROUP BY 1) WHERE action = 'add')"""
+    sql["q_chat_file"] = _with(EV, MESSAGES) + """SELECT recipient_id AS key, CAST(message_id AS VARCHAR) AS message_id,
+  sender_id, text, 3 * row_number() OVER (ORDER BY seq) - 1 AS line FROM messages"""
+
     sql["q_archive"] = _with(EV, LOG, NAMED) + """SELECT event_id, topic, value,
   CASE WHEN suffix(topic, 'products.filtered') THEN 'products'
        WHEN suffix(topic, 'client.events') THEN 'client-events' ELSE 'unknown' END AS dataset
@@ -335,6 +407,17 @@ FROM log GROUP BY topic, partition"""
   count(*) FILTER (WHERE k % 37 = 0) = 0 AS commit, count(*) = 10 AS "full"
 FROM log GROUP BY topic, partition, "offset" // 10"""
 
+    sql["q_stream_gate"] = sql["q_batch_gate"]
+    sql["q_stream_groups"] = _with(EV, LOG) + """SELECT "group", topic, partition, count(*) AS end_offset,
+  CASE "group" WHEN 'late' THEN count(*) ELSE least(count(*), 200) END AS committed,
+  CASE "group" WHEN 'late' THEN 0 ELSE count(*) - least(count(*), 200) END AS lag,
+  CASE "group" WHEN 'late' THEN count(*) ELSE least(count(*), 200) END AS rows
+FROM log, (VALUES ('early'), ('late')) g("group") GROUP BY "group", topic, partition"""
+    sql["q_stream_idle"] = _with(EV, LOG) + """SELECT topic, partition, count(*) AS rows, max("offset") AS last
+FROM log GROUP BY topic, partition"""
+    sql["q_state_rows"] = _with(EV, DENY) + """SELECT CAST(key AS VARCHAR) AS key FROM (
+  SELECT key, arg_max(action, seq) AS action FROM deny WHERE action IN ('add', 'remove') GROUP BY key)
+WHERE action = 'add'"""
     sql["q_cdc_decode"] = _with(EV, LOG) + """SELECT topic, partition, "offset", key, k % 9 <> 0 AS is_json,
   CASE WHEN k % 9 = 0 THEN 'raw' || k ELSE replace(value, ' ', '') END AS shown FROM log"""
     sql["q_cdc_state"] = _with(EV) + """SELECT "table", pk, op, seq, row FROM (
@@ -354,7 +437,7 @@ FROM (
       WHEN event_id % 11 = 0 THEN 'unsupported magic byte'
       WHEN event_id % 13 = 0 THEN 'payload is too short' END AS header FROM ev))
 LEFT JOIN nation ON n_nationkey = schema_id AND n_nationkey < 6"""
-    sql["q_avro"] = _with(EV) + """SELECT printf('event-%03d', event_id - 500) AS event_id,
+    sql["q_framed_notices"] = _with(EV) + """SELECT printf('event-%03d', event_id - 500) AS event_id,
   printf('event-%03d', event_id - 500) AS decoded_id, 'events' AS source,
   'text é ' || (event_id - 500) AS message, epoch_us(ts) // 1000 AS created_ms FROM ev"""
 
@@ -378,12 +461,14 @@ FROM ev WHERE k % 6 <> 5"""
     sql["q_metric_cluster"] = _with(EV, _rates("event_type, cluster", 86400)) + """SELECT cluster, round(sum(rate), 4) AS rate
 FROM (SELECT event_type, cluster, arg_max(rate, (pos, event_id)) AS rate FROM rates GROUP BY 1, 2) GROUP BY cluster"""
     sql["q_metric_latest"] = _with(EV) + """SELECT event_type AS metric, CAST(user_id % 10 AS VARCHAR) AS user,
-  CAST(k % 3 AS VARCHAR) AS cluster, arg_max(value, pos) AS value, max(pos) AS at_us
+  CAST(k % 3 AS VARCHAR) AS cluster, arg_max(value, (pos // 86400000000, event_id)) AS value,
+  max(pos // 86400000000 * 86400000000) AS at_us
 FROM ev GROUP BY 1, 2, 3"""
     sql["q_alert_for"] = _with(EV) + """SELECT event_id, since_us, pos - since_us >= 3600000000 AS firing FROM (
   SELECT *, min(pos) OVER (PARTITION BY event_type, run) AS since_us FROM (
     SELECT *, sum(CASE WHEN value < 30 THEN 0 ELSE 1 END) OVER (
-      PARTITION BY event_type ORDER BY pos) AS run FROM ev)
+      PARTITION BY event_type ORDER BY pos, event_id) AS run
+    FROM (SELECT * REPLACE (pos // 7200000000 * 7200000000 AS pos) FROM ev))
   WHERE value < 30)"""
     sql["q_alerts_flat"] = _with(EV, ALERTS) + f"""SELECT event_id, false AS rejected,
   CASE WHEN copy = 0 THEN status ELSE 'firing' END AS status, alertname,
@@ -397,12 +482,23 @@ SELECT event_id, true, NULL, NULL, NULL, NULL, NULL FROM alerts WHERE k % 17 = 0
   count(*) FILTER (WHERE status = 'resolved') AS resolved, count(DISTINCT instance) AS instances
 FROM alerts GROUP BY alertname, cluster"""
     sql["q_alert_changes"] = _with(EV, ALERTS) + """SELECT event_id, status, was FROM (
-  SELECT event_id, status, lag(status) OVER (PARTITION BY alertname, cluster, instance ORDER BY pos) AS was
+  SELECT event_id, status, lag(status) OVER (
+    PARTITION BY alertname, cluster, instance ORDER BY pos // 86400000000, event_id) AS was
   FROM alerts) WHERE status IS DISTINCT FROM was"""
-    sql["q_alert_repeats"] = _with(EV, ALERTS) + """SELECT alertname, cluster,
-  CAST(floor((pos - first_us) / 3600000000) AS BIGINT) AS slot, count(*) AS alerts, min(pos) AS notice_us
-FROM (SELECT *, min(pos) OVER (PARTITION BY alertname, cluster) AS first_us FROM alerts)
-GROUP BY 1, 2, 3"""
+    sql["q_alert_repeats"] = "WITH RECURSIVE " + ",\n".join([EV, ALERTS]) + """,
+flagged AS (
+  SELECT *, status IS DISTINCT FROM lag(status) OVER (PARTITION BY alertname, cluster ORDER BY pos, event_id) AS changed
+  FROM alerts),
+runs AS (
+  SELECT *, sum(changed::INT) OVER (PARTITION BY alertname, cluster ORDER BY pos, event_id) AS run FROM flagged),
+steps AS MATERIALIZED (
+  SELECT a.event_id, b.event_id AS next_id FROM (SELECT *, pos + 3600000000 AS due FROM runs) a
+  ASOF JOIN runs b ON a.alertname = b.alertname AND a.cluster = b.cluster AND a.run = b.run AND a.due <= b.pos),
+chain AS (
+  SELECT event_id FROM runs WHERE changed
+  UNION ALL
+  SELECT s.next_id FROM chain c JOIN steps s ON c.event_id = s.event_id)
+SELECT event_id, alertname, cluster, status, changed FROM runs WHERE event_id IN (SELECT event_id FROM chain)"""
 
     sql["q_gen_orders"] = """SELECT printf('i1-msg-%06d', n) AS message_id, printf('order-%06d', n) AS order_id,
   printf('customer-%02d', n % 5 + 1) AS customer_id, 'i1' AS producer_instance,

@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 
 from logweave import schemas
 from logweave.catalogue import inputs as src
-from logweave.functions import avro, frames, records, text
+from logweave.functions import frames, records, text
 from logweave.functions.metric_names import BROKER_RULES, CONNECT_RULES, rename
-from logweave.functions.times import epoch_micros, nano_text
+from logweave.functions.times import epoch_micros, nano_text, stable_request_id
 from logweave.operators import alerts as al
 from logweave.operators import cdc, filters, keyed, logs, metrics, recommend, search
 from logweave.operators import changelog as cl
 from logweave.operators.frames import with_schema
 from logweave.plans import pieces
 from logweave.session import pin, scratch_dir
-from logweave.sources import generate, lake
-from logweave.streaming import jobs, sinks
+from logweave.sources import generate, lake, tables
+from logweave.sources import log as log_source
+from logweave.streaming import jobs, progress, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -173,6 +174,83 @@ def q_validate(spark, sf):
     )
 
 
+def _product_files(spark, sf):
+    """The broken product lines as text, in three folders by ``n % 3`` and in order of ``n``."""
+    home = scratch_dir(spark, "product-files")
+    lines = _mutated_lines(spark, sf).withColumn("part", F.col("n") % 3)
+    spread = lines.repartition("part").sortWithinPartitions("part", "n")
+    spread.select("value", "part").write.partitionBy("part").text(home)
+    return home
+
+
+def _part_of(file):
+    return F.regexp_extract(file, r"/part=(\d+)/", 1).cast("int").alias("part")
+
+
+@query
+def q_product_file(spark, sf):
+    """Product lines read from files, each with the number of its line; blank lines count."""
+    judged = lake.read_products(spark, _product_files(spark, sf), "raw")
+    verdict = F.coalesce("reject_reason", F.lit("ok")).alias("verdict")
+    return judged.select(_part_of("file"), "line", "record.product_id", verdict)
+
+
+@query
+def q_product_stop(spark, sf):
+    """The scan that stops at the first bad line of a file, and says which; earlier lines are kept."""
+    kept, bad = lake.read_products(spark, _product_files(spark, sf), "stop")
+    told = kept.select(_part_of("file"), "line", "record.product_id", F.lit("ok").alias("verdict"))
+    return told.unionByName(
+        bad.select(_part_of("file"), "line", F.lit(None).cast("string").alias("product_id"), F.col("reject_reason").alias("verdict"))
+    )
+
+
+@query
+def q_deny_file(spark, sf):
+    """A control file, one JSON array over several lines, as commands; products it names are left out."""
+    home = scratch_dir(spark, "deny-file")
+    listed = cl.deny_list(src.deny_commands(spark, sf), order=SEQ)
+    row = F.struct(F.col("product_id").cast("string").alias("product_id"), "reason")
+    # As long as a control file is: one row per denied product.
+    text = listed.agg(F.array_join(F.transform(F.collect_list(row), lambda r: F.to_json(r)), ",\n").alias("rows"))
+    lines = text.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value"))
+    lines.coalesce(1).write.text(home)
+    commands = lake.read_deny_file(spark, home).withColumns({"key": F.col("product_id"), "offset": F.lit(0)})
+    products = src.products(spark, sf).withColumn("key", (F.col("product_id") % 100).cast("string"))
+    return filters.deny_filter(products, commands).select("product_id", "key")
+
+
+@query
+def q_chat_file(spark, sf):
+    """Keyed text lines with comments and blank lines between them, decoded with their line numbers."""
+    home = scratch_dir(spark, "chat-file")
+    value = F.to_json(F.struct("message_id", "sender_id", "recipient_id", "text"))
+    rows = src.messages(spark, sf).withColumn("message_id", F.col("message_id").cast("string"))
+    line = F.concat_ws("\t", "recipient_id", value)
+    three = F.array(F.concat(F.lit("# "), "seq"), line, F.lit(" "))
+    lines = rows.orderBy("seq").select("seq", F.posexplode(three).alias("at", "value"))
+    lines.coalesce(1).sortWithinPartitions("seq", "at").select("value").write.text(home)
+    read = lake.read_keyed_text(spark, home)
+    decoded = records.apply_policy(records.decode(read, schemas.CHAT_MESSAGE), "fail")
+    return decoded.select("key", F.col("row_order").alias("line"), "record.message_id", "record.sender_id", "record.text")
+
+
+@query
+def q_archive_ready(spark, sf):
+    """The archive written in two runs, and which data sets have files; their lines as one log again."""
+    home = scratch_dir(spark, "archive")
+    log = _named_log(spark, sf)
+    lake.write_archive(log.filter("k % 2 = 0"), home)
+    lake.write_archive(log.filter("k % 2 = 1"), home)
+    wanted = ["client-events", "products", "unknown", "nothing"]
+    ready = logs.ready(lake.archive_files(spark, home), wanted).select("dataset", "ready")
+    lake.write_lines(log.filter("topic = 'client.events'"), f"{home}-lines")
+    lake.write_lines(log.filter("topic = 'products.filtered'"), f"{home}-lines")
+    lines = spark.read.text(f"{home}-lines").select(F.count(F.lit(1)).alias("lines"))
+    counts = spark.read.text(home).groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    return ready.join(counts, "dataset", "left").join(F.broadcast(lines))
+
+
 @query
 def q_json_roundtrip(spark, sf):
     events = src.client_events(spark, sf).select(
@@ -234,6 +312,22 @@ def q_deny_list(spark, sf):
     return cl.deny_list(src.deny_commands(spark, sf), order=SEQ)
 
 
+@query
+def q_deny_reason(spark, sf):
+    """Commands without a reason or a time get the operator's reason and their log time."""
+    commands = src.deny_commands(spark, sf)
+    n = F.col("seq")
+    rows = commands.withColumns(
+        {
+            "reason": F.when(n % 3 == 0, F.lit("")).when(n % 3 == 1, F.lit(None)).otherwise(F.col("reason")),
+            "updated_at": F.when(n % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("t"), n)),
+            "timestamp": F.timestamp_micros("pos"),
+        }
+    )
+    filled = cl.with_default_reason(cl.with_log_time(rows))
+    return filled.select("seq", "action", "reason", "updated_at")
+
+
 @query
 def q_deny_filter(spark, sf):
     lines = src.table(spark, sf, "lineitem").select(
@@ -387,20 +481,56 @@ def q_insert_ignore(spark, sf):
     return keyed.insert_ignore(target, _by_user_and_k(spark, sf, "view"), keys, SEQ)
 
 
+@query
+def q_table_rows(spark, sf):
+    """Product rows the table would refuse are told apart before they are merged."""
+    n = F.col("product_id").cast("bigint")
+    odd = src.products(spark, sf).withColumn(
+        "price",
+        F.struct(
+            F.when(n % 7 == 0, F.lit(999999999999.995)).otherwise(F.col("price.amount")).alias("amount"),
+            F.when(n % 5 == 0, F.lit("RUBL")).otherwise(F.lit("RUB")).alias("currency"),
+        ),
+    )
+    kept, refused = keyed.storable_products(odd)
+    return kept.select("product_id", F.lit("stored").alias("verdict")).unionByName(
+        refused.select("product_id", F.col("reject_reason").alias("verdict"))
+    )
+
+
+@query
+def q_request_ids(spark, sf):
+    """Ids that repeat when the same record is replayed."""
+    rows = src.client_events(spark, sf).select("request_id", "user_id", "request_type")
+    return rows.select("request_id", stable_request_id("user_id", "request_type").alias("stable_id"))
+
+
 @query
 def q_compact(spark, sf):
     log = src.topic_log(spark, sf).select("topic", "key", "value", "offset", "event_id")
     return keyed.compact(log)
 
 
+def _gappy_log(spark, sf):
+    """The log with null topics, times and values in it."""
+    n = F.col("event_id")
+    return src.topic_log(spark, sf).withColumns(
+        {
+            "topic": F.when(F.col("topic") != "error", F.col("topic")),
+            "timestamp": F.when(n % 19 != 0, F.col("timestamp")),
+            "value": F.when(n % 7 != 0, F.col("value")),
+        }
+    )
+
+
 @query
 def q_retention(spark, sf):
-    return keyed.retain_recent(src.topic_log(spark, sf)).select("topic", "partition", "offset", "event_id")
+    return keyed.retain_recent(_gappy_log(spark, sf)).select("topic", "partition", "offset", "event_id")
 
 
 @query
 def q_retain_bytes(spark, sf):
-    kept = keyed.retain_bytes(src.topic_log(spark, sf), limit=1000)
+    kept = keyed.retain_bytes(_gappy_log(spark, sf), limit=1000)
     return kept.select("topic", "partition", "offset", "event_id")
 
 
@@ -523,20 +653,21 @@ def q_frame_schema(spark, sf):
 
 
 @query
-def q_avro(spark, sf):
+def q_framed_notices(spark, sf):
+    """Notices as framed records with JSON bodies, there and back by way of their schema id."""
     rows = src.events(spark, sf).withColumn("sequence", F.col("event_id") - 500)
     made = generate.notices(rows, "events", "text é %d", now=F.col("ts"))
-    framed = made.select(
-        "event_id",
-        frames.build_frame(F.lit(17), avro.encode_flat(F.struct(*made.columns))).alias("value"),
-    )
-    decoded = framed.select("event_id", avro.decode_flat(frames.frame_body("value")).alias("r"))
+    body = records.encode("event_id", "source", "message", nano_text("created_at").alias("created_at"))
+    framed = made.select("event_id", frames.build_frame(F.lit(17), F.encode(body, "UTF-8")).alias("value"))
+    known = src.table(spark, sf, "nation").select(F.col("n_nationkey").alias("schema_id"), F.col("n_name").alias("schema"))
+    read = with_schema(framed, known).select("event_id", F.decode("body", "UTF-8").alias("value"))
+    decoded = records.apply_policy(records.decode(read, schemas.NOTICE), "fail")
     return decoded.select(
         "event_id",
-        F.col("r.event_id").alias("decoded_id"),
-        "r.source",
-        "r.message",
-        F.unix_millis("r.created_at").alias("created_ms"),
+        F.col("record.event_id").alias("decoded_id"),
+        "record.source",
+        "record.message",
+        F.unix_millis("record.created_at").alias("created_ms"),
     )
 
 
@@ -611,10 +742,15 @@ def _counters(spark, sf, jumps=False):
     return total.withColumn("counter", shown.otherwise(F.col("counter").cast("double")))
 
 
+def _to(seconds):
+    """Times that many rows share."""
+    return F.timestamp_seconds(F.floor(F.unix_seconds("ts") / seconds) * seconds)
+
+
 @query
 def q_metric_rate(spark, sf):
-    counters = _counters(spark, sf, jumps=True)
-    rates = metrics.counter_rate(counters, ["event_type"], "ts", "counter", 3600)
+    counters = _counters(spark, sf, jumps=True).withColumn("ts", _to(1800))
+    rates = metrics.counter_rate(counters, ["event_type"], "ts", "counter", 3600, order=("event_id",))
     return rates.select("event_type", "event_id", F.round("rate", 4).alias("rate"))
 
 
@@ -645,10 +781,11 @@ def q_metric_latest(spark, sf):
             F.lit("cluster"),
             (F.col("k") % 3).cast("string"),
         ).alias("labels"),
-        "ts",
+        _to(86400).alias("ts"),
         "value",
+        "event_id",
     )
-    newest = metrics.current_values(samples)
+    newest = metrics.current_values(samples, order=("event_id",))
     return newest.select(
         "metric",
         F.col("labels")["user"].alias("user"),
@@ -658,10 +795,29 @@ def q_metric_latest(spark, sf):
     )
 
 
+@query
+def q_connectors(spark, sf):
+    """How many tasks of each of three connectors run, by the newest sample of every task."""
+    labels = F.create_map(
+        F.lit("connector"), F.concat(F.lit("c"), F.col("k") % 3),
+        F.lit("task"), (F.col("user_id") % 20).cast("string"),
+        F.lit("status"), F.when(F.col("k") % 2 == 0, F.lit("running")).otherwise(F.lit("failed")),
+    )
+    samples = src.events(spark, sf).select(
+        F.lit("kafka_connect_connector_status").alias("metric"), labels.alias("labels"), "ts",
+        (F.col("event_id") % 2).cast("double").alias("value"),
+    )
+    found = None
+    for name in ("c0", "c1", "c2"):
+        one = metrics.running_connectors(samples, name).select(F.lit(name).alias("connector"), "running")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query
 def q_alert_for(spark, sf):
-    samples = src.events(spark, sf).select("event_id", "event_type", "ts", "value")
-    down = metrics.held(samples, ["event_type"], F.col("value") < 30, 3600)
+    samples = src.events(spark, sf).select("event_id", "event_type", _to(7200).alias("ts"), "value")
+    down = metrics.held(samples, ["event_type"], F.col("value") < 30, 3600, order=("event_id",))
     return down.select("event_id", "since_us", "firing")
 
 
@@ -705,13 +861,15 @@ def q_alert_groups(spark, sf):
 
 @query
 def q_alert_changes(spark, sf):
-    return al.status_changes(src.alerts(spark, sf)).select("event_id", "status", "was")
+    alerts = src.alerts(spark, sf).withColumn("ts", _to(86400))
+    return al.status_changes(alerts, order=("event_id",)).select("event_id", "status", "was")
 
 
 @query
 def q_alert_repeats(spark, sf):
-    notices = al.repeats(src.alerts(spark, sf))
-    return notices.select("alertname", "cluster", "slot", "alerts", epoch_micros("notice_ts").alias("notice_us"))
+    """Changes of a group's status told at once, and repeats an hour or more after the last notice."""
+    told = al.notices(src.alerts(spark, sf), order=("event_id",))
+    return told.select("event_id", "alertname", "cluster", "status", "changed")
 
 
 # --- generators ---------------------------------------------------------------
@@ -735,21 +893,28 @@ def q_gen_events(spark, sf):
 # --- streams ------------------------------------------------------------------
 
 
-def _in_turn(rows, position, parts, path, stream):
-    """Rows written by ranges of a bigint ``position``, each range streamed before the next is written.
+def _in_turn(rows, turn, path, stream):
+    """Rows written once, by ``turn`` (an int column), and streamed one turn after the other.
 
-    A range is one micro-batch, in as many files as its tasks write.
+    ``stream`` starts a query that reads ``path``; a turn becomes one micro-batch, in as
+    many files as tasks wrote it: its folder is moved there when its turn has come.
     """
+    waiting = f"{path}-waiting"
+    rows.withColumn("__turn", turn).write.partitionBy("__turn").parquet(waiting)
+    turns = rows.sparkSession.read.parquet(waiting).select("__turn").distinct().orderBy("__turn").collect()
+    for found in turns:
+        lake.move_folder(rows.sparkSession, f"{waiting}/__turn={found[0]}", f"{path}/turn={found[0]}")
+        stream().awaitTermination()
+
+
+def _range_of(rows, position, parts):
+    """Which of ``parts`` ranges of a bigint ``position`` a row is in; rows without one are in the first."""
     shares = F.array(*(F.lit(k / parts) for k in range(1, parts)))
     found = rows.agg(F.percentile_approx(position, shares, F.lit(10_000))).first()[0] or []
-    ends = sorted(set(found))
-    # Rows without a position are in the first range.
     at = F.lit(0)
-    for end in ends:
+    for end in sorted(set(found)):
         at = at + F.when(position > F.lit(end), 1).otherwise(0)
-    for part in range(len(ends) + 1):
-        rows.filter(at == part).write.mode("append").parquet(path)
-        stream().awaitTermination()
+    return at
 
 
 def _stream_log(spark, sf):
@@ -784,24 +949,101 @@ def q_stream_deny(spark, sf):
     writer = jobs.filter_products_writer(f"{home}/out", f"{home}/state")
 
     def stream():
-        log = spark.readStream.schema(schemas.LOG).parquet(f"{home}/log")
+        log = log_source.read_log(spark, f"{home}/log", stream=True)
         return sinks.run(log, f"{home}/checkpoint", writer=writer)
 
-    _in_turn(_stream_log(spark, sf), epoch_micros("timestamp"), 4, f"{home}/log", stream)
+    log = _stream_log(spark, sf)
+    _in_turn(log, _range_of(log, epoch_micros("timestamp"), 4), f"{home}/log", stream)
     kept = "key string, value string, timestamp timestamp, seq long"
     return spark.read.schema(kept).parquet(f"{home}/out").select(
         F.col("seq").alias("event_id"), F.col("key").cast("int").alias("key")
     )
 
 
+LATE_TURNS, LATE_EVERY, LATE_DELAY = 4, 13, "1 hour"
+
+
+@query
+def q_stream_late(spark, sf):
+    """The denylist filter with a delay: rows that come a turn too late are told apart, none is lost.
+
+    A last turn with nothing but a closing row lets go of what the delay still holds.
+    """
+    home = scratch_dir(spark, "stream-late")
+    log = _stream_log(spark, sf).withColumn("key", F.concat("key", F.lit("-"), F.col("offset") % 3))
+    rows = log.agg(F.max("offset")).first()[0] + 1
+    own = F.floor(F.col("offset") * LATE_TURNS / rows).cast("int")
+    turn = own + ((F.col("offset") % LATE_EVERY == 0) & (own < LATE_TURNS - 1)).cast("int")
+    last = jobs.closing_rows(log, LATE_DELAY).withColumn("turn", F.lit(LATE_TURNS))
+    schema = None
+
+    def stream():
+        nonlocal schema
+        judged = jobs.judged_products(log_source.read_log(spark, f"{home}/log", stream=True), delay=LATE_DELAY, salts=2)
+        schema = judged.schema
+        return sinks.run(judged, f"{home}/checkpoint", f"{home}/out")
+
+    _in_turn(log.withColumn("turn", turn).unionByName(last), F.col("turn"), f"{home}/log", stream)
+    return spark.read.schema(schema).parquet(f"{home}/out").select(
+        F.col("seq").alias("event_id"), "key", "late", "denied"
+    )
+
+
+@query
+def q_stream_chat(spark, sf):
+    """The chat as one chained stream, its log cut into four micro-batches."""
+    home = scratch_dir(spark, "stream-chat")
+    keyed_rows = {
+        "messages": (src.messages(spark, sf), "recipient_id", ("message_id", "sender_id", "recipient_id", "text")),
+        "blocked_users": (src.block_events(spark, sf), "key", ("user_id", "blocked_user_id", "action")),
+        "banned_words": (src.word_updates(spark, sf), "key", ("words", "action")),
+    }
+    log = None
+    for topic, (rows, key, fields) in keyed_rows.items():
+        record = F.to_json(F.struct(*(F.col(f).cast("string").alias(f) if f == "message_id" else F.col(f) for f in fields)))
+        part = rows.select(
+            F.lit(topic).alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("seq").alias("offset"),
+            F.col(key).alias("key"),
+            record.alias("value"),
+            F.timestamp_micros("pos").alias("timestamp"),
+        )
+        log = part if log is None else log.unionByName(part)
+    writer = jobs.chat_writer(f"{home}/out", f"{home}/state")
+
+    def stream():
+        return sinks.run(log_source.read_log(spark, f"{home}/log", stream=True), f"{home}/checkpoint", writer=writer)
+
+    _in_turn(log, _range_of(log, epoch_micros("timestamp"), 4), f"{home}/log", stream)
+    out = "message_id string, recipient_id string, sender_id string, text string"
+    told = spark.read.schema(out).parquet(f"{home}/out")
+    return told.select(F.col("message_id").cast("bigint").alias("message_id"), "recipient_id", "sender_id", "text")
+
+
+@query
+def q_stream_gate(spark, sf):
+    """The batch gate as a stream whose micro-batches end in the middle of batches."""
+    home = scratch_dir(spark, "stream-gate")
+    log = src.topic_log(spark, sf).select(*schemas.LOG.names)
+    k = F.get_json_object("value", "$.k").cast("int")
+    writer = sinks.gate_writer(f"{home}/good", f"{home}/bad", f"{home}/report", k % 37 == 0, size=10)
+
+    def stream():
+        return sinks.run(log_source.read_log(spark, f"{home}/log", stream=True), f"{home}/checkpoint", writer=writer)
+
+    # Uneven cuts; a partition may have no records in a turn.
+    _in_turn(log, F.least(F.floor(F.col("offset") / 37), F.lit(4)).cast("int"), f"{home}/log", stream)
+    return sinks.close_gate(spark, f"{home}/report")
+
+
 @query
 def q_stream_archive(spark, sf):
     """Mirrored topics streamed into archive folders by the exactly-once text sink."""
     home = scratch_dir(spark, "stream-archive")
     log = _named_log(spark, sf).select(*schemas.LOG.names)
     log.write.parquet(f"{home}/log")
-    stream = spark.readStream.schema(schemas.LOG).parquet(f"{home}/log")
-    lines = jobs.archived(stream)
+    lines = jobs.archived(log_source.read_log(spark, f"{home}/log", stream=True))
     run = sinks.run(lines, f"{home}/checkpoint", f"{home}/out", fmt="text", partition_by=["dataset"])
     run.awaitTermination()
     return spark.read.text(f"{home}/out").groupBy("dataset", "value").agg(
@@ -821,10 +1063,40 @@ def q_stream_upsert(spark, sf):
         return sinks.run(arrivals, f"{home}/checkpoint", writer=sinks.upsert_writer(f"{home}/table", keys, SEQ))
 
     # Four batches in the order of arrival.
-    _in_turn(rows, F.col("seq"), 4, f"{home}/in", stream)
+    _in_turn(rows, _range_of(rows, F.col("seq"), 4), f"{home}/in", stream)
     return sinks.read_table(spark, f"{home}/table", rows.schema, keys, SEQ)
 
 
+@query
+def q_stream_fold(spark, sf):
+    """Arrivals kept in a table with manifests, folded while a reader holds on to an old version.
+
+    Per key the last arrival of the last batch, and what the reader saw after two of four batches.
+    """
+    home = scratch_dir(spark, "stream-fold")
+    rows = _by_user_and_k(spark, sf, "view")
+    table = tables.table(spark, f"{home}/table", rows.schema, ["user_id", "product_id"], SEQ)
+    held = {}
+
+    def write(batch, batch_id):
+        table.add(keyed.latest(batch, table.keys, SEQ), batch_id)
+        if batch_id == 1:
+            held["version"] = table.current()
+        if batch_id % 2 == 1:
+            table.fold()
+        table.expire()
+
+    def stream():
+        arrivals = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
+        return sinks.run(arrivals, f"{home}/checkpoint", writer=write)
+
+    half = rows.agg(F.max("seq")).first()[0] // 2
+    turn = F.when(F.col("seq") <= half, F.col("seq") % 2).otherwise(2 + F.col("seq") % 2).cast("int")
+    _in_turn(rows, turn, f"{home}/in", stream)
+    early = table.read(held["version"]).select("user_id", "product_id", F.col("seq").alias("seen"))
+    return table.read().join(early, ["user_id", "product_id"], "left")
+
+
 @query
 def q_stream_requests(spark, sf):
     """Insert-or-ignore on a stream: the first arrival of every request id, however late the next."""
@@ -838,5 +1110,60 @@ def q_stream_requests(spark, sf):
         arrivals = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
         return sinks.run(arrivals, f"{home}/checkpoint", writer=writer)
 
-    _in_turn(rows, F.col("seq"), 3, f"{home}/in", stream)
+    _in_turn(rows, _range_of(rows, F.col("seq"), 3), f"{home}/in", stream)
     return sinks.read_first(spark, f"{home}/table", rows.schema, ["request_id"], SEQ)
+
+
+@query
+def q_stream_groups(spark, sf):
+    """Two groups read one log; one has stopped after half of it.  Their lag comes from their checkpoints."""
+    home = scratch_dir(spark, "stream-groups")
+    log = src.topic_log(spark, sf).select(*schemas.LOG.names)
+    turns = iter(range(4))
+
+    def stream():
+        runs = [
+            sinks.run(log_source.read_log(spark, f"{home}/log", stream=True), f"{home}/{group}/checkpoint", f"{home}/{group}/out")
+            for group in (("early", "late") if next(turns) < 2 else ("late",))
+        ]
+        for run in runs[:-1]:
+            run.awaitTermination()
+        return runs[-1]
+
+    _in_turn(log, F.least(F.floor(F.col("offset") / 100), F.lit(3)).cast("int"), f"{home}/log", stream)
+    written = log_source.read_log(spark, f"{home}/log")
+    groups = [progress.positions(spark, written, f"{home}/{g}/checkpoint", g) for g in ("early", "late")]
+    lag = logs.consumer_lag(written, groups[0].unionByName(groups[1]))
+    rows = [
+        log_source.read_log(spark, f"{home}/{g}/out").groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("group", F.lit(g))
+        for g in ("early", "late")
+    ]
+    return lag.join(rows[0].unionByName(rows[1]), ["group", "topic", "partition"], "left")
+
+
+@query
+def q_stream_idle(spark, sf):
+    """A stream that takes so many bytes a batch and ends by itself when nothing comes any more."""
+    home = scratch_dir(spark, "stream-idle")
+    log = src.topic_log(spark, sf).select(*schemas.LOG.names)
+    log.repartition(8, "topic", "partition").write.parquet(f"{home}/log")
+
+    def start():
+        stream = log_source.read_log(spark, f"{home}/log", stream=True, max_bytes=1 << 16)
+        return sinks.run(stream, f"{home}/checkpoint", f"{home}/out", trigger={"processingTime": "0 seconds"})
+
+    progress.until_idle(spark, start, 3)
+    out = log_source.read_log(spark, f"{home}/out")
+    return out.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("rows"), F.max("offset").alias("last"))
+
+
+@query
+def q_state_rows(spark, sf):
+    """Which keys a stream's state holds as denied, read from its checkpoint as a table."""
+    home = scratch_dir(spark, "state-rows")
+    log = _stream_log(spark, sf)
+    log.unionByName(jobs.closing_rows(log, LATE_DELAY)).write.parquet(f"{home}/log")
+    judged = jobs.judged_products(log_source.read_log(spark, f"{home}/log", stream=True), delay=LATE_DELAY)
+    sinks.run(judged, f"{home}/checkpoint", f"{home}/out").awaitTermination()
+    return progress.keyed_state(spark, f"{home}/checkpoint").filter(F.size("items") > 0).select("key")

@@ -30,6 +30,9 @@ from logweave.plans import pieces, sizing
 CHAIN_WORDS = 8
 LISTED_WORDS = 1000
 
+# Is a row stopped by the last control event before it?
+STOPPED = "__stopped"
+
 
 def deny_filter(
     products: DataFrame, commands: DataFrame, key: str = "key", order: Sequence[str] = ("offset",)
@@ -49,10 +52,10 @@ def deny_filter_as_of(
 ) -> DataFrame:
     """Products whose key was not denied at their time."""
     control = commands.filter(F.col("action").isin(cl.ADD, cl.REMOVE)).select(
-        key, position, sequence, (F.col("action") == cl.ADD).alias("state")
+        key, position, sequence, (F.col("action") == cl.ADD).alias(STOPPED)
     )
-    seen = pieces.as_of(products, control, [key], position, sequence, "state", rows_per_piece)
-    return seen.filter(~F.coalesce("state", F.lit(False))).drop("state")
+    seen = pieces.as_of(products, control, [key], position, sequence, STOPPED, rows_per_piece)
+    return seen.filter(~F.coalesce(STOPPED, F.lit(False))).drop(STOPPED)
 
 
 def block_filter(
@@ -81,12 +84,12 @@ def block_filter_as_of(
         F.col("blocked").alias("sender_id"),
         position,
         sequence,
-        F.col("on").alias("state"),
+        F.col("on").alias(STOPPED),
     )
     seen = pieces.as_of(
-        messages, control, ["recipient_id", "sender_id"], position, sequence, "state", rows_per_piece
+        messages, control, ["recipient_id", "sender_id"], position, sequence, STOPPED, rows_per_piece
     )
-    return seen.filter(~F.coalesce("state", F.lit(False))).drop("state")
+    return seen.filter(~F.coalesce(STOPPED, F.lit(False))).drop(STOPPED)
 
 
 # --- masking -----------------------------------------------------------------
@@ -196,32 +199,66 @@ def mask_as_of(
 ) -> DataFrame:
     """Mask each message with the shared words in force at its time.
 
-    A word is in force when its last change is an addition no older than the
-    last replace.  Both are as-of lookups of the (id, word) pairs a text may
-    contain, so no list is rebuilt per update and texts without any listed word
-    take no part.
+    Changes and replaces become the intervals in which each word is in force.  The
+    (id, word) pairs a text may contain look up the last interval begun before
+    them, so no list is rebuilt per update and texts without any listed word take
+    no part.
     """
     shared = updates.filter(F.col(key) == cl.SHARED_KEY)
-    when = F.struct(F.col(position), F.col(sequence))
+    found = sizing.settled(word_intervals(shared, key, position, sequence, rows_per_piece), "intervals")
+    return mask_in_force(messages, found, position, sequence, id_col, text, rows_per_piece)
+
+
+def word_intervals(
+    shared: DataFrame,
+    key: str = "key",
+    position: str = "pos",
+    sequence: str = "seq",
+    rows_per_piece: int | None = None,
+) -> DataFrame:
+    """(word, position, sequence, until): from where to where each word is in force.
+
+    An interval begins with an addition or a replace that names the word and ends
+    with the next change of the word or the next replace, whichever comes first;
+    ``until`` is that event's (position, sequence), null while the word is in force.
+    """
+    at = F.struct(F.col(position).alias("pos"), F.col(sequence).alias("seq"))
+    back = {"__back": -F.col(position), "__back_seq": -F.col(sequence)}
+    changes = cl.word_changes(shared, key, (position, sequence)).select("word", "on", position, sequence)
+    changes = changes.withColumns({**back, "__at": at})
+    # Read from the end, what comes next has come before.
+    split = pieces.cut(changes, ["word"], "__back", rows_per_piece)
+    begun = split.last_known(["__back", "__back_seq"], "__at", "__next", strictly_before=True).rows().filter("on")
     resets = shared.filter(F.col("action") == cl.REPLACE).select(
-        key, position, sequence, when.alias("since")
+        position, sequence, at.alias("__reset"), F.lit(1).alias("__kind")
     )
-    changes = cl.word_changes(shared, key, (position, sequence)).select(
-        "word", position, sequence, F.struct("on", when.alias("at")).alias("change")
+    both = begun.drop("__at").withColumn("__kind", F.lit(0)).unionByName(
+        resets.withColumns(back), allowMissingColumns=True
     )
+    # All words end with a replace: one key, of changes alone, cut along time where there are many.
+    split = pieces.cut(both.withColumn("__all", F.lit(0)), ["__all"], "__back", rows_per_piece)
+    seen = split.last_known(["__back", "__back_seq", "__kind"], "__reset", "__ends", strictly_before=True)
+    until = F.least("__next", "__ends").alias("until")
+    return seen.filter(F.col("__kind") == 0).rows().select("word", position, sequence, until)
+
+
+def mask_in_force(
+    messages: DataFrame,
+    intervals: DataFrame,
+    position: str = "pos",
+    sequence: str = "seq",
+    id_col: str = "message_id",
+    text: str = "text",
+    rows_per_piece: int | None = None,
+) -> DataFrame:
+    """Mask each message with the words whose interval (see :func:`word_intervals`) holds its time."""
     # Settled: ids and words only, and texts are taken apart once.
-    pairs = sizing.settled(
-        word_candidates(messages, changes, [id_col, position, sequence], text), "pairs"
-    ).withColumn(key, F.lit(cl.SHARED_KEY))
-    eras = pieces.as_of(pairs, resets, [key], position, sequence, "since", rows_per_piece)
-    seen = pieces.as_of(
-        eras.drop(key), changes, ["word"], position, sequence, "change", rows_per_piece
-    )
-    active = seen.filter(
-        F.col("change.on")
-        & (F.col("since").isNull() | (F.col("change.at") >= F.col("since")))
-    ).select(id_col, "word")
-    return _apply_candidates(messages, active, id_col, text, "ascii")
+    pairs = word_candidates(messages, intervals, [id_col, position, sequence], text)
+    begun = intervals.select("word", position, sequence, F.struct("until").alias("__begun"))
+    seen = pieces.as_of(sizing.settled(pairs, "pairs"), begun, ["word"], position, sequence, "__begun", rows_per_piece)
+    until = F.col("__begun.until.pos")
+    active = seen.filter(F.col("__begun").isNotNull() & (until.isNull() | (until > F.col(position))))
+    return _apply_candidates(messages, active.select(id_col, "word"), id_col, text, "ascii")
 
 
 def chat(

@@ -1,4 +1,4 @@
-"""Framed records joined to their schemas, and flat Avro bodies."""
+"""Framed records joined to their schemas."""
 
 from __future__ import annotations
 

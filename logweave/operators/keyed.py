@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweave.operators.validate import split_valid, table_row_error
 from logweave.plans import pieces
 from logweave.plans.sizing import small_side
 
@@ -54,13 +55,16 @@ def compact(
 
 
 def retain_recent(log: DataFrame, hours: float = 24.0, ts: str = "timestamp") -> DataFrame:
-    """Drop records older than ``hours`` before the newest of their topic."""
+    """Drop records older than ``hours`` before the newest of their topic.
+
+    Null is a topic; a record without a time has no age and stays.
+    """
     newest = log.groupBy(F.col("topic").alias("__topic")).agg(F.max(ts).alias("__newest"))
     newest = small_side(newest)
     age = F.unix_micros("__newest") - F.unix_micros(F.col(ts))
     return (
-        log.join(newest, F.col("topic") == F.col("__topic"))
-        .filter(age <= int(hours * 3_600_000_000))
+        log.join(newest, F.col("topic").eqNullSafe(F.col("__topic")))
+        .filter(age.isNull() | (age <= int(hours * 3_600_000_000)))
         .drop("__topic", "__newest")
     )
 
@@ -71,9 +75,12 @@ def retain_bytes(
     size: Column | None = None,
     rows_per_piece: int | None = None,
 ) -> DataFrame:
-    """Newest records of each partition whose sizes together stay within ``limit``."""
+    """Newest records of each partition whose sizes together stay within ``limit``.
+
+    A null value has no bytes.
+    """
     size = F.octet_length("value") if size is None else size
-    sized = log.withColumn("__size", size.cast("bigint"))
+    sized = log.withColumn("__size", F.coalesce(size.cast("bigint"), F.lit(0)))
     split = pieces.cut(sized, ["topic", "partition"], "offset", rows_per_piece)
     total = split.running_total(["offset"], "__size", "__bytes", newest_first=True)
     return total.filter(F.col("__bytes") <= limit).rows().drop("__size", "__bytes")
@@ -150,3 +157,10 @@ def product_rows(products: DataFrame, *keep: str) -> DataFrame:
         "updated_at",
         *keep,
     )
+
+
+def storable_products(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Product records as table rows, and the records that the table would refuse, with their reason."""
+    error = table_row_error("price.currency", "price.amount")
+    valid, refused = split_valid(products, error)
+    return product_rows(valid), refused

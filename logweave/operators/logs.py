@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions.text import col
-from logweave.plans import pieces
+from logweave.plans import pieces, sizing
 
 # Log names, archive folders, key rules.
 MIRRORED_TOPICS = ("products.filtered", "client.events")
@@ -106,18 +106,26 @@ def batch_gate(
     size: int = 10,
     rows_per_piece: int | None = None,
     keys: Sequence[str] = ("topic", "partition"),
+    opened: DataFrame | None = None,
 ) -> DataFrame:
     """Batches of ``size`` records in arrival order; one bad record blocks its commit.
 
     Offsets may have gaps, so records are counted, not divided by offset.
-    ``full`` is false for a short last batch.
+    ``full`` is false for a short last batch.  ``opened`` has the short last batches
+    of the records before these, in this form: they are filled up first.  One without
+    records says at which number to go on.
     """
     ones = log.withColumn("__one", F.lit(1).cast("bigint"))
     split = pieces.cut(ones, keys, "offset", rows_per_piece)
     counted = split.running_total(["offset"], "__one", "__n").rows()
-    batch = F.floor((F.col("__n") - 1) / size).cast("bigint")
-    return (
-        counted.withColumn("batch", batch)
+    counts = ("rows", "bad", "first_offset", "last_offset")
+    if opened is not None:
+        before = opened.select(*keys, F.col("batch").alias("__batch"), F.col("rows").alias("__rows"))
+        counted = _beside(counted, sizing.small_side(before), keys)
+    at = F.col("__n") - 1 + (F.lit(0) if opened is None else F.coalesce("__rows", F.lit(0)))
+    first = F.lit(0) if opened is None else F.coalesce("__batch", F.lit(0))
+    found = (
+        counted.withColumn("batch", (F.floor(at / size) + first).cast("bigint"))
         .groupBy(*keys, "batch")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -125,9 +133,23 @@ def batch_gate(
             F.min("offset").alias("first_offset"),
             F.max("offset").alias("last_offset"),
         )
-        .withColumn("commit", F.col("bad") == 0)
-        .withColumn("full", F.col("rows") == size)
     )
+    if opened is not None:
+        both = found.unionByName(opened.filter("rows > 0").select(*keys, "batch", *counts))
+        found = both.groupBy(*keys, "batch").agg(
+            F.sum("rows").alias("rows"),
+            F.sum("bad").alias("bad"),
+            F.min("first_offset").alias("first_offset"),
+            F.max("last_offset").alias("last_offset"),
+        )
+    return found.withColumn("commit", F.col("bad") == 0).withColumn("full", F.col("rows") == size)
+
+
+def _beside(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Null-safe left join on ``keys``."""
+    renamed = other.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return rows.join(renamed, same, "left").drop(*(f"__k_{k}" for k in keys))
 
 
 def first_records(log: DataFrame, count: int) -> DataFrame:

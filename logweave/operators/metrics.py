@@ -30,6 +30,7 @@ def counter_rate(
     value: str = "value",
     seconds: int = 60,
     rows_per_piece: int | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Per-second increase over the trailing ``seconds`` at each sample.
 
@@ -37,7 +38,8 @@ def counter_rate(
     A null, NaN or infinite sample is no sample: it adds nothing and precedes
     nothing, but its row still gets the rate of its window.  Rates are sums of the
     increases inside the window and so never negative.  Window edges are not
-    extrapolated.
+    extrapolated.  Samples of one time follow one another by ``order``, then by
+    value, and all are in each other's windows.
     """
     number = F.col(value).cast("double")
     finite = F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
@@ -47,7 +49,7 @@ def counter_rate(
     gain = F.when(now < prev, F.greatest(now, F.lit(0.0))).otherwise(now - prev)
     increase = F.coalesce(gain, F.lit(0.0))
     total = (
-        split.last_known(["__pos"], "__now", "__prev", strictly_before=True)
+        split.last_known(["__pos", *order, "__now"], "__now", "__prev", strictly_before=True)
         .with_column("__inc", increase)
         .trailing_sum(seconds * MICROS, "__inc", "__sum")
     )
@@ -63,14 +65,18 @@ def sum_by(series: DataFrame, by: Sequence[str], value: str, out: str) -> DataFr
 
 
 def current_values(
-    samples: DataFrame, metric: str | None = None, where: Column | None = None
+    samples: DataFrame, metric: str | None = None, where: Column | None = None, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Newest value of each series, chosen by metric name and label condition."""
+    """Newest value of each series, chosen by metric name and label condition.
+
+    Of samples at the newest time the greatest by ``order`` counts, then the greatest value.
+    """
+    newest = F.struct("ts", *order, "value")
     chosen = samples if metric is None else samples.filter(F.col("metric") == metric)
     chosen = chosen if where is None else chosen.filter(where)
     return (
         chosen.groupBy("metric", label_key().alias("label_entries"))
-        .agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
+        .agg(F.max_by("value", newest).alias("value"), F.max("ts").alias("ts"))
         .withColumn("labels", F.map_from_entries("label_entries"))
         .drop("label_entries")
     )
@@ -90,10 +96,13 @@ def held(
     seconds: int,
     ts: str = "ts",
     rows_per_piece: int | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Rows on which ``condition`` holds, with the start of their unbroken run and ``firing``.
 
-    Firing means that the run has lasted at least ``seconds``.
+    Firing means that the run has lasted at least ``seconds``.  Rows of one time
+    follow one another by ``order``; of those still equal, the ones on which the
+    condition does not hold come first.
     """
     placed = samples.withColumn("__pos", epoch_micros(ts)).withColumn(
         "__on", F.coalesce(condition, F.lit(False))
@@ -101,9 +110,9 @@ def held(
     split = pieces.cut(placed, keys, "__pos", rows_per_piece)
     begins = F.col("__on") & ~F.coalesce("__was", F.lit(False))
     runs = (
-        split.last_known(["__pos"], "__on", "__was", strictly_before=True)
+        split.last_known(["__pos", *order, "__on"], "__on", "__was", strictly_before=True)
         .with_column("__start", F.when(begins, F.col("__pos")))
-        .last_known(["__pos"], "__start", "since_us")
+        .last_known(["__pos", *order, "__on"], "__start", "since_us")
     )
     return (
         runs.filter("__on")

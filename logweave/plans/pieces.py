@@ -200,12 +200,14 @@ def as_of(
     control comes before data.  ``state`` is never null on the control side;
     data rows without any earlier control get null.
 
-    One shuffle of the two sides together, no join between them.
+    One shuffle of the two sides together, no join between them.  ``state`` may not
+    be a column of the data: a column of that name would be lost.
     """
-    events = control.select(*keys, position, sequence, state, F.lit(0).alias("__kind"))
+    if state in data.columns:
+        raise ValueError(f"the data has a column named {state}")
+    events = control.select(*keys, position, sequence, F.col(state).alias("__given"), F.lit(0).alias("__kind"))
     tagged = data.withColumn("__kind", F.lit(1)).unionByName(events, allowMissingColumns=True)
     known = cut(tagged, keys, position, rows_per_piece).last_known(
-        [position, "__kind", sequence], state, "__state"
+        [position, "__kind", sequence], "__given", state
     )
-    seen = known.filter(F.col("__kind") == 1).rows()
-    return seen.drop("__kind", state).withColumnRenamed("__state", state)
+    return known.filter(F.col("__kind") == 1).rows().drop("__kind", "__given")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,6 +14,7 @@ from logweave.functions.text import trimmed
 from logweave.operators import logs
 from logweave.operators.changelog import ADD
 from logweave.operators.validate import product_error
+from logweave.plans.sizing import settled, small_side
 
 # Fixed value: a line of this many bytes or more is refused.
 MAX_LINE_BYTES = 4 * 1024 * 1024
@@ -47,14 +48,45 @@ def product_lines(lines: DataFrame, on_error: str = "fail"):
     return records.apply_policy(judged, on_error)
 
 
-def read_products(spark: SparkSession, path: str, on_error: str = "fail"):
-    """Product file scan; rejected rows carry their file and a number in row order."""
+def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Text lines (``value``) with their ``file`` and ``line``, the number in that file from 1.
+
+    A file is read in splits by many tasks.  A first scan counts the lines of every
+    split; sums of those counts, one row per split, say at which number each begins,
+    and within a split lines come in order.  Both scans are of one list of files; if
+    they were split differently, because the cluster grew in between, the job fails.
+    """
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("row_order"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"),
     )
-    return product_lines(lines, on_error)
+    splits = lines.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("__first"))
+    before = Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    found = lines.join(small_side(starts), ["file", "__block"], "left")
+    number = F.col("__before") + F.col("__at") - F.col("__first") + 1
+    told = F.coalesce(number, F.raise_error(F.lit("a file was split differently")).cast("bigint"))
+    return found.select("value", "file", told.alias("line"))
+
+
+def read_products(spark: SparkSession, path: str, on_error: str = "fail"):
+    """Product file scan; every row has its file and line, blank lines counted.
+
+    Beside the policies of :func:`logweave.functions.records.apply_policy` there is
+    ``stop``: a pair of the rows before the first bad line of each file, and those bad
+    lines.
+    """
+    if on_error != "stop":
+        return product_lines(numbered_lines(spark, path), on_error)
+    judged = product_lines(numbered_lines(spark, path), "raw")
+    bad = judged.filter(F.col("reject_reason").isNotNull())
+    first = bad.groupBy("file").agg(F.min_by(F.struct("line", "value", "reject_reason"), "line").alias("bad"))
+    first = small_side(settled(first.select("file", "bad.*"), "first-bad"))
+    ends = first.select("file", F.col("line").alias("__end"))
+    before = judged.join(ends, "file", "left").filter(F.col("__end").isNull() | (F.col("line") < F.col("__end")))
+    return before.drop("__end", "reject_reason"), first
 
 
 def read_deny_file(spark: SparkSession, path: str) -> DataFrame:
@@ -74,15 +106,16 @@ def read_results(spark: SparkSession, folder: str, schema: StructType) -> DataFr
 
 
 def read_keyed_text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``key<TAB>json``; blank lines and ``#`` comments are skipped."""
+    """Lines ``key<TAB>json`` with their file and number; blank lines and ``#`` comments are skipped."""
     parts = F.split("value", "\t", 2)
     return (
-        spark.read.text(path)
+        numbered_lines(spark, path)
         .filter((trimmed("value") != "") & ~F.startswith("value", F.lit("#")))
         .select(
             parts[0].alias("key"),
             F.get(parts, F.lit(1)).alias("value"),
-            F.monotonically_increasing_id().alias("row_order"),
+            "file",
+            F.col("line").alias("row_order"),
         )
     )
 
@@ -109,3 +142,12 @@ def write_archive(log: DataFrame, path: str, mode: str = "append") -> None:
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
     """(dataset, file) of an archive, for the readiness check; contents are not read."""
     return spark.read.format("binaryFile").load(path).select("dataset", F.col("path").alias("file"))
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder of finished files, so that whoever lists ``to``'s parent sees them all at once."""
+    here, there = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (folder, to))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(there.getParent())
+    if not files.rename(here, there):
+        raise OSError(f"cannot move {folder} to {to}")

@@ -19,12 +19,18 @@ def read_log(
     schema: StructType = schemas.LOG,
     stream: bool = False,
     max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Log rows from the earliest record; ``topics`` empty means all."""
+    """Log rows from the earliest record; ``topics`` empty means all.
+
+    A stream takes at most ``max_files`` files or ``max_bytes`` bytes a batch, but one file at least.
+    """
     if stream:
         reader = spark.readStream.schema(schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
         log = reader.parquet(path)
     else:
         log = spark.read.schema(schema).parquet(path)

@@ -3,7 +3,8 @@
 Control and data rows of different logs arrive in any order.  Rows are held per
 key until the watermark has passed them, then replayed in event-time order
 (control before data at equal time), which gives what
-:func:`logweave.plans.pieces.as_of` gives on the finished log.
+:func:`logweave.plans.pieces.as_of` gives on the finished log.  Rows that come too
+late are told apart, and a closing row lets go of those still held.
 
 Data rows of one key do not depend on each other, so a hot key is spread over
 ``salts`` state instances; its control rows go to each of them.
@@ -16,13 +17,16 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from logweave.functions.times import epoch_micros
 from logweave.session import ROCKSDB
 
-CONTROL, DATA = 0, 1
+CONTROL, DATA, CLOSING = 0, 1, 2
+# Rows wait in buckets of this much event time.
+BUCKET_MILLIS = 1000
 _ITEMS = StructType([StructField("items", ArrayType(StringType()))])
+_SEEN = StructType([*_ITEMS.fields, StructField("last", LongType())])
 
 
 def changed(items: set[str], action: str, arguments: Sequence[str]) -> set[str]:
@@ -66,51 +70,88 @@ class DecideAtOnce(StatefulProcessor):
 
 
 class HoldUntilWatermark(StatefulProcessor):
-    """Holds rows of a key until the watermark passes them; emits data rows with the set."""
+    """Holds rows of a key until the watermark passes them; emits data rows with the set.
 
-    def __init__(self, held: StructType, emitted: Sequence[str]):
+    Rows wait in a map of buckets of event time, and a timer at its end replays one
+    bucket, so neither a timer nor an arrival touches the rest of what waits.  A row
+    whose bucket has been replayed is late: a data row is emitted at once, ``late``,
+    with the set as it is known, and a control row counts from now on, unless a later
+    one has been applied.  A CLOSING row is nobody's: it only moves the watermark.
+    """
+
+    def __init__(self, held: StructType, emitted: Sequence[str], bucket_millis: int = BUCKET_MILLIS):
         self._schema = held
         self._emitted = list(emitted)
+        self._bucket = bucket_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._pending = handle.getListState("pending", self._schema)
-        self._current = handle.getValueState("current", _ITEMS)
+        bucket = StructType([StructField("bucket", LongType())])
+        self._pending = handle.getMapState("pending", bucket, StructType([StructField("rows", ArrayType(self._schema))]))
+        self._current = handle.getValueState("current", _SEEN)
+
+    def _replayed(self, rows: Iterator[Row], late: bool) -> Iterator[Row]:
+        items, last = set(), None
+        if self._current.exists():
+            known = self._current.get()
+            items, last = set(known[0]), known[1]
+        out, moved = [], False
+        for row in sorted(rows, key=_turn):
+            if row["kind"] != CONTROL:
+                out.append(Row(**{n: row[n] for n in self._emitted}, items=sorted(items, key=str.encode), late=late))
+            elif last is None or (row["pos"] is not None and row["pos"] >= last):
+                items = changed(items, row["action"], row["arguments"] or [])
+                last, moved = row["pos"], True
+        if moved:
+            self._current.update((sorted(items), last))
+        return iter(out)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = self._schema.names
-        fresh = [tuple(row[n] for n in names) for row in rows]
-        self._pending.appendList(fresh)
-        at = names.index("pos")
-        self._handle.registerTimer(min(row[at] for row in fresh) // 1000 + 1)
-        return iter([])
+        names, width = self._schema.names, self._bucket * 1000
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh, late = {}, []
+        for row in rows:
+            if row["kind"] == CLOSING:
+                continue
+            bucket = None if row["pos"] is None else row["pos"] // width
+            if bucket is None or (bucket + 1) * width <= passed:
+                late.append(row)
+            else:
+                fresh.setdefault(bucket, []).append(tuple(row[n] for n in names))
+        for bucket, added in fresh.items():
+            if self._pending.containsKey((bucket,)):
+                added = [*map(tuple, self._pending.getValue((bucket,))[0]), *added]
+            else:
+                self._handle.registerTimer((bucket + 1) * self._bucket)
+            self._pending.updateValue((bucket,), (added,))
+        return self._replayed(iter(late), True) if late else iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        bucket = expiredTimerInfo.getExpiryTimeInMs() // self._bucket - 1
+        if not self._pending.containsKey((bucket,)):
+            return iter([])
         names = self._schema.names
-        rows = [Row(**dict(zip(names, r))) for r in self._pending.get()]
-        due = sorted((r for r in rows if r["pos"] <= passed), key=lambda r: (r["pos"], r["kind"], r["seq"]))
-        rest = [r for r in rows if r["pos"] > passed]
-        items = set(self._current.get()[0]) if self._current.exists() else set()
-        out = []
-        for row in due:
-            if row["kind"] == CONTROL:
-                items = changed(items, row["action"], row["arguments"] or [])
-            else:
-                ordered = sorted(items, key=str.encode)
-                out.append(Row(**{n: row[n] for n in self._emitted}, items=ordered))
-        self._current.update((sorted(items),))
-        if rest:
-            self._pending.put([tuple(r[n] for n in names) for r in rest])
-            self._handle.registerTimer(min(r["pos"] for r in rest) // 1000 + 1)
-        else:
-            self._pending.clear()
-        return iter(out)
+        due = [Row(**dict(zip(names, row))) for row in self._pending.getValue((bucket,))[0]]
+        self._pending.removeKey((bucket,))
+        return self._replayed(iter(due), False)
 
     def close(self) -> None:
         pass
 
 
+def _turn(row: Row) -> tuple:
+    return (row["pos"] is not None, row["pos"] or 0, row["kind"], row["seq"])
+
+
+def closing(rows: DataFrame, ts: str, delay: str, bucket_millis: int = BUCKET_MILLIS) -> DataFrame:
+    """One row, with a time by which everything in ``rows`` is past its delay, to be added to a log that ends.
+
+    It has ``ts`` alone; the other columns of the log are the caller's to fill.
+    """
+    wait = F.expr(f"INTERVAL {delay}") + F.make_dt_interval(secs=F.lit(2 * bucket_millis / 1000))
+    return rows.agg(F.max(ts).alias("__last")).select((F.col("__last") + wait).alias(ts))
+
+
 def as_of_stream(
     rows: DataFrame,
     keys: Sequence[str],
@@ -121,13 +162,12 @@ def as_of_stream(
     """Data rows of a mixed stream with ``items``, the set of their key at their time.
 
     ``rows`` has the keys, ``ts`` (timestamp), ``seq`` (bigint), ``kind``
-    (CONTROL or DATA), ``action`` and ``arguments`` of control rows, and the
-    columns of data rows.  With a ``delay`` rows wait for the watermark, those of the
-    last ``delay`` of a finished input stay in the state until later rows come, and
-    rows later than the watermark are dropped by Spark and counted in the query
-    progress.  With None every row is decided in the batch that brings it: none is
-    held back or lost.  Keyed state of this kind needs the RocksDB provider, which
-    is set on the session here.
+    (CONTROL, DATA or CLOSING), ``action`` and ``arguments`` of control rows, and the
+    columns of data rows.  With a ``delay`` rows wait for the watermark, and a row that
+    comes after it is not lost but emitted with ``late`` true; those of the last
+    ``delay`` of a finished input wait until a :func:`closing` row comes.  With None
+    every row is decided in the batch that brings it, and there is no ``late``.  Keyed
+    state of this kind needs the RocksDB provider, which is set on the session here.
     """
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     salt = F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int")
@@ -136,11 +176,13 @@ def as_of_stream(
     )
     placed = rows.withColumn("pos", epoch_micros(ts)).withColumn("salt", F.explode(own))
     if delay is not None:
-        placed = placed.withWatermark(ts, delay)
+        # The watermark follows this column; the operator sees a copy of it, by which it drops nothing.
+        placed = placed.withWatermark(ts, delay).withColumn(ts, F.timestamp_micros("pos"))
     held = StructType([f for f in placed.schema.fields if f.name != "salt"])
     hidden = {"kind", "action", "arguments", "pos"}
     kept = [f for f in held.fields if f.name not in hidden]
-    output = StructType([*kept, *_ITEMS.fields])
+    late = [] if delay is None else [StructField("late", BooleanType())]
+    output = StructType([*kept, *_ITEMS.fields, *late])
     processor = DecideAtOnce if delay is None else HoldUntilWatermark
     return placed.groupBy(*keys, "salt").transformWithState(
         statefulProcessor=processor(held, [f.name for f in kept]),
