@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweave.llm.rows import ranked
 from logweave.plans.sizing import settled
@@ -120,7 +121,11 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     by document; the halves handed to the neighbours a second time.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark")).alias("key"), text.alias("text"))
+    # Of the type that it has when read back: a key of another nullability is cast in
+    # joins, and rows dealt by the key itself would be dealt once more.
+    read_back = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("mark", T.LongType())])
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark")).cast(read_back)
+    rows = docs.select(key.alias("key"), text.alias("text"))
     ring = settled(rows.groupBy("key").agg(F.max(F.length("text")).cast("long").alias("n_chars")), "ring")
     ring = ranked(ring, [F.col("key.id").desc_nulls_last(), F.col("key.mark").desc()], "ring-order")
     after = F.pmod(F.col("rank") + 1, F.lit(max(1, ring.count())))

@@ -361,3 +361,22 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
     monkeypatch.setattr(words, "GROUP_BYTES", 500)
     pieces, bounds = words.word_hashes(data, np.array([0, len(data)]))
     assert (pieces == whole).all() and bounds.tolist() == [0, 3000]
+
+
+def test_texts_are_dealt_once(make, spark, monkeypatch):
+    """Of the exchanges before the fingerprints, the one by document carries whole texts, the other the halves."""
+    plans = {}
+    real = fingerprint.settled
+
+    def looked_at(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(fingerprint, "settled", looked_at)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fingerprint.edited(make([(k, f"text {k} " * 50, "s") for k in range(20)])).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plans["ring-marked"].splitlines() if "Exchange hashpartitioning(key" in line]
+    assert dealt and not any("cast(" in line for line in plans["ring-marked"].splitlines() if "Exchange" in line)
