@@ -1,7 +1,8 @@
 """HTML extraction: containers are scored per page, hosts vote on paths, winners extract.
 
 A container's path is the tags and classes from the root down, without digits and
-ids, so that pages of one template share it.  A page's best container is widened to the
+ids, so that pages of one template share it; what is kept of it is a running hash, so
+deep pages cost no more than long ones.  A page's best container is widened to the
 article or other container around it as long as what that adds is mostly unlinked text.
 Each page votes for the path so found with the best container's score; votes are summed per host and path in
 Spark.  Each page's own paths are joined with all votes of its host, however many,
@@ -13,8 +14,10 @@ page voted for itself are sent along, by the page's locator.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -35,14 +38,20 @@ BLOCKS = CONTAINERS | frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg object".split())
-LEFT_OUT = RAW | frozenset("nav header footer aside form button select menu dialog head canvas audio video".split())
-# Words in a class or id that mark an element as no part of the article.
+LEFT_OUT = RAW | frozenset("nav header footer aside button select menu dialog head canvas audio video".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements, and words that a class or id begins or ends with, that mark what is no part of the article.
+MARKED = frozenset({"form"})
 MARKS = frozenset(
     "ad ads adv advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "pager pagination popup promo promoted related replies reply search share sharing sidebar signup social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that say a mark is of something else.
+OTHERWISE = frozenset("has is no not with without".split())
+# With less unlinked text than this outside headings a page has lost its article to a mark.
+LEAST_TEXT = 60
 # An open element of the key's tag ends when one of these starts.
 ENDED_BY = {
     "p": BLOCKS - {"br", "title", "html", "head"},
@@ -80,9 +89,26 @@ class Page:
     """Blocks of text in page order, and the containers with the blocks they span."""
 
     blocks: list[str] = field(default_factory=list)
-    # Of each block, how many characters are links.
+    # Of each block, how many characters are links, and whether it is a heading.
     linked: list[int] = field(default_factory=list)
+    heading: list[bool] = field(default_factory=list)
     containers: list[Container] = field(default_factory=list)
+    # Marked elements in page order: the marked one around each (-1: none), and its unlinked text not in another.
+    marked: list[list[int]] = field(default_factory=list)
+
+
+@dataclass(slots=True)
+class Open:
+    """An element not yet ended: where it is, and what keeps its text out of the page."""
+
+    tag: str
+    path: str = ""
+    out: bool = False
+    # The marked element it is in, -1 if none; in a header of an article, where headings alone count.
+    mark: int = -1
+    quiet: bool = False
+    article: bool = False
+    container: Container | None = None
 
 
 def _names(attributes: str) -> tuple[list[str], bool]:
@@ -90,20 +116,59 @@ def _names(attributes: str) -> tuple[list[str], bool]:
     classes, marked = [], False
     for key, *values in _NAMED.findall(attributes):
         value = next((v for v in values if v), "").lower()
-        marked = marked or not MARKS.isdisjoint(_WORDS.findall(value))
+        marked = marked or any(map(_is_mark, value.split()))
         if key.lower() == "class":
             classes += [w for w in re.sub(r"\d+", "", value).split() if w.strip("-_")]
     return sorted(set(classes)), marked
 
 
+def _is_mark(name: str) -> bool:
+    """Does a class or id begin or end with a mark, and not say that it is about something else?"""
+    words = _WORDS.findall(name)
+    return bool(words) and not MARKS.isdisjoint((words[0], words[-1])) and OTHERWISE.isdisjoint(words)
+
+
+def _path(around: str, name: str) -> str:
+    return blake2b(f"{around}>{name}".encode(), digest_size=12).hexdigest()
+
+
+def spared(page: Page) -> frozenset[int]:
+    """Marked elements that are read all the same, as without them hardly any text is left.
+
+    From the outside in: the largest one, and the largest in it, until there is text.
+    """
+    each = zip(page.blocks, page.linked, page.heading, strict=True)
+    left = sum(len(block) - linked for block, linked, heading in each if not heading)
+    sizes = [size for _, size in page.marked]
+    for k in range(len(sizes) - 1, -1, -1):
+        if page.marked[k][0] >= 0:
+            sizes[page.marked[k][0]] += sizes[k]
+    found, inside = [], {}
+    for k, (around, _) in enumerate(page.marked):
+        if sizes[k] > sizes[inside.get(around, k)] or around not in inside:
+            inside[around] = k
+    k = inside.get(-1)
+    while k is not None and left < LEAST_TEXT and sizes[k] > left:
+        found.append(k)
+        left += page.marked[k][1]
+        k = inside.get(k)
+    return frozenset(found)
+
+
 def parse(html: str) -> Page:
     """A tolerant reading: elements left open end with their parent or the page."""
+    page = _parsed(html, frozenset())
+    all_the_same = spared(page) if page.marked else None
+    return _parsed(html, all_the_same) if all_the_same else page
+
+
+def _parsed(html: str, unmarked: frozenset[int]) -> Page:
     page = Page()
-    # tag, path, whether left out from here on, container or None
-    stack: list[tuple[str, str, bool, Container | None]] = []
+    stack: list[Open] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = 0
-    links = 0
+    heading = False
 
     def flush() -> None:
         nonlocal linked
@@ -112,21 +177,21 @@ def parse(html: str) -> Page:
             if block:
                 page.blocks.append(block)
                 page.linked.append(linked)
+                page.heading.append(heading)
                 worth = max(0.0, len(block) - 2.0 * linked) * (1.0 if len(block) >= 25 else 0.3)
-                for _, _, _, container in reversed(stack):
-                    if container is not None:
-                        container.score += worth
-                        worth *= PASSED_ON
+                around = next((e.container for e in reversed(stack) if e.container is not None), None)
+                while around is not None and worth > 1e-9:
+                    around.score += worth
+                    worth *= PASSED_ON
+                    around = around.around
             text.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal links
-        tag, _, _, container = stack.pop()
-        if tag == "a":
-            links -= 1
-        if container is not None:
-            container.last = len(page.blocks)
+        ended = stack.pop()
+        opened[ended.tag] -= 1
+        if ended.container is not None:
+            ended.container.last = len(page.blocks)
 
     at, n = 0, len(html)
     while at < n:
@@ -134,21 +199,29 @@ def parse(html: str) -> Page:
         at = token.end()
         closing, tag, attributes, plain = token.groups()
         if plain is not None:
-            if not (stack and stack[-1][2]):
-                found = unescape(plain)
-                text.append(found)
-                if links:
-                    linked += len(found.strip())
+            inner = stack[-1] if stack else None
+            headed = any(opened[h] > 0 for h in HEADINGS)
+            if inner is not None and (inner.out or (inner.quiet and not headed)):
+                continue
+            found = unescape(plain)
+            links = opened["a"] > 0
+            if inner is not None and inner.mark >= 0:
+                page.marked[inner.mark][1] += 0 if links else len(found.strip())
+                continue
+            heading = headed if not text else heading and headed
+            text.append(found)
+            if links:
+                linked += len(found.strip())
             continue
         if tag is None:
             continue
         tag = tag.lower()
         if closing:
-            if any(open_[0] == tag for open_ in stack):
+            if opened[tag] > 0:
                 if tag in BLOCKS:
                     flush()
-                while stack[-1][0] != tag:
-                    if stack[-1][0] in BLOCKS:
+                while stack[-1].tag != tag:
+                    if stack[-1].tag in BLOCKS:
                         flush()
                     pop()
                 pop()
@@ -162,29 +235,36 @@ def parse(html: str) -> Page:
             flush()
         if tag in VOID or attributes.endswith("/"):
             continue
-        while stack and tag in ENDED_BY.get(stack[-1][0], ()):
+        while stack and tag in ENDED_BY.get(stack[-1].tag, ()):
             pop()
         if tag in BLOCKS and tag not in ("br", "title"):
             # A block inside a paragraph ends the paragraph, whatever inline elements are open in it.
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ENDED_BY and tag in ENDED_BY[stack[k][0]]:
+                if stack[k].tag in ENDED_BY and tag in ENDED_BY[stack[k].tag]:
                     while len(stack) > k:
                         pop()
                     break
-                if stack[k][0] in BLOCKS:
+                if stack[k].tag in BLOCKS:
                     break
-        parent = stack[-1] if stack else ("", "", False, None)
+        parent = stack[-1] if stack else Open("")
         names, marked = _names(attributes) if attributes else ([], False)
-        out = parent[2] or tag in LEFT_OUT or (marked and tag not in _KEPT)
-        path = f"{parent[1]}>{'.'.join([tag, *names])}" if tag in BLOCKS else parent[1]
-        container = None
-        if tag in CONTAINERS and not out:
-            around = next((c for _, _, _, c in reversed(stack) if c is not None), None)
-            container = Container(path, len(page.blocks), depth=len(stack), tag=tag, around=around)
-            page.containers.append(container)
-        if tag == "a":
-            links += 1
-        stack.append((tag, path, out, container))
+        now = Open(tag, parent.path, parent.out, parent.mark, parent.quiet, parent.article or tag == "article")
+        if tag == "header" and parent.article:
+            now.quiet = True
+        elif tag in LEFT_OUT:
+            now.out = True
+        if (marked or tag in MARKED) and tag not in _KEPT and not now.out:
+            page.marked.append([parent.mark, 0])
+            if len(page.marked) - 1 not in unmarked:
+                now.mark = len(page.marked) - 1
+        if tag in BLOCKS:
+            now.path = _path(parent.path, ".".join([tag, *names]))
+        if tag in CONTAINERS and not now.out and now.mark < 0:
+            around = next((e.container for e in reversed(stack) if e.container is not None), None)
+            now.container = Container(now.path, len(page.blocks), depth=len(stack), tag=tag, around=around)
+            page.containers.append(now.container)
+        opened[tag] += 1
+        stack.append(now)
     flush()
     while stack:
         pop()
@@ -282,9 +362,15 @@ def winners(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id``, ``url``, ``text`` and ``n_chars`` of every page's article.
 
+    What a class or id marks as no part of the article is left out, but not where
+    hardly any text would be left: then the marked part is a container like others, and
+    the vote decides.  In a header inside the article headings count, nothing else.
+
     Null and empty html give an empty text; a page without containers gives all its
     blocks; an unreadable url counts as no host.  Rows that repeat are read each for
-    itself.
+    itself.  Of paths with equal votes the one with the least hash wins.  Pages may be
+    long and deep: reading one takes time in proportion to its length.  Other columns,
+    whatever their names, are not read.
     """
     small_batches(pages.sparkSession, 500)
     pages = in_files(pages, "pages")

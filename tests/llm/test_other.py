@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -135,7 +136,10 @@ class="with-comments"><header>top</header><nav><ul><li><a href="/x">menu</a></ul
 def test_article_without_what_surrounds_it():
     page = html_text.parse(PAGE % ("a reader writes a lot " * 50))
     path = html_text.best(page).path
-    assert path == ">html>body.with-comments>div.post.post-"
+    named = ""
+    for name in ("html", "body.with-comments", "div.post.post-"):
+        named = html_text._path(named, name)
+    assert path == named
     wanted = "A & B First paragraph boldx, long enough to count here. more second éé one quoted words"
     assert html_text.text_of(page, [path]) == wanted
 
@@ -380,3 +384,56 @@ def test_texts_are_dealt_once(make, spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     dealt = [line for line in plans["ring-marked"].splitlines() if "Exchange hashpartitioning(key" in line]
     assert dealt and not any("cast(" in line for line in plans["ring-marked"].splitlines() if "Exchange" in line)
+
+
+STORY = "The engine read the whole table twice before anybody noticed that the second pass was not needed at all. " * 3
+
+
+@pytest.mark.parametrize(
+    "open_tag",
+    [
+        '<div class="wrap no-sidebar">',
+        '<div class="content has-sidebar">',
+        '<div class="post with-comments">',
+        '<div class="layout header-fixed">',
+        '<div class="search-result">',
+        '<div class="story share-story">',
+        '<form action="/x">',
+        '<div id="search"><div class="widget">',
+    ],
+)
+def test_no_class_word_costs_the_article(open_tag):
+    close = "</form>" if "form" in open_tag else "</div>" * open_tag.count("<div")
+    html = f'<body><nav><a href="/">home</a></nav>{open_tag}<p>{STORY}</p><div class="ad">buy this</div>{close}</body>'
+    page = html_text.parse(html)
+    assert html_text.text_of(page, []) == STORY.strip()
+
+
+def test_marks_hold_beside_an_article():
+    comments = "<div class='reader-comments'><p>" + "I think so too, and more than that. " * 200 + "</p></div>"
+    wrapped = f"<body><div class='page-header'><div class='x'><p>{STORY}</p></div>{comments}</div></body>"
+    for html in (f"<body><article><p>{STORY}</p></article>{comments}</body>", wrapped):
+        assert html_text.text_of(html_text.parse(html), []) == STORY.strip()
+    for name, marked in [("sidebar", True), ("left-sidebar", True), ("sidebar-left", True), ("barside", False),
+                         ("no-ads", False), ("has-comments", False), ("my-login-box", False), ("cookie_notice", True)]:
+        assert html_text._is_mark(name) == marked, name
+
+
+def test_a_header_in_an_article_gives_its_headings():
+    html = f"<article><header><p>by somebody</p><h1>A <b>title</b></h1><a href='/'>share</a></header><p>{STORY}</p></article>"
+    assert html_text.text_of(html_text.parse(html), []) == f"A title {STORY.strip()}"
+    outside = f"<body><header><h1>Site</h1></header><article><p>{STORY}</p></article></body>"
+    assert html_text.text_of(html_text.parse(outside), []) == STORY.strip()
+
+
+def test_deep_and_long_pages_are_read_in_proportion(spark):
+    deep = "<div class='a1'>" * 60_000 + f"<p>{STORY}</p>" + "</div>" * 60_000
+    started = time.monotonic()
+    page = html_text.parse(deep)
+    assert html_text.text_of(page, []) == STORY.strip() and time.monotonic() - started < 20
+    assert sum(len(c.path) for c in page.containers) < 60_000 * 30
+    long = "<article>" + f"<p>{STORY}</p>" * 20_000 + "</article>"
+    rows = [(1, "http://h/1", deep, "x", "w"), (2, "http://h/2", long, "y", "w"), (3, None, None, None, None), (4, "::", "", "", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, winner string")
+    found = {r.id: r.n_chars for r in html_text.extract(pages).collect()}
+    assert found == {1: len(STORY.strip()), 2: (len(STORY.strip()) + 1) * 20_000 - 1, 3: 0, 4: 0}
