@@ -1,10 +1,12 @@
 """Secret scans: fixed patterns, and windows of high Shannon entropy per character class.
 
 Candidates of a class are the maximal runs of its characters that mix letters with
-digits or small letters with capitals, cut where a word of the allow-list stands.  A
-window slides over a candidate; its entropy follows from the counts of
-its characters, of which a step changes two.  Windows at or above the class's
-threshold are merged into spans, and spans that an allow-list knows are dropped.
+digits or small letters with capitals, cut where a word of the allow-list stands; a run
+that is a path or a name, made of words and numbers only, is none.  A window slides over
+a candidate; its entropy follows from the counts of its characters, of which a step
+changes two.  Windows at or above the class's threshold are merged into spans, and spans
+that an allow-list knows are dropped.  What is left of a run beside an allowed word may
+be somewhat shorter than a window, and is then one window as a whole.
 """
 
 from __future__ import annotations
@@ -48,6 +50,11 @@ CLASSES = (
 )
 # Words of what is no secret; windows that overlap one do not count.
 WORDS = re.compile(r"example|sample|dummy|placeholder|changeme|xxxx|0123456789", re.IGNORECASE)
+# Between separators, what paths, names and slugs are made of: words, joined words, numbers, short codes.
+PLAIN = re.compile(r"[a-z]*(?:[A-Z][a-z]{2,}|[A-Z]{2,4}(?=[A-Z][a-z]))*\d{0,4}|[A-Z]+\d{0,4}|\d+|[A-Za-z0-9]{1,4}")
+SEPARATORS = re.compile(r"[/+_=-]+")
+# Beside an allowed word so much of a window is enough, with so much of its entropy.
+PART = 0.75
 # What looks random but is no secret, matched against a whole span.
 ALLOW = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
@@ -118,6 +125,25 @@ def between_words(text: str) -> list[tuple[int, int]]:
     return [*parts, (first, len(text))]
 
 
+def is_name(text: str) -> bool:
+    """Is every part between separators a word, joined words, or a number?"""
+    return all(PLAIN.fullmatch(part) for part in SEPARATORS.split(text) if part)
+
+
+def windows(text: str, c: CharClass) -> Iterator[tuple[int, int]]:
+    """The merged high windows of a run, allowed words and names left out."""
+    if is_name(text):
+        return
+    parts = between_words(text)
+    for first, last in parts:
+        part, window, bits = text[first:last], c.window, c.bits
+        if len(parts) > 1 and PART * window <= len(part) < window:
+            window, bits = len(part), c.bits - math.log2(c.window / len(part))
+        if len(parts) == 1 or not is_name(part):
+            for a, b in high_windows(part, window, bits):
+                yield first + a, first + b
+
+
 def _chars(raw: np.ndarray, places: list[int]) -> list[int]:
     """Code points before each byte offset of a text; offsets ascend."""
     out, seen, last = [], 0, 0
@@ -153,10 +179,9 @@ def scan(data: np.ndarray, at: np.ndarray, allow: Sequence[re.Pattern]) -> list[
         found = []
         for s, e in zip(starts[both].tolist(), ends[both].tolist(), strict=True):
             text = blob[s:e].decode("ascii")
-            for first, last in between_words(text):
-                for a, b in high_windows(text[first:last], c.window, c.bits):
-                    if not any(rule.fullmatch(text, first + a, first + b) for rule in allow):
-                        found.append((s + first + a, s + first + b))
+            for a, b in windows(text, c):
+                if not any(rule.fullmatch(text, a, b) for rule in allow):
+                    found.append((s + a, s + b))
         if found:
             put(c.kind, *map(np.array, zip(*found, strict=True)))
 
@@ -224,7 +249,9 @@ def find(
     Spans are ``kind:start:end`` in code points, end exclusive, by start, then kind.
     An entropy span inside a base span is not told twice.  Null and empty texts have
     no spans and the digest of the empty string; rows that repeat are scanned each
-    for itself.  Rows are never shuffled.
+    for itself.  Spans that start together are told base kinds first, in the order
+    listed.  Long texts are scanned whole, in time proportional to their length, and
+    rows are never shuffled; other columns are not read.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
