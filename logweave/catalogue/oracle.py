@@ -279,6 +279,11 @@ WHERE is_product"""
   coalesce(array_to_string(list_sort(list(blocked) FILTER (WHERE is_on)), ','), '') AS blocked
 FROM (SELECT usr, blocked, arg_max(is_on, seq) AS is_on, max(seq) AS seq FROM block GROUP BY usr, blocked)
 GROUP BY usr"""
+    pairs = "(SELECT usr, blocked, arg_max(is_on, seq) AS is_on FROM block GROUP BY usr, blocked)"
+    sql["q_block_rows"] = _with(EV, BLOCK) + f"SELECT usr AS user, blocked FROM {pairs} WHERE is_on"
+    sql["q_block_pages"] = _with(EV, BLOCK) + f"""SELECT u.usr AS user, blocked, true AS sorted
+FROM (SELECT DISTINCT usr FROM block) u LEFT JOIN (SELECT * FROM {pairs} WHERE is_on) p ON u.usr = p.usr"""
+    sql["q_word_rows"] = _with(EV, UPDATES) + "SELECT key, word FROM active"
     sql["q_block_filter"] = _with(EV, BLOCK, MESSAGES) + """SELECT message_id, recipient_id, sender_id FROM messages m
 WHERE NOT EXISTS (
   SELECT 1 FROM (SELECT usr, blocked, arg_max(is_on, seq) AS is_on FROM block GROUP BY usr, blocked) b
@@ -398,6 +403,13 @@ FROM mirrored GROUP BY ALL"""
     sql["q_topic_offsets"] = _with(EV, LOG) + (
         "SELECT topic, CAST(count(*) AS BIGINT) AS total_offsets FROM log GROUP BY topic"
     )
+    sql["q_first_records"] = _with(EV, LOG) + """SELECT topic, partition, "offset", event_id FROM log
+ORDER BY ts, topic, partition, "offset" LIMIT 500"""
+    sql["q_counted"] = _with(EV, LOG) + """SELECT topic, count(*) AS rows, (SELECT count(*) FROM log) AS counted
+FROM log GROUP BY topic"""
+    sql["q_pretty_records"] = _with(EV, CLIENT) + """SELECT request_id, '{' || chr(10) || '  "request_type" : "' || request_type || '"'
+  || CASE WHEN query IS NULL THEN '' ELSE ',' || chr(10) || '  "query" : "' || query || '"' END || chr(10) || '}' AS shown
+FROM client"""
     sql["q_lag"] = _with(EV, LOG) + """SELECT 'readers' AS "group", topic, partition, count(*) AS end_offset,
   coalesce(max("offset") FILTER (WHERE k < 50 AND (partition < 2 OR topic <> 'view')) + 1, 0) AS committed,
   count(*) - coalesce(max("offset") FILTER (WHERE k < 50 AND (partition < 2 OR topic <> 'view')) + 1, 0) AS lag
@@ -419,7 +431,7 @@ FROM log GROUP BY topic, partition"""
   SELECT key, arg_max(action, seq) AS action FROM deny WHERE action IN ('add', 'remove') GROUP BY key)
 WHERE action = 'add'"""
     sql["q_cdc_decode"] = _with(EV, LOG) + """SELECT topic, partition, "offset", key, k % 9 <> 0 AS is_json,
-  CASE WHEN k % 9 = 0 THEN 'raw' || k ELSE replace(value, ' ', '') END AS shown FROM log"""
+  CASE WHEN k % 9 = 0 THEN 'raw ' || k ELSE '{' || chr(10) || '  "k": ' || k || chr(10) || '}' END AS shown FROM log"""
     sql["q_cdc_state"] = _with(EV) + """SELECT "table", pk, op, seq, row FROM (
   SELECT event_type AS "table", CAST(user_id AS VARCHAR) AS pk, event_id AS seq, props AS row,
     CASE WHEN k % 10 = 0 THEN 'd' WHEN k % 10 < 5 THEN 'u' ELSE 'c' END AS op,

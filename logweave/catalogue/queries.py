@@ -357,6 +357,27 @@ def q_block_state(spark, sf):
     )
 
 
+@query
+def q_block_rows(spark, sf):
+    """The block lists as they are stored, one row per user and blocked id."""
+    return cl.block_pairs(src.block_events(spark, sf), order=SEQ)
+
+
+@query
+def q_word_rows(spark, sf):
+    """The word lists as they are stored, one row per key and word in force."""
+    return cl.active_words(src.word_updates(spark, sf), order=SEQ)
+
+
+@query
+def q_block_pages(spark, sf):
+    """The lists of long keys on pages of at most about seven, each sorted, together the whole list."""
+    lists = cl.block_lists(src.block_events(spark, sf), order=SEQ, page_items=7)
+    each = lists.select("user", "pages", F.explode_outer("blocked_user_ids").alias("blocked"))
+    sorted_pages = lists.groupBy("user").agg(F.bool_and(F.expr("blocked_user_ids = array_sort(blocked_user_ids)")).alias("sorted"))
+    return each.join(sorted_pages, "user").select("user", "blocked", "sorted")
+
+
 @query
 def q_block_filter(spark, sf):
     kept = filters.block_filter(src.messages(spark, sf), src.block_events(spark, sf), order=SEQ)
@@ -570,6 +591,25 @@ def q_publish(spark, sf):
     return logs.keyed_json(recs, "recommendations", omit_empty=("reason",))
 
 
+@query
+def q_first_records(spark, sf):
+    """A reader that stops after so many records, which is what is asked of it."""
+    first = logs.first_records(src.topic_log(spark, sf), 500)
+    return first.select("topic", "partition", "offset", "event_id")
+
+
+@query
+def q_counted(spark, sf):
+    """Rows written, and how many they were as the write itself counted them."""
+    home = scratch_dir(spark, "counted")
+    rows, seen = logs.counted(src.topic_log(spark, sf).select("topic", "event_id"), "written")
+    rows.write.parquet(home)
+    told = F.lit(seen.get["rows"]).cast("bigint").alias("counted")
+    return spark.read.schema("topic string, event_id bigint").parquet(home).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("rows")
+    ).withColumn("counted", told)
+
+
 @query
 def q_topic_offsets(spark, sf):
     return logs.topic_offsets(src.topic_log(spark, sf))
@@ -602,7 +642,7 @@ def q_cdc_decode(spark, sf):
         "offset",
         "key",
         "is_json",
-        F.regexp_replace("shown", r"\s+", "").alias("shown"),
+        "shown",
     )
 
 
@@ -652,6 +692,14 @@ def q_frame_schema(spark, sf):
     )
 
 
+@query
+def q_pretty_records(spark, sf):
+    """Typed records as indented JSON."""
+    rows = src.client_events(spark, sf).select("request_id", "request_type", "query")
+    record = F.struct("request_type", "query")
+    return rows.select("request_id", records.pretty_record(record).alias("shown"))
+
+
 @query
 def q_framed_notices(spark, sf):
     """Notices as framed records with JSON bodies, there and back by way of their schema id."""

@@ -7,9 +7,6 @@ are checked to hold text, and missing fields get empty values.
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -235,21 +232,61 @@ def encode(*columns: Column | str, omit_empty: tuple[str, ...] = ()) -> Column:
     return F.to_json(F.struct(*parts))
 
 
-@F.pandas_udf(StringType())
-def _indented(values: pd.Series) -> pd.Series:
-    """Spark's indentation needs a declared type; any JSON needs this one step in Python."""
+_TOKEN = r'("(?:[^"\\]|\\.)*"|[\[\]{}:,]|[^\s\[\]{}:,"]+)'
+_MOST_TOKENS_BITS = 30
+
 
-    def indent(text: str | None) -> str | None:
-        if text is None:
-            return None
-        return json.dumps(json.loads(text), indent=2, sort_keys=True, ensure_ascii=False)
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    return values.map(indent)
+
+def _places(tokens: Column, *wanted: str) -> Column:
+    """Where in ``tokens`` the wanted ones are, ascending."""
+    found = F.transform(tokens, lambda t, i: F.when(t.isin(*wanted), i))
+    return F.array_compact(found)
+
+
+def _before(places: Column, at: Column) -> Column:
+    """How many of ascending ``places`` are less than ``at``, by binary search."""
+    steps = F.array(*(F.lit(1 << k) for k in range(_MOST_TOKENS_BITS, -1, -1)))
+    return F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when(F.get(places, n + step - 1) < at, n + step).otherwise(n)
+    )
 
 
 def pretty(value: Column | str) -> Column:
-    """Any JSON text indented, null when it is not JSON."""
-    return _indented(F.to_json(F.try_parse_json(col(value))))
+    """Any JSON text indented by two, null when it is not JSON.
+
+    Keys keep their order and numbers their digits: the text's own tokens are set
+    apart, each after as many spaces as there are brackets open before it.
+    """
+    text = col(value)
+
+    def indented(tokens: Column) -> Column:
+        def joined(opened: Column, closed: Column) -> Column:
+            def piece(t: Column, i: Column) -> Column:
+                depth = _before(opened, i) - _before(closed, i)
+                last = F.get(tokens, i - 1)
+                first_inside = F.coalesce((i > 0) & last.isin("{", "["), F.lit(False))
+
+                def line(n: Column) -> Column:
+                    return F.concat(F.lit("\n"), F.repeat(F.lit("  "), n))
+
+                return (
+                    F.when(t.isin("}", "]"), F.when(first_inside, t).otherwise(F.concat(line(depth - 1), t)))
+                    .when(t == ",", F.concat(t, line(depth)))
+                    .when(t == ":", F.lit(": "))
+                    .when(first_inside, F.concat(line(depth), t))
+                    .otherwise(t)
+                )
+
+            return F.array_join(F.transform(tokens, piece), "")
+
+        return _once(_places(tokens, "{", "["), lambda o: _once(_places(tokens, "}", "]"), lambda c: joined(o, c)))
+
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1))
+    return F.when(F.try_parse_json(text).isNotNull(), _once(tokens, indented))
 
 
 def pretty_record(record: Column | str) -> Column:

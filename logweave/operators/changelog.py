@@ -22,6 +22,8 @@ REPLACE = "replace"
 SHARED_KEY = "global"
 DEFAULT_REASON = "blocked by operator"
 
+# Lists are a view for readers that want arrays; what is stored and joined are the rows of
+# block_pairs and active_words, one per key and item, whose form does not depend on size.
 ITEMS_PER_PAGE = 100_000
 
 

@@ -119,16 +119,34 @@ def word_candidates(
     if few is not None:
         found = listed_candidates(text, [(r["word"], r["run"]) for r in few], boundary)
         return messages.select(*keep, F.explode(found).alias("word"))
-    # Words that can match only after another mask meet every message.
+    # Words made of stars and marks alone match what another word's mask has left, or a text's own stars.
     late = ~is_run("run", boundary) & F.contains(F.col("word"), F.lit("*"))
     kinds = probed.agg(F.bool_or(late).alias("late"), F.bool_or(~is_run("run", boundary)).alias("gaps")).first()
     found = runs(text, bool(kinds["gaps"]), boundary)
-    if kinds["late"]:
-        every = F.lit("*every*")
-        probed = probed.withColumn("run", F.when(late, every).otherwise(F.col("run")))
-        found = F.array_append(found, every)
     held = messages.select(*keep, F.explode(found).alias("run"))
-    return held.join(sizing.small_side(probed), "run").select(*keep, "word")
+    plain = held.join(sizing.small_side(probed.filter(~late)), "run").select(*keep, "word")
+    if not kinds["late"]:
+        return plain
+    plain = sizing.settled(plain, "candidates")
+    starred = messages.filter(F.contains(text, F.lit("*"))).select(*keep)
+    after = plain.select(*keep).union(starred).distinct()
+    return plain.union(_with_each(after, probed.filter(late).select("word"), listed_words))
+
+
+def _with_each(rows: DataFrame, words: DataFrame, at_once: int) -> DataFrame:
+    """Rows with each of a few ``words``: all of them can match, so all are candidates.
+
+    Up to ``at_once`` words are held by the row itself.  More of them are dealt over
+    as many groups, and each row goes to every group, so no task has them all.
+    """
+    few = sizing.at_most(words, at_once)
+    if few is not None:
+        listed = F.array(*(F.lit(r["word"]) for r in few)).cast("array<string>")
+        return rows.select("*", F.explode(listed).alias("word"))
+    groups = -(-words.count() // max(1, at_once))
+    dealt = words.withColumn("__group", F.pmod(F.xxhash64("word"), F.lit(groups)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("__group")
+    return rows.select("*", every).join(dealt, "__group").drop("__group")
 
 
 def _apply_candidates(
@@ -236,7 +254,7 @@ def word_intervals(
         resets.withColumns(back), allowMissingColumns=True
     )
     # All words end with a replace: one key, of changes alone, cut along time where there are many.
-    split = pieces.cut(both.withColumn("__all", F.lit(0)), ["__all"], "__back", rows_per_piece)
+    split = pieces.cut(both.withColumn("__whole_list", F.lit(0)), ["__whole_list"], "__back", rows_per_piece)
     seen = split.last_known(["__back", "__back_seq", "__kind"], "__reset", "__ends", strictly_before=True)
     until = F.least("__next", "__ends").alias("until")
     return seen.filter(F.col("__kind") == 0).rows().select("word", position, sequence, until)

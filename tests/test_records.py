@@ -113,3 +113,17 @@ def test_row_checks(spark):
     ]
     good, bad = validate.split_valid(df, F.when(F.col("sender_id").isNull(), F.lit("no sender")))
     assert (good.count(), bad.first()["reject_reason"]) == (3, "no sender")
+
+
+def test_indentation_keeps_numbers_order_and_strings(spark):
+    texts = ['{"b":1,"a":[1,2,{"x":"y, {z}: \\"q\\" ["}],"e":{},"f":[ ],"g":1e400,"h":1.50}', '[]', '"s"', "12", "null", '{"a":{"b":{"c":[[]]}}}']
+    rows = spark.createDataFrame([(t,) for t in texts] + [("raw",), (None,), ("",)], "v string")
+    found = [r[0] for r in rows.select(records.pretty("v")).collect()]
+    assert found[0].startswith('{\n  "b": 1,\n  "a": [\n    1,\n    2,\n    {\n      "x": "y, {z}: \\"q\\" ["\n    }\n  ],\n  "e": {},')
+    assert '"g": 1e400' in found[0] and '"h": 1.50' in found[0] and '"f": []' in found[0]
+    for text, shown in zip(texts[1:], found[1:]):
+        assert shown == json.dumps(json.loads(text), indent=2)
+    assert found[len(texts):] == [None, None, None]
+    long = json.dumps([{"k": i, "v": ["x"] * 3} for i in range(3000)])
+    (shown,) = [r[0] for r in spark.createDataFrame([(long,)], "v string").select(records.pretty("v")).collect()]
+    assert shown == json.dumps(json.loads(long), indent=2)
