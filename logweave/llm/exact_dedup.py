@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.rows import AT, FILE, in_files, located
+from logweave.llm.rows import AT, FILE, in_files, located, without
 from logweave.plans.sizing import settled, small_side
 from logweave.session import ROCKSDB, scratch_dir
 
@@ -162,7 +162,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs = in_files(docs, "exact-docs")
-    dropped = groups(docs, id_col, text_col).filter("NOT kept").select(F.struct(FILE, AT).alias("__row_locator"))
-    dropped = small_side(settled(dropped, "exact-dropped"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
-    return rows.join(dropped, "__row_locator", "left_anti").drop("__row_locator")
+    return without(docs, groups(docs, id_col, text_col).filter("NOT kept"), "exact-dropped")

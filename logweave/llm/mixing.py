@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.rows import AT, FILE, in_files, located, ranked
+from logweave.llm.rows import AT, FILE, free_name, in_files, located, ranked, with_locator
 from logweave.plans.sizing import settled
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -111,7 +111,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs`` with all its columns, as often as it is drawn."""
     docs = in_files(docs, "mix-docs")
+    rows, name = with_locator(docs)
+    copy = free_name(rows, "_copy_number")
     drawn = mixed(docs, id_col, text_col, source_col).filter("copies > 0")
-    drawn = drawn.select(F.struct(FILE, AT).alias("__row_locator"), F.expr("sequence(1L, copies)").alias("__copy_number"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
-    return rows.join(drawn, "__row_locator").withColumn("__copy_number", F.explode("__copy_number")).drop("__row_locator", "__copy_number")
+    drawn = drawn.select(F.struct(FILE, AT).alias(name), F.expr("sequence(1L, copies)").alias(copy))
+    return rows.join(drawn, name).withColumn(copy, F.explode(copy)).drop(name, copy)

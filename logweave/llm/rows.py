@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.plans.sizing import settled
+from logweave.plans.sizing import settled, small_side
 
 FILE, AT = "_row_file", "_row_at"
 _PIECE_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -35,6 +35,28 @@ def located(df: DataFrame, *columns: Column | str) -> DataFrame:
     return df.select(*columns, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def with_locator(docs: DataFrame) -> tuple[DataFrame, str]:
+    """All columns of a table from :func:`in_files` and a struct that locates each row, under the name told."""
+    name = free_name(docs, "_locator")
+    place = F.struct(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT))
+    return docs.select(*(F.col(f"`{c}`") for c in docs.columns), place.alias(name)), name
+
+
+def without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """The rows of a table from :func:`in_files` whose locator is not in ``gone``, with all their columns."""
+    rows, name = with_locator(docs)
+    listed = small_side(settled(gone.select(F.struct(FILE, AT).alias(name)), label))
+    return rows.join(listed, name, "left_anti").drop(name)
+
+
 def ranked(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """``df`` with ``rank``, its 0-based place in ``order`` over the whole table.
 

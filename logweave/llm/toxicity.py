@@ -12,17 +12,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.rows import AT, FILE, in_files, located
+from logweave.llm.rows import AT, FILE, in_files, located, without
 from logweave.llm.words import PUNCTUATION, byte_groups, mix, small_batches, utf8, word_hashes
 from logweave.plans.sizing import settled, small_side
 
-# Training reads at most about this many labelled rows, chosen by a hash of their
-# id; a feature must occur in MIN_ROWS of them, so there are fewer features than
-# their words and the model is bounded by the sample, not by the corpus.
+# Training reads about this many labelled rows, chosen by a hash of their id, and never
+# more than a quarter above; a feature must occur in MIN_ROWS of them, so there are fewer
+# features than their words and the model is bounded by the sample, not by the corpus.
 TRAIN_ROWS = 12_000
+# Nor more bytes of text than this; a text of over a fiftieth of it is not learnt from.
+TRAIN_BYTES = 96 << 20
 MIN_ROWS = 4
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
@@ -149,22 +151,40 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     rows: int = TRAIN_ROWS,
+    size: int = TRAIN_BYTES,
 ) -> Model:
     """The model learnt from labelled rows outside the held-out fold.
 
     Null labels and null ids are left out; an id labelled twice has its larger label;
     rows that share an id share its label.  Without any labelled row nothing is
     learnt and every score is 0.
+
+    ``rows`` and ``size`` (bytes) bound what the one task that trains is given,
+    whatever ids the rows share and however long texts are; scoring is of all rows
+    and whole texts.
     """
     small_batches(docs.sparkSession)
+    docs = in_files(docs, "toxic-docs")
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.filter(remainder("id") != HELD_OUT).groupBy("id").agg(F.max("label").alias("label"))
     known = settled(known, "toxic-labels")
-    share = min(1.0, rows / max(1, known.count()))
-    turn = F.xxhash64(F.lit("turn"), F.col("id"))
-    chosen = known.filter(F.pmod(turn, F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sample = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(small_side(chosen), "id")
+    all_rows = located(docs, F.col(id_col).alias("id"), text.alias("text"))
+    turn = F.xxhash64(F.lit("turn"), F.col("id"))
+    chosen = small_side(known.filter(_below(turn, rows, known.count())))
+    row = F.xxhash64(F.lit("row"), F.col("id"), F.xxhash64("text"), F.col(AT))
+    met = all_rows.join(chosen, "id").filter(F.octet_length("text") <= size // 50)
+    met = met.select("id", "label", row.alias("row"), F.octet_length("text").cast("long").alias("bytes"), FILE, AT)
+    met = settled(met, "toxic-met")
+    found = met.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    # Where ids are shared or texts long there are too many: rows are thinned by their own hash, then counted off.
+    most = rows + rows // 4
+    share = min(1.0, rows / found["n"] if found["n"] > most else 1.0, size / max(1, found["bytes"]))
+    kept = met.filter(_below(F.col("row"), share, 1))
+    so_far = Window.orderBy("row", FILE, AT).rowsBetween(Window.unboundedPreceding, 0)
+    counted = kept.select("label", FILE, AT, F.count(F.lit(1)).over(so_far).alias("n"), F.sum("bytes").over(so_far).alias("b"))
+    kept = settled(counted.filter((F.col("n") <= most) & (F.col("b") <= size)).drop("n", "b"), "toxic-sample")
+    sample = all_rows.join(small_side(kept), [FILE, AT])
     sample = sample.select(F.xxhash64(F.lit("order"), F.col("id")).alias("turn"), "label", "text")
     found = settled(sample.repartition(1).mapInArrow(_train, "key long, weight double"), "toxic-model").toPandas()
     bias = found[found.key == _BIAS].weight
@@ -174,6 +194,11 @@ def train(
     )
 
 
+def _below(turn: Column, wanted: float, of: float) -> Column:
+    """Is a hash in the first ``wanted`` of ``of`` parts?"""
+    return F.pmod(turn, F.lit(1_000_000)) < F.lit(int(min(1.0, wanted / max(1, of)) * 1_000_000))
+
+
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +237,12 @@ def scored(
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Train on ``labels`` and score every row: ``id``, ``held_out``, ``score``, ``predicted``."""
+    """Train on ``labels`` and score every row: ``id``, ``held_out``, ``score``, ``predicted``.
+
+    Every whole text is scored, however long; null and empty ones as texts without
+    words; equal texts alike; rows that repeat each for itself.  A score of exactly the
+    threshold is predicted 1.  An empty table gives no rows.  Other columns are not read.
+    """
     docs = in_files(docs, "toxic-docs")
     return scored(docs, train(docs, labels, id_col, text_col), id_col, text_col).drop(FILE, AT)
 
@@ -221,7 +251,4 @@ def clean_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of ``docs`` that the model does not reject, with all their columns."""
     docs = in_files(docs, "toxic-docs")
     found = scored(docs, train(docs, labels, id_col, text_col), id_col, text_col)
-    rejected = found.filter("predicted = 1").select(F.struct(FILE, AT).alias("__row_locator"))
-    rejected = small_side(settled(rejected, "toxic-rejected"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
-    return rows.join(rejected, "__row_locator", "left_anti").drop("__row_locator")
+    return without(docs, found.filter("predicted = 1"), "toxic-rejected")

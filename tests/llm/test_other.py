@@ -437,3 +437,144 @@ def test_deep_and_long_pages_are_read_in_proportion(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, winner string")
     found = {r.id: r.n_chars for r in html_text.extract(pages).collect()}
     assert found == {1: len(STORY.strip()), 2: (len(STORY.strip()) + 1) * 20_000 - 1, 3: 0, 4: 0}
+
+
+def _made_keys(rng):
+    """200 keys of the kinds that services give out."""
+    alphabets = {
+        "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+        "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+        "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+        "hex": "0123456789ABCDEF",
+    }
+    frames = ["%s", "sk-live-%s", "ghp_%s", "x_%s==", "%s/dev"]
+    for k in range(200):
+        kind = list(alphabets)[k % 4]
+        yield frames[k // 4 % 5] % "".join(rng.choice(list(alphabets[kind]), int(rng.integers(24, 48))))
+
+
+def _ordinary_strings(rng):
+    """200 long strings that are no secrets: paths, names, slugs, numbers, dates."""
+    words = "account admin builder cache data engine factory file handler index java main manager node parser service test user view widget".split()
+    for k in range(200):
+        some = list(rng.choice(words, 5))
+        yield [
+            "src/main/java/com/" + "".join(w.title() for w in some[:2]) + "/" + "".join(w.title() for w in some[2:]),
+            "-".join(some) + f"-{rng.integers(1, 3000)}",
+            "".join(w.title() for w in some),
+            "_".join(w.upper() for w in some),
+            some[0] + "".join(w.title() for w in some[1:]) + str(rng.integers(1, 99)),
+            f"2024-05-{rng.integers(10, 30)}/" + "/".join(some) + "_v2",
+            "well-known-JavaScript-framework-for-" + some[0],
+            f"{rng.integers(10**9, 10**10)}-{rng.integers(10**9, 10**10)}",
+            "usr/local/lib/python3/" + "/".join(some),
+            "".join(some),
+        ][k % 10]
+
+
+def test_windows_tell_made_keys_from_ordinary_strings():
+    rng = np.random.default_rng(8)
+
+    def told(text):
+        data = np.frombuffer(f"see {text} there".encode(), np.uint8)
+        rules = [re.compile(rule) for rule in secrets.ALLOW]
+        return [s for s in secrets.scan(data, np.array([0, len(data)]), rules)[0] if s[0] not in secrets.BASE]
+
+    keys, plain = list(_made_keys(rng)), list(_ordinary_strings(rng))
+    missed = [k for k in keys if not told(k)]
+    false = [p for p in plain if told(p)]
+    assert len(missed) <= 10, missed
+    assert len(false) <= 2, false
+    assert told("sk-live-0123456789QwErTyUiOpAsDfGhJkL")
+    for text in ("src/main/java/com/AcmeWidgets/InternalService", "a well-known-JavaScript-framework-for-building"):
+        assert not told(text)
+
+
+def test_training_reads_a_bounded_sample(spark, make, monkeypatch):
+    rows = [(1, f"one labelled id {i} of many", "s") for i in range(3000)] + [(i, f"text {i} " * 40, "s") for i in range(2, 400)]
+    rows += [(500, "long " * 20_000, "s")]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in [*range(1, 400), 500]], "doc_id long, quality int, toxic int")
+    seen = []
+    real = toxicity.settled
+
+    def looked_at(df, label):
+        found = real(df, label)
+        if label == "toxic-sample":
+            seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(toxicity, "settled", looked_at)
+    toxicity.train(make(rows), labels, rows=200)
+    toxicity.train(make(rows), labels, rows=10_000, size=60_000)
+    toxicity.train(make(rows), labels)
+    assert 0 < seen[0] <= 250 and 0 < seen[1] < 2500
+    learnt = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in [*range(2, 400), 500]) + 3000 * (zlib.crc32(b"1") % 5 != 0)
+    assert seen[2] == learnt
+
+
+def _ftrl_plainly(rows, model):
+    """FTRL-proximal one coordinate at a time, over the same rows in the same order."""
+    z, n = {}, {}
+    times = {}
+    for found, _ in rows:
+        for f in found:
+            times[f] = times.get(f, 0) + 1
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = math.copysign(1.0, z[f])
+        return -(z[f] - sign * toxicity.L1) / ((toxicity.BETA + math.sqrt(n[f])) / toxicity.ALPHA + toxicity.L2)
+
+    return z, n, weight, {f for f, t in times.items() if t >= toxicity.MIN_ROWS}
+
+
+def test_long_words_and_independent_statistics():
+    texts = ["short words only", "internationalisation is a particularlylong word", "", "éééééé abc", "x" * 12 + "\n" + "y" * 11]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    plain = [sum(len(w.encode()) >= 12 for w in re.split("[\x20\x09-\x0d]+", t)) for t in texts]
+    assert quality.long_words(data, at).tolist() == plain == [0, 2, 0, 1, 1]
+    rng = np.random.default_rng(2)
+    letters = list("abcdefghijABCé09.,!\n  ")
+    made = ["".join(rng.choice(letters, int(rng.integers(5, 2000)))) for _ in range(400)]
+    made = [t + " tail tail" * int(rng.integers(0, 9)) for t in made]
+    data = np.frombuffer("".join(made).encode(), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(t.encode()) for t in made])])
+    x = quality.statistics(data, at)
+    used = x[:, x.std(0) > 0]
+    # No statistic is a combination of the others: each keeps variance of its own.
+    for k in range(used.shape[1]):
+        others = np.column_stack([np.delete(used, k, 1), np.ones(len(used))])
+        rest = used[:, k] - others @ np.linalg.lstsq(others, used[:, k], rcond=None)[0]
+        assert rest.std() > 1e-6 * used[:, k].std(), quality.STATISTICS[k]
+
+
+def test_files_that_split_otherwise_go_to_the_tokenizer_itself(tmp_path):
+    import json
+
+    file = json.loads(open(tokenizer_file()).read())
+    assert packing.merges_alike(file)
+    for change in (
+        {"normalizer": {"type": "Lowercase"}},
+        {"pre_tokenizer": {**file["pre_tokenizer"], "add_prefix_space": True}},
+        {"pre_tokenizer": None},
+        {"model": {**file["model"], "merges": file["model"]["merges"][::-1]}},
+    ):
+        assert not packing.merges_alike({**file, **change})
+    path = tmp_path / "lower.json"
+    path.write_text(json.dumps({**file, "normalizer": {"type": "Lowercase"}}))
+    other = packing.Encoder(str(path))
+    assert other.encode("HELLO There") == packing.Encoder(tokenizer_file()).encode("hello there")
+
+
+def test_clashing_names_of_locators(spark, nothing):
+    rows = [(i, f"text {i % 4} " + PROSE, "s" if i % 2 else None, "x", 1) for i in range(12)]
+    names = "doc_id long, text string, source string, _LOCATOR string, _copy_number int"
+    docs = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    from logweave.llm import exact_dedup, near_dedup
+
+    for found in (exact_dedup.kept_rows(docs), near_dedup.kept_rows(docs), mixing.mix(docs), toxicity.clean_rows(docs, labels)):
+        assert found.columns == docs.columns and found.count() > 0
+    assert exact_dedup.kept_rows(docs).count() == 4
