@@ -53,7 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over the whole table of documents."""
+    """The stages one after the other over the whole table of documents.
+
+    Null and empty texts are equal to one another, so the exact dedup keeps one of
+    them; it has no words and the mix takes it no oftener than its source's share
+    says.  Of equal texts the row with the largest id stays, of near copies the one
+    with the least; rows that repeat whole are copies.  A null source is a source,
+    the last.  Texts of any length go through whole.  Without labels nothing is
+    rejected.  An empty table gives no rows.  Further columns are carried along,
+    whatever their names, up to packing.
+    """
     pin(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
