@@ -16,12 +16,13 @@ through those differences alone, by an inverted index over them.  Whoever is lin
 to the leader is connected already, so only the others look for further links, and
 a group gives back a spanning forest.  Any two that share a key share its leader's
 group, hence no link is lost.  A group beyond ``GROUP_ROWS`` members is cut into
-blocks, and pairs of blocks are worked through by different tasks.
+blocks, worked through by different tasks: each block meets the leader, and then each
+block of those not linked to it meets each block of the group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.components import components
-from logweave.llm.rows import AT, FILE, in_files, located
+from logweave.llm.rows import AT, FILE, in_files, located, without
 from logweave.llm.words import byte_groups, mix, shingle_sets, small_batches, utf8
 from logweave.plans.sizing import settled, small_side
 
@@ -37,8 +38,8 @@ SHINGLE = 5
 CHUNKS = 10
 WIDTH = 6
 PER_CENT = 85
-GROUP_ROWS = 4096
-GROUP_SHINGLES = 4_000_000
+GROUP_ROWS = 384
+GROUP_SHINGLES = 1_000_000
 
 _U = np.uint64
 _HASHES = CHUNKS * WIDTH
@@ -153,35 +154,52 @@ def forest(sets: list[np.ndarray], per_cent: int = PER_CENT) -> list[tuple[int,
     return edges
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+    """(leader, node, set) of the members of one task after the other, the leader first."""
+    now, group = None, []
+    for batch in batches:
+        data, at = utf8(batch.column("text"))
+        tasks = list(zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")), strict=True))
+        nodes = batch.column("node").to_pylist()
+        for first, last in byte_groups(at):
+            sets, bounds = shingle_sets(data[at[first] : at[last]], at[first : last + 1] - at[first], SHINGLE)
+            for k in range(first, last):
+                if tasks[k] != now:
+                    if group:
+                        yield sorted(group, key=lambda g: g[0] != g[1])
+                    now, group = tasks[k], []
+                own = sets[bounds[k - first] : bounds[k - first + 1]]
+                group.append((tasks[k][0], nodes[k], own.copy()))
+    if group:
+        yield sorted(group, key=lambda g: g[0] != g[1])
+
+
 def _links(per_cent: int):
+    """Spanning forests of the links in each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches):
+            found = [(group[a][1], group[b][1]) for a, b in forest([g[2] for g in group], per_cent)]
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _to_leader(per_cent: int):
+    """Which members of each task are linked to their leader."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Spanning forests of groups whose rows come one after the other."""
-
-        def solve(group: list) -> list[tuple[int, int]]:
-            group.sort(key=lambda g: g[0] != g[1])
-            nodes = [g[1] for g in group]
-            return [(nodes[a], nodes[b]) for a, b in forest([g[2] for g in group], per_cent)]
-
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            a, b = zip(*found, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        now, group = None, []
-        for batch in batches:
-            data, at = utf8(batch.column("text"))
-            tasks = list(zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")), strict=True))
-            nodes = batch.column("node").to_pylist()
-            for first, last in byte_groups(at):
-                sets, bounds = shingle_sets(data[at[first] : at[last]], at[first : last + 1] - at[first], SHINGLE)
-                for k in range(first, last):
-                    if tasks[k] != now:
-                        if len(group) > 1 and (found := solve(group)):
-                            yield out(found)
-                        now, group = tasks[k], []
-                    own = sets[bounds[k - first] : bounds[k - first + 1]]
-                    group.append((tasks[k][0], nodes[k], own.copy()))
-        if len(group) > 1 and (found := solve(group)):
-            yield out(found)
+        for group in _grouped(batches):
+            (leader, _, first), others = group[0], group[1:]
+            if not others:
+                continue
+            common = [len(np.intersect1d(own, first, assume_unique=True)) for _, _, own in others]
+            sizes = np.array([len(own) for _, _, own in others], np.int64)
+            near = linked(np.array(common, np.int64), sizes, len(first), per_cent)
+            nodes = [pa.array([leader] * len(others), pa.int64()), pa.array([g[1] for g in others], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*nodes, pa.array(near.astype(bool))], ["leader", "node", "near"])
 
     return run
 
@@ -202,29 +220,57 @@ def links(
     members = pairs.union(pairs.select("leader", F.col("leader").alias("node")).distinct()).join(texts, "node")
     members = settled(members, "near-members")
     weights = members.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight"))
-    blocks = F.ceil(
-        F.greatest(F.col("rows") * 2 / F.lit(GROUP_ROWS), F.col("weight") * 2 / F.lit(GROUP_SHINGLES))
-    ).cast("int")
-    blocks = F.when((F.col("rows") <= GROUP_ROWS) & (F.col("weight") <= GROUP_SHINGLES), 1).otherwise(blocks)
-    large = small_side(settled(weights.withColumn("blocks", blocks).filter("blocks > 1"), "near-large"))
-    spread = members.join(large.select("leader", "blocks"), "leader", "left").fillna(1, ["blocks"])
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # A member goes to every pair of blocks that has its own; the leader to all of them.
-    spread = spread.withColumn("block", F.when(F.col("node") == F.col("leader"), F.lit(-1)).otherwise(block))
+    blocks = _blocks("rows", "weight")
+    large = small_side(settled(weights.select("leader", blocks.alias("blocks")).filter("blocks > 1"), "near-large"))
+    spread = members.join(large, "leader", "left")
+    small = spread.filter("blocks IS NULL").select("leader", F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "text")
+    found = _in_tasks(small, _links(per_cent), "a long, b long")
+    if large.isEmpty():
+        return found
+    return found.union(_large_links(spread.filter("blocks IS NOT NULL"), per_cent))
+
+
+def _blocks(rows: str, weight: str) -> Column:
+    """How many blocks hold so many members with so many shingles."""
+    return F.ceil(F.greatest(F.col(rows) / F.lit(GROUP_ROWS), F.col(weight) / F.lit(GROUP_SHINGLES))).cast("int")
+
+
+def _in_tasks(dealt: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """Members dealt to tasks (leader, i, j), whose rows come one after the other."""
+    return dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j").mapInArrow(run, schema)
+
+
+def _large_links(members: DataFrame, per_cent: int) -> DataFrame:
+    """Links within groups of more than one block, which no task gets whole.
+
+    Every block meets the leader first, which takes time in proportion to the group.
+    Members not linked to it are the rest; each block of the rest then meets every
+    block of the group, the only pairs of blocks there are.
+    """
+    is_leader = F.col("node") == F.col("leader")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    own = F.transform(every, lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    whole = F.flatten(
-        F.transform(
-            every,
-            lambda i: F.transform(
-                F.sequence(i, F.col("blocks") - 1), lambda j: F.struct(i.alias("i"), j.alias("j"))
-            ),
-        )
-    )
-    dealt = spread.withColumn("task", F.explode(F.when(F.col("block") < 0, whole).otherwise(own)))
-    dealt = dealt.select("leader", F.col("task.i").alias("i"), F.col("task.j").alias("j"), "node", "text")
-    sorted_groups = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
-    return sorted_groups.mapInArrow(_links(per_cent), "a long, b long")
+    placed = members.withColumn("block", own)
+    first = placed.withColumn("j", F.explode(F.when(is_leader, every).otherwise(F.array("block"))))
+    first = first.select("leader", F.lit(-1).alias("i"), "j", "node", "text")
+    judged = settled(_in_tasks(first, _to_leader(per_cent), "leader long, node long, near boolean"), "near-judged")
+    linked_to_leader = judged.filter("near").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    rest = judged.filter("NOT near").select("leader", "node")
+    sized = rest.join(members.select("leader", "node", "n"), ["leader", "node"]).groupBy("leader")
+    sized = sized.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight"))
+    sized = small_side(settled(sized.select("leader", _blocks("rows", "weight").alias("rests")), "near-rests"))
+    marked = rest.withColumn("apart", F.lit(True))
+    both = placed.join(sized, "leader").join(small_side(marked), ["leader", "node"], "left")
+    turn = F.pmod(F.xxhash64(F.lit("rest"), "node"), F.col("rests")).cast("int")
+    rests = F.sequence(F.lit(0), F.col("rests") - 1)
+    # The leader goes to every pair, a member to every block of the rest, one of the rest to all blocks too.
+    at_i = F.explode(F.when(F.col("as_rest"), F.array(turn)).otherwise(rests)).alias("i")
+    at_j = F.explode(F.when(F.col("as_rest") | is_leader, every).otherwise(F.array("block"))).alias("j")
+    as_rest = F.explode(F.when(F.col("apart"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))
+    dealt = both.withColumn("as_rest", as_rest)
+    dealt = dealt.select("*", at_i).select("leader", "i", at_j, "node", "text")
+    found = _in_tasks(dealt, _links(per_cent), "a long, b long")
+    return linked_to_leader.union(found)
 
 
 def grouped(
@@ -239,7 +285,9 @@ def grouped(
     id, the first by locator) and the row's locator.  Null and empty texts and
     texts of white space have no shingles and are components of their own, also
     if they repeat; other equal texts are linked.  Null ids do not count as least;
-    a component of null ids only has a null ``component_id``.
+    a component of null ids only has a null ``component_id``.  Texts of any length are
+    taken whole; of rows that tie for the least id the first by locator is kept.  An
+    empty table gives no rows, and other columns are not read.
     """
     rows = settled(sketched(docs, id_col, text_col), "near-rows")
     best = F.min(F.struct("text_key", "mark", "n_shingles")).alias("best")
@@ -276,8 +324,4 @@ def kept_rows(
 ) -> DataFrame:
     """One row of ``docs`` per component, with all its columns."""
     docs = in_files(docs, "near-docs")
-    dropped = grouped(docs, id_col, text_col, per_cent).filter("NOT kept")
-    dropped = dropped.select(F.struct(FILE, AT).alias("__row_locator"))
-    dropped = small_side(settled(dropped, "near-dropped"))
-    rows = docs.select(*docs.columns, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("__row_locator"))
-    return rows.join(dropped, "__row_locator", "left_anti").drop("__row_locator")
+    return without(docs, grouped(docs, id_col, text_col, per_cent).filter("NOT kept"), "near-dropped")
