@@ -121,7 +121,9 @@ def groups(
     largest id, nulls least, then the last locator), ``group_size``, ``kept`` and
     the row's locator.  A null text counts as empty; empty texts are equal to one
     another; of rows that repeat whole, ids included, exactly one stays.  Texts
-    that share a digest but differ in bytes are grouped by their bytes.
+    that share a digest but differ in bytes are grouped by their bytes.  Texts of any
+    length are digested and compared whole.  An empty table gives no rows, and other
+    columns are not read.  State lives as long as the run: a second run starts anew.
     """
     text = _whole(text_col)
     rows = located(docs, F.col(id_col).alias("id"), digest(text).alias("digest"), text.alias("text"))

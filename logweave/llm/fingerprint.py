@@ -114,7 +114,8 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     another by descending id, nulls last, and after the last comes the first.  Rows
     with the same id and text are one document here and get the same values; rows
     that only share an id follow one another by a hash of their text.  A null text
-    counts as empty.
+    counts as empty.  Texts of any length are fingerprinted whole, within their row; an
+    empty table gives no rows, and other columns are not read.
 
     Columns: ``id``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``.  Texts are shuffled once,

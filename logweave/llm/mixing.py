@@ -80,7 +80,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     A null or blank text has size 0 and adds no words; an empty source has target
     0 and is not drawn.  Rows that repeat whole are drawn each for itself.  Null
-    ids come first within a size.
+    ids come first within a size.  A text of any length is one document, taken whole
+    or not at all.  Of rows equal in source, size and id the locator decides the order.
+    An empty table gives no rows, and other columns are not read.
     """
     docs = in_files(docs, "mix-docs")
     sizes = located(

@@ -13,6 +13,7 @@ rows are shuffled, and a task holds one batch at a time, whatever the input.
 from __future__ import annotations
 
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -62,7 +63,8 @@ class Encoder:
     Texts that hold a special token's string go to the tokenizer itself, the others
     to a merger of the same vocabulary (``tiktoken``), which is several times as fast.
     The merger refuses a run of about 1,000,000 characters of white space; a text
-    that it refuses goes to the tokenizer itself, too.
+    that it refuses goes to the tokenizer itself, too.  So do all texts where the file
+    does not split and merge them as the merger does.
     """
 
     def __init__(self, path: str) -> None:
@@ -78,10 +80,11 @@ class Encoder:
             if token not in self.special
         }
         self.merger = tiktoken.Encoding("merger", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.as_merger = merges_alike(json.loads(self.whole.to_str()))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text and the closing id, as little-endian unsigned 32-bit numbers."""
-        if any(token in text for token in self.special):
+        if not self.as_merger or any(token in text for token in self.special):
             return self._by_tokenizer(text)
         try:
             ids = self.merger.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4")
@@ -93,6 +96,23 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + END
 
 
+def merges_alike(file: dict) -> bool:
+    """Does a tokenizer file change no text, split it like :data:`SPLIT`, and merge by plain ranks of bytes?"""
+    splits, model = file.get("pre_tokenizer") or {}, file["model"]
+    by_bytes = splits.get("type") == "ByteLevel" and not splits.get("add_prefix_space") and splits.get("use_regex", True)
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if file.get("normalizer") or not by_bytes or model.get("type") != "BPE" or any(model.get(k) for k in odd):
+        return False
+    # Merges in the order of the ids they make, so that a lower id is an earlier merge.
+    made = (model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"])
+    last = -1
+    for token in made:
+        if token < last:
+            return False
+        last = token
+    return True
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of a tokenizer file, kept while the worker lives."""
     if path not in _encoders:
@@ -197,7 +217,9 @@ def pack(
     Columns: ``id``, ``start`` and ``length`` (in the document's ids), ``ids_crc32``,
     ``doc_tokens``, ``sequence_id`` and ``offset``.  A document is its ids and the
     closing id 1; null and empty texts are that id alone.  Rows that repeat are
-    packed each for itself; null ids stay null.  Sequence numbers have gaps.
+    packed each for itself; null ids stay null.  Sequence numbers have gaps.  Of a text
+    of any length whole windows are sequences of their own and the rest is packed.  An
+    empty table gives no rows, and other columns are not read.
     """
     small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]

@@ -268,8 +268,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close()
 
 
-def _sharded(strings: DataFrame) -> DataFrame:
-    dealt = strings.select("shard", "salted", *_NAMES).repartition("shard").sortWithinPartitions("shard")
+def _sharded(strings: DataFrame, shards: int) -> DataFrame:
+    """The strings solved shard by shard; there are as many tasks as shards, so a task does not grow with them."""
+    tasks = max(shards, int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = strings.select("shard", "salted", *_NAMES).repartition(tasks, "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(_shards, _ROW)
 
 
@@ -321,7 +323,7 @@ def ranges(rows: DataFrame, hot: int = HOT) -> DataFrame:
         shard = F.when(salted, salt).otherwise(shard)
     passing = F.lit(-1) - F.pmod(F.xxhash64("doc"), F.lit(shards))
     shard = F.when(F.col("kind") == _RANGE, passing).otherwise(shard)
-    found = settled(_sharded(strings.withColumn("shard", shard).withColumn("salted", salted)), "suffix-found")
+    found = settled(_sharded(strings.withColumn("shard", shard).withColumn("salted", salted), shards), "suffix-found")
     done = found.filter(F.col("kind") == _RANGE).select("doc", "mark", "start", "stop")
     if (total.most or 0) <= hot:
         return done
@@ -339,7 +341,7 @@ def ranges(rows: DataFrame, hot: int = HOT) -> DataFrame:
     )
     windows = max(1, -(-left.count() * MATCH // SHARD_BYTES))
     own = F.pmod(F.xxhash64("bytes"), F.lit(windows))
-    last = _sharded(left.withColumn("shard", own).withColumn("salted", F.lit(False)))
+    last = _sharded(left.withColumn("shard", own).withColumn("salted", F.lit(False)), windows)
     return done.union(last.select("doc", "mark", "start", "stop"))
 
 
@@ -384,7 +386,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     strings the one in the smallest id stays, then the leftmost.  Null ids come after
     all others, in the order of a hash of their text.  Rows that share an id are
     ordered by that hash too, and rows that repeat whole are one document that loses
-    nothing to itself.  What is kept need not be valid UTF-8.
+    nothing to itself.  What is kept need not be valid UTF-8.  Of a long text only
+    strings about its anchors are moved, and the whole of it is cut where it lies.  An
+    empty table gives no rows, and other columns are not read.
     """
     rows = _identified(docs, id_col, text_col)
     found = ranges(rows.filter("NOT copy"), hot)
