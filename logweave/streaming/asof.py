@@ -12,21 +12,30 @@ Data rows of one key do not depend on each other, so a hot key is spread over
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from logweave.functions.times import epoch_micros
 from logweave.session import ROCKSDB
 
 CONTROL, DATA, CLOSING = 0, 1, 2
-# Rows wait in buckets of this much event time.
+# Rows are late or due by buckets of this much event time.
 BUCKET_MILLIS = 1000
+# Arriving rows are sorted in runs of so many, and wait in chunks of so many.
+RUN_ROWS, CHUNK_ROWS = 20_000, 1_000
 _ITEMS = StructType([StructField("items", ArrayType(StringType()))])
 _SEEN = StructType([*_ITEMS.fields, StructField("last", LongType())])
+_CHUNK = StructType([StructField("first", LongType()), StructField("number", LongType())])
 
 
 def changed(items: set[str], action: str, arguments: Sequence[str]) -> set[str]:
@@ -88,20 +97,25 @@ class HoldUntilWatermark(StatefulProcessor):
         self._handle = handle
         bucket = StructType([StructField("bucket", LongType())])
         self._pending = handle.getMapState("pending", bucket, StructType([StructField("rows", ArrayType(self._schema))]))
+        self._begin(handle)
+
+    def _begin(self, handle: StatefulProcessorHandle) -> None:
         self._current = handle.getValueState("current", _SEEN)
+        self._row, self._out = Row(*self._schema.names), Row(*self._emitted, "items", "late")
 
     def _replayed(self, rows: Iterator[Row], late: bool) -> Iterator[Row]:
+        """``rows``, in their turn, applied to the set of the key."""
         items, last = set(), None
         if self._current.exists():
             known = self._current.get()
             items, last = set(known[0]), known[1]
-        out, moved = [], False
-        for row in sorted(rows, key=_turn):
+        shown, out, moved = sorted(items, key=str.encode), [], False
+        for row in rows:
             if row["kind"] != CONTROL:
-                out.append(Row(**{n: row[n] for n in self._emitted}, items=sorted(items, key=str.encode), late=late))
+                out.append(self._out(*(row[n] for n in self._emitted), shown, late))
             elif last is None or (row["pos"] is not None and row["pos"] >= last):
                 items = changed(items, row["action"], row["arguments"] or [])
-                last, moved = row["pos"], True
+                shown, last, moved = sorted(items, key=str.encode), row["pos"], True
         if moved:
             self._current.update((sorted(items), last))
         return iter(out)
@@ -124,21 +138,130 @@ class HoldUntilWatermark(StatefulProcessor):
             else:
                 self._handle.registerTimer((bucket + 1) * self._bucket)
             self._pending.updateValue((bucket,), (added,))
-        return self._replayed(iter(late), True) if late else iter([])
+        return self._replayed(sorted(late, key=_turn), True) if late else iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         bucket = expiredTimerInfo.getExpiryTimeInMs() // self._bucket - 1
         if not self._pending.containsKey((bucket,)):
             return iter([])
-        names = self._schema.names
-        due = [Row(**dict(zip(names, row))) for row in self._pending.getValue((bucket,))[0]]
+        due = [self._row(*row) for row in self._pending.getValue((bucket,))[0]]
         self._pending.removeKey((bucket,))
-        return self._replayed(iter(due), False)
+        return self._replayed(sorted(due, key=_turn), False)
 
     def close(self) -> None:
         pass
 
 
+class HoldInChunks(HoldUntilWatermark):
+    """:class:`HoldUntilWatermark` with state read and written once per chunk of rows, not per bucket.
+
+    Waiting rows lie in chunks sorted by time, a map entry each, named by their first
+    bucket, and are merged when they are due.  A chunk that the watermark has only partly
+    passed is read, and its rest waits on as a chunk; the others are not touched.  One
+    timer, at the first bucket that waits, is enough.
+    """
+
+    def __init__(
+        self,
+        held: StructType,
+        emitted: Sequence[str],
+        bucket_millis: int = BUCKET_MILLIS,
+        run_rows: int = RUN_ROWS,
+        chunk_rows: int = CHUNK_ROWS,
+    ):
+        super().__init__(held, emitted, bucket_millis)
+        self._run_rows, self._chunk_rows = run_rows, chunk_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._waiting = handle.getMapState("waiting", _CHUNK, StructType([StructField("rows", BinaryType())]))
+        self._chunks = handle.getValueState("chunks", StructType([StructField("count", LongType())]))
+        self._arrow = to_arrow_schema(self._schema)
+        self._begin(handle)
+
+    def _bucket_of(self, row: Row) -> int:
+        return row["pos"] // (self._bucket * 1000)
+
+    def _is_past(self, bucket: int, timerValues) -> bool:
+        return (bucket + 1) * self._bucket <= timerValues.getCurrentWatermarkInMs()
+
+    def _put(self, rows: Sequence[Row], number: int) -> int:
+        """Rows in their turn as one chunk; returns its first bucket."""
+        first = self._bucket_of(rows[0])
+        columns = [pa.array(column, field.type) for column, field in zip(zip(*rows), self._arrow)]
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self._arrow) as stream:
+            stream.write_batch(pa.record_batch(columns, schema=self._arrow))
+        self._waiting.updateValue((first, number), (sink.getvalue().to_pybytes(),))
+        return first
+
+    def _get(self, chunk: tuple[int, int]) -> list[Row]:
+        with pa.ipc.open_stream(self._waiting.getValue(chunk)[0]) as stream:
+            columns = stream.read_all().to_pydict()
+        return [self._row(*values) for values in zip(*(columns[n] for n in self._schema.names))]
+
+    def _wake_at(self, first: int) -> None:
+        self._handle.registerTimer((first + 1) * self._bucket)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        late = []
+
+        def fresh() -> Iterator[Row]:
+            for row in rows:
+                if row["kind"] == CLOSING:
+                    continue
+                if row["pos"] is None or self._is_past(self._bucket_of(row), timerValues):
+                    late.append(row)
+                else:
+                    yield row
+
+        waiting, firsts = fresh(), []
+        number = before = self._chunks.get()[0] if self._chunks.exists() else 0
+        while run := sorted(islice(waiting, self._run_rows), key=_turn):
+            for at in range(0, len(run), self._chunk_rows):
+                firsts.append(self._put(run[at : at + self._chunk_rows], number))
+                number += 1
+        if number > before:
+            self._chunks.update((number,))
+            self._wake_at(min(firsts))
+        return self._replayed(sorted(late, key=_turn), True) if late else iter([])
+
+    def _due(self, chunks: Sequence[tuple[int, int]], timerValues) -> Iterator[Row]:
+        """Rows of sorted ``chunks`` that the watermark has passed, in their turn; what it has not passed is put back."""
+        opened: list[tuple] = []
+
+        def advance(rows: Iterator[Row], number: int) -> None:
+            row = next(rows, None)
+            if row is not None:
+                heapq.heappush(opened, (_turn(row), number, row, rows))
+
+        to_open = deque(chunks)
+        while to_open or opened:
+            # A chunk is read when its first bucket comes.
+            while to_open and (not opened or to_open[0][0] <= self._bucket_of(opened[0][2])):
+                chunk = to_open.popleft()
+                found = self._get(chunk)
+                self._waiting.removeKey(chunk)
+                past = bisect_left(found, True, key=lambda row: not self._is_past(self._bucket_of(row), timerValues))
+                if past < len(found):
+                    self._put(found[past:], chunk[1])
+                advance(iter(found[:past]), chunk[1])
+            _, number, row, rest = heapq.heappop(opened)
+            yield row
+            advance(rest, number)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        waiting = sorted(tuple(chunk) for chunk in self._waiting.keys())
+        due = [chunk for chunk in waiting if self._is_past(chunk[0], timerValues)]
+        if not due:
+            return iter([])
+        out = self._replayed(self._due(due, timerValues), False)
+        left = min((chunk[0] for chunk in self._waiting.keys()), default=None)
+        if left is not None:
+            self._wake_at(left)
+        return out
+
+
 def _turn(row: Row) -> tuple:
     return (row["pos"] is not None, row["pos"] or 0, row["kind"], row["seq"])
 
@@ -183,7 +306,7 @@ def as_of_stream(
     kept = [f for f in held.fields if f.name not in hidden]
     late = [] if delay is None else [StructField("late", BooleanType())]
     output = StructType([*kept, *_ITEMS.fields, *late])
-    processor = DecideAtOnce if delay is None else HoldUntilWatermark
+    processor = DecideAtOnce if delay is None else HoldInChunks
     return placed.groupBy(*keys, "salt").transformWithState(
         statefulProcessor=processor(held, [f.name for f in kept]),
         outputStructType=output,

@@ -250,3 +250,126 @@ def test_generator_stream(spark):
 def test_first_requests_is_keyed(spark):
     df = spark.createDataFrame([("r", 1), ("r", 2)], "request_id string, n int")
     assert keyed.first(df, ["request_id"], ["n"]).first()["n"] == 1
+
+
+class _Held:
+    """State of one key, and how often its chunks are read and written."""
+
+    def __init__(self):
+        self.maps, self.values, self.timers, self.calls = {}, {}, [], 0
+
+    def getMapState(self, name, *_):
+        held, chunks = self, self.maps.setdefault(name, {})
+
+        class Map:
+            def keys(self):
+                return iter(list(chunks))
+
+            def getValue(self, key):
+                held.calls += 1
+                return chunks[tuple(key)]
+
+            def updateValue(self, key, value):
+                held.calls += 1
+                chunks[tuple(key)] = value
+
+            def removeKey(self, key):
+                del chunks[tuple(key)]
+
+        return Map()
+
+    def getValueState(self, name, *_):
+        values = self.values
+
+        class Value:
+            def exists(self):
+                return name in values
+
+            def get(self):
+                return values[name]
+
+            def update(self, value):
+                values[name] = value
+
+        return Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _At:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+    def getExpiryTimeInMs(self):
+        return self.at
+
+
+def _hold(**sizes):
+    from pyspark.sql.types import StructType
+
+    held = StructType.fromDDL("seq long, kind int, action string, arguments array<string>, pos long")
+    hold, handle = asof.HoldInChunks(held, ["seq"], **sizes), _Held()
+    hold.init(handle)
+    return hold, handle
+
+
+def _fired(hold, handle, mark):
+    """What the timers give that a watermark fires, until none is left."""
+    out = []
+    while due := sorted(t for t in handle.timers if t <= mark):
+        handle.timers.remove(due[0])
+        out += hold.handleExpiredTimer(("k",), _At(mark), _At(due[0]))
+    return out
+
+
+def test_held_rows_cost_state_calls_per_chunk_not_per_row():
+    from pyspark.sql import Row
+
+    hold, handle = _hold()
+    rows = [Row(seq=i, kind=asof.DATA, action=None, arguments=None, pos=i * 5_000_000) for i in range(5_000)]
+    assert list(hold.handleInputRows(("k",), iter(rows), _At(0))) == []
+    assert [r["seq"] for r in _fired(hold, handle, 5_000 * 5_000)] == list(range(5_000))
+    assert handle.calls <= 20 and not any(handle.maps.values())
+
+
+@pytest.mark.parametrize("sizes", [{"run_rows": 7, "chunk_rows": 3}, {"run_rows": 40, "chunk_rows": 5}, {}])
+def test_chunks_release_what_the_watermark_has_passed(sizes):
+    """Random arrivals and watermarks against a list of all rows, late ones and repeats included."""
+    from pyspark.sql import Row
+
+    for seed in range(20):
+        rng, (hold, handle) = random.Random(seed), _hold(**sizes)
+        waiting, denied, last, mark, n = [], set(), None, 0, 0
+
+        def replay(rows, late):
+            nonlocal denied, last
+            told = []
+            for r in sorted(rows, key=asof._turn):
+                if r["kind"] == asof.DATA:
+                    told.append((r["seq"], sorted(denied), late))
+                elif last is None or (r["pos"] is not None and r["pos"] >= last):
+                    denied, last = asof.changed(denied, r["action"], r["arguments"]), r["pos"]
+            return told
+
+        for _ in range(8):
+            batch = []
+            for _ in range(rng.randrange(40)):
+                n += 1
+                pos = None if rng.random() < 0.03 else mark * 1000 + rng.randrange(-3_000_000, 20_000_000)
+                kind = rng.choice([asof.DATA, asof.CONTROL])
+                action = rng.choice(["add", "remove"])
+                batch.append(Row(seq=n, kind=kind, action=action, arguments=[rng.choice("ab")], pos=pos))
+            batch += [b for b in batch if rng.random() < 0.1]
+            end = lambda r: (r["pos"] // 1_000_000 + 1) * 1000
+            late = [r for r in batch if r["pos"] is None or end(r) <= mark]
+            waiting += [r for r in batch if r not in late]
+            found = list(hold.handleInputRows(("k",), iter(batch), _At(mark)))
+            mark += rng.randrange(9_000)
+            wanted = replay(late, True) + replay([r for r in waiting if end(r) <= mark], False)
+            waiting = [r for r in waiting if end(r) > mark]
+            found += _fired(hold, handle, mark)
+            assert [(r["seq"], list(r["items"]), r["late"]) for r in found] == wanted
