@@ -183,3 +183,18 @@ def test_rate_and_held_on_a_hot_series(spark, limit):
             assert fire[i] == (start * 1_000_000, t - start >= 60)
         else:
             assert i not in fire
+
+
+def test_windows_are_not_summed_anew_for_every_row(spark):
+    """A window that holds most rows: its frames begin at an end, so a row is added once; huge values do not erase others."""
+    rows = [("k", p, float(p % 5)) for p in range(0, 3000)] + [("k", 3000, 1e17), ("k", 9000, 2.0), ("k", None, 4.0), ("n", -7, None)]
+    df = spark.createDataFrame(rows, "key string, pos bigint, w double")
+    for limit in (None, 100):
+        summed = pieces.cut(df, ["key"], "pos", limit).trailing_sum(2000, "w", "recent").rows()
+        plan = summed._jdf.queryExecution().optimizedPlan().toString()
+        assert "specifiedwindowframe(RangeFrame, -" not in plan and plan.count("unboundedpreceding$(), currentrow$()") >= 2
+        found = {(r["key"], r["pos"]): r["recent"] for r in summed.collect()}
+        assert len(found) == len(rows)
+        assert found["k", 2999] == sum(p % 5 for p in range(999, 3000))
+        assert (found["k", 9000], found["k", None], found["n", -7]) == (2.0, 4.0, None)
+        assert found["k", 3000] == pytest.approx(1e17)
