@@ -48,9 +48,12 @@ def product_lines(lines: DataFrame, on_error: str = "fail"):
     return records.apply_policy(judged, on_error)
 
 
-def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | Sequence[str], one_log: bool = False) -> DataFrame:
     """Text lines (``value``) with their ``file`` and ``line``, the number in that file from 1.
 
+    With ``one_log`` the files are one text in the order of their names, and lines are
+    numbered through all of them.
+
     A file is read in splits by many tasks.  A first scan counts the lines of every
     split; sums of those counts, one row per split, say at which number each begins,
     and within a split lines come in order.  Both scans are of one list of files; if
@@ -63,7 +66,9 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("__at"),
     )
     splits = lines.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("__first"))
-    before = Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per split, in one task only where all splits are one text.
+    before = Window.orderBy("file", "__block") if one_log else Window.partitionBy("file").orderBy("__block")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     found = lines.join(small_side(starts), ["file", "__block"], "left")
     number = F.col("__before") + F.col("__at") - F.col("__first") + 1
@@ -105,11 +110,11 @@ def read_results(spark: SparkSession, folder: str, schema: StructType) -> DataFr
     return spark.read.option("pathGlobFilter", "part-*").schema(schema).json(folder)
 
 
-def read_keyed_text(spark: SparkSession, path: str) -> DataFrame:
+def read_keyed_text(spark: SparkSession, path: str, one_log: bool = False) -> DataFrame:
     """Lines ``key<TAB>json`` with their file and number; blank lines and ``#`` comments are skipped."""
     parts = F.split("value", "\t", 2)
     return (
-        numbered_lines(spark, path)
+        numbered_lines(spark, path, one_log)
         .filter((trimmed("value") != "") & ~F.startswith("value", F.lit("#")))
         .select(
             parts[0].alias("key"),

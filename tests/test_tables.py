@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweave import schemas
+from logweave.catalogue import queries
 from logweave.operators import alerts as al
 from logweave.operators import filters, keyed, logs, metrics
 from logweave.sources import lake, tables
@@ -343,3 +344,31 @@ def test_only_committed_batches_count_as_read(spark, tmp_path):
     log = log_source.read_log(spark, path)
     (found,) = logs.consumer_lag(log, progress.positions(spark, log, ckpt, "g")).collect()
     assert (found["committed"], found["end_offset"], found["lag"]) == (10, 25, 15)
+
+
+def test_a_text_in_several_files_is_numbered_through(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    for k, text in enumerate(["a\t1\n# x\n", "", "\nb\t2\nc\t3\n"]):
+        (tmp_path / f"part-{k}.txt").write_text(text)
+    found = lake.read_keyed_text(spark, str(tmp_path), one_log=True).orderBy("row_order").collect()
+    assert [(r["key"], r["row_order"]) for r in found] == [("a", 1), ("b", 4), ("c", 5)]
+    each = lake.read_keyed_text(spark, str(tmp_path)).orderBy("key").collect()
+    assert [r["row_order"] for r in each] == [1, 2, 3]
+
+    read, written = lake.read_keyed_text, []
+
+    def noted(session, path, **given):
+        written.append(path)
+        return read(session, path, **given)
+
+    monkeypatch.setattr(lake, "read_keyed_text", noted)
+    monkeypatch.setattr(queries.lake, "read_keyed_text", noted)
+    # More files than one: no task writes the whole text.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = [r["line"] for r in queries.all_queries()["q_chat_file"](spark, "/root/testdata/sf0.001").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list(Path(written[0].removeprefix("file:")).glob("part-*"))) > 1
+    assert sorted(lines) == [3 * k + 2 for k in range(len(lines))]
