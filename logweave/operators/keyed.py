@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators.validate import split_valid, table_row_error
 from logweave.plans import pieces
-from logweave.plans.sizing import small_side
+from logweave.plans.sizing import settled, small_side
 
 
 def _order(columns: Sequence[str]) -> Column:
@@ -112,9 +112,12 @@ def upsert(
 def _stored_and_arrived(
     target: DataFrame, arrivals: DataFrame, keys: Sequence[str], arrival: Sequence[str], pick
 ) -> DataFrame:
-    """Per key its stored row and the picked arrival, either of which may be null.
+    """Per key its stored row and the picked arrival, either of which may be null; a null key is a key.
 
-    Both sides go through one shuffle, combined before it; a null key is a key.
+    Rows are brought together by key before they are combined, in partitions that Spark
+    cuts to a size, also those of a hot key, so what is sorted by key fits in memory;
+    only one row per key and partition goes through the second shuffle.  The result is
+    settled, as both kinds of keys are read from it.
     """
 
     def rest(df: DataFrame) -> Column:
@@ -122,10 +125,11 @@ def _stored_and_arrived(
 
     old = target.select(*keys, rest(target).alias("__old"))
     new = arrivals.select(*keys, rest(arrivals).alias("__new"), _order(arrival).alias("__at"))
-    both = old.unionByName(new, allowMissingColumns=True)
-    return both.groupBy(*keys).agg(
+    both = old.unionByName(new, allowMissingColumns=True).hint("rebalance", *keys)
+    picked = both.groupBy(*keys).agg(
         F.any_value("__old", True).alias("__old"), pick("__new", F.col("__at")).alias("__new")
     )
+    return settled(picked, "merged")
 
 
 def insert_ignore(

@@ -204,3 +204,23 @@ def test_empty_time_becomes_log_time(spark):
     df = spark.createDataFrame([("", "2026-05-15 00:00:01.25"), ("t", "2026-05-15 00:00:01")], "updated_at string, ts string")
     out = cl.with_log_time(df.withColumn("timestamp", F.col("ts").cast("timestamp"))).collect()
     assert [r["updated_at"] for r in out] == ["2026-05-15T00:00:01.25Z", "t"]
+
+
+def test_merges_read_arrivals_once_and_bring_keys_together_before_they_sort(spark, monkeypatch):
+    seen, settled, plans = spark.sparkContext.accumulator(0), keyed.settled, []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settled(df, label)
+
+    monkeypatch.setattr(keyed, "settled", noted)
+    read = F.udf(lambda v: seen.add(1) or v, "string")
+    target = spark.createDataFrame([("a", "old", 0), ("z", "old", 0)], "id string, v string, offset int")
+    rows = [("hot" if n % 4 else f"k{n}", f"v{n}", n) for n in range(200)]
+    arrivals = spark.createDataFrame(rows, "id string, v string, offset int").withColumn("v", read("v"))
+    found = {r["id"]: r["v"] for r in keyed.upsert(target, arrivals, ["id"], ["offset"]).collect()}
+    assert found == {"a": "old", "z": "old", "hot": "v199", **{f"k{n}": f"v{n}" for n in range(0, 200, 4)}}
+    assert seen.value == 200
+    # The shuffle that brings keys together lies below both aggregates.
+    lines = [line for line in plans[0].splitlines() if "Aggregate" in line or "Exchange" in line or "Rebalance" in line]
+    assert "REBALANCE" in lines[-1].upper()
