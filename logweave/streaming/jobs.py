@@ -128,9 +128,11 @@ def filter_products_writer(
         orders = _decoded(batch, commands, schemas.DENY_COMMAND, on_error)
         ordered = _placed(orders.filter(F.col("record.action").isin(cl.ADD, cl.REMOVE)))
         denied = (F.col("record.action") == cl.ADD).alias("denied")
-        control = ordered.select("key", "pos", F.col("offset").alias("seq"), denied)
+        # Decoded once: counts, the lookup and what the batch changes all read them.
+        control = sizing.settled(ordered.select("key", "pos", F.col("offset").alias("seq"), denied), "commands")
         before = known.read(now).filter("denied").select("key", *_at_first(), "denied")
         data = _data(_placed(_decoded(batch, products, schemas.PRODUCT, on_error)), "key", "value", "pos").drop("kind")
+        data = sizing.settled(data, "products")
         seen = pieces.as_of(
             data, _renamed(before.unionByName(control), "denied"), ["key"], "pos", "seq", _ON, rows_per_piece
         )
@@ -187,10 +189,12 @@ def chat_writer(
         blocks_now, words_now = blocks.current(before=batch_id), words.current()
         sent = _placed(_decoded(batch, messages, schemas.CHAT_MESSAGE, on_error))
         sent = sent.select("*", "record.*").filter(deliverable()).withColumn("seq", F.col("offset"))
-        sent = sent.select("recipient_id", "sender_id", "message_id", "text", "timestamp", "pos", "seq")
+        # Decoded once: every count and lookup below reads them.
+        sent = sizing.settled(sent.select("recipient_id", "sender_id", "message_id", "text", "timestamp", "pos", "seq"), "sent")
 
         given = _placed(_decoded(batch, events, schemas.BLOCK_EVENT, on_error)).select("key", "record.*", "pos", "offset")
         given = cl.valid_block_events(given).select("user", F.col("blocked").alias("other"), "on", "pos", F.col("offset").alias("seq"))
+        given = sizing.settled(given, "given")
         known = blocks.read(blocks_now).filter("on").select("user", "other", "on", *_at_first())
         control = _renamed(known.unionByName(given), "on")
         control = control.withColumnsRenamed({"user": "recipient_id", "other": "sender_id"})
@@ -199,10 +203,11 @@ def chat_writer(
 
         told = _placed(_decoded(batch, updates, schemas.WORDS_UPDATE, on_error)).select("key", "record.*", "pos", "offset")
         told = told.filter(F.col("key") == cl.SHARED_KEY).withColumnRenamed("offset", "seq")
+        told = sizing.settled(told.select(*_UPDATE), "told")
         stored = words.read(words_now)
         first = kept.agg(F.min("pos")).first()[0]
         standing = stored.filter(F.col("until").isNull() | (F.col("until.pos") > F.lit(first)))
-        both = _as_updates(standing).unionByName(told.select(*_UPDATE))
+        both = _as_updates(standing).unionByName(told)
         intervals = sizing.settled(filters.word_intervals(both, rows_per_piece=rows_per_piece), "intervals")
         found = filters.mask_in_force(kept, intervals, rows_per_piece=rows_per_piece)
         found = found.select("message_id", "recipient_id", "sender_id", "text", "timestamp", "seq")

@@ -373,3 +373,29 @@ def test_chunks_release_what_the_watermark_has_passed(sizes):
             waiting = [r for r in waiting if end(r) > mark]
             found += _fired(hold, handle, mark)
             assert [(r["seq"], list(r["items"]), r["late"]) for r in found] == wanted
+
+
+def test_a_micro_batch_is_decoded_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
+
+    def batch(rows):
+        df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string, t double")
+        return df.withColumn("timestamp", F.timestamp_seconds("t")).drop("t").withColumn("value", read("value"))
+
+    product = json.dumps({"product_id": "a", "name": "p"})
+    command = json.dumps({"action": "add", "product_id": "a"})
+    rows = [("products.raw" if n < 5 else "blacklist.commands", 0, n, "a", product if n < 5 else command, 1e9 + n) for n in range(10)]
+    jobs.filter_products_writer(str(tmp_path / "out"), str(tmp_path / "state"), rows_per_piece=3)(batch(rows), 0)
+    assert [r["seq"] for r in spark.read.parquet(str(tmp_path / "out")).orderBy("seq").collect()] == [0, 1, 2, 3, 4]
+    # Once for each of the two topics.
+    assert seen.value <= 2 * len(rows)
+
+    message = json.dumps({"sender_id": "s", "recipient_id": "r", "message_id": "m", "text": "a bad word"})
+    event = json.dumps({"user_id": "r", "blocked_user_id": "x", "action": "block"})
+    update = json.dumps({"words": ["bad"], "action": "add"})
+    rows = [("messages", 0, 3, "r", message, 1e9 + 3), ("blocked_users", 0, 1, "r", event, 1e9), ("banned_words", 0, 2, "global", update, 1e9)]
+    seen.value = 0
+    jobs.chat_writer(str(tmp_path / "told"), str(tmp_path / "chat"))(batch(rows), 0)
+    assert [r["text"] for r in spark.read.parquet(str(tmp_path / "told")).collect()] == ["a *** word"]
+    assert seen.value <= 3 * len(rows)
