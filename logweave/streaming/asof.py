@@ -18,7 +18,9 @@ from collections import deque
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,6 +35,8 @@ CONTROL, DATA, CLOSING = 0, 1, 2
 BUCKET_MILLIS = 1000
 # Arriving rows are sorted in runs of so many, and wait in chunks of so many.
 RUN_ROWS, CHUNK_ROWS = 20_000, 1_000
+# A map task packs so many rows, or bytes, at a time; a packed result has so many items of sets at most.
+PACK_ROWS, PACK_BYTES, RESULT_ITEMS = 200_000, 32 << 20, 500_000
 _ITEMS = StructType([StructField("items", ArrayType(StringType()))])
 _SEEN = StructType([*_ITEMS.fields, StructField("last", LongType())])
 _CHUNK = StructType([StructField("first", LongType()), StructField("number", LongType())])
@@ -262,6 +266,209 @@ class HoldInChunks(HoldUntilWatermark):
         return out
 
 
+def _columns(schema: StructType) -> pa.Schema:
+    """The Arrow form of packed rows, the same wherever they are packed and read."""
+    return pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(schema)])
+
+
+def _in_turn(rows: pa.Table, *before: str) -> pa.Table:
+    """Rows by ``before`` and then by their turn, as :func:`_turn` has it."""
+    order = [(name, "ascending") for name in (*before, "pos", "kind", "seq")]
+    return rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
+
+
+def _blob(rows: pa.Table) -> bytes:
+    """A table as the bytes of one record batch, without its schema."""
+    batches = rows.combine_chunks().to_batches()
+    return batches[0].serialize().to_pybytes()
+
+
+def _pack(rows: pa.Table, groups: Sequence[str], columns: pa.Schema) -> pa.RecordBatch:
+    """One row per group with all its rows, in their turn, as bytes."""
+    rows = rows.filter(pc.not_equal(rows["kind"], CLOSING)).combine_chunks()
+    codes = {f"__{i}": _codes(rows[name]) for i, name in enumerate(groups)}
+    for name, code in codes.items():
+        rows = rows.append_column(name, pa.array(code))
+    rows = _in_turn(rows, *codes).combine_chunks()
+    new = np.zeros(max(rows.num_rows, 1), dtype=bool)
+    new[:1] = rows.num_rows > 0
+    for name in codes:
+        code = rows[name].to_numpy()
+        new[1:] |= code[1:] != code[:-1]
+    starts = np.flatnonzero(new)
+    held = rows.select(columns.names).cast(columns).combine_chunks()
+    blobs = [_blob(held.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], rows.num_rows])]
+    keys = rows.select(groups).take(pa.array(starts, pa.int64()))
+    return keys.append_column("rows", pa.array(blobs, pa.binary()))
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    """A number for every value of a column; null has one too."""
+    return pa.chunked_array([column.combine_chunks().dictionary_encode("encode").indices], pa.int32()).to_numpy()
+
+
+def packed(groups: Sequence[str], held: StructType):
+    """What a map task does before the rows go to their groups: many rows of a group become one."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, taken, rows, size = _columns(held), [], 0, 0
+        for batch in batches:
+            taken.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= PACK_ROWS or size >= PACK_BYTES:
+                yield from _pack(pa.Table.from_batches(taken), groups, columns).to_batches()
+                taken, rows, size = [], 0, 0
+        if rows:
+            yield from _pack(pa.Table.from_batches(taken), groups, columns).to_batches()
+
+    return pack
+
+
+def unpacked(given: StructType):
+    """The rows of packed results."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = _columns(given)
+        for batch in batches:
+            for blob in batch["rows"]:
+                yield pa.ipc.read_record_batch(blob.as_buffer(), columns)
+
+    return unpack
+
+
+class HoldPacked(HoldInChunks):
+    """:class:`HoldInChunks` on packed rows: sorted, kept, merged and emitted as columns.
+
+    Python sees one row per run of a key, not per row of the log; only control rows are
+    applied one by one.  What is due is merged from chunks that are opened as their time
+    comes, at least as many rows anew as are still open.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self._arrow = _columns(self._schema)
+        self._given = _columns(StructType([f for f in self._schema if f.name in self._emitted]))
+        self._result = pa.schema([*self._given, *_columns(_ITEMS), pa.field("late", pa.bool_())])
+        self._packed = Row("rows")
+
+    def _table(self, blob: bytes) -> pa.Table:
+        return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(blob), self._arrow)])
+
+    def _begin_of_time(self, timerValues) -> int:
+        """The first position that the watermark has not passed."""
+        return timerValues.getCurrentWatermarkInMs() // self._bucket * self._bucket * 1000
+
+    def _put_table(self, rows: pa.Table, number: int) -> int:
+        first = rows["pos"][0].as_py() // (self._bucket * 1000)
+        self._waiting.updateValue((first, number), (_blob(rows),))
+        return first
+
+    def _replay(self, tables: Iterator[pa.Table], late: bool) -> Iterator[Row]:
+        """Sorted ``tables``, one after the other, applied to the set of the key; data rows come out packed."""
+        items, last, moved = set(), None, False
+        if self._current.exists():
+            known = self._current.get()
+            items, last = set(known[0]), known[1]
+        shown = None
+        for rows in tables:
+            kinds = rows["kind"].to_numpy()
+            control = np.flatnonzero(kinds == CONTROL)
+            told = rows.select(["pos", "action", "arguments"]).take(pa.array(control, pa.int64()))
+            orders = zip(control.tolist(), *(column.to_pylist() for column in told.itercolumns()))
+            data = rows.select(self._given.names).filter(pa.array(kinds != CONTROL))
+            done = at = 0
+            sets, counts, weight = [], [], 0
+            for turn, pos, action, arguments in [*orders, (rows.num_rows, None, None, None)]:
+                if turn > at:
+                    shown = sorted(items, key=str.encode) if shown is None else shown
+                    sets.append(shown)
+                    counts.append(turn - at)
+                    weight += len(shown)
+                    if weight >= RESULT_ITEMS:
+                        yield from self._results(data.slice(done, sum(counts)), sets, counts, late)
+                        done += sum(counts)
+                        sets, counts, weight = [], [], 0
+                at = turn + 1
+                if turn < rows.num_rows and (last is None or (pos is not None and pos >= last)):
+                    items = changed(items, action, arguments or [])
+                    shown, last, moved = None, pos, True
+            yield from self._results(data.slice(done), sets, counts, late)
+        if moved:
+            self._current.update((sorted(items), last))
+
+    def _results(self, data: pa.Table, sets: list, counts: list[int], late: bool) -> Iterator[Row]:
+        if not counts:
+            return
+        own = np.repeat(np.arange(len(sets)), counts)
+        kinds = pa.array(sets, self._result.field("items").type)
+        step = max(1, RESULT_ITEMS // max(1, max(map(len, sets))))
+        for at in range(0, data.num_rows, step):
+            part = data.slice(at, step)
+            columns = [*part.itercolumns(), kinds.take(pa.array(own[at : at + step])), pa.array([late] * part.num_rows)]
+            yield self._packed(_blob(pa.table(columns, schema=self._result)))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        begin = self._begin_of_time(timerValues)
+        late, firsts = [], []
+        number = before = self._chunks.get()[0] if self._chunks.exists() else 0
+        blobs = iter(rows)
+        while run := self._next_run(blobs):
+            table = _in_turn(pa.concat_tables(run))
+            # Rows without a time come first.
+            past = table["pos"].null_count
+            past += int(np.searchsorted(table["pos"].slice(past).to_numpy(), begin))
+            if past:
+                late.append(table.slice(0, past))
+            for at in range(past, table.num_rows, self._chunk_rows):
+                firsts.append(self._put_table(table.slice(at, self._chunk_rows), number))
+                number += 1
+        if number > before:
+            self._chunks.update((number,))
+            self._wake_at(min(firsts))
+        if late:
+            yield from self._replay(iter([_in_turn(pa.concat_tables(late))]), True)
+
+    def _next_run(self, rows: Iterator[Row]) -> list[pa.Table]:
+        run, taken = [], 0
+        while taken < self._run_rows and (row := next(rows, None)) is not None:
+            run.append(self._table(row["rows"]))
+            taken += run[-1].num_rows
+        return run
+
+    def _due_tables(self, chunks: Sequence[tuple[int, int]], timerValues) -> Iterator[pa.Table]:
+        """Rows of ``chunks`` that the watermark has passed, in their turn; what it has not passed is put back."""
+        begin, to_open, open_rows = self._begin_of_time(timerValues), deque(chunks), None
+        while to_open or open_rows is not None:
+            found = [] if open_rows is None else [open_rows]
+            wanted, fresh = max(self._run_rows, open_rows.num_rows if found else 0), 0
+            while to_open and fresh < wanted:
+                chunk = to_open.popleft()
+                rows = self._table(self._waiting.getValue(chunk)[0])
+                self._waiting.removeKey(chunk)
+                past = int(np.searchsorted(rows["pos"].to_numpy(), begin))
+                if past < rows.num_rows:
+                    self._put_table(rows.slice(past), chunk[1])
+                found.append(rows.slice(0, past))
+                fresh += past
+            rows = _in_turn(pa.concat_tables(found)).combine_chunks()
+            ready = rows.num_rows
+            if to_open:
+                ready = int(np.searchsorted(rows["pos"].to_numpy(), to_open[0][0] * self._bucket * 1000))
+            open_rows = rows.slice(ready) if ready < rows.num_rows else None
+            if ready:
+                yield rows.slice(0, ready)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        waiting = sorted(tuple(chunk) for chunk in self._waiting.keys())
+        due = [chunk for chunk in waiting if self._is_past(chunk[0], timerValues)]
+        if not due:
+            return
+        yield from self._replay(self._due_tables(due, timerValues), False)
+        left = min((chunk[0] for chunk in self._waiting.keys()), default=None)
+        if left is not None:
+            self._wake_at(left)
+
+
 def _turn(row: Row) -> tuple:
     return (row["pos"] is not None, row["pos"] or 0, row["kind"], row["seq"])
 
@@ -306,13 +513,23 @@ def as_of_stream(
     kept = [f for f in held.fields if f.name not in hidden]
     late = [] if delay is None else [StructField("late", BooleanType())]
     output = StructType([*kept, *_ITEMS.fields, *late])
-    processor = DecideAtOnce if delay is None else HoldInChunks
-    return placed.groupBy(*keys, "salt").transformWithState(
-        statefulProcessor=processor(held, [f.name for f in kept]),
-        outputStructType=output,
+    emitted, groups = [f.name for f in kept], [*keys, "salt"]
+    if delay is None:
+        return placed.groupBy(*groups).transformWithState(
+            statefulProcessor=DecideAtOnce(held, emitted),
+            outputStructType=output,
+            outputMode="Append",
+            timeMode="None",
+        )
+    # Rows go to their keys, wait and come back in packs; one by one Python would convert each of their fields.
+    rows_of = StructType([*(placed.schema[name] for name in groups), StructField("rows", BinaryType())])
+    seen = placed.mapInArrow(packed(groups, held), rows_of).groupBy(*groups).transformWithState(
+        statefulProcessor=HoldPacked(held, emitted),
+        outputStructType=StructType([StructField("rows", BinaryType())]),
         outputMode="Append",
-        timeMode="None" if delay is None else "EventTime",
+        timeMode="EventTime",
     )
+    return seen.mapInArrow(unpacked(output), output)
 
 
 def without_items(seen: DataFrame) -> DataFrame:

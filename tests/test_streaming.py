@@ -375,6 +375,96 @@ def test_chunks_release_what_the_watermark_has_passed(sizes):
             assert [(r["seq"], list(r["items"]), r["late"]) for r in found] == wanted
 
 
+def _packed_hold(**sizes):
+    from pyspark.sql.types import StructType
+
+    held = StructType.fromDDL("seq long, kind int, action string, arguments array<string>, pos long")
+    hold, handle = asof.HoldPacked(held, ["seq"], **sizes), _Held()
+    hold.init(handle)
+    return hold, handle, held
+
+
+def _packs(rows, held, size=7):
+    """Rows of one key as a map task packs them, so many at a time."""
+    import pyarrow as pa
+    from pyspark.sql import Row
+
+    given = pa.schema([pa.field("key", pa.string()), *asof._columns(held)])
+    for at in range(0, len(rows), size):
+        table = pa.Table.from_pylist([{"key": "k", **r.asDict()} for r in rows[at : at + size]], given)
+        for batch in asof.packed(["key"], held)(iter(table.to_batches())):
+            yield from (Row(rows=blob) for blob in batch["rows"].to_pylist())
+
+
+def _told(rows):
+    import pyarrow as pa
+
+    schema = pa.schema([("seq", pa.int64()), ("items", pa.list_(pa.string())), ("late", pa.bool_())])
+    found = [pa.ipc.read_record_batch(pa.py_buffer(r["rows"]), schema).to_pylist() for r in rows]
+    return [(r["seq"], r["items"], r["late"]) for pack in found for r in pack]
+
+
+def test_rows_reach_the_hold_in_packs_and_not_one_by_one():
+    from pyspark.sql import Row
+
+    hold, handle, held = _packed_hold()
+    rows = [Row(seq=i, kind=asof.DATA, action=None, arguments=None, pos=i * 5_000_000) for i in range(5_000)]
+    packs = list(_packs(rows, held, size=5_000))
+    assert len(packs) == 1
+    assert list(hold.handleInputRows(("k",), iter(packs), _At(0))) == []
+    found = _fired(hold, handle, 5_000 * 5_000)
+    assert len(found) == 1 and [seq for seq, _, _ in _told(found)] == list(range(5_000))
+    assert handle.calls <= 20 and not any(handle.maps.values())
+
+
+@pytest.mark.parametrize("sizes", [{"run_rows": 7, "chunk_rows": 3}, {"run_rows": 40, "chunk_rows": 5}, {}])
+@pytest.mark.parametrize("result_items", [1, 3, 500_000])
+def test_packed_rows_come_out_as_single_rows_do(monkeypatch, sizes, result_items):
+    """Random arrivals and watermarks: the same as the hold that takes rows one by one."""
+    from pyspark.sql import Row
+
+    monkeypatch.setattr(asof, "RESULT_ITEMS", result_items)
+    for seed in range(15):
+        rng, mark, n = random.Random(seed), 0, 0
+        (plain, plain_handle), (hold, handle, held) = _hold(**sizes), _packed_hold(**sizes)
+        for _ in range(8):
+            batch = []
+            for _ in range(rng.randrange(40)):
+                n += 1
+                pos = None if rng.random() < 0.03 else mark * 1000 + rng.randrange(-3_000_000, 20_000_000)
+                kind = rng.choice([asof.DATA, asof.CONTROL, asof.CONTROL, asof.CLOSING])
+                control = kind == asof.CONTROL
+                action = rng.choice(["add", "remove", "replace"]) if control else None
+                arguments = rng.choice([["a"], ["b"], ["é", "a"], [None, ""], None]) if control else None
+                batch.append(Row(seq=n, kind=kind, action=action, arguments=arguments, pos=pos))
+            wanted = list(plain.handleInputRows(("k",), iter(batch), _At(mark)))
+            found = list(hold.handleInputRows(("k",), _packs(batch, held), _At(mark)))
+            mark += rng.randrange(9_000)
+            wanted += _fired(plain, plain_handle, mark)
+            found += _fired(hold, handle, mark)
+            assert _told(found) == [(r["seq"], list(r["items"]), r["late"]) for r in wanted]
+            assert handle.values.get("current") == plain_handle.values.get("current")
+
+
+def test_packs_keep_keys_apart_null_ones_too():
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    held = StructType.fromDDL("key string, seq long, kind int, pos long")
+    rows = [{"key": k, "salt": i % 2, "seq": i, "kind": asof.DATA, "pos": -i} for i, k in enumerate(["b", None, "a", ""] * 6)]
+    table = pa.Table.from_pylist(rows, pa.schema([*asof._columns(held), ("salt", pa.int32())]))
+    found = {}
+    for batch in asof.packed(["key", "salt"], held)(iter(table.to_batches(max_chunksize=5))):
+        for pack in batch.to_pylist():
+            inner = pa.ipc.read_record_batch(pa.py_buffer(pack["rows"]), asof._columns(held)).to_pylist()
+            assert {r["key"] for r in inner} == {pack["key"]} and (pack["key"], pack["salt"]) not in found
+            found[pack["key"], pack["salt"]] = [r["seq"] for r in inner]
+    wanted = {}
+    for r in reversed(rows):
+        wanted.setdefault((r["key"], r["salt"]), []).append(r["seq"])
+    assert found == wanted
+
+
 def test_a_micro_batch_is_decoded_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
     read = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
